@@ -6,6 +6,9 @@ same as the pattern ``[^\\x20\\x09-\\x0D]+`` over code points.
 
 from __future__ import annotations
 
+import re
+from collections.abc import Iterator
+
 import numpy as np
 
 _RNG = np.random.Generator(np.random.PCG64(20240607))
@@ -66,3 +69,12 @@ def shingle_set(words: np.ndarray, k: int) -> np.ndarray:
         for j in range(1, k):
             total = total + words[j : n - k + 1 + j] * _ODD[j]
         return np.unique(mix(total))
+
+
+def stretches(text: str, boundary: re.Pattern, size: int = 1_000_000) -> Iterator[str]:
+    """The text in order, in stretches of about size characters cut only where boundary matches (after its match)."""
+    at = 0
+    while len(text) - at > size and (found := boundary.search(text, at + size)):
+        yield text[at : found.end()]
+        at = found.end()
+    yield text[at:]

@@ -15,7 +15,10 @@ from functools import lru_cache
 
 import numpy as np
 
+from panelspark.llm._text import stretches
+
 _CHUNK = re.compile(r"[ \n]*[^ \n]+|[ \n]+")
+_BOUNDARY = re.compile(r"[^ \n](?=[ \n])")
 _OTHER = re.compile(r"[^\S \n]|[\x1c-\x1f\x85᠎​﻿]")
 #: Chunks kept by a worker, and their longest length: some 100 MB at most.
 TABLE_ROWS, TABLE_CHARS = 500_000, 48
@@ -51,7 +54,7 @@ class ChunkTable:
         if _OTHER.search(text):
             return np.array(self.encode(text), dtype="<u4").tobytes()
         known = self.table.get
-        return b"".join([known(c) or self._chunk(c) for c in _CHUNK.findall(text)])
+        return b"".join([b"".join([known(c) or self._chunk(c) for c in _CHUNK.findall(s)]) for s in stretches(text, _BOUNDARY)])
 
 
 @lru_cache(maxsize=2)

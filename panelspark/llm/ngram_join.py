@@ -53,9 +53,9 @@ def _sketch(base: DataFrame, n: int) -> np.ndarray:
         for i in range(0, len(some), 1 << 16):
             yield pd.DataFrame({"bucket": some[i : i + (1 << 16)].astype(np.int32), "n": total[some[i : i + (1 << 16)]]})
 
-    rows = base.select("t").mapInPandas(count, "bucket int, n long").groupBy("bucket").agg(F.sum("n").alias("n")).toPandas()
+    rows = base.select("t").mapInPandas(count, "bucket int, n long").groupBy("bucket").agg(F.sum("n").alias("n")).toArrow()
     sketch = np.zeros(1 << SKETCH_BITS, dtype=np.float32)
-    sketch[rows["bucket"].to_numpy(dtype=np.int64)] = rows["n"].to_numpy(dtype=np.float32)
+    sketch[rows["bucket"].to_numpy()] = rows["n"].to_numpy()
     return sketch
 
 
@@ -100,7 +100,7 @@ def _prefixes(base: DataFrame, n: int, threshold: tuple[int, int], sketch: np.nd
 def _bits(df: DataFrame, column: str) -> np.ndarray:
     """Bit set of the leading FILTER_BITS of a hash; at most 2**FILTER_BITS numbers reach the driver."""
     found = np.zeros(1 << FILTER_BITS, dtype=bool)
-    rows = df.select(column).distinct().toPandas()[column].to_numpy(dtype=np.int64)
+    rows = df.select(column).distinct().toArrow()[column].to_numpy()
     found[rows] = True
     return np.packbits(found)
 
