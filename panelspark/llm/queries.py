@@ -17,12 +17,32 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
+def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from panelspark.llm.sentencepiece_codec import decode, encode
+
+    encoded = encode(_read(spark, sf_dir, "documents"))
+    both = decode(encoded, out_col="decoded")
+    return both.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(F.concat_ws(",", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"), F.sha2(F.col("decoded"), 256).alias("decoded_sha256"))
+
+
+def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from panelspark.llm.rule_cascade import judge
+
+    return judge(_read(spark, sf_dir, "documents"))
+
+
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     from panelspark.llm.token_counts import token_counts
 
     return token_counts(_read(spark, sf_dir, "documents"))
 
 
+def op9_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from panelspark.llm.minhash import neighbour_fingerprints
+
+    return neighbour_fingerprints(_read(spark, sf_dir, "documents"))
+
+
 def op10_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     from panelspark.llm.ngram_join import jaccard_components
 
