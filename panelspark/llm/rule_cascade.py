@@ -101,7 +101,7 @@ def _symbols(d: Document) -> bool:
 
 
 def _dup_lines(d: Document) -> bool:
-    return d.n_dup_lines > 0.3 * len(d.lines)
+    return d.n_dup_lines > 0.5 * len(d.lines)
 
 
 def _repeats(d: Document) -> bool:
