@@ -31,6 +31,24 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge(_read(spark, sf_dir, "documents"))
 
 
+def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from panelspark.llm.line_dedup import removed_lines
+
+    return removed_lines(_read(spark, sf_dir, "documents"))
+
+
+def op7_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from panelspark.llm import chat
+
+    said = r"\### Assistant: </turn> ok"
+    probe = spark.range(2).select(F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"), F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(said).alias("text"))
+    turns = _read(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(probe)
+    made = chat.format_chats(chat.events_of_turns(turns))
+    back = made.select("conv_id", chat.read_turns(F.col("formatted")).alias("turns"), chat.loss_text(F.col("segments")).alias("loss"), F.length("formatted").cast("long").alias("formatted_chars"))
+    joined = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
+    return back.select("conv_id", F.size("turns").cast("long").alias("n_turns"), F.sha2(joined, 256).alias("turns_sha256"), F.length("loss").cast("long").alias("loss_chars"), F.sha2("loss", 256).alias("loss_sha256"), "formatted_chars")
+
+
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     from panelspark.llm.token_counts import token_counts
 
