@@ -31,6 +31,12 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge(_read(spark, sf_dir, "documents"))
 
 
+def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from panelspark.llm.licenses import scan
+
+    return scan(_read(spark, sf_dir, "documents"))
+
+
 def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from panelspark.llm.line_dedup import removed_lines
 
@@ -72,4 +78,6 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    from panelspark.llm import licenses
+
+    return {"op5_license_scan": licenses.oracle_sql()}
