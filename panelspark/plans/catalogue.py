@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import importlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+MODULES = ("longitudinal",)
 QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
 
@@ -30,9 +32,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _load() -> None:
+    for name in MODULES:
+        importlib.import_module(f"panelspark.plans.{name}")
+
+
 def queries() -> dict[str, Query]:
+    _load()
     return dict(QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
+    _load()
     return dict(ORACLES)
