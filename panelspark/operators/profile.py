@@ -77,7 +77,7 @@ def segment_statistics(rows: DataFrame, dimensions: list[str], value: str, min_g
     out = ranked.groupBy("dimension", "level").agg(
         F.first("n").alias("n"), q.alias("q"), F.avg("v").alias("mean"), F.min("v").alias("min"), F.max("v").alias("max"), F.stddev_samp("v").alias("sd"),
         F.avg(F.when((F.col("r") >= cut) & (F.col("r") < n - cut), F.col("v"))).alias("trimmed"), F.max(F.when(F.col("r") == low, F.col("v"))).alias("lo"), F.max(F.when(F.col("r") == high, F.col("v"))).alias("hi"))
-    r = lambda c, name: F.round(c, 2).alias(name)
+    r = lambda c, name: F.round(c, 4).alias(name)
     return out.select("dimension", "level", "n", r(F.col("q")[1], "median"), r(F.col("mean"), "mean"), r(F.col("q")[0], "p25"), r(F.col("q")[2], "p75"), r(F.col("min"), "min"), r(F.col("max"), "max"), r(F.col("sd"), "sd"), r(F.col("trimmed"), "trimmed_mean"), r(F.col("q")[2] - F.col("q")[0], "iqr"), r(F.col("lo"), "median_ci_low"), r(F.col("hi"), "median_ci_high"))
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-MODULES = ("longitudinal", "lifecycle", "statistics")
+MODULES = ("longitudinal", "lifecycle", "statistics", "content", "streams")
 QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
 

@@ -13,8 +13,8 @@ from panelspark.plans.catalogue import query, table
 SEGMENTS = """b as (select l_extendedprice as v, 'p_brand' as dimension, p_brand as level from last join part on p_partkey = l_partkey union all select l_extendedprice, 'p_type', p_type from last join part on p_partkey = l_partkey),
 r as (select *, row_number() over (partition by dimension, level order by v) - 1 as k, count(*) over (partition by dimension, level) as n from b),
 s as (select *, floor(n * 0.1) as cut, greatest(0, least(floor((n - 1.959963984540054 * sqrt(n)) / 2), n - 1)) as lo, greatest(0, least(ceil(1 + (n + 1.959963984540054 * sqrt(n)) / 2) - 1, n - 1)) as hi from r where n >= 10)
-select dimension, level, any_value(n) as n, round(median(v), 2) as median, round(avg(v), 2) as mean, round(quantile_cont(v, 0.25), 2) as p25, round(quantile_cont(v, 0.75), 2) as p75, round(min(v), 2) as min, round(max(v), 2) as max, round(stddev_samp(v), 2) as sd,
-  round(avg(v) filter (k >= cut and k < n - cut), 2) as trimmed_mean, round(quantile_cont(v, 0.75) - quantile_cont(v, 0.25), 2) as iqr, round(max(v) filter (k = lo), 2) as median_ci_low, round(max(v) filter (k = hi), 2) as median_ci_high from s group by dimension, level"""
+select dimension, level, any_value(n) as n, round(median(v), 4) as median, round(avg(v), 4) as mean, round(quantile_cont(v, 0.25), 4) as p25, round(quantile_cont(v, 0.75), 4) as p75, round(min(v), 4) as min, round(max(v), 4) as max, round(stddev_samp(v), 4) as sd,
+  round(avg(v) filter (k >= cut and k < n - cut), 4) as trimmed_mean, round(quantile_cont(v, 0.75) - quantile_cont(v, 0.25), 4) as iqr, round(max(v) filter (k = lo), 4) as median_ci_low, round(max(v) filter (k = hi), 4) as median_ci_high from s group by dimension, level"""
 LAST = """last as (select l_partkey, l_extendedprice from (select *, row_number() over (partition by l_orderkey order by l_shipdate desc, l_linenumber desc, l_partkey desc, l_suppkey desc, l_extendedprice desc) as rn from lineitem where l_shipdate <= timestamp '1998-06-30') where rn = 1)"""
 
 
