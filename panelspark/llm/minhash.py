@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from panelspark.llm._graph import connected_components, cut
 from panelspark.llm._text import shingle_set, word_hashes
-from panelspark.llm.ngram_join import _digest, _verified
+from panelspark.llm.ngram_join import _digest, verified
 
 PERMUTATIONS, BANDS, ROWS = 128, 25, 5
 SHINGLE = 5
@@ -123,7 +123,7 @@ def near_duplicate_classes(docs: DataFrame, id_col: str = "doc_id", text_col: st
     lists = nodes.select("node", F.explode("bands").alias("band"))
     heads = lists.groupBy("band").agg(F.min("node").alias("a"), F.count("*").alias("size")).where("size > 1")
     pairs = cut(lists.join(heads, "band").where("a <> node").select("a", F.col("node").alias("b")).distinct())
-    labels = connected_components(_verified(base, pairs, SHINGLE, threshold))
+    labels = connected_components(verified(base, pairs, SHINGLE, threshold))
     named = rows.where("node is not null").join(labels, "node", "left").select("id", F.coalesce("label", "node").alias("class"))
     named = named.join(named.groupBy("class").agg(F.min("id").alias("component_id")), "class").select("id", "component_id")
     return named.unionByName(rows.where("node is null").select("id", F.col("id").alias("component_id"))).select(F.col("id").alias(id_col), "component_id")

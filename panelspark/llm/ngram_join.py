@@ -1,14 +1,15 @@
 """N-gram Jaccard join with adaptive multi-match prefixes.
 
 Each document is the set of its distinct n-word shingles. All sets follow one global order
-(rare shingles first, by a count sketch over the whole corpus; the order steers only the cost).
+(rare shingles first, by counts of the corpus's most frequent ones; the order steers only the cost).
 Two sets of sizes s and t that reach the threshold share at least l tokens between their
-prefixes of length ``s - ceil(threshold * s) + l``, for every l. A document picks its own l:
+prefixes of length ``s - ceil(threshold * s) + l``, for every l, and those among the first l shared ones stand early
+enough for the rest to fill the overlap that is needed. A document picks its own l:
 it lengthens its prefix as long as the estimated cost of candidates falls, and a pair goes to
 verification only with min(l, l') shared prefix tokens.
 
 Pairs inside one group of copies are never all made. Equal sets are one node. In each token's
-list every node meets the list's least node first; verified pairs join into classes. What is
+list every node meets one head first, the node that has the token at the earliest place; verified pairs join into classes. What is
 left are pairs of different classes, and in each list only those with an end outside the
 list's largest class are made. All pairs that share enough tokens are thus verified unless
 their ends are already known to be in one class, so no link between classes is lost.
@@ -21,42 +22,66 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from panelspark.llm._graph import connected_components, cut
 from panelspark.llm._text import shingle_set, word_hashes
 
-SKETCH_BITS, FILTER_BITS = 20, 22
+#: Most frequent shingles that the order knows, the least count in one batch of rows to be counted, and bits of the prefilters.
+FREQUENT, BATCH_COUNT, FILTER_BITS = 1 << 18, 3, 22
 MAX_LEVEL = 4
+#: Bytes kept of a prefix token, where a clash only adds a candidate, and of a token that is counted.
+TOKEN_BYTES, COUNT_BYTES = 5, 6
 #: Cost of one prefix row, one list entry met, and one verification per shingle, in like units.
-ROW_COST, MEET_COST, VERIFY_COST = 4.0, 1.0, 0.05
+#: RARE is the number of other documents assumed for a shingle that isn't among the frequent ones.
+ROW_COST, MEET_COST, VERIFY_COST, RARE = 4.0, 1.0, 0.05, 0.3
 
 
 def _sets(frame: pd.DataFrame, n: int) -> list[np.ndarray]:
     return [shingle_set(word_hashes(x, fold=True), n) for x in frame["t"]]
 
 
+def _short(s: np.ndarray, size: int) -> bytes:
+    """The upper bytes of each hash, big-endian, size bytes each."""
+    return np.ascontiguousarray(s.astype(">u8").view(np.uint8).reshape(-1, 8)[:, :size]).tobytes()
+
+
+def _long(data: bytes, size: int) -> np.ndarray:
+    full = np.zeros((len(data) // size, 8), dtype=np.uint8)
+    full[:, 8 - size :] = np.frombuffer(data, dtype=np.uint8).reshape(-1, size)
+    return full.view(">u8").reshape(-1).astype(np.int64)
+
+
 def _digest(s: np.ndarray) -> bytes:
     return hashlib.blake2b(s.tobytes(), digest_size=16).digest()
 
 
-def _sketch(base: DataFrame, n: int) -> np.ndarray:
-    """Document counts of hashed shingles over all documents; 2**SKETCH_BITS numbers whatever the input."""
+def _frequent(base: DataFrame, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """The most frequent shingles of the corpus and their document counts, FREQUENT of them at most, sorted by shingle.
+
+    Every batch of every partition counts its distinct sets; shingles below BATCH_COUNT there are left out, so what is
+    shuffled is the head of each batch. The counts rank shingles and nothing else depends on them.
+    """
 
     def count(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        total = np.zeros(1 << SKETCH_BITS, dtype=np.int64)
         for frame in frames:
-            tokens = np.concatenate([*_sets(frame, n), np.zeros(0, dtype=np.uint64)])
-            total += np.bincount((tokens >> np.uint64(64 - SKETCH_BITS)).astype(np.int64), minlength=1 << SKETCH_BITS)
-        some = np.flatnonzero(total)
-        for i in range(0, len(some), 1 << 16):
-            yield pd.DataFrame({"bucket": some[i : i + (1 << 16)].astype(np.int32), "n": total[some[i : i + (1 << 16)]]})
-
-    rows = base.select("t").mapInPandas(count, "bucket int, n long").groupBy("bucket").agg(F.sum("n").alias("n")).toArrow()
-    sketch = np.zeros(1 << SKETCH_BITS, dtype=np.float32)
-    sketch[rows["bucket"].to_numpy()] = rows["n"].to_numpy()
-    return sketch
+            sets = {_digest(s): s for s in _sets(frame, n)}
+            tokens, times = np.unique(np.concatenate([*sets.values(), np.zeros(0, dtype=np.uint64)]), return_counts=True)
+            often = times >= BATCH_COUNT
+            yield pd.DataFrame({"token": tokens[often].astype(np.int64), "n": times[often]})
+
+    table = cut(base.select("t").mapInPandas(count, "token long, n long").groupBy("token").agg(F.sum("n").alias("n")))
+    least, total = 1, 0
+    for r in table.groupBy("n").count().orderBy(F.desc("n")).toLocalIterator():
+        total += r["count"]
+        if total > FREQUENT:
+            least = r.n + 1
+            break
+    rows = table.where(F.col("n") >= least).toArrow()
+    tokens, times = rows["token"].to_numpy().astype(np.uint64), rows["n"].to_numpy()
+    order = np.argsort(tokens)
+    return tokens[order], times[order]
 
 
 def choose_prefix(tokens: np.ndarray, extra: np.ndarray, threshold: tuple[int, int], size: int) -> tuple[int, int]:
@@ -75,23 +100,26 @@ def choose_prefix(tokens: np.ndarray, extra: np.ndarray, threshold: tuple[int, i
     return best[1], best[2]
 
 
-def _prefixes(base: DataFrame, n: int, threshold: tuple[int, int], sketch: np.ndarray) -> DataFrame:
-    """One row a document: id, set size, digest, level, prefix tokens (little-endian 64-bit)."""
-    held = base.sparkSession.sparkContext.broadcast(sketch)
+def _prefixes(base: DataFrame, n: int, threshold: tuple[int, int], frequent: tuple[np.ndarray, np.ndarray]) -> DataFrame:
+    """One row a document: id, set size, digest, level, prefix tokens (TOKEN_BYTES each)."""
+    held = base.sparkSession.sparkContext.broadcast(frequent)
 
     def make(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        counts = held.value
-        usual = float(np.median(counts)) + 3 * float(np.sqrt(np.median(counts)))
+        known, counts = held.value
         for frame in frames:
             out = []
             for s in _sets(frame, n):
                 if not len(s):
                     out.append((0, None, 0, b""))
                     continue
-                often = np.maximum(counts[(s >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)] - max(usual, 1.0), 0)
-                order = np.lexsort((s, often.astype(np.int64)))
-                level, length = choose_prefix(s, often[order] + 1.0, threshold, len(s))
-                out.append((len(s), _digest(s), level, s[order][:length].tobytes()))
+                often = np.zeros(len(s), dtype=np.int64)
+                if len(known):
+                    place = np.minimum(np.searchsorted(known, s), len(known) - 1)
+                    there = known[place] == s
+                    often[there] = counts[place[there]]
+                order = np.lexsort((s, often))
+                level, length = choose_prefix(s, np.maximum(often[order], RARE), threshold, len(s))
+                out.append((len(s), _digest(s), level, _short(s[order][:length], TOKEN_BYTES)))
             yield pd.DataFrame({"id": frame["id"], "n": [x[0] for x in out], "node": [x[1] for x in out], "level": [x[2] for x in out], "prefix": [x[3] for x in out]})
 
     return base.mapInPandas(make, "id long, n long, node binary, level int, prefix binary")
@@ -110,26 +138,31 @@ def _has(bits: np.ndarray, places: np.ndarray) -> np.ndarray:
 
 
 def _token_rows(nodes: DataFrame, bits: np.ndarray | None) -> DataFrame:
-    """(token, node, n, level) of each prefix token, without those whose bit says they occur once."""
+    """(token, nid, n, level, pos) of each prefix token at place pos, without those whose bit says they occur once."""
     held = nodes.sparkSession.sparkContext.broadcast(bits)
 
     def rows(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            parts = [np.frombuffer(x, dtype="<u8") for x in frame["prefix"]]
-            at = np.repeat(np.arange(len(parts)), [len(x) for x in parts])
-            tokens = np.concatenate([*parts, np.zeros(0, dtype="<u8")])
+            parts = [_long(x, TOKEN_BYTES) for x in frame["prefix"]]
+            sizes = [len(x) for x in parts]
+            at = np.repeat(np.arange(len(parts)), sizes)
+            pos = np.concatenate([*[np.arange(x, dtype=np.int32) for x in sizes], np.zeros(0, dtype=np.int32)])
+            tokens = np.concatenate([*parts, np.zeros(0, dtype=np.int64)])
             if held.value is not None:
-                keep = _has(held.value, (tokens >> np.uint64(64 - FILTER_BITS)).astype(np.int64))
-                at, tokens = at[keep], tokens[keep]
+                keep = _has(held.value, tokens >> (8 * TOKEN_BYTES - FILTER_BITS))
+                at, tokens, pos = at[keep], tokens[keep], pos[keep]
             for i in range(0, len(tokens), 100_000):
                 some = at[i : i + 100_000]
-                yield pd.DataFrame({"token": tokens[i : i + 100_000].astype(np.int64), "node": frame["node"].to_numpy()[some], "n": frame["n"].to_numpy()[some], "level": frame["level"].to_numpy()[some]})
+                yield pd.DataFrame({"token": tokens[i : i + 100_000], "nid": frame["nid"].to_numpy()[some], "n": frame["n"].to_numpy()[some], "level": frame["level"].to_numpy()[some], "pos": pos[i : i + 100_000]})
+
+    return nodes.select("nid", "n", "level", "prefix").mapInPandas(rows, "token long, nid long, n long, level int, pos int")
 
-    return nodes.mapInPandas(rows, "token long, node binary, n long, level int")
 
+def verified(base: DataFrame, pairs: DataFrame, n: int, threshold: tuple[int, int]) -> DataFrame:
+    """(a, b) of the pairs of set digests whose sets reach the threshold, counted exactly on COUNT_BYTES of each hash.
 
-def _verified(base: DataFrame, pairs: DataFrame, n: int, threshold: tuple[int, int]) -> DataFrame:
-    """(a, b) of the pairs whose sets reach the threshold, counted exactly."""
+    base: t. The sets of the pairs' ends alone are made again from the texts; both joins read one shuffle of them.
+    """
     lead = F.conv(F.hex(F.substring("node", 1, 3)), 16, 10).cast("int")
     ends = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node")))
     bits = base.sparkSession.sparkContext.broadcast(_bits(ends.select(F.shiftright(lead, 24 - FILTER_BITS).alias("bit")), "bit"))
@@ -141,7 +174,7 @@ def _verified(base: DataFrame, pairs: DataFrame, n: int, threshold: tuple[int, i
             for s in _sets(frame, n):
                 if len(s) and (d := _digest(s)) not in done:
                     if _has(bits.value, np.array([int.from_bytes(d[:3], "big") >> (24 - FILTER_BITS)]))[0]:
-                        found.append((d, s.tobytes()))
+                        found.append((d, _short(s, COUNT_BYTES)))
                         if len(done) < 100_000:
                             done.add(d)
             yield pd.DataFrame(found, columns=["node", "tokens"])
@@ -151,16 +184,20 @@ def _verified(base: DataFrame, pairs: DataFrame, n: int, threshold: tuple[int, i
 
     @F.pandas_udf("long")
     def common(x: pd.Series, y: pd.Series) -> pd.Series:
-        return pd.Series([len(np.intersect1d(np.frombuffer(p, dtype="<u8"), np.frombuffer(q, dtype="<u8"), assume_unique=True)) for p, q in zip(x, y, strict=True)], dtype="int64")
+        return pd.Series([len(np.intersect1d(_long(p, COUNT_BYTES), _long(q, COUNT_BYTES), assume_unique=True)) for p, q in zip(x, y, strict=True)], dtype="int64")
 
     first = pairs.join(table.select(F.col("node").alias("b"), F.col("tokens").alias("tb")), "b")
     both = first.join(table.select(F.col("node").alias("a"), F.col("tokens").alias("ta")), "a")
-    sized = both.select("a", "b", (F.octet_length("ta") / 8).cast("long").alias("na"), (F.octet_length("tb") / 8).cast("long").alias("nb"), common("ta", "tb").alias("both"))
+    size = lambda c: (F.octet_length(c) / COUNT_BYTES).cast("long")
+    sized = both.select("a", "b", size("ta").alias("na"), size("tb").alias("nb"), common("ta", "tb").alias("both"))
     return sized.where(F.col("both") * threshold[1] >= (F.col("na") + F.col("nb") - F.col("both")) * threshold[0]).select("a", "b")
 
 
-def _fit(threshold: tuple[int, int], x: str, y: str):
-    return F.least(x, y) * threshold[1] >= F.greatest(x, y) * threshold[0]
+def _fit(threshold: tuple[int, int], x: str, y: str, i: str, j: str, need: Column) -> Column:
+    """Sizes x and y can reach the threshold, and a token shared at places i and j can be among the first `need` shared
+    ones of a pair that does: such a pair shares the rest of its tokens from there on."""
+    left = F.least(F.col(x) - F.col(i), F.col(y) - F.col(j)) + need - 1
+    return (F.least(x, y) * threshold[1] >= F.greatest(x, y) * threshold[0]) & (left * sum(threshold) >= (F.col(x) + F.col(y)) * threshold[0])
 
 
 def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = 5, threshold: tuple[int, int] = (4, 5)) -> DataFrame:
@@ -174,45 +211,55 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     are ignored; an empty table gives no rows.
     """
     base = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("t"))
-    rows = cut(_prefixes(base, n, threshold, _sketch(base, n)))
-    nodes = cut(rows.where("node is not null").groupBy("node").agg(F.first("n").alias("n"), F.first("level").alias("level"), F.first("prefix").alias("prefix")))
+    rows = cut(_prefixes(base, n, threshold, _frequent(base, n)))
+    nodes = rows.where("node is not null").groupBy("node").agg(F.min("id").alias("own"), F.first("n").alias("n"), F.first("level").alias("level"), F.first("prefix").alias("prefix"))
+    nodes = cut(nodes.withColumn("nid", F.monotonically_increasing_id()))
+    digests = nodes.select("nid", "node")
     often = _token_rows(nodes, None).groupBy("token").count().where("count > 1")
-    bits = _bits(often.select(F.shiftrightunsigned("token", 64 - FILTER_BITS).cast("int").alias("bit")), "bit")
-    lists = cut(_token_rows(nodes, bits))
+    bits = _bits(often.select(F.shiftright("token", 8 * TOKEN_BYTES - FILTER_BITS).cast("int").alias("bit")).distinct(), "bit")
+    rare = _token_rows(nodes, bits)
+    heads = rare.groupBy("token").agg(F.min(F.struct("pos", "nid", "n", "level")).alias("head"), F.count("*").alias("size")).where("size > 1").drop("size")
+    lists = cut(rare.join(heads, "token"))  # tokens that two nodes or more have, each row with its list's head
+
+    def named(pairs: DataFrame) -> DataFrame:
+        """(x, y) of dense ids to (a, b) of digests."""
+        first = pairs.join(digests.select(F.col("nid").alias("x"), F.col("node").alias("a")), "x")
+        return first.join(digests.select(F.col("nid").alias("y"), F.col("node").alias("b")), "y").select("a", "b")
+
+    def linked(pairs: DataFrame) -> DataFrame:
+        good = verified(base, cut(named(pairs)), n, threshold)
+        first = good.join(digests.select(F.col("node").alias("a"), F.col("nid").alias("x")), "a")
+        return first.join(digests.select(F.col("node").alias("b"), F.col("nid").alias("y")), "b").select("x", "y")
 
-    heads = lists.groupBy("token").agg(F.min(F.struct("node", "n", "level")).alias("head"), F.count("*").alias("size")).where("size > 1")
     stars = (
-        lists.join(heads.select("token", "head"), "token").where("node <> head.node")
-        .select(F.col("head.node").alias("a"), F.col("node").alias("b"), F.least("level", "head.level").alias("need"), F.col("n").alias("nb"), F.col("head.n").alias("na"))
-        .where(_fit(threshold, "na", "nb"))
-        .groupBy("a", "b").agg(F.count("*").alias("shared"), F.first("need").alias("need")).where("shared >= need").select("a", "b")
+        lists.where("nid <> head.nid").select(F.col("head.nid").alias("x"), F.col("nid").alias("y"), F.least("level", "head.level").alias("need"), F.col("n").alias("ny"), F.col("head.n").alias("nx"), F.col("pos").alias("j"), F.col("head.pos").alias("i"))
+        .where(_fit(threshold, "nx", "ny", "i", "j", F.col("need"))).groupBy("x", "y").agg(F.count("*").alias("shared"), F.first("need").alias("need")).where("shared >= need").select("x", "y")
     )
-    links = cut(_verified(base, cut(stars), n, threshold))
+    stars = cut(stars)
+    links = cut(linked(stars))
 
     labels = connected_components(links)
-    inside = lists.join(heads.select("token"), "token", "left_semi").join(labels, "node", "left").select("token", "node", "n", "level", F.coalesce("label", "node").alias("class"))
-    inside = cut(inside)
+    inside = lists.join(labels.withColumnRenamed("node", "nid"), "nid", "left").select("token", "nid", "n", "level", "pos", F.coalesce("label", "nid").alias("class"))
     classes = inside.groupBy("token", "class").agg(F.count("*").alias("size"))
     main = classes.groupBy("token").agg(F.max(F.struct("size", "class")).alias("main"), F.count("*").alias("classes")).where("classes > 1").select("token", F.col("main.class").alias("main"))
-    mixed = inside.join(main, "token")
-    rest = mixed.where("class <> main").select("token", F.col("node").alias("y"), F.col("n").alias("ny"), F.col("level").alias("ly"), F.col("class").alias("cy"))
+    mixed = cut(inside.join(main, "token"))
+    rest = mixed.where("class <> main").select("token", F.col("nid").alias("y"), F.col("n").alias("ny"), F.col("level").alias("ly"), F.col("pos").alias("j"), F.col("class").alias("cy"))
     more = (
-        mixed.select("token", F.col("node").alias("x"), F.col("n").alias("nx"), F.col("level").alias("lx"), F.col("class").alias("cx"), "main")
-        .join(rest, "token").where("cx <> cy and (cx = main or x < y)").where(_fit(threshold, "nx", "ny"))
-        .groupBy(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).agg(F.count("*").alias("shared"), F.first(F.least("lx", "ly")).alias("need"))
-        .where("shared >= need").select("a", "b")
+        mixed.select("token", F.col("nid").alias("x"), F.col("n").alias("nx"), F.col("level").alias("lx"), F.col("pos").alias("i"), F.col("class").alias("cx"), "main")
+        .join(rest, "token").where("cx <> cy and (cx = main or x < y)").where(_fit(threshold, "nx", "ny", "i", "j", F.least("lx", "ly")))
+        .groupBy(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).agg(F.count("*").alias("shared"), F.first(F.least("lx", "ly")).alias("need"))
+        .where("shared >= need").select("x", "y")
     )
-    more = cut(more)
+    more = cut(more.join(stars, ["x", "y"], "left_anti"))  # a star that failed needs no second look
     if not more.isEmpty():
-        links = cut(links.unionByName(_verified(base, more, n, threshold)))
+        links = cut(links.unionByName(linked(more)))
         labels = connected_components(links)
-    least = rows.where("node is not null").groupBy("node").agg(F.min("id").alias("own"))
-    named = least.join(labels, "node", "left").select("node", "own", F.coalesce("label", "node").alias("class"))
-    named = cut(named)
-    final = named.join(named.groupBy("class").agg(F.min("own").alias("component_id")), "class").select("node", "component_id")
-    linked = rows.where("node is not null").join(final, "node").select("id", "n", "component_id")
+    classed = nodes.select("nid", "node", "own").join(labels.withColumnRenamed("node", "nid"), "nid", "left").select("node", "own", F.coalesce("label", "nid").alias("class"))
+    least = classed.groupBy("class").agg(F.min("own").alias("component_id"))
+    final = cut(classed.join(least, "class").select("node", "component_id"))
+    found = rows.where("node is not null").select("id", "n", "node").join(final, "node").select("id", "n", "component_id")
     alone = rows.where("node is null").select("id", "n", F.col("id").alias("component_id"))
-    return linked.unionByName(alone).select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), "component_id")
+    return found.unionByName(alone).select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), "component_id")
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = 5, threshold: tuple[int, int] = (4, 5)) -> DataFrame:
