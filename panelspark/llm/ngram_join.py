@@ -3,10 +3,11 @@
 Each document is the set of its distinct n-word shingles. All sets follow one global order
 (rare shingles first, by counts of the corpus's most frequent ones; the order steers only the cost).
 Two sets of sizes s and t that reach the threshold share at least l tokens between their
-prefixes of length ``s - ceil(threshold * s) + l``, for every l, and those among the first l shared ones stand early
-enough for the rest to fill the overlap that is needed. A document picks its own l:
+prefixes of length ``s - ceil(threshold * s) + l``, for every l, and the first shared one, which the shortest prefix
+holds, stands early enough for the rest to fill the overlap that is needed. A document picks its own l:
 it lengthens its prefix as long as the estimated cost of candidates falls, and a pair goes to
-verification only with min(l, l') shared prefix tokens.
+verification only with min(l, l') shared prefix tokens. Lists hold the shortest prefixes, where pairs meet in the first token
+they share; the longer ones then count.
 
 Pairs inside one group of copies are never all made. Equal sets are one node. In each token's
 list every node meets one head first, the node that has the token at the earliest place; verified pairs join into classes. What is
@@ -29,7 +30,7 @@ from panelspark.llm._graph import connected_components, cut
 from panelspark.llm._text import shingle_set, word_hashes
 
 #: Most frequent shingles that the order knows, the least count in one batch of rows to be counted, and bits of the prefilters.
-FREQUENT, BATCH_COUNT, FILTER_BITS = 1 << 18, 3, 22
+FREQUENT, BATCH_COUNT, FILTER_BITS = 1 << 18, 3, 24
 MAX_LEVEL = 4
 #: Bytes kept of a prefix token, where a clash only adds a candidate, and of a token that is counted.
 TOKEN_BYTES, COUNT_BYTES = 5, 6
@@ -138,12 +139,12 @@ def _has(bits: np.ndarray, places: np.ndarray) -> np.ndarray:
 
 
 def _token_rows(nodes: DataFrame, bits: np.ndarray | None) -> DataFrame:
-    """(token, nid, n, level, pos) of each prefix token at place pos, without those whose bit says they occur once."""
+    """(token, nid, n, pos) of each token of the shortest prefix at place pos, without those whose bit says they occur once."""
     held = nodes.sparkSession.sparkContext.broadcast(bits)
 
     def rows(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            parts = [_long(x, TOKEN_BYTES) for x in frame["prefix"]]
+            parts = [_long(x, TOKEN_BYTES)[: len(x) // TOKEN_BYTES - k + 1] for x, k in zip(frame["prefix"], frame["level"], strict=True)]
             sizes = [len(x) for x in parts]
             at = np.repeat(np.arange(len(parts)), sizes)
             pos = np.concatenate([*[np.arange(x, dtype=np.int32) for x in sizes], np.zeros(0, dtype=np.int32)])
@@ -153,9 +154,9 @@ def _token_rows(nodes: DataFrame, bits: np.ndarray | None) -> DataFrame:
                 at, tokens, pos = at[keep], tokens[keep], pos[keep]
             for i in range(0, len(tokens), 100_000):
                 some = at[i : i + 100_000]
-                yield pd.DataFrame({"token": tokens[i : i + 100_000], "nid": frame["nid"].to_numpy()[some], "n": frame["n"].to_numpy()[some], "level": frame["level"].to_numpy()[some], "pos": pos[i : i + 100_000]})
+                yield pd.DataFrame({"token": tokens[i : i + 100_000], "nid": frame["nid"].to_numpy()[some], "n": frame["n"].to_numpy()[some], "pos": pos[i : i + 100_000]})
 
-    return nodes.select("nid", "n", "level", "prefix").mapInPandas(rows, "token long, nid long, n long, level int, pos int")
+    return nodes.select("nid", "n", "level", "prefix").mapInPandas(rows, "token long, nid long, n long, pos int")
 
 
 def verified(base: DataFrame, pairs: DataFrame, n: int, threshold: tuple[int, int]) -> DataFrame:
@@ -193,13 +194,27 @@ def verified(base: DataFrame, pairs: DataFrame, n: int, threshold: tuple[int, in
     return sized.where(F.col("both") * threshold[1] >= (F.col("na") + F.col("nb") - F.col("both")) * threshold[0]).select("a", "b")
 
 
-def _fit(threshold: tuple[int, int], x: str, y: str, i: str, j: str, need: Column) -> Column:
-    """Sizes x and y can reach the threshold, and a token shared at places i and j can be among the first `need` shared
-    ones of a pair that does: such a pair shares the rest of its tokens from there on."""
-    left = F.least(F.col(x) - F.col(i), F.col(y) - F.col(j)) + need - 1
+def _fit(threshold: tuple[int, int], x: str, y: str, i: str, j: str) -> Column:
+    """Sizes x and y can reach the threshold, and a token shared at places i and j can be the first one that a pair which does
+    shares: all that it shares follows from there on."""
+    left = F.least(F.col(x) - F.col(i), F.col(y) - F.col(j))
     return (F.least(x, y) * threshold[1] >= F.greatest(x, y) * threshold[0]) & (left * sum(threshold) >= (F.col(x) + F.col(y)) * threshold[0])
 
 
+def _matched(nodes: DataFrame, pairs: DataFrame) -> DataFrame:
+    """(x, y) pairs to (a, b) of digests, those whose prefixes share as many tokens as the lower of their levels."""
+    ends = pairs.select(F.col("x").alias("nid")).unionByName(pairs.select(F.col("y").alias("nid"))).distinct()
+    part = cut(nodes.select("nid", "node", "level", "prefix").join(ends, "nid", "left_semi"))
+
+    @F.pandas_udf("int")
+    def shared(p: pd.Series, q: pd.Series) -> pd.Series:
+        return pd.Series([len(np.intersect1d(_long(u, TOKEN_BYTES), _long(v, TOKEN_BYTES))) for u, v in zip(p, q, strict=True)], dtype="int32")
+
+    side = lambda nid, node, name: part.select(F.col("nid").alias(nid), F.col("node").alias(node), F.col("level").alias(f"l{name}"), F.col("prefix").alias(f"p{name}"))
+    both = pairs.join(side("x", "a", "x"), "x").join(side("y", "b", "y"), "y")
+    return both.where(shared("px", "py") >= F.least("lx", "ly")).select("a", "b")
+
+
 def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = 5, threshold: tuple[int, int] = (4, 5)) -> DataFrame:
     """(id, n_shingles, component_id) of each document row.
 
@@ -218,39 +233,31 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     often = _token_rows(nodes, None).groupBy("token").count().where("count > 1")
     bits = _bits(often.select(F.shiftright("token", 8 * TOKEN_BYTES - FILTER_BITS).cast("int").alias("bit")).distinct(), "bit")
     rare = _token_rows(nodes, bits)
-    heads = rare.groupBy("token").agg(F.min(F.struct("pos", "nid", "n", "level")).alias("head"), F.count("*").alias("size")).where("size > 1").drop("size")
+    heads = rare.groupBy("token").agg(F.min(F.struct("pos", "nid", "n")).alias("head"), F.count("*").alias("size")).where("size > 1").drop("size")
     lists = cut(rare.join(heads, "token"))  # tokens that two nodes or more have, each row with its list's head
 
-    def named(pairs: DataFrame) -> DataFrame:
-        """(x, y) of dense ids to (a, b) of digests."""
-        first = pairs.join(digests.select(F.col("nid").alias("x"), F.col("node").alias("a")), "x")
-        return first.join(digests.select(F.col("nid").alias("y"), F.col("node").alias("b")), "y").select("a", "b")
-
     def linked(pairs: DataFrame) -> DataFrame:
-        good = verified(base, cut(named(pairs)), n, threshold)
+        good = verified(base, cut(_matched(nodes, pairs)), n, threshold)
         first = good.join(digests.select(F.col("node").alias("a"), F.col("nid").alias("x")), "a")
         return first.join(digests.select(F.col("node").alias("b"), F.col("nid").alias("y")), "b").select("x", "y")
 
-    stars = (
-        lists.where("nid <> head.nid").select(F.col("head.nid").alias("x"), F.col("nid").alias("y"), F.least("level", "head.level").alias("need"), F.col("n").alias("ny"), F.col("head.n").alias("nx"), F.col("pos").alias("j"), F.col("head.pos").alias("i"))
-        .where(_fit(threshold, "nx", "ny", "i", "j", F.col("need"))).groupBy("x", "y").agg(F.count("*").alias("shared"), F.first("need").alias("need")).where("shared >= need").select("x", "y")
-    )
-    stars = cut(stars)
+    stars = lists.where("nid <> head.nid").select(F.col("head.nid").alias("x"), F.col("nid").alias("y"), F.col("n").alias("ny"), F.col("head.n").alias("nx"), F.col("pos").alias("j"), F.col("head.pos").alias("i"))
+    stars = cut(stars.where(_fit(threshold, "nx", "ny", "i", "j")).select("x", "y").distinct())
     links = cut(linked(stars))
 
     labels = connected_components(links)
-    inside = lists.join(labels.withColumnRenamed("node", "nid"), "nid", "left").select("token", "nid", "n", "level", "pos", F.coalesce("label", "nid").alias("class"))
+    inside = lists.join(labels.withColumnRenamed("node", "nid"), "nid", "left").select("token", "nid", "n", "pos", F.coalesce("label", "nid").alias("class"))
     classes = inside.groupBy("token", "class").agg(F.count("*").alias("size"))
     main = classes.groupBy("token").agg(F.max(F.struct("size", "class")).alias("main"), F.count("*").alias("classes")).where("classes > 1").select("token", F.col("main.class").alias("main"))
     mixed = cut(inside.join(main, "token"))
-    rest = mixed.where("class <> main").select("token", F.col("nid").alias("y"), F.col("n").alias("ny"), F.col("level").alias("ly"), F.col("pos").alias("j"), F.col("class").alias("cy"))
+    rest = mixed.where("class <> main").select("token", F.col("nid").alias("y"), F.col("n").alias("ny"), F.col("pos").alias("j"), F.col("class").alias("cy"))
     more = (
-        mixed.select("token", F.col("nid").alias("x"), F.col("n").alias("nx"), F.col("level").alias("lx"), F.col("pos").alias("i"), F.col("class").alias("cx"), "main")
-        .join(rest, "token").where("cx <> cy and (cx = main or x < y)").where(_fit(threshold, "nx", "ny", "i", "j", F.least("lx", "ly")))
-        .groupBy(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).agg(F.count("*").alias("shared"), F.first(F.least("lx", "ly")).alias("need"))
-        .where("shared >= need").select("x", "y")
+        mixed.select("token", F.col("nid").alias("x"), F.col("n").alias("nx"), F.col("pos").alias("i"), F.col("class").alias("cx"), "main")
+        .join(rest, "token").where("cx <> cy and (cx = main or x < y)").where(_fit(threshold, "nx", "ny", "i", "j"))
+        .select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).distinct()
     )
-    more = cut(more.join(stars, ["x", "y"], "left_anti"))  # a star that failed needs no second look
+    tried = stars.select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y"))
+    more = cut(more.join(tried, ["x", "y"], "left_anti"))  # a star that failed needs no second look
     if not more.isEmpty():
         links = cut(links.unionByName(linked(more)))
         labels = connected_components(links)
