@@ -3,7 +3,8 @@
 A line of length n is cut into threshold + 1 segments of nearly equal length. Within threshold edits at least one
 segment of the shorter line stays whole in the longer one, at a place that the lengths bound. So each line
 indexes its own segments by (length, segment number, text) and probes the substrings that can match the segments of
-lines of its length or up to threshold shorter. Pairs that meet are verified by a banded bit-parallel edit distance.
+lines of its length or up to threshold shorter. Pairs that meet, and have all but threshold of their small parts in common,
+are verified by a banded bit-parallel edit distance.
 
 A line goes if an equal line, or one within the threshold, stands earlier in order of (document, line number),
 whether or not that one stays. Only the first of equal lines takes part in the edit join.
@@ -48,8 +49,18 @@ def probe_keys(threshold: int) -> str:
     return f"array_distinct(array_compact(array({', '.join(out)})))"
 
 
-def banded_distance(a: Column, b: Column, k: int) -> Column:
-    """Edit distance of two strings if at most k, else k + 1; needs longer strings than k.
+def few_parts_missing(a: Column, b: Column, k: int) -> Column:
+    """Whether at most k of the equal parts of a, of ten characters or more, don't occur in b: so it is within k edits."""
+    n = F.length(a)
+    size = F.greatest(F.lit(10), F.ceil(n / 32).cast("int"))
+    parts = F.transform(F.sequence(F.lit(0), F.floor((n - 1) / size).cast("int")), lambda i: F.substr(a, i * size + 1, size))
+    return F.size(F.filter(parts, lambda p: ~F.contains(b, p))) <= k
+
+
+def banded_distance(x: Column, y: Column, k: int) -> Column:
+    """Edit distance of two arrays of characters if at most k, else k + 1; needs longer arrays than k.
+
+    The arrays should be stored columns: each step of the fold reads them again.
 
     The 2k + 1 cells around the diagonal are one word: bit d of step i stands for character i - k + d of a against
     character i of b. up and down hold where the cell below is greater or less by one; the score follows the
@@ -57,8 +68,7 @@ def banded_distance(a: Column, b: Column, k: int) -> Column:
     """
     width = 2 * k + 1
     mask = (1 << width) - 1
-    x, y = F.split(a, ""), F.split(b, "")
-    m, n = F.length(a), F.length(b)
+    m, n = F.size(x), F.size(y)
 
     def step(s: Column, i: Column) -> Column:
         c = F.get(y, i)
@@ -121,7 +131,9 @@ def duplicate_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     wanted = F.broadcast(ends.select(bucket("at").alias("bucket")).distinct())
     texts = lines.select(at.alias("at"), "line").withColumn("bucket", bucket("at")).join(wanted, "bucket", "left_semi").select("at", "line")
     both = pairs.join(texts.select(F.col("at").alias("a"), F.col("line").alias("la")), "a").join(texts.select(F.col("at").alias("b"), F.col("line").alias("lb")), "b")
-    near = both.where(F.col("la") != F.col("lb")).where(banded_distance(F.col("la"), F.col("lb"), threshold) <= threshold).select("b.id", "b.pos")
+    left = both.where(F.col("la") != F.col("lb")).where(few_parts_missing(F.col("la"), F.col("lb"), threshold))
+    spelt = cut(left.select("b", F.split("la", "").alias("x"), F.split("lb", "").alias("y")))
+    near = spelt.where(banded_distance(F.col("x"), F.col("y"), threshold) <= threshold).select("b.id", "b.pos")
     return equal.unionByName(near).distinct()
 
 
