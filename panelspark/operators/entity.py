@@ -7,6 +7,7 @@ from dataclasses import dataclass
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType
 
 from panelspark.functions import columns as C
 from panelspark.sources.work import cut
@@ -30,7 +31,7 @@ class Match:
     threshold: float = 0.70
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(DoubleType())
 def similarity(a: pd.Series, b: pd.Series) -> pd.Series:
     """Matching-blocks ratio of two normalised texts, 0 where either is shorter than 25."""
     from difflib import SequenceMatcher
