@@ -357,6 +357,27 @@ def test_quality_classifier(spark, empty):
         assert got[i].perplexity == pytest.approx(scores["en" if lang == "en" else None].perplexity(t or ""), rel=1e-6)
 
 
+def test_quality_classifier_by_language(spark):
+    """A rare language has rows, a model and a threshold of its own, whatever share of the trusted rows it has."""
+    from panelspark.llm.kn_quality import classify, trusted_sample
+
+    r = random.Random(3)
+    made = lambda name, size: " ".join(r.choices([f"{name}{i}" for i in range(size)], k=30))
+    rows = [(i, made("a", 40), "en") for i in range(1500)] + [(i, made("b", 40), "fr") for i in range(1500, 1620)]
+    rows += [(i, made("c", 400), "de") for i in range(1620, 1640)] + [(i, made("d", 40), "es") for i in range(1640, 1660)] + [(i, made("e", 40), None) for i in range(1660, 1680)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([(i, 1, 0) for i, _, _ in rows], "doc_id long, quality int, toxic int")
+    lang = {i: x for i, _, x in rows}
+    sample = {x.id for x in trusted_sample(docs, labels, "doc_id", 60).collect()}
+    assert collections.Counter(lang[i] for i in sample)["fr"] == collections.Counter(lang[i] for i in sample)["en"] == 60
+    got = {x.doc_id: x for x in classify(docs, labels, train_docs=60).collect()}
+    assert {x.lang for i, x in got.items() if lang[i] == "fr"} == {"fr"}
+    for name in ("en", "fr", "de", "es", None):
+        own = [x for i, x in got.items() if lang[i] == name]
+        held = sorted(x.perplexity for x in own if x.doc_id not in sample)
+        assert {x.threshold for x in own} == {held[math.ceil(0.995 * len(held)) - 1]}
+
+
 class KneserNey:
     """Interpolated modified Kneser-Ney of order three, straight from the definition."""
 
