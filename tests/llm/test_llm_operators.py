@@ -378,6 +378,15 @@ def test_quality_classifier_by_language(spark):
         assert {x.threshold for x in own} == {held[math.ceil(0.995 * len(held)) - 1]}
 
 
+def test_quality_classifier_sample_size(spark):
+    """Training text isn't halved: 8,000 trusted rows of a language teach the model where there are as many."""
+    from panelspark.llm import kn_quality as K
+
+    docs = spark.range(12_000).select(F.col("id").alias("doc_id"), F.lit("en").alias("lang"))
+    labels = docs.select("doc_id", F.lit(1).alias("quality"), F.lit(0).alias("toxic"))
+    assert K.trusted_sample(docs, labels, "doc_id", K.TRAIN_DOCS).count() == 8000
+
+
 class KneserNey:
     """Interpolated modified Kneser-Ney of order three, straight from the definition."""
 
