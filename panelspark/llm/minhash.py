@@ -107,8 +107,10 @@ def neighbour_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: st
 def near_duplicate_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: tuple[int, int] = (4, 5)) -> DataFrame:
     """(id, component_id): documents linked by signature bands and an exact Jaccard of five-word shingles at the threshold.
 
-    Equal sets are one node. In each band's list every node is paired with the least node alone, so a list of
-    m copies gives m - 1 pairs. Texts without words link with nothing; a null id never names a class.
+    Equal sets are one node. In each band's list every node first meets the least node alone, so a list of
+    m copies that are like their head gives m - 1 pairs. Then the pairs of different classes are made in each list, those
+    with an end outside the list's largest class, so every pair that meets in a band is verified unless its ends are known to
+    be in one class. Texts without words link with nothing; a null id never names a class.
     """
     base = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("t"))
 
@@ -120,10 +122,24 @@ def near_duplicate_classes(docs: DataFrame, id_col: str = "doc_id", text_col: st
 
     rows = cut(base.mapInPandas(run, "id long, node binary, bands array<long>"))
     nodes = rows.where("node is not null").groupBy("node").agg(F.first("bands").alias("bands"))
-    lists = nodes.select("node", F.explode("bands").alias("band"))
-    heads = lists.groupBy("band").agg(F.min("node").alias("a"), F.count("*").alias("size")).where("size > 1")
-    pairs = cut(lists.join(heads, "band").where("a <> node").select("a", F.col("node").alias("b")).distinct())
-    labels = connected_components(verified(base, pairs, SHINGLE, threshold))
+    every = nodes.select("node", F.explode("bands").alias("band"))
+    heads = every.groupBy("band").agg(F.min("node").alias("head"), F.count("*").alias("size")).where("size > 1").drop("size")
+    lists = cut(every.join(heads, "band"))
+    stars = cut(lists.where("head <> node").select(F.col("head").alias("a"), F.col("node").alias("b")).distinct())
+    links = cut(verified(base, stars, SHINGLE, threshold))
+    labels = connected_components(links)
+
+    inside = lists.join(labels, "node", "left").select("band", "node", F.coalesce("label", "node").alias("class"))
+    classes = inside.groupBy("band", "class").agg(F.count("*").alias("size"))
+    main = classes.groupBy("band").agg(F.max(F.struct("size", "class")).alias("main"), F.count("*").alias("classes")).where("classes > 1").select("band", F.col("main.class").alias("main"))
+    mixed = cut(inside.join(main, "band"))
+    rest = mixed.where("class <> main").select("band", F.col("node").alias("y"), F.col("class").alias("cy"))
+    more = mixed.select("band", F.col("node").alias("x"), F.col("class").alias("cx"), "main").join(rest, "band").where("cx <> cy and (cx = main or x < y)")
+    more = more.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+    more = cut(more.join(stars, ["a", "b"], "left_anti"))  # a star has its least node first, and one that failed needs no second look
+    if not more.isEmpty():
+        links = cut(links.unionByName(verified(base, more, SHINGLE, threshold)))
+        labels = connected_components(links)
     named = rows.where("node is not null").join(labels, "node", "left").select("id", F.coalesce("label", "node").alias("class"))
     named = named.join(named.groupBy("class").agg(F.min("id").alias("component_id")), "class").select("id", "component_id")
     return named.unionByName(rows.where("node is null").select("id", F.col("id").alias("component_id"))).select(F.col("id").alias(id_col), "component_id")

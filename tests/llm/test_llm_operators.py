@@ -332,6 +332,25 @@ def test_minhash(spark, docs, empty, null_ids):
     assert M.fingerprints(docs).count() == len(rows)
 
 
+def test_minhash_links_copies_that_are_unlike_one_another(spark):
+    """A base and copies that are over 0.8 like it and under 0.8 like one another are one class, whichever heads a list."""
+    from panelspark.llm.minhash import near_duplicate_classes
+
+    r, base = random.Random(2), words(600, 77, 100_000).split(" ")
+    made = [" ".join(base)]
+    for i in range(200):
+        copy = list(base)
+        for k in r.sample(range(0, 600, 5), 13):
+            copy[k] = f"n{i}_{k}"
+        made.append(" ".join(copy))
+    rows = list(enumerate(made))
+    sets = [{tuple(w[j : j + 5]) for j in range(596)} for w in (t.split(" ") for t in made)]
+    like = lambda a, b: len(a & b) / len(a | b)
+    assert min(like(sets[0], s) for s in sets[1:]) >= 0.8 and sum(like(sets[i], sets[i + 1]) < 0.8 for i in range(1, 200)) > 190
+    got = collections.Counter(x.component_id for x in near_duplicate_classes(spark.createDataFrame(rows, "doc_id long, text string")).collect())
+    assert got[0] >= 195  # a few pairs may share no band
+
+
 def test_quality_classifier(spark, empty):
     from panelspark.llm.kn_quality import classify, keep_trusted, trusted_sample
 
