@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 from panelspark.llm import kn_quality, line_dedup, ngram_join, packing, rule_cascade
 from panelspark.llm._graph import shared_folder
 
+WORD = r"[^\x20\x09-\x0D]"
+
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return kn_quality.keep_trusted(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
@@ -24,8 +26,10 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def line_deduplication(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Lines that stand earlier in the corpus go; n_chars follows the text."""
-    return line_dedup.dedup_lines(docs).withColumn("n_chars", F.length("text").cast("long"))
+    """Lines that stand earlier in the corpus go, and so do rows that lose all their words by it; n_chars follows the text."""
+    words = F.coalesce(F.col("text").cast("string").rlike(WORD), F.lit(False))
+    done = line_dedup.dedup_lines(docs.withColumn("__words", words)).where(~F.col("__words") | words).drop("__words")
+    return done.withColumn("n_chars", F.length("text").cast("long"))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -1,5 +1,7 @@
 """The pipeline's stages one by one and together."""
 
+import hashlib
+
 import pytest
 
 pipeline = pytest.importorskip("corpus_pipeline")
@@ -21,3 +23,13 @@ def test_stages(spark, sf_dir):
     pieces = pipeline.run(spark, sf_dir)
     assert {r.doc_id for r in pieces.select("doc_id").distinct().collect()} == left
     assert pieces.groupBy("sequence_id").sum("length").where("`sum(length)` > 1024").count() == 0
+
+
+def test_one_row_of_each_group_of_copies_is_left(spark, sf_dir):
+    """Copies whose lines all stand earlier don't go on as empty texts; rows without words and null ids stay."""
+    copy = lambda g: "\n".join(hashlib.sha256(f"{g} {k}".encode()).hexdigest() for k in range(4))
+    rows = [(10 * g + i, copy(g)) for g in range(5) for i in range(6)] + [(900, ""), (901, " \n "), (902, None), (None, copy(0))]
+    docs = spark.createDataFrame([(i, t, "en", "s", None if t is None else len(t)) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    out = pipeline.line_deduplication(spark, docs, sf_dir)
+    assert out.columns == docs.columns
+    assert {r.doc_id for r in out.collect()} == {0, 10, 20, 30, 40, 900, 901, 902, None}
