@@ -7,7 +7,8 @@ lines of its length or up to threshold shorter. Pairs that meet, and have all bu
 are verified by a banded bit-parallel edit distance.
 
 A line goes if an equal line, or one within the threshold, stands earlier in order of (document, line number),
-whether or not that one stays. Only the first of equal lines takes part in the edit join.
+whether or not that one stays. Equal lines go at any length if they have a word; only the first of equal lines of MIN_CHARS
+and more takes part in the edit join.
 """
 
 from __future__ import annotations
@@ -97,26 +98,28 @@ def banded_distance(x: Column, y: Column, k: int) -> Column:
 
 
 def _lines(docs: DataFrame, id_col: str, text_col: str, min_chars: int) -> DataFrame:
-    """(id, pos, line, n, h1, h2) of each line long enough to take part; h1 and h2 together name its content."""
+    """(id, pos, line, n, h1, h2) of each line that has a word or min_chars characters; h1 and h2 together name its content."""
     split = docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("id"), F.posexplode(F.split(F.col(text_col).cast("string"), "\n")).alias("pos", "line"))
-    return split.select("id", "pos", "line", F.length("line").alias("n")).where(F.col("n") >= min_chars).withColumns({"h1": F.xxhash64("line"), "h2": F.xxhash64(F.lit(1), "line")})
+    return split.select("id", "pos", "line", F.length("line").alias("n")).where((F.col("n") >= min_chars) | F.col("line").rlike(r"[^\x20\x09-\x0D]")).withColumns({"h1": F.xxhash64("line"), "h2": F.xxhash64(F.lit(1), "line")})
 
 
 def duplicate_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: int = THRESHOLD, min_chars: int = MIN_CHARS) -> DataFrame:
     """(id, pos) of each line to remove, pos from 0.
 
-    Lines are parts between line feeds; those shorter than min_chars stay. Null texts have no lines; rows with a null id
+    Lines are parts between line feeds; those shorter than min_chars go only if an equal one stands earlier, and stay if
+    they have no word. Null texts have no lines; rows with a null id
     neither lose lines nor make others go; rows that repeat an id count as one document with the lines of both. An
     empty table gives no rows.
     """
     min_chars = max(min_chars, 2 * threshold + 2)
     lines = _lines(docs, id_col, text_col, min_chars)
-    named = lines.select("id", "pos", "h1", "h2")
-    firsts = cut(named.groupBy("h1", "h2").agg(F.min(F.struct("id", "pos")).alias("first"), F.count("*").alias("times")).where("times > 1"))
-    equal = named.join(firsts, ["h1", "h2"]).where((F.col("id") != F.col("first.id")) | (F.col("pos") != F.col("first.pos"))).select("id", "pos")
+    named = lines.select("id", "pos", "n", "h1", "h2")
+    firsts = cut(named.groupBy("h1", "h2").agg(F.first("n").alias("n"), F.min(F.struct("id", "pos")).alias("first"), F.count("*").alias("times")).where("times > 1"))
+    equal = named.join(firsts.drop("n"), ["h1", "h2"]).where((F.col("id") != F.col("first.id")) | (F.col("pos") != F.col("first.pos"))).select("id", "pos")
 
-    hot = F.broadcast(firsts.orderBy(F.desc("times"), "h1", "h2").limit(HOT_LINES).select("h1", "h2", "first"))
-    some = lines.join(hot, ["h1", "h2"], "left").where(F.col("first").isNull() | ((F.col("id") == F.col("first.id")) & (F.col("pos") == F.col("first.pos"))))
+    hot = F.broadcast(firsts.where(F.col("n") >= min_chars).orderBy(F.desc("times"), "h1", "h2").limit(HOT_LINES).select("h1", "h2", "first"))
+    long = lines.where(F.col("n") >= min_chars)
+    some = long.join(hot, ["h1", "h2"], "left").where(F.col("first").isNull() | ((F.col("id") == F.col("first.id")) & (F.col("pos") == F.col("first.pos"))))
 
     def side(keys: str, name: str) -> DataFrame:
         rows = some.select(F.explode(F.expr(keys)).alias("key"), "h1", F.struct("id", "pos").alias("at")).repartition("key")
@@ -129,7 +132,7 @@ def duplicate_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     bucket = lambda c: F.pmod(F.xxhash64(c), F.lit(BUCKETS)).cast("int")
     ends = pairs.select(F.col("a").alias("at")).unionByName(pairs.select(F.col("b").alias("at"))).distinct()
     wanted = F.broadcast(ends.select(bucket("at").alias("bucket")).distinct())
-    texts = lines.select(at.alias("at"), "line").withColumn("bucket", bucket("at")).join(wanted, "bucket", "left_semi").select("at", "line")
+    texts = long.select(at.alias("at"), "line").withColumn("bucket", bucket("at")).join(wanted, "bucket", "left_semi").select("at", "line")
     both = pairs.join(texts.select(F.col("at").alias("a"), F.col("line").alias("la")), "a").join(texts.select(F.col("at").alias("b"), F.col("line").alias("lb")), "b")
     left = both.where(F.col("la") != F.col("lb")).where(few_parts_missing(F.col("la"), F.col("lb"), threshold))
     spelt = cut(left.select("b", F.split("la", "").alias("x"), F.split("lb", "").alias("y")))

@@ -273,6 +273,14 @@ def test_line_dedup(spark, empty, null_ids):
     assert dedup_lines(null_ids).count() == 5
 
 
+def test_line_dedup_takes_equal_short_lines(spark):
+    from panelspark.llm.line_dedup import removed_lines
+
+    rows = [(0, "Share this\n\n  \nMenu"), (1, "Menu\nMenus\n\n  \nShare this"), (2, "Share thus\nMenu\nx"), (3, "x\nx")]
+    found = {x.doc_id: list(x.removed) for x in removed_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert found == {0: [], 1: [0, 4], 2: [1], 3: [0, 1]}
+
+
 def test_chat(spark):
     from panelspark.llm import chat
 
