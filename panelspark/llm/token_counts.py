@@ -6,6 +6,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from panelspark.llm._graph import cut
 from panelspark.llm.bpe import shared_table
 
 BUCKET = 256
@@ -58,8 +59,11 @@ def suffix_sums(histogram: DataFrame) -> DataFrame:
 
 
 def token_counts(docs: DataFrame, text_col: str = "text", vocabulary: str | None = None) -> DataFrame:
-    """Length histogram with suffix sums over all documents; repeated rows count each, an empty table gives no rows."""
-    return suffix_sums(length_histogram(token_lengths(docs, text_col, vocabulary)))
+    """Length histogram with suffix sums over all documents; repeated rows count each, an empty table gives no rows.
+
+    The histogram, one row a length, is written once, since the suffix sums read it twice: texts are encoded a single time.
+    """
+    return suffix_sums(cut(length_histogram(token_lengths(docs, text_col, vocabulary))))
 
 
 def answer(sums: DataFrame, limits: list[int]) -> DataFrame:
