@@ -3,13 +3,15 @@
 A chunk is white space (spaces and line feeds) with the run of other characters after it. No
 token of the vocabulary's pattern spans the change from such a character to white space, so the
 ids of a text are the ids of its chunks in order. Each worker keeps the ids of chunks met before in a
-table of bounded size. A text with any other white space is encoded whole. Strings of special
-tokens inside a text are ordinary text.
+table of bounded size. A text with any other white space is encoded whole. Strings of the vocabulary's added
+tokens (such as the end-of-text mark) inside a text become those tokens, as the tokenizers library does by default;
+the text around them is encoded by itself.
 """
 
 from __future__ import annotations
 
 import base64
+import json
 import re
 from functools import lru_cache
 
@@ -32,10 +34,16 @@ def vocabulary_path(name: str = "byte_bpe_50k.json") -> str:
 
 
 class ChunkTable:
-    def __init__(self, path: str | None = None) -> None:
+    """Ids of texts. path: ranks of the vocabulary; added: the JSON file that lists its added tokens."""
+
+    def __init__(self, path: str | None = None, added: str | None = None) -> None:
         import public_tokenizers
         import tiktoken
 
+        with open(added or vocabulary_path()) as file:
+            self.added = {t["content"]: np.array([t["id"]], dtype="<u4").tobytes() for t in json.load(file)["added_tokens"]}
+        self.marks = re.compile("(" + "|".join(map(re.escape, sorted(self.added, key=len, reverse=True))) + ")") if self.added else None
+
         with open(path or vocabulary_path("byte_bpe_50k.tiktoken"), "rb") as lines:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
         self.encode = tiktoken.Encoding("byte_bpe", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
@@ -51,6 +59,11 @@ class ChunkTable:
         """Token ids as little-endian unsigned 32-bit numbers; a null or empty text has none."""
         if not text:
             return b""
+        if self.marks and self.marks.search(text):
+            return b"".join(self.added.get(part) or self._plain(part) for part in self.marks.split(text))
+        return self._plain(text)
+
+    def _plain(self, text: str) -> bytes:
         if _OTHER.search(text):
             return np.array(self.encode(text), dtype="<u4").tobytes()
         known = self.table.get
