@@ -80,12 +80,12 @@ START = "cast(named_struct('status', null, 'misses', 0, 'seen_runs', 0, 'missing
 def fold_status(panel: DataFrame, key: str = "ad_id", run: str = "run_id", seen: str = "was_seen", valid: str | None = None, confirm: int = 2) -> DataFrame:
     """L1: the state of each key after all its runs, by one ordered fold a key.
 
-    An absence counts only in a valid run and for a key that was seen before; a sighting always counts. The array of a key
-    is as long as the number of runs.
+    An absence counts only in a valid run and for a key that was seen before and isn't in a terminal status, as in compare_run; a
+    sighting always counts. The array of a key is as long as the number of runs.
     """
     rows = panel.where(F.col(seen) | (F.col(valid) if valid else F.lit(True)))
     steps = rows.groupBy(key).agg(F.array_sort(F.collect_list(F.struct(F.col(run).cast("long").alias("run"), F.col(seen).alias("seen")))).alias("steps"))
-    state = F.aggregate("steps", F.expr(START), lambda s, x: F.when(s["status"].isNull() & ~x["seen"], s).otherwise(status_step(s, x["run"], x["seen"], confirm)))
+    state = F.aggregate("steps", F.expr(START), lambda s, x: F.when(~x["seen"] & ~F.coalesce(s["status"].isin(*PRESENT), F.lit(False)), s).otherwise(status_step(s, x["run"], x["seen"], confirm)))
     return steps.select(key, state.alias("s")).where("s.status is not null").select(key, "s.*")
 
 

@@ -6,6 +6,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import NumericType
 
 
 @dataclass(frozen=True)
@@ -19,7 +20,9 @@ class Rule:
 
 
 def equivalent(a: Column, b: Column, mode: str) -> Column:
-    """whether two values say the same under a mode."""
+    """whether two values say the same under a mode; mode number: within 1e-6."""
+    if mode == "number":
+        return F.abs(a.cast("double") - b.cast("double")) < 1e-6
     squeeze = lambda c: F.trim(F.regexp_replace(F.lower(c.cast("string")), r"\s+", " "))
     if mode == "text":
         return squeeze(a) == squeeze(b)
@@ -51,7 +54,8 @@ def merge_records(left: DataFrame, right: DataFrame, key: str, rules: list[Rule]
     values, codes, conflicts = [], [], []
     for r in rules:
         x, y = F.col(f"a_{r.field}"), F.col(f"h_{r.field}")
-        same = F.coalesce(equivalent(x, y, r.mode), F.lit(False))
+        numbers = r.mode != "temporal" and all(isinstance(s.schema[r.field].dataType, NumericType) for s in (left, right))
+        same = F.coalesce(equivalent(x, y, "number" if numbers else r.mode), F.lit(False))
         values.append((F.coalesce(x, y) if r.first == "A" else F.coalesce(y, x)).alias(r.field))
         codes.append(F.when(x.isNull() & y.isNull(), "-").when(y.isNull(), "A").when(x.isNull(), "H").when(same, "B").otherwise(r.first).alias(f"{r.field}_source"))
         conflicts.append(F.when(x.isNotNull() & y.isNotNull() & ~same, F.struct(F.lit(r.field).alias("field"), F.lit(r.severity).alias("severity"), x.cast("string").alias("a"), y.cast("string").alias("h"))))

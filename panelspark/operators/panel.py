@@ -58,10 +58,11 @@ def value_changes(rows: DataFrame, key: str, run: str, value: str) -> DataFrame:
         F.when(change > 0, "increase").when(change < 0, "decrease").otherwise("none").alias("direction"))
 
 
-def shown_changes(rows: DataFrame, key: str, run: str, value: str) -> DataFrame:
-    """Change type against the previous seen observation, where null to value and back count: revealed, hidden."""
+def shown_changes(rows: DataFrame, key: str, run: str, value: str, seen: str | None = None) -> DataFrame:
+    """Change type against the previous seen observation, where null to value and back count: revealed, hidden. Rows in
+    which the key wasn't seen take no part."""
     w = Window.partitionBy(key).orderBy(run)
-    out = rows.select(key, run, F.col(value).alias("value"), F.lag(value).over(w).alias("previous"), F.row_number().over(w).alias("n")).where("n > 1")
+    out = (rows.where(F.col(seen)) if seen else rows).select(key, run, F.col(value).alias("value"), F.lag(value).over(w).alias("previous"), F.row_number().over(w).alias("n")).where("n > 1")
     kind = (F.when(F.col("previous").isNull() & F.col("value").isNotNull(), "revealed").when(F.col("previous").isNotNull() & F.col("value").isNull(), "hidden")
             .when(F.col("value") > F.col("previous"), "increase").when(F.col("value") < F.col("previous"), "decrease"))
     return out.select(key, run, "previous", "value", kind.alias("change_type")).where("change_type is not null")
@@ -94,10 +95,32 @@ def trailing_unavailable(checks: DataFrame, key: str, order: list[str], gone: Co
     return last.groupBy(key).agg(F.coalesce(F.min(F.when(~F.col("__gone"), F.col("__n"))) - 1, F.count("*")).alias("unavailable_checks"))
 
 
-def run_baseline(runs: DataFrame, order: str, count: str, group: list[str] | None = None, runs_back: int = 7) -> DataFrame:
-    """Median count of the runs before, `runs_back` of them at most. The run table is one row a run."""
-    w = Window.partitionBy(*(group or [F.lit(0)])).orderBy(order).rowsBetween(-runs_back, -1)
-    return runs.withColumn("baseline_median", F.percentile(count, F.lit(0.5)).over(w))
+def run_baseline(runs: DataFrame, order: str, count: str, group: list[str] | None = None, runs_back: int = 7, share: float = 0.30) -> DataFrame:
+    """(group..., order, count, baseline_median, is_valid): a run is valid from this share of the median count of the last
+    `runs_back` valid runs of its group (its configuration), the first ones without any are.
+
+    Whether a run is valid depends on the valid ones before it, so each group's runs are folded in order; there is one row a run,
+    so the folded array is as long as a configuration has runs.
+    """
+    keys = group or []
+    ordered = runs.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct(F.col(order).alias("run"), F.col(count).cast("long").alias("n")))).alias("__r"))
+    kind = dict(runs.dtypes)[order]
+    start = F.expr(f"cast(named_struct('last', array(), 'out', array()) as struct<last: array<bigint>, out: array<struct<run: {kind}, n: bigint, base: double, fine: boolean>>>)")
+
+    def middle(xs: Column) -> Column:
+        s = F.array_sort(xs)
+        half = lambda k: F.get(s, F.floor(k / 2).cast("int"))
+        return (half(F.size(xs) - 1) + half(F.size(xs))) / F.lit(2.0)
+
+    def step(acc: Column, r: Column) -> Column:
+        base = F.when(F.size(acc["last"]) > 0, middle(acc["last"]))
+        fine = F.coalesce(r["n"] >= base * share, F.lit(True))
+        grown = F.concat(acc["last"], F.array(r["n"]))
+        last = F.when(fine, F.slice(grown, F.greatest(F.size(grown) - runs_back + 1, F.lit(1)), F.lit(runs_back))).otherwise(acc["last"])
+        return F.struct(last.alias("last"), F.concat(acc["out"], F.array(F.struct(r["run"].alias("run"), r["n"].alias("n"), base.alias("base"), fine.alias("fine")))).alias("out"))
+
+    folded = ordered.select(*keys, F.explode(F.aggregate("__r", start, step)["out"]).alias("o"))
+    return folded.select(*keys, F.col("o.run").alias(order), F.col("o.n").alias(count), F.col("o.base").alias("baseline_median"), F.col("o.fine").alias("is_valid"))
 
 
 def previous_valid(runs: DataFrame, order: str, run: str, valid: Column, group: list[str] | None = None) -> DataFrame:

@@ -45,11 +45,12 @@ def enforce(findings: DataFrame) -> DataFrame:
 
 
 def snapshot_gate(runs: DataFrame, checks: DataFrame, run: str = "run_id") -> DataFrame:
-    """(run, each gate, publishable): all ads checked, accounted equals discovered, nothing to retry, compared, verified end, production, not blocked."""
+    """(run, each gate, publishable): run valid, all ads checked, accounted equals discovered, nothing to retry, compared, verified end,
+    production run with a start, not blocked."""
     done = checks.groupBy(run).agg(F.count("*").alias("accounted"), F.count_if(F.col("outcome") == "retryable").alias("retryable"))
     rows = runs.join(done, run, "left")
     gates = {
-        "all_checked": F.coalesce("accounted", F.lit(0)) >= F.col("discovered_count"), "accounted_equals_discovered": F.coalesce("accounted", F.lit(0)) == F.col("discovered_count"), "no_retryable": F.coalesce("retryable", F.lit(0)) == 0,
+        "run_status_valid": F.coalesce(F.col("status") == "valid", F.lit(False)), "all_checked": F.coalesce("accounted", F.lit(0)) >= F.col("discovered_count"), "accounted_equals_discovered": F.coalesce("accounted", F.lit(0)) == F.col("discovered_count"), "no_retryable": F.coalesce("retryable", F.lit(0)) == 0,
         "compared": F.col("comparison_applied"), "verified_end": F.col("verified_end"), "production": F.col("production"), "not_blocked": ~F.col("blocked")}
     whole = reduce(lambda a, b: a & b, gates.values())
     return rows.select(run, *[c.alias(n) for n, c in gates.items()], whole.alias("publishable"))

@@ -35,6 +35,11 @@ def midranks(rows: DataFrame, keys: list[str], value: str, name: str = "rank") -
     return rows.join(ranks.drop("__n"), [*keys, value])
 
 
+def strength_of(size: Column, weak: float = 0.2) -> Column:
+    """Q1: the name of a coefficient's size."""
+    return F.when(size < weak, "negligible").when(size < 0.4, "weak").when(size < 0.6, "moderate").when(size < 0.8, "strong").when(size.isNotNull(), "very_strong")
+
+
 def correlations(rows: DataFrame, pairs: list[tuple[str, str]], min_n: int = 30) -> DataFrame:
     """Q1: Pearson and Spearman of each pair on its complete rows; null below min_n rows or for a constant side."""
     long = rows.select(F.explode(F.array(*[F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), F.col(a).cast("double").alias("x"), F.col(b).cast("double").alias("y")) for a, b in pairs])).alias("p")).select("p.*").where("x is not null and y is not null")
@@ -43,7 +48,7 @@ def correlations(rows: DataFrame, pairs: list[tuple[str, str]], min_n: int = 30)
     enough = F.col("n") >= min_n
     t = F.col("spearman") * F.sqrt((F.col("n") - 2) / (1 - F.col("spearman") * F.col("spearman")))
     size = F.abs("spearman")
-    strength = F.when(size >= 0.7, "strong").when(size >= 0.4, "moderate").when(size >= 0.2, "weak").otherwise("negligible")
+    strength = strength_of(size)
     return out.select("a", "b", "n", F.when(enough, F.round("pearson", 4)).alias("pearson"), F.when(enough, F.round("spearman", 4)).alias("spearman"), F.when(enough, F.round(_p("t")(t, (F.col("n") - 2).cast("double")), 6)).alias("p_value"), F.when(enough, strength).alias("strength"))
 
 
@@ -86,10 +91,17 @@ def trimmed_correlation(rows: DataFrame, x: str, y: str, low: float = 0.01, high
     return base.agg(F.count("*").alias("n"), F.when(F.count("*") >= min_n, F.round(F.corr(clip("x", b.bx), clip("y", b.by)), 4)).alias("trimmed_pearson"))
 
 
-def shape_name(pearson: Column, spearman: Column, dcor: Column, monotone: float = 0.10, curved: float = 0.15) -> Column:
-    """Q6: linear, monotonic or other shape, from the gaps between the coefficients."""
+def shape_name(pearson: Column, spearman: Column, dcor: Column, trimmed: Column | None = None, robust: Column | None = None, weak: float = 0.2, non_linear: float = 0.10, non_monotone: float = 0.15) -> Column:
+    """Q6: the shape of a relation between numbers from its coefficients; dcor may be null, trimmed and robust are Pearson after clipping.
+
+    Rank against linear: a gap that clipping closes is linear within the trimmed range, else monotone but not linear.
+    """
     p, s = F.abs(pearson), F.abs(spearman)
-    return F.when(dcor - F.greatest(p, s) >= curved, "non_monotonic").when(s - p >= monotone, "monotonic_non_linear").when(p - s >= monotone, "outlier_driven").otherwise("linear_or_none")
+    whole = F.coalesce(dcor, s)
+    clipped = F.greatest(*[F.abs(c) if c is not None else F.lit(None).cast("double") for c in (trimmed, robust)])
+    return (F.when(pearson.isNull() | spearman.isNull(), "not_computed").when(whole - s > non_monotone, "non_monotone_dependence")
+            .when(s - p > non_linear, F.when(F.coalesce(clipped, p) - p > non_linear, "linear_within_trimmed_range").otherwise("monotone_nonlinear"))
+            .when((s < weak) & (whole < weak), "no_detected_association").when(p >= weak, "approximately_linear").otherwise("weak_or_unclear"))
 
 
 def holm(rows: DataFrame, p: str, family: list[str] | None = None, name: str = "p_holm") -> DataFrame:

@@ -14,14 +14,12 @@ from panelspark.plans import frames
 from panelspark.plans.catalogue import query, table
 from panelspark.plans.frames import OBS
 
-PERSIAN = f"translate(cast(n_chars as varchar), '0123456789', '{C.PERSIAN_DIGITS}')"
 
-
-@query("normalised_numbers", f"""select doc_id, n_chars::varchar as digits, nullif(n_chars, 0) as price, case when doc_id % 7 = 0 then 0 else n_chars end as mileage, case when n_chars between 1300 and 1450 then n_chars when n_chars between 1900 and 2100 then n_chars - 621 end::integer as jalali
-from documents where n_chars between 100 and 9999""")
+@query("normalised_numbers", """with n as (select *, nullif(regexp_extract(n_chars::varchar, '[0-9]{3,4}'), '')::integer as y from documents)
+select doc_id, n_chars::varchar as digits, nullif(n_chars, 0) as price, case when doc_id % 7 = 0 then 0 else n_chars end as mileage, case when y between 1300 and 1450 then y when y between 1900 and 2100 then y - 621 end as jalali from n""")
 def normalised_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """F1, F4-F7 on numbers written in Persian digits with a unit, read back."""
-    rows = table(spark, sf_dir, "documents").where("n_chars between 100 and 9999").select("doc_id", F.translate(F.col("n_chars").cast("string"), C.ASCII_DIGITS, C.PERSIAN_DIGITS).alias("shown"))
+    """F1, F4-F7 on numbers written in Persian digits with a unit, read back; a year is the first three or four digits."""
+    rows = table(spark, sf_dir, "documents").select("doc_id", F.translate(F.col("n_chars").cast("string"), C.ASCII_DIGITS, C.PERSIAN_DIGITS).alias("shown"))
     spaced = F.concat(F.lit("  "), F.col("shown"), F.lit(" ​ "))
     return rows.select("doc_id", C.normalize_text(spaced).alias("digits"), C.price(F.concat("shown", F.lit(" تومان"))).alias("price"), C.mileage(F.when(F.col("doc_id") % 7 == 0, F.lit("صفر کیلومتر")).otherwise(F.concat("shown", F.lit(" km")))).alias("mileage"), C.year_pair(F.col("shown"))["jalali"].alias("jalali"))
 
@@ -131,7 +129,7 @@ def priority_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tagged.groupBy("ad_id").agg(F.min("priority").alias("priority")).orderBy("priority", "ad_id").limit(40)
 
 
-@query("merged_records", """with a as (select c_custkey as k, c_name as name, c_mktsegment as segment from customer where c_custkey % 5 <> 0), h as (select c_custkey as k, case when c_custkey % 3 = 0 then upper(c_name) when c_custkey % 3 = 1 then c_name || '!' else c_name end as name, case when c_custkey % 7 = 0 then 'OTHER' when c_custkey % 11 <> 0 then c_mktsegment end as segment from customer where c_custkey % 4 <> 0)
+@query("merged_records", """with a as (select c_custkey as k, c_name as name, c_mktsegment as segment from customer), h as (select c_custkey as k, case when c_custkey % 3 = 0 then upper(c_name) when c_custkey % 3 = 1 then c_name || '!' else c_name end as name, case when c_custkey % 7 = 0 then 'OTHER' when c_custkey % 11 <> 0 then c_mktsegment end as segment from customer where c_custkey in (select o_custkey from orders))
 select coalesce(a.k, h.k) as c_custkey, coalesce(a.name, h.name) as name, coalesce(h.segment, a.segment) as segment,
   case when a.name is null and h.name is null then '-' when h.name is null then 'A' when a.name is null then 'H' when lower(a.name) = lower(h.name) then 'B' else 'A' end as name_source,
   case when a.segment is null and h.segment is null then '-' when h.segment is null then 'A' when a.segment is null then 'H' when lower(a.segment) = lower(h.segment) then 'B' else 'H' end as segment_source,
@@ -141,14 +139,16 @@ def merged_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def merged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Source A has all customers, source H those with an order, some spelt otherwise or without a segment."""
     c = table(spark, sf_dir, "customer")
     k = F.col("c_custkey")
-    a = c.where(k % 5 != 0).select("c_custkey", F.col("c_name").alias("name"), F.col("c_mktsegment").alias("segment"))
-    h = c.where(k % 4 != 0).select("c_custkey", F.when(k % 3 == 0, F.upper("c_name")).when(k % 3 == 1, F.concat("c_name", F.lit("!"))).otherwise(F.col("c_name")).alias("name"), F.when(k % 7 == 0, "OTHER").when(k % 11 != 0, F.col("c_mktsegment")).alias("segment"))
+    a = c.select("c_custkey", F.col("c_name").alias("name"), F.col("c_mktsegment").alias("segment"))
+    buyers = table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("c_custkey"))
+    h = c.join(buyers, "c_custkey", "left_semi").select("c_custkey", F.when(k % 3 == 0, F.upper("c_name")).when(k % 3 == 1, F.concat("c_name", F.lit("!"))).otherwise(F.col("c_name")).alias("name"), F.when(k % 7 == 0, "OTHER").when(k % 11 != 0, F.col("c_mktsegment")).alias("segment"))
     return M.merge_records(a, h, "c_custkey", [M.Rule("name"), M.Rule("segment", first="H", severity="critical")])
 
 
-@query("merge_report", """with a as (select c_custkey as k, c_name as name, c_mktsegment as segment from customer where c_custkey % 5 <> 0), h as (select c_custkey as k, case when c_custkey % 3 = 0 then upper(c_name) when c_custkey % 3 = 1 then c_name || '!' else c_name end as name, case when c_custkey % 7 = 0 then 'OTHER' when c_custkey % 11 <> 0 then c_mktsegment end as segment from customer where c_custkey % 4 <> 0),
+@query("merge_report", """with a as (select c_custkey as k, c_name as name, c_mktsegment as segment from customer), h as (select c_custkey as k, case when c_custkey % 3 = 0 then upper(c_name) when c_custkey % 3 = 1 then c_name || '!' else c_name end as name, case when c_custkey % 7 = 0 then 'OTHER' when c_custkey % 11 <> 0 then c_mktsegment end as segment from customer where c_custkey in (select o_custkey from orders)),
 m as (select lower(a.name) <> lower(h.name) as n, lower(a.segment) <> lower(h.segment) as s from a full join h on a.k = h.k)
 select 'name' as field, 'minor' as severity, count(*) filter (n) as n, round(count(*) filter (n) / count(*), 6) as share, true as passes from m union all select 'segment', 'critical', count(*) filter (s), round(count(*) filter (s) / count(*), 6), count(*) filter (s) / count(*) < 0.01 from m""")
 def merge_report(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -229,10 +229,13 @@ def relisting_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
     return E.match_one_to_one(relisted(spark, sf_dir)).select("c_id", "p_id")
 
 
-@query("entity_closure", """with recursive e as (select o_custkey as a, (o_custkey * 7 + 3) % 1000 as b from orders where o_custkey % 3 = 0), u as (select a, b from e where a <> b union select b, a from e where a <> b), r as (select a as node, b as reach from u union select r.node, u.b from r join u on u.a = r.reach)
+@query("entity_closure", """with recursive e as (select o_custkey as a, min(o_custkey) over (partition by o_orderdate, o_orderpriority) as b from orders), u as (select a, b from e where a <> b union select b, a from e where a <> b), r as (select a as node, b as reach from u union select r.node, u.b from r join u on u.a = r.reach)
 select node, least(node, min(reach)) as entity from r group by node""")
 def entity_closure(spark: SparkSession, sf_dir: str) -> DataFrame:
-    links = table(spark, sf_dir, "orders").where("o_custkey % 3 = 0").select(F.col("o_custkey").alias("a"), ((F.col("o_custkey") * 7 + 3) % 1000).alias("b"))
+    """Customers who ordered on one day with one priority are linked, as stars around the least of them."""
+    orders = table(spark, sf_dir, "orders").select("o_custkey", "o_orderdate", "o_orderpriority")
+    least = orders.groupBy("o_orderdate", "o_orderpriority").agg(F.min("o_custkey").alias("b"))
+    links = orders.join(least, ["o_orderdate", "o_orderpriority"]).select(F.col("o_custkey").alias("a"), "b")
     return E.entity_closure(links, "a", "b")
 
 

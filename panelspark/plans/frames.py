@@ -8,16 +8,21 @@ from pyspark.sql import functions as F
 from panelspark.operators import panel as P
 from panelspark.plans.catalogue import table
 
-#: A run is valid if it has at least this share of the median count of the seven runs before it.
-VALID_SHARE = 0.97
+#: A run is valid if it has at least this share of the median count of the seven valid runs of its configuration before it; a
+#: configuration lasts this many days.
+VALID_SHARE, CONFIG_DAYS = 0.97, 20
 
 OBS = """obs as (select ad_id, run_id, price, event_type, n_events, observed_at from (
   select user_id as ad_id, date_diff('day', date '1970-01-01', cast(ts as date)) as run_id, value as price, event_type, ts as observed_at,
     row_number() over (partition by user_id, cast(ts as date) order by ts desc, event_id desc) as rn, count(*) over (partition by user_id, cast(ts as date)) as n_events
   from events) where rn = 1)"""
 RUNS = f"""{OBS}, counted as (select run_id, count(*) as discovered_count from obs group by run_id),
-based as (select *, (select median(discovered_count) from (select discovered_count from counted p where p.run_id < c.run_id order by p.run_id desc limit 7)) as baseline_median from counted c),
-runs as (select *, coalesce(discovered_count >= {VALID_SHARE} * baseline_median, true) as is_valid from based)"""
+numbered as (select *, run_id // {CONFIG_DAYS} as config, row_number() over (partition by run_id // {CONFIG_DAYS} order by run_id) as k from counted),
+rfold as (select config, k, run_id, discovered_count, null::double as baseline_median, true as is_valid, [discovered_count] as last from numbered where k = 1
+  union all select n.config, n.k, n.run_id, n.discovered_count, list_median(f.last), n.discovered_count >= {VALID_SHARE} * list_median(f.last),
+    case when n.discovered_count >= {VALID_SHARE} * list_median(f.last) then list_append(f.last, n.discovered_count)[-7:] else f.last end
+  from rfold f join numbered n on n.config = f.config and n.k = f.k + 1),
+runs as (select run_id, config, discovered_count, baseline_median, is_valid from rfold)"""
 PANEL = f"""{RUNS}, panel as (select f.ad_id, r.run_id, o.price, o.event_type, o.n_events, o.observed_at, o.ad_id is not null as was_seen
   from (select ad_id, min(run_id) as first_run from obs group by ad_id) f join runs r on r.run_id >= f.first_run left join obs o on o.ad_id = f.ad_id and o.run_id = r.run_id)"""
 
@@ -34,10 +39,9 @@ def observations(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def runs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(run_id, discovered_count, baseline_median, is_valid): one row a run."""
+    """(config, run_id, discovered_count, baseline_median, is_valid): one row a run."""
     counted = observations(spark, sf_dir).groupBy("run_id").agg(F.count("*").alias("discovered_count"))
-    based = P.run_baseline(counted, "run_id", "discovered_count")
-    return based.withColumn("is_valid", F.coalesce(F.col("discovered_count") >= VALID_SHARE * F.col("baseline_median"), F.lit(True)))
+    return P.run_baseline(counted.withColumn("config", F.floor(F.col("run_id") / CONFIG_DAYS)), "run_id", "discovered_count", ["config"], share=VALID_SHARE)
 
 
 def panel(spark: SparkSession, sf_dir: str) -> DataFrame:

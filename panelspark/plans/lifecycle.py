@@ -15,7 +15,7 @@ STATUS = f"""{PANEL}, steps as (select p.ad_id, p.run_id, p.was_seen, row_number
 fold as (select ad_id, n, run_id, 'new' as status, 0 as misses, 1 as seen_runs, 0 as missing_runs, run_id as first_seen, run_id as last_seen, null::bigint as first_missing, null::bigint as confirmed_removed, null::bigint as reappeared from steps where n = 1
   union all select s.ad_id, s.n, s.run_id,
     case when s.was_seen then case when f.status in ('missing_once', 'likely_removed') then 'reappeared' else 'active' end when f.misses + 1 >= 2 then 'likely_removed' else 'missing_once' end,
-    case when s.was_seen then 0 else f.misses + 1 end, f.seen_runs + s.was_seen::int, f.missing_runs + (not s.was_seen)::int, f.first_seen, case when s.was_seen then s.run_id else f.last_seen end,
+    case when s.was_seen then 0 when f.status = 'likely_removed' then f.misses else f.misses + 1 end, f.seen_runs + s.was_seen::int, f.missing_runs + (not s.was_seen and f.status <> 'likely_removed')::int, f.first_seen, case when s.was_seen then s.run_id else f.last_seen end,
     coalesce(f.first_missing, case when not s.was_seen then s.run_id end), coalesce(f.confirmed_removed, case when not s.was_seen and f.misses + 1 >= 2 then s.run_id end),
     case when s.was_seen and f.status in ('missing_once', 'likely_removed') then s.run_id else f.reappeared end
   from fold f join steps s on s.ad_id = f.ad_id and s.n = f.n + 1),
@@ -85,18 +85,18 @@ checks as (
   union all select run_id, 'card_urls_present', true, true from m union all select run_id, 'plausible_missing_ratio', expected_missing / known_active <= 0.5, true from m union all select run_id, 'no_critical_errors', false, true from m where errors > 0)"""
 
 
-@query("run_health_checks", f'with {HEALTH} select run_id, "check", passed, blocking from checks')
+@query("run_health_checks", f'with recursive {HEALTH} select run_id, "check", passed, blocking from checks')
 def run_health_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return L.run_health(metrics(spark, sf_dir)).select("run_id", "check", "passed", "blocking")
 
 
-@query("run_health_status", f"""with {HEALTH}, failed as (select run_id, list("check") filter (blocking and not passed) as f from checks group by run_id)
+@query("run_health_status", f"""with recursive {HEALTH}, failed as (select run_id, list("check") filter (blocking and not passed) as f from checks group by run_id)
 select run_id, case when f is null then 'valid' when list_contains(f, 'not_blocked') then 'blocked' when list_has_any(f, ['target_url_loaded', 'inventory_persisted']) then 'failed' when list_has_any(f, ['verified_termination', 'stabilization_completed', 'failed_page_ratio']) then 'partial' else 'invalid' end as status from failed""")
 def run_health_status(spark: SparkSession, sf_dir: str) -> DataFrame:
     return L.classify_runs(L.run_health(metrics(spark, sf_dir)))
 
 
-@query("health_alerts", f"""with {HEALTH} select run_id, 'health_' || "check" as alert_type, case when blocking then 'critical' else 'warning' end as severity from checks where not passed""")
+@query("health_alerts", f"""with recursive {HEALTH} select run_id, 'health_' || "check" as alert_type, case when blocking then 'critical' else 'warning' end as severity from checks where not passed""")
 def health_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return L.health_alerts(L.run_health(metrics(spark, sf_dir)))
 
@@ -184,7 +184,7 @@ def evidence_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.groupingSets([["status"], ["band"], []], "status", "band").agg(F.count("*").alias("ads"), F.round(F.avg("score"), 4).alias("mean_score"))
 
 
-@query("slot_decisions", f"""with {RUNS}, days as (select unnest(generate_series((select min(run_id) from obs), (select max(run_id) from obs) + 2)) as run_id)
+@query("slot_decisions", f"""with recursive {RUNS}, days as (select unnest(generate_series((select min(run_id) from obs), (select max(run_id) from obs) + 2)) as run_id)
 select d.run_id, case when r.run_id is not null then 'none' when ((select max(run_id) from obs) + 1 - d.run_id) * 1440 < 0 then 'wait' when ((select max(run_id) from obs) + 1 - d.run_id) * 1440 <= 240 then 'catch_up' else 'record_missed' end as decision from days d left join runs r on r.run_id = d.run_id and r.is_valid""")
 def slot_decisions(spark: SparkSession, sf_dir: str) -> DataFrame:
     runs = frames.runs(spark, sf_dir).where("is_valid").select("run_id", F.lit(True).alias("ran"))

@@ -24,21 +24,21 @@ def as_of_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("as_of_join_many", """select o_orderkey, o_orderdate, (select max(p.o_orderdate) from orders p where p.o_custkey = o.o_custkey and p.o_orderstatus = 'F' and p.o_orderdate <= o.o_orderdate) as last_final_date
-from orders o where o_orderpriority = '1-URGENT'""")
+from orders o""")
 def as_of_join_many(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = table(spark, sf_dir, "orders")
-    left = orders.where("o_orderpriority = '1-URGENT'").select("o_orderkey", "o_custkey", "o_orderdate")
+    left = orders.select("o_orderkey", "o_custkey", "o_orderdate")
     right = orders.where("o_orderstatus = 'F'").select("o_custkey", "o_orderdate")
     out = P.as_of_join(left, right, "o_custkey", "o_orderdate", "o_orderdate", ["o_orderdate"])
     return out.select("o_orderkey", "o_orderdate", F.col("source_o_orderdate").alias("last_final_date"))
 
 
-@query("select_run", f"with {RUNS} select run_id, discovered_count from runs where is_valid and discovered_count > 0 order by run_id desc limit 1")
+@query("select_run", f"with recursive {RUNS} select run_id, discovered_count from runs where is_valid and discovered_count > 0 order by run_id desc limit 1")
 def select_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     return frames.runs(spark, sf_dir).where("is_valid and discovered_count > 0").orderBy(F.desc("run_id")).limit(1).select("run_id", "discovered_count")
 
 
-@query("cross_section", f"""with {RUNS}, sel as (select max(run_id) as run_id from runs where is_valid)
+@query("cross_section", f"""with recursive {RUNS}, sel as (select max(run_id) as run_id from runs where is_valid)
 select o.ad_id, o.run_id, o.price, f.first_run, o.run_id - f.first_run as age_runs, o.price = 0 as is_zero,
   case when price < 10 then '<10' when price < 50 then '10-50' when price < 100 then '50-100' else '100+' end as price_band
 from obs o join sel using (run_id) join (select ad_id, min(run_id) as first_run from obs group by ad_id) f using (ad_id)""")
@@ -50,7 +50,7 @@ def cross_section(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("ad_id", "run_id", "price", "first_run", (F.col("run_id") - F.col("first_run")).alias("age_runs"), (F.col("price") == 0).alias("is_zero"), C.band(F.col("price"), [float("-inf"), 10, 50, 100, float("inf")], ["<10", "10-50", "50-100", "100+"]).alias("price_band"))
 
 
-@query("panel", f"""with {PANEL}, roll as (select user_id as ad_id, date_diff('day', date '1970-01-01', cast(ts as date)) as run_id, string_agg(distinct event_type, ',' order by event_type) as event_types, count(*) as event_count from events group by all)
+@query("panel", f"""with recursive {PANEL}, roll as (select user_id as ad_id, date_diff('day', date '1970-01-01', cast(ts as date)) as run_id, string_agg(distinct event_type, ',' order by event_type) as event_types, count(*) as event_count from events group by all)
 select p.ad_id, p.run_id, p.was_seen, case when r.is_valid then p.was_seen end as was_seen_trusted, p.price, e.event_types, coalesce(e.event_count, 0) as event_count
 from panel p join runs r using (run_id) left join roll e on e.ad_id = p.ad_id and e.run_id = p.run_id""")
 def panel(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -93,11 +93,13 @@ def price_change_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ads.withColumn("k", one).join(middle.withColumn("k", one), "k").drop("k")
 
 
-@query("shown_price_changes", f"""with {PANEL}, c as (select ad_id, run_id, price as value, lag(price) over w as previous, row_number() over w as n from panel window w as (partition by ad_id order by run_id))
+@query("shown_price_changes", f"""with recursive {PANEL}, c as (select ad_id, run_id, price as value, lag(price) over w as previous, row_number() over w as n from (select ad_id, run_id, case when event_type <> 'error' then price end as price from panel where was_seen) window w as (partition by ad_id order by run_id))
 select ad_id, run_id, previous, value, case when previous is null and value is not null then 'revealed' when previous is not null and value is null then 'hidden' when value > previous then 'increase' else 'decrease' end as change_type
 from c where n > 1 and ((previous is null) <> (value is null) or value <> previous)""")
 def shown_price_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return P.shown_changes(frames.panel(spark, sf_dir), "ad_id", "run_id", "price")
+    """A price is hidden where the day's last event is an error."""
+    rows = frames.panel(spark, sf_dir).withColumn("price", F.when(F.col("event_type") != "error", F.col("price")))
+    return P.shown_changes(rows, "ad_id", "run_id", "price", "was_seen")
 
 
 @query("observation_gaps", """select event_id, user_id, round(date_diff('microsecond', lag(ts) over (partition by user_id order by ts, event_id), ts) / 3.6e9, 4) as gap_hours from events qualify gap_hours is not null""")
@@ -114,10 +116,11 @@ def observation_gap_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return g.agg(F.count("*").alias("gaps"), F.round(F.median("gap_hours"), 4).alias("median_hours"), F.round(F.percentile("gap_hours", F.lit(0.9)), 4).alias("p90_hours"), F.round(F.max("gap_hours"), 4).alias("max_hours"))
 
 
-@query("consecutive_misses", f"""with {PANEL}, i as (select ad_id, run_id, was_seen, sum(was_seen::int) over (partition by ad_id order by run_id) as island from panel)
+@query("consecutive_misses", f"""with recursive {PANEL}, i as (select ad_id, run_id, was_seen, sum(was_seen::int) over (partition by ad_id order by run_id) as island from panel join runs using (run_id) where was_seen or is_valid)
 select ad_id, run_id, was_seen, case when was_seen then 0 else sum((not was_seen)::int) over (partition by ad_id, island order by run_id) end::bigint as misses from i""")
 def consecutive_misses(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return P.consecutive_misses(frames.panel(spark, sf_dir))
+    """An absence in a run that isn't valid says nothing."""
+    return P.consecutive_misses(frames.panel(spark, sf_dir).join(F.broadcast(frames.runs(spark, sf_dir).select("run_id", "is_valid")), "run_id").where("was_seen or is_valid"))
 
 
 @query("content_versions", """with h as (select o_custkey, o_orderdate, o_orderkey, sha256('v' || o_orderstatus || chr(31) || 'v' || o_orderpriority) as content_hash from orders),
@@ -133,14 +136,15 @@ def trailing_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return P.trailing_unavailable(table(spark, sf_dir, "events"), "user_id", ["ts", "event_id"], F.col("event_type") == "error")
 
 
-@query("run_baseline", f"with {RUNS} select run_id, discovered_count, baseline_median, is_valid from runs")
+@query("run_baseline", f"with recursive {RUNS} select run_id, discovered_count, baseline_median, is_valid from runs")
 def run_baseline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return frames.runs(spark, sf_dir).select("run_id", "discovered_count", "baseline_median", "is_valid")
 
 
-@query("previous_valid_run", f"with {RUNS} select run_id, (select max(p.run_id) from runs p where p.run_id < r.run_id and p.is_valid) as previous_valid_run from runs r")
+@query("previous_valid_run", f"with recursive {RUNS} select run_id, (select max(p.run_id) from runs p where p.run_id < r.run_id and p.is_valid and p.config = r.config) as previous_valid_run from runs r")
 def previous_valid_run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return P.previous_valid(frames.runs(spark, sf_dir), "run_id", "run_id", F.col("is_valid")).select("run_id", "previous_valid_run")
+    """Of the same configuration."""
+    return P.previous_valid(frames.runs(spark, sf_dir), "run_id", "run_id", F.col("is_valid"), ["config"]).select("run_id", "previous_valid_run")
 
 
 @query("leader_clusters", """with recursive e as (select user_id, ts, row_number() over (partition by user_id order by ts) as n from events),
@@ -191,13 +195,13 @@ def had_reduction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return obs.select("ad_id").distinct().join(fell, "ad_id", "left").select("ad_id", F.coalesce("fell", F.lit(False)).alias("had_price_reduction"))
 
 
-@query("run_timeline", f"with {PANEL} select p.run_id, count(*) as observations, count(*) filter (was_seen) as seen, count(*) filter (not was_seen) as absent, any_value(r.is_valid) as is_valid from panel p join runs r using (run_id) group by p.run_id")
+@query("run_timeline", f"with recursive {PANEL} select p.run_id, count(*) as observations, count(*) filter (was_seen) as seen, count(*) filter (not was_seen) as absent, any_value(r.is_valid) as is_valid from panel p join runs r using (run_id) group by p.run_id")
 def run_timeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     counts = frames.panel(spark, sf_dir).groupBy("run_id").agg(F.count("*").alias("observations"), F.count_if("was_seen").alias("seen"), F.count_if(~F.col("was_seen")).alias("absent"))
     return counts.join(frames.runs(spark, sf_dir).select("run_id", "is_valid"), "run_id")
 
 
-@query("daily_inventory", f"with {RUNS} select run_id, discovered_count from runs where is_valid order by run_id desc limit 10")
+@query("daily_inventory", f"with recursive {RUNS} select run_id, discovered_count from runs where is_valid order by run_id desc limit 10")
 def daily_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
     return frames.runs(spark, sf_dir).where("is_valid").orderBy(F.desc("run_id")).limit(10).select("run_id", "discovered_count")
 

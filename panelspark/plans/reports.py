@@ -13,7 +13,9 @@ from panelspark.operators import lifecycle as L
 from panelspark.operators import pages as G
 from panelspark.operators import quality as Q
 from panelspark.operators import stats as S
+from panelspark.plans import frames
 from panelspark.plans.catalogue import query, table
+from panelspark.plans.frames import RUNS
 from panelspark.sources import io
 
 
@@ -132,12 +134,18 @@ def slot_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "events").select("event_id", C.labels(F.col("ts").cast("timestamp"), "Asia/Tehran").alias("l")).select("event_id", "l.*")
 
 
-@query("publication_gate", """with c as (select cast(ts as date) as run_id, count(*) as accounted, count(*) filter (event_type = 'error') as retryable, count(*) + (day(ts) % 2) as discovered_count from events group by cast(ts as date), day(ts))
-select run_id, accounted >= discovered_count as all_checked, accounted = discovered_count as accounted_equals_discovered, retryable = 0 as no_retryable, true as compared, day(run_id) % 3 <> 0 as verified_end, true as production, true as not_blocked, accounted = discovered_count and retryable = 0 and day(run_id) % 3 <> 0 as publishable from c""")
+@query("publication_gate", f"""with recursive {RUNS}, c as (select date_diff('day', date '1970-01-01', cast(ts as date)) as run_id, count(*) as accounted, count(*) filter (event_type = 'error') as retryable, count(*) + (day(cast(ts as date)) % 2) as discovered_count, count(*) filter (value > 300) as refused, min(ts) as started from events group by 1, cast(ts as date)),
+g as (select run_id, is_valid as run_status_valid, accounted >= c.discovered_count as all_checked, accounted = c.discovered_count as accounted_equals_discovered, retryable = 0 as no_retryable, run_id > (select min(run_id) from runs) as compared, retryable * 5 < accounted as verified_end, hour(started) < 1 as production, refused = 0 as not_blocked from c join runs r using (run_id))
+select *, run_status_valid and all_checked and accounted_equals_discovered and no_retryable and compared and verified_end and production and not_blocked as publishable from g""")
 def publication_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    checks = table(spark, sf_dir, "events").select(F.to_date("ts").alias("run_id"), F.when(F.col("event_type") == "error", "retryable").otherwise("done").alias("outcome"))
-    runs = checks.groupBy("run_id").agg((F.count("*") + F.day("run_id") % 2).alias("discovered_count")).select("run_id", "discovered_count", F.lit(True).alias("comparison_applied"), (F.day("run_id") % 3 != 0).alias("verified_end"), F.lit(True).alias("production"), F.lit(False).alias("blocked"))
-    return Q.snapshot_gate(runs, checks)
+    """A day is a run; errors are checks to retry, high values refusals; the first run has nothing to compare with."""
+    events = table(spark, sf_dir, "events").select(frames.run_of("ts").alias("run_id"), "ts", "value", F.when(F.col("event_type") == "error", "retryable").otherwise("done").alias("outcome"))
+    bad = F.count_if(F.col("outcome") == "retryable")
+    days = events.groupBy("run_id").agg((F.count("*") + F.day(F.min("ts")) % 2).alias("discovered_count"), (bad * 5 < F.count("*")).alias("verified_end"), (F.hour(F.min("ts")) < 1).alias("production"), (F.count_if(F.col("value") > 300) > 0).alias("blocked"))
+    runs = frames.runs(spark, sf_dir).select("run_id", F.when(F.col("is_valid"), "valid").otherwise("invalid").alias("status"))
+    first = runs.agg(F.min("run_id").alias("first_run"))
+    whole = days.join(runs, "run_id").crossJoin(F.broadcast(first)).withColumn("comparison_applied", F.col("run_id") > F.col("first_run")).drop("first_run")
+    return Q.snapshot_gate(whole, events.select("run_id", "outcome"))
 
 
 @query("import_counts", "select count(*) filter (not old) as inserted, count(*) filter (old) as present, (select count(*) from lineitem) - count(*) as skipped from (select distinct l_orderkey, l_orderkey in (select o_orderkey from orders where o_orderstatus = 'F') as old from lineitem)")

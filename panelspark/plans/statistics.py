@@ -140,10 +140,10 @@ def fastest_by_value(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "orders").where("o_orderstatus = 'F'").orderBy(F.desc("o_totalprice"), "o_orderkey").limit(50).select("o_orderkey", "o_totalprice")
 
 
-@query("label_ingest", """select case when d.doc_id is null then 'rejected' when l.quality is null then 'skipped' else 'accepted' end as outcome, count(*) as n from labels l left join (select doc_id from documents where doc_id % 10 <> 0) d on d.doc_id = l.doc_id group by 1""")
+@query("label_ingest", """select case when d.doc_id is null then 'rejected' when l.quality is null then 'skipped' else 'accepted' end as outcome, count(*) as n from labels l left join (select doc_id from documents where coalesce(trim(text), '') <> '') d on d.doc_id = l.doc_id group by 1""")
 def label_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """K4: known ids with a valid outcome are accepted; every tenth document is taken as unknown here to show a rejection."""
-    known = table(spark, sf_dir, "documents").where("doc_id % 10 <> 0").select("doc_id", F.lit(True).alias("known"))
+    """K4: ids of a document with a text are known and accepted with a valid outcome."""
+    known = table(spark, sf_dir, "documents").where("coalesce(trim(text), '') <> ''").select("doc_id", F.lit(True).alias("known"))
     rows = table(spark, sf_dir, "labels").join(known, "doc_id", "left")
     return rows.groupBy(F.when(F.col("known").isNull(), "rejected").when(F.col("quality").isNull(), "skipped").otherwise("accepted").alias("outcome")).agg(F.count("*").alias("n"))
 
@@ -153,7 +153,7 @@ k as (select *, rank() over (partition by a, b order by x) + (count(*) over (par
 
 
 @query("correlations", f"""with {RANKS} select a, b, count(*) as n, round(corr(x, y), 4) as pearson, round(corr(rx, ry), 4) as spearman,
-  case when abs(corr(rx, ry)) >= 0.7 then 'strong' when abs(corr(rx, ry)) >= 0.4 then 'moderate' when abs(corr(rx, ry)) >= 0.2 then 'weak' else 'negligible' end as strength from k group by a, b""")
+  case when abs(corr(rx, ry)) < 0.2 then 'negligible' when abs(corr(rx, ry)) < 0.4 then 'weak' when abs(corr(rx, ry)) < 0.6 then 'moderate' when abs(corr(rx, ry)) < 0.8 then 'strong' else 'very_strong' end as strength from k group by a, b""")
 def correlations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return S.correlations(table(spark, sf_dir, "lineitem"), [("l_quantity", "l_extendedprice"), ("l_discount", "l_tax")]).drop("p_value")
 
