@@ -199,3 +199,10 @@ def chain_deltas(rows: DataFrame, entity: str, listing: str, at: str, value: str
     """First against last listing of each entity with more than one, in one grouping."""
     both = rows.groupBy(entity).agg(F.min_by(F.struct(listing, value, at), F.struct(at, listing)).alias("f"), F.max_by(F.struct(listing, value, at), F.struct(at, listing)).alias("l"), F.count_distinct(listing).alias("listings"))
     return both.where("listings > 1").select(entity, "listings", F.col("f")[listing].alias("first_listing"), F.col("l")[listing].alias("last_listing"), F.round(F.col("l")[value] - F.col("f")[value], 4).alias("value_delta"))
+
+
+def consistency(rows: DataFrame, entity: str, order: list[str], value: str, tolerance: float) -> DataFrame:
+    """E5: (pairs, falls, false_match_share): neighbours along the entities' chains, and those whose value falls by more than the tolerance."""
+    step = F.col(value) - F.lag(value).over(Window.partitionBy(entity).orderBy(*order))
+    falls = F.count_if(F.col("d") < -tolerance)
+    return rows.select(step.alias("d")).where("d is not null").agg(F.count("*").alias("pairs"), falls.alias("falls"), F.round(falls / F.count("*"), 4).alias("false_match_share"))

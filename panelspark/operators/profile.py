@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from panelspark.functions.listings import absence_cause
+
 PERCENTILES = (0.01, 0.05, 0.10, 0.25, 0.50, 0.75, 0.90, 0.95, 0.99)
 
 
@@ -89,6 +91,12 @@ def completeness(rows: DataFrame, columns: list[str], min_coverage: float = 0.05
     return out.select("variable", "filled", F.round(100.0 * (1 - share), 4).alias("missing_pct"), "distinct", (F.col("distinct") == 1).alias("constant"), reason.isNull().alias("usable"), reason.alias("reason"))
 
 
+def missingness_summary(complete: DataFrame, structural: tuple[str, ...] = (), recent: tuple[str, ...] = ()) -> DataFrame:
+    """(cause, columns, mean_missing_pct) from completeness rows."""
+    cause = absence_cause(F.col("missing_pct"), F.col("variable"), structural, recent)
+    return complete.groupBy(cause.alias("cause")).agg(F.count("*").alias("columns"), F.round(F.avg("missing_pct"), 4).alias("mean_missing_pct"))
+
+
 def missing_patterns(rows: DataFrame, columns: list[str], top: int = 25) -> DataFrame:
     """Joint missingness: one character a column, 1 where null; the most frequent patterns."""
     signature = F.concat(*[F.when(F.col(c).isNull(), "1").otherwise("0") for c in columns])

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 CRITICAL, WARNING = "critical", "warning"
@@ -32,6 +32,17 @@ def columns_present(rows: DataFrame, wanted: list[str], name: str = "provenance_
     return rows.sparkSession.range(1).select(F.lit(name).alias("check"), F.lit(CRITICAL).alias("severity"), F.lit(missing).cast("long").alias("count"))
 
 
+def samples(rows: DataFrame, checks: list[tuple[str, str, Column]], keys: list[str], most: int = 5) -> DataFrame:
+    """V1: (check, severity, count, keys...) of each check's first rows by its keys; checks without findings have none.
+
+    Each partition keeps its first rows of a check before the shuffle, so a check that very many rows fail is no burden.
+    """
+    hits = F.array_compact(F.array(*[F.when(F.coalesce(c, F.lit(False)), F.struct(F.lit(n).alias("check"), F.lit(s).alias("severity"))) for n, s, c in checks]))
+    found = rows.select(*keys, F.explode(hits).alias("__c")).select("__c.*", *keys)
+    first = found.withColumn("__n", F.row_number().over(Window.partitionBy("check", "severity").orderBy(*keys))).where(F.col("__n") <= most).drop("__n")
+    return first.join(F.broadcast(found.groupBy("check", "severity").agg(F.count("*").alias("count"))), ["check", "severity"])  # one row a check
+
+
 def audit(checks: list[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, checks)
 

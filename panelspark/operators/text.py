@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -47,3 +48,11 @@ def leak_report(rows: DataFrame, columns: list[str]) -> DataFrame:
     """F25, V1g: (column, leaks): rows of each text column with contact-shaped content, in one scan."""
     one = rows.agg(*[F.count_if(C.leaks(F.col(c))).alias(c) for c in columns])
     return one.select(F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).alias("leaks")) for c in columns])).alias("r")).select("r.*")
+
+
+@F.pandas_udf("string")
+def nfc(texts: pd.Series) -> pd.Series:
+    """Canonical composition, for F2's letters."""
+    from unicodedata import normalize
+
+    return texts.map(lambda t: None if t is None else normalize("NFC", t))

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-MODULES = ("longitudinal", "lifecycle", "statistics", "content", "reports", "streams")
+MODULES = ("longitudinal", "lifecycle", "statistics", "content", "reports", "streams", "ledger", "payloads", "associations")
 QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
 
