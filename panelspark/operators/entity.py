@@ -40,31 +40,54 @@ def similarity(a: pd.Series, b: pd.Series) -> pd.Series:
 
 
 FIELDS = ("id", "brand", "model", "year", "seller", "mileage", "price", "city", "images", "description", "body_color", "interior_color")
+PARTS, BITS = 9, 64
 
 
-def _keyed(rows: DataFrame, side: str) -> DataFrame:
-    out = rows.select(*[F.col(c).alias(f"{side}_{c}") for c in FIELDS])
-    some = lambda c: F.nullif(C.norm(F.col(f"{side}_{c}")), F.lit(""))
-    taxonomy = F.concat_ws("|", *[C.norm(F.col(f"{side}_{c}")) for c in ("brand", "model", "year")])
-    # a key takes part only where the first field of its group is there
-    return out.withColumns({f"{side}_taxonomy": F.when(taxonomy != "||", taxonomy), f"{side}_seller_key": some("seller"), f"{side}_look": F.when(some("city").isNotNull() & some("body_color").isNotNull() & some("interior_color").isNotNull(), F.concat_ws("|", some("city"), some("body_color"), some("interior_color")))})
+def image_parts(images: Column) -> Column:
+    """Keys of image hashes: within eight bits of 64 at least one of nine parts is equal. A hash of another form is one key."""
 
+    def of(h: Column) -> Column:
+        bits = F.lpad(F.conv(h, 16, 2), BITS, F.lit("0"))
+        cuts = [BITS * i // PARTS for i in range(PARTS + 1)]
+        return F.when(h.rlike("^[0-9a-fA-F]{16}$"), F.array(*[F.concat(F.lit(f"{i}:"), F.substring(bits, cuts[i] + 1, cuts[i + 1] - cuts[i])) for i in range(PARTS)])).otherwise(F.array(h))
 
-def candidates(children: DataFrame, parents: DataFrame) -> DataFrame:
-    """Pairs that can reach the threshold: same taxonomy, or same seller, or same city and both colours.
+    return F.array_distinct(F.flatten(F.transform(F.array_compact(images), of)))
 
-    The weights without taxonomy and seller sum to the threshold exactly, so any match has one of the three.
+
+NORMED = ("brand", "model", "year", "seller", "city", "body_color", "interior_color")
+
+
+def _keyed(rows: DataFrame, side: str, order: str | None) -> DataFrame:
+    """Rows with their fields under a prefix, normalised fields (n_ between), the taxonomy, and the block keys."""
+    out = rows.select(*[F.col(c).alias(f"{side}_{c}") for c in FIELDS], *([F.col(order).alias(f"{side}_order")] if order else []))
+    out = out.withColumns({f"{side}_n_{c}": C.norm(F.col(f"{side}_{c}")) for c in NORMED} | {f"{side}_parts": F.coalesce(image_parts(F.col(f"{side}_images")), F.array())})
+    some = lambda c: F.nullif(F.col(f"{side}_n_{c}"), F.lit(""))
+    taxonomy = F.concat_ws("|", *[F.col(f"{side}_n_{c}") for c in ("brand", "model", "year")])
+    look = F.when(some("city").isNotNull() & some("body_color").isNotNull() & some("interior_color").isNotNull(), F.concat_ws("|", some("city"), some("body_color"), some("interior_color")))
+    out = out.withColumns({f"{side}_taxonomy": F.when(taxonomy != "||", taxonomy), f"{side}_look": look})
+    t, l, s = F.col(f"{side}_taxonomy"), F.col(f"{side}_look"), some("seller")
+    one = lambda kind, *c: F.when(F.concat(*c).isNotNull(), F.array(F.concat_ws("|", F.lit(kind), *c))).otherwise(F.array())
+    many = lambda kind, c: F.when(c.isNotNull(), F.transform(f"{side}_parts", lambda p: F.concat_ws("|", F.lit(kind), c, p))).otherwise(F.array())
+    # a key takes part only where all its fields are there
+    return out.withColumn(f"{side}_keys", F.concat(one("t", t), many("si", s), one("sl", s, l), many("il", l))).drop(f"{side}_parts", f"{side}_look")
+
+
+def candidates(children: DataFrame, parents: DataFrame, order: str | None = None) -> DataFrame:
+    """Pairs that can reach the threshold, by one equi-join on composite keys; with an order column parents come before their children.
+
+    Without the taxonomy the weights sum to 0.90, so a match may lack 0.20 of them: the seller or the image, not both. So it
+    has the same taxonomy, or the same seller and an image, or the same seller, city and colours, or an image, the city and both colours.
     """
-    c, p = _keyed(children, "c"), _keyed(parents, "p")
-    keys = ("taxonomy", "seller_key", "look")
-    ids = [c.select("c_id", F.col(f"c_{k}").alias("k")).join(p.select("p_id", F.col(f"p_{k}").alias("k")), "k").select("c_id", "p_id") for k in keys]
-    pairs = ids[0].unionByName(ids[1]).unionByName(ids[2]).where("c_id <> p_id").distinct()
-    return pairs.join(c, "c_id").join(p, "p_id")
+    c, p = _keyed(children, "c", order), _keyed(parents, "p", order)
+    ends = lambda df, side: df.select(f"{side}_id", *([f"{side}_order"] if order else []), F.explode(f"{side}_keys").alias("k"))
+    met = ends(c, "c").join(ends(p, "p"), "k").where("c_id <> p_id" + (" and p_order < c_order" if order else ""))
+    pairs = met.select("c_id", "p_id").distinct()
+    return pairs.join(c.drop("c_keys", "c_order"), "c_id").join(p.drop("p_keys", "p_order"), "p_id")
 
 
 def signals(m: Match, described: Column) -> list[tuple[str, Column, float]]:
     """(name, condition, weight); described: the similarity of the descriptions."""
-    both = lambda f: C.norm(F.col(f"p_{f}")) == C.norm(F.col(f"c_{f}"))
+    both = lambda f: F.col(f"p_n_{f}") == F.col(f"c_n_{f}")
     there = lambda f: F.coalesce(F.col(f"p_{f}"), F.lit("")) != ""
     return [
         ("brand_model_year", F.col("p_taxonomy") == F.col("c_taxonomy"), m.taxonomy), ("same_seller", there("seller") & both("seller"), m.seller),
@@ -75,11 +98,17 @@ def signals(m: Match, described: Column) -> list[tuple[str, Column, float]]:
     ]
 
 
-def scored_pairs(children: DataFrame, parents: DataFrame, m: Match = Match()) -> DataFrame:
-    """(c_id, p_id, score, matched): candidates that reach the threshold, taxonomy alone never enough."""
-    described = candidates(children, parents).withColumns({"c_text": C.norm(F.col("c_description")), "p_text": C.norm(F.col("p_description"))}).withColumn("described", similarity("p_text", "c_text"))
-    parts = signals(m, F.col("described"))
+def scored_pairs(children: DataFrame, parents: DataFrame, m: Match = Match(), order: str | None = None) -> DataFrame:
+    """(c_id, p_id, score, matched): candidates that reach the threshold, taxonomy alone never enough.
+
+    Texts are compared only for pairs that the other signals leave within reach.
+    """
     hit = lambda c: F.coalesce(c, F.lit(False))
+    cheap = [x for x in signals(m, F.lit(0.0)) if x[0] != "description_similar"]
+    partial = sum((F.when(hit(c), w).otherwise(0.0) for _, c, w in cheap), F.lit(0.0))
+    near = candidates(children, parents, order).where(F.round(partial + m.description, 4) >= m.threshold)
+    described = near.withColumns({"c_text": C.norm(F.col("c_description")), "p_text": C.norm(F.col("p_description"))}).withColumn("described", similarity("p_text", "c_text"))
+    parts = signals(m, F.col("described"))
     total = sum((F.when(hit(c), w).otherwise(0.0) for _, c, w in parts), F.lit(0.0))
     out = described.select("c_id", "p_id", F.round(F.least(total, F.lit(1.0)), 4).alias("score"), F.array_compact(F.array(*[F.when(hit(c), n) for n, c, _ in parts])).alias("matched"))
     return out.where(F.col("score") >= m.threshold).where(~((F.size("matched") == 1) & F.array_contains("matched", "brand_model_year")))

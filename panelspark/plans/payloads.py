@@ -70,7 +70,7 @@ def price_points(spark: SparkSession, sf_dir: str) -> DataFrame:
     return J.price_points(_series(spark, sf_dir), "o_custkey", "payload").withColumn("at", F.col("at").cast("timestamp_ntz"))
 
 
-@query("series_sanity", f"with {POINTS}, s as (select o_custkey, count(*) as n, count(*) - count(distinct cast(at as date)) as repeated from pts group by 1), r as (select c_custkey, (floor(c_acctbal)::bigint) % 20 as reported from customer) select count(*) as series, count(*) filter (n not between 2 and 400) as odd_size, 0::bigint as untimed_points, sum(repeated)::bigint as repeated_days, count(*) filter (n is distinct from reported) as differing_counts from s left join r on c_custkey = o_custkey")
+@query("series_sanity", f"with {POINTS}, s as (select o_custkey, count(*) as n, count(*) - count(distinct cast(pts.at as date)) as repeated from pts group by 1), r as (select c_custkey, (floor(c_acctbal)::bigint) % 20 as reported from customer) select count(*) as series, count(*) filter (n not between 2 and 400) as odd_size, 0::bigint as untimed_points, sum(repeated)::bigint as repeated_days, count(*) filter (n is distinct from reported) as differing_counts from s left join r on c_custkey = o_custkey")
 def series_sanity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """V3: a number of points that customers report is set beside those listed."""
     reported = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("o_custkey"), (F.floor("c_acctbal") % 20).alias("reported"))

@@ -34,7 +34,7 @@ def cut(df: DataFrame) -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/cut-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     files, place = _place(spark, path)
     files.deleteOnExit(place)
     return spark.read.schema(df.schema).parquet(path)
