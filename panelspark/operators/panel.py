@@ -137,15 +137,18 @@ def leader_clusters(rows: DataFrame, key: str, at: str, minutes: int = 60) -> Da
     """
     step = minutes * 60 * 1_000_000
     times = rows.groupBy(key).agg(F.array_sort(F.collect_list(F.unix_micros(at))).alias("times"))
-    start = F.expr("cast(array() as array<struct<leader: bigint, n: bigint>>)")
-
-    def fold(acc: Column, t: Column) -> Column:
-        last = F.try_element_at(acc, F.lit(-1))
-        fresh = F.concat(acc, F.array(F.struct(t.alias("leader"), F.lit(1).cast("long").alias("n"))))
-        grown = F.concat(F.slice(acc, F.lit(1), F.greatest(F.size(acc) - 1, F.lit(0))), F.array(F.struct(last["leader"].alias("leader"), (last["n"] + 1).alias("n"))))
-        return F.when((F.size(acc) == 0) | (t - last["leader"] > step), fresh).otherwise(grown)
-
-    return times.select(key, F.explode(F.aggregate("times", start, fold)).alias("c")).select(key, F.timestamp_micros("c.leader").alias("leader"), "c.n")
+    start = F.expr("cast(named_struct('leader', null, 'n', 0, 'done', array()) as struct<leader: bigint, n: bigint, done: array<struct<leader: bigint, n: bigint>>>)")
+    closed = lambda s: F.struct(s["leader"].alias("leader"), s["n"].alias("n"))
+
+    def fold(s: Column, t: Column) -> Column:
+        """The open cluster, and the closed ones, which grow only when a cluster ends."""
+        same = F.struct(s["leader"].alias("leader"), (s["n"] + 1).alias("n"), s["done"].alias("done"))
+        first = F.struct(t.alias("leader"), F.lit(1).cast("long").alias("n"), s["done"].alias("done"))
+        fresh = F.struct(t.alias("leader"), F.lit(1).cast("long").alias("n"), F.concat(s["done"], F.array(closed(s))).alias("done"))
+        return F.when(s["leader"].isNull(), first).when(t - s["leader"] > step, fresh).otherwise(same)
+
+    folded = times.select(key, F.aggregate("times", start, fold, lambda s: F.concat(s["done"], F.array(closed(s)))).alias("c"))
+    return folded.select(key, F.explode("c").alias("c")).select(key, F.timestamp_micros("c.leader").alias("leader"), "c.n")
 
 
 def compare_runs(observations: DataFrame, a: Column, b: Column, key: str = "ad_id", run: str = "run_id") -> DataFrame:

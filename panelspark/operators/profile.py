@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from panelspark.functions.listings import absence_cause
+from panelspark.operators import ranks
 
 PERCENTILES = (0.01, 0.05, 0.10, 0.25, 0.50, 0.75, 0.90, 0.95, 0.99)
 
@@ -24,10 +25,11 @@ def skewness(value: str) -> Column:
 
 def numeric_profile(rows: DataFrame, columns: list[str], places: int = 4) -> DataFrame:
     """A1: one row a numeric column: counts, moments, percentiles, range, zeros, negatives, distinct, note."""
-    q = F.percentile("value", F.array(*[F.lit(p) for p in PERCENTILES]))
-    out = long_form(rows, columns).groupBy("variable").agg(
+    long = long_form(rows, columns)
+    out = long.groupBy("variable").agg(
         F.count("value").alias("count"), F.count_if(F.col("value").isNull()).alias("missing"), F.round(100.0 * F.avg(F.col("value").isNull().cast("int")), 2).alias("missing_pct"), F.avg("value").alias("mean"), F.stddev_samp("value").alias("std"),
-        F.min("value").alias("min"), F.max("value").alias("max"), q.alias("q"), skewness("value").alias("skewness"), F.count_if(F.col("value") == 0).alias("zeros"), F.count_if(F.col("value") < 0).alias("negatives"), F.count_distinct("value").alias("distinct"))
+        F.min("value").alias("min"), F.max("value").alias("max"), skewness("value").alias("skewness"), F.count_if(F.col("value") == 0).alias("zeros"), F.count_if(F.col("value") < 0).alias("negatives"), F.count_distinct("value").alias("distinct"))
+    out = out.join(ranks.percentiles(long, ["variable"], "value", PERCENTILES).drop("n"), "variable", "left")
     names = ["p01", "p05", "p10", "p25", "median", "p75", "p90", "p95", "p99"]
     r = lambda c: F.round(c, places)
     note = F.when(F.col("count") == 0, "no non-null values").when(F.abs("skewness") > 1, "skewed; prefer the median")
@@ -64,23 +66,25 @@ def cross_tab(rows: DataFrame, a: str, b: str, value: str) -> DataFrame:
 def segment_statistics(rows: DataFrame, dimensions: list[str], value: str, min_group: int = 10, trim: float = 0.1, z: float = 1.959963984540054) -> DataFrame:
     """By value of each dimension: n, moments, quartiles, trimmed mean, order-statistic interval of the median.
 
-    Groups below min_group are suppressed. Rank-based figures come from one ranked pass in each (dimension, value).
+    Groups below min_group are suppressed. Rank-based figures come from counts of values with running sums, so no level's rows meet in one task.
     """
     base = rows.where(F.col(value).isNotNull()).select(F.col(value).cast("double").alias("__v"), *[F.col(d).cast("string").alias(d) for d in dimensions])
     pairs = F.array(*[F.struct(F.lit(d).alias("dimension"), F.col(d).alias("level")) for d in dimensions])
     rows_ = base.select("__v", F.explode(pairs).alias("p")).select("p.dimension", "p.level", F.col("__v").alias("v")).where("level is not null")
-    w = Window.partitionBy("dimension", "level")
-    ranked = rows_.withColumns({"r": F.row_number().over(w.orderBy("v")) - 1, "n": F.count("*").over(w)}).where(F.col("n") >= min_group)
+    keys = ["dimension", "level"]
+    moments = rows_.groupBy(*keys).agg(F.count("*").alias("n"), F.avg("v").alias("mean"), F.min("v").alias("min"), F.max("v").alias("max"), F.stddev_samp("v").alias("sd")).where(F.col("n") >= min_group)
+    counts = ranks.value_counts(rows_, keys, "v").withColumnRenamed("n", "c").join(moments.select(*keys), keys, "left_semi")
     n = F.col("n")
-    cut = F.floor(n * trim)
+    cut_off = F.floor(n * trim)
     low = F.greatest(F.lit(0), F.least(F.floor((n - z * F.sqrt(n)) / 2), n - 1))
     high = F.greatest(F.lit(0), F.least(F.ceil(1 + (n + z * F.sqrt(n)) / 2) - 1, n - 1))
-    q = F.percentile("v", F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)))
-    out = ranked.groupBy("dimension", "level").agg(
-        F.first("n").alias("n"), q.alias("q"), F.avg("v").alias("mean"), F.min("v").alias("min"), F.max("v").alias("max"), F.stddev_samp("v").alias("sd"),
-        F.avg(F.when((F.col("r") >= cut) & (F.col("r") < n - cut), F.col("v"))).alias("trimmed"), F.max(F.when(F.col("r") == low, F.col("v"))).alias("lo"), F.max(F.when(F.col("r") == high, F.col("v"))).alias("hi"))
+    kept = F.greatest(F.least(F.col("below") + F.col("c"), n - cut_off) - F.greatest(F.col("below"), cut_off), F.lit(0))
+    ranked = ranks.ranked_counts(counts, keys, "v", "c").join(moments.select(*keys, "n"), keys)
+    q = [F.round(ranks.percentile_at("v", p, n, "c"), 12).alias(f"q{i}") for i, p in enumerate((0.25, 0.5, 0.75))]
+    order = ranked.groupBy(*keys).agg(*q, (F.sum(F.col("v") * kept) / F.sum(kept)).alias("trimmed"), ranks.at_rank("v", low, "c").alias("lo"), ranks.at_rank("v", high, "c").alias("hi"))
+    out = moments.join(order, keys)
     r = lambda c, name: F.round(c, 4).alias(name)
-    return out.select("dimension", "level", "n", r(F.col("q")[1], "median"), r(F.col("mean"), "mean"), r(F.col("q")[0], "p25"), r(F.col("q")[2], "p75"), r(F.col("min"), "min"), r(F.col("max"), "max"), r(F.col("sd"), "sd"), r(F.col("trimmed"), "trimmed_mean"), r(F.col("q")[2] - F.col("q")[0], "iqr"), r(F.col("lo"), "median_ci_low"), r(F.col("hi"), "median_ci_high"))
+    return out.select("dimension", "level", "n", r(F.col("q1"), "median"), r(F.col("mean"), "mean"), r(F.col("q0"), "p25"), r(F.col("q2"), "p75"), r(F.col("min"), "min"), r(F.col("max"), "max"), r(F.col("sd"), "sd"), r(F.col("trimmed"), "trimmed_mean"), r(F.col("q2") - F.col("q0"), "iqr"), r(F.col("lo"), "median_ci_low"), r(F.col("hi"), "median_ci_high"))
 
 
 def completeness(rows: DataFrame, columns: list[str], min_coverage: float = 0.05) -> DataFrame:

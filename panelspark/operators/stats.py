@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from panelspark.functions import special
+from panelspark.operators import ranks
 
 
 def _p(kind: str):
@@ -28,11 +29,9 @@ def _p(kind: str):
 
 
 def midranks(rows: DataFrame, keys: list[str], value: str, name: str = "rank") -> DataFrame:
-    """Mid-ranks for ties within keys, from value counts and their running sum."""
-    counts = rows.groupBy(*keys, value).agg(F.count("*").alias("__n"))
-    w = Window.partitionBy(*keys).orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
-    ranks = counts.withColumn(name, F.sum("__n").over(w) - F.col("__n") + (F.col("__n") + 1) / 2)
-    return rows.join(ranks.drop("__n"), [*keys, value])
+    """Mid-ranks for ties within keys, from value counts and their running sum over ranges of values."""
+    ranked = ranks.ranked_counts(ranks.value_counts(rows, keys, value), keys, value)
+    return rows.join(ranked.select(*keys, value, (F.col("below") + (F.col("n") + 1) / 2).alias(name)), [*keys, value])
 
 
 def strength_of(size: Column, weak: float = 0.2) -> Column:
@@ -41,15 +40,30 @@ def strength_of(size: Column, weak: float = 0.2) -> Column:
 
 
 def correlations(rows: DataFrame, pairs: list[tuple[str, str]], min_n: int = 30) -> DataFrame:
-    """Q1: Pearson and Spearman of each pair on its complete rows; null below min_n rows or for a constant side."""
-    long = rows.select(F.explode(F.array(*[F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), F.col(a).cast("double").alias("x"), F.col(b).cast("double").alias("y")) for a, b in pairs])).alias("p")).select("p.*").where("x is not null and y is not null")
-    ranked = midranks(midranks(long, ["a", "b"], "x", "rx"), ["a", "b"], "y", "ry")
-    out = ranked.groupBy("a", "b").agg(F.count("*").alias("n"), F.corr("x", "y").alias("pearson"), F.corr("rx", "ry").alias("spearman"))
+    """Q1: Pearson and Spearman of each pair on its complete rows; null below min_n rows or for a constant side.
+
+    A column without nulls is ranked once for all its pairs; pairs with a null anywhere are ranked on their own rows.
+    """
+    names = sorted({c for p in pairs for c in p})
+    nulls = rows.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in names]).first()  # one number a column
+    whole = [p for p in pairs if not nulls[p[0]] and not nulls[p[1]]]
+    rest = [p for p in pairs if p not in whole]
+    found = []
+    if whole:
+        base = rows.select(*[F.col(c).cast("double").alias(c) for c in sorted({c for p in whole for c in p})])
+        for c in base.columns:
+            base = midranks(base, [], c, f"__r_{c}")
+        one = base.agg(F.count("*").alias("n"), *[F.corr(*x).alias(f"{k}{i}") for i, (a, b) in enumerate(whole) for k, x in (("p", (a, b)), ("s", (f"__r_{a}", f"__r_{b}")))])
+        found.append(one.select(F.explode(F.array(*[F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), F.col("n"), F.col(f"p{i}").alias("pearson"), F.col(f"s{i}").alias("spearman")) for i, (a, b) in enumerate(whole)])).alias("x")).select("x.*"))
+    if rest:
+        long = rows.select(F.explode(F.array(*[F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), F.col(a).cast("double").alias("x"), F.col(b).cast("double").alias("y")) for a, b in rest])).alias("p")).select("p.*").where("x is not null and y is not null")
+        ranked = midranks(midranks(long, ["a", "b"], "x", "rx"), ["a", "b"], "y", "ry")
+        found.append(ranked.groupBy("a", "b").agg(F.count("*").alias("n"), F.corr("x", "y").alias("pearson"), F.corr("rx", "ry").alias("spearman")))
+    out = found[0] if len(found) == 1 else found[0].unionByName(found[1])
     enough = F.col("n") >= min_n
     t = F.col("spearman") * F.sqrt((F.col("n") - 2) / (1 - F.col("spearman") * F.col("spearman")))
     size = F.abs("spearman")
-    strength = strength_of(size)
-    return out.select("a", "b", "n", F.when(enough, F.round("pearson", 4)).alias("pearson"), F.when(enough, F.round("spearman", 4)).alias("spearman"), F.when(enough, F.round(_p("t")(t, (F.col("n") - 2).cast("double")), 6)).alias("p_value"), F.when(enough, strength).alias("strength"))
+    return out.select("a", "b", "n", F.when(enough, F.round("pearson", 4)).alias("pearson"), F.when(enough, F.round("spearman", 4)).alias("spearman"), F.when(enough, F.round(_p("t")(t, (F.col("n") - 2).cast("double")), 6)).alias("p_value"), F.when(enough, strength_of(size)).alias("strength"))
 
 
 def cramers_v(rows: DataFrame, a: str, b: str, min_n: int = 30) -> DataFrame:
@@ -84,11 +98,12 @@ def correlation_ratio(rows: DataFrame, group: str, value: str) -> DataFrame:
 def trimmed_correlation(rows: DataFrame, x: str, y: str, low: float = 0.01, high: float = 0.99, min_n: int = 20) -> DataFrame:
     """Q5: Pearson after clipping both sides to their percentiles."""
     base = rows.where(F.col(x).isNotNull() & F.col(y).isNotNull()).select(F.col(x).cast("double").alias("x"), F.col(y).cast("double").alias("y"))
-    b = base.agg(F.percentile("x", F.array(F.lit(low), F.lit(high))).alias("bx"), F.percentile("y", F.array(F.lit(low), F.lit(high))).alias("by")).first()
-    if b.bx is None:
+    bound = lambda c: ranks.percentiles(base, [], c, (low, high)).first()  # noqa: E731  one row
+    bx, by = bound("x"), bound("y")
+    if bx is None:
         return base.agg(F.count("*").alias("n"), F.lit(None).cast("double").alias("trimmed_pearson"))
     clip = lambda c, v: F.greatest(F.least(F.col(c), F.lit(v[1])), F.lit(v[0]))
-    return base.agg(F.count("*").alias("n"), F.when(F.count("*") >= min_n, F.round(F.corr(clip("x", b.bx), clip("y", b.by)), 4)).alias("trimmed_pearson"))
+    return base.agg(F.count("*").alias("n"), F.when(F.count("*") >= min_n, F.round(F.corr(clip("x", bx.q), clip("y", by.q)), 4)).alias("trimmed_pearson"))
 
 
 def shape_name(pearson: Column, spearman: Column, dcor: Column, trimmed: Column | None = None, robust: Column | None = None, weak: float = 0.2, non_linear: float = 0.10, non_monotone: float = 0.15) -> Column:
@@ -134,10 +149,9 @@ def group_differences(rows: DataFrame, dimensions: list[str], value: str, min_gr
     kept = base.join(F.broadcast(sizes.select("dimension", "g")), ["dimension", "g"], "left_semi")
     by_value = kept.groupBy("dimension", "g", "v").agg(F.count("*").alias("c"))
     totals = by_value.groupBy("dimension", "v").agg(F.sum("c").alias("t"))
-    w = Window.partitionBy("dimension").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
-    ranks = totals.withColumn("rank", F.sum("t").over(w) - F.col("t") + (F.col("t") + 1) / 2)
-    ties = ranks.groupBy("dimension").agg(F.sum(F.pow("t", 3) - F.col("t")).alias("ties"), F.sum("t").alias("N"))
-    sums = by_value.join(ranks, ["dimension", "v"]).groupBy("dimension", "g").agg(F.sum(F.col("c") * F.col("rank")).alias("R"), F.sum("c").alias("n"))
+    placed = ranks.ranked_counts(totals, ["dimension"], "v", "t").withColumn("rank", F.col("below") + (F.col("t") + 1) / 2)
+    ties = placed.groupBy("dimension").agg(F.sum(F.pow("t", 3) - F.col("t")).alias("ties"), F.sum("t").alias("N"))
+    sums = by_value.join(placed, ["dimension", "v"]).groupBy("dimension", "g").agg(F.sum(F.col("c") * F.col("rank")).alias("R"), F.sum("c").alias("n"))
     per = sums.groupBy("dimension").agg(F.count("*").alias("groups"), F.sum(F.col("R") * F.col("R") / F.col("n")).alias("S"), F.min_by(F.struct("n", "R"), "g").alias("a"), F.max_by(F.struct("n", "R"), "g").alias("b")).join(ties, "dimension")
     N = F.col("N").cast("double")
     correction = 1 - F.col("ties") / (N * N * N - N)
@@ -163,8 +177,12 @@ def distance_correlation(rows: DataFrame, key: str, pairs: list[tuple[str, str]]
     import numpy as np
 
     long = rows.select(F.col(key).alias("k"), F.explode(F.array(*[F.struct(F.concat_ws("|", F.lit(a), F.lit(b)).alias("pair"), F.col(a).cast("double").alias("x"), F.col(b).cast("double").alias("y")) for a, b in pairs])).alias("p")).select("k", "p.*").where("x is not null and y is not null")
+    # hashes past a bound that leaves well over n rows of a pair can't be among its least, so none of them is sorted
+    sizes = long.groupBy("pair").agg(F.count("*").alias("__n"))  # one row a pair
+    bound = F.lit(1.5 * n + 1000) / F.col("__n") * 2.0**64 - 2.0**63
+    some = long.join(F.broadcast(sizes), "pair").where(F.xxhash64("k", F.lit(seed)).cast("double") <= bound).drop("__n")
     w = Window.partitionBy("pair").orderBy(F.xxhash64("k", F.lit(seed)), "k")
-    sample = long.withColumn("r", F.row_number().over(w)).where(F.col("r") <= n).drop("r")
+    sample = some.withColumn("r", F.row_number().over(w)).where(F.col("r") <= n).drop("r")
 
     def run(frame: pd.DataFrame) -> pd.DataFrame:
         def centred(v):
