@@ -1,56 +1,16 @@
-"""Connected components of an edge table by min-label propagation with pointer jumping."""
+"""Shared tables and components for the operators of this subpackage."""
 
 from __future__ import annotations
 
-import tempfile
-import uuid
+from pyspark.sql import DataFrame
 
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
+from panelspark.operators.entity import entity_closure
+from panelspark.sources.work import cut, drop, let_go, shared_folder
 
+__all__ = ["connected_components", "cut", "drop", "let_go", "shared_folder"]
 
-def shared_folder(spark: SparkSession) -> str:
-    """The folder that spark.checkpoint.dir names; a temporary one only where it is unset."""
-    context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        place = spark.conf.get("spark.checkpoint.dir", None) or context.getConf().get("spark.checkpoint.dir")
-        context.setCheckpointDir(place or tempfile.mkdtemp(prefix="spark-checkpoint-"))
-    return context.getCheckpointDir()
 
-
-def cut(df: DataFrame) -> DataFrame:
-    """Cut the lineage: write df as Parquet in the shared folder, once, and read it again.
-
-    Unlike checkpoint() this computes df a single time and stores it compressed. The files go when the JVM ends.
-    """
-    spark = df.sparkSession
-    path = f"{shared_folder(spark)}/cut-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(place)
-    return spark.read.schema(df.schema).parquet(path)
-
-
-def connected_components(edges: DataFrame, max_rounds: int = 64) -> DataFrame:
-    """(a, b) edges of any orderable type to (node, label): label is the least node reachable.
-
-    Null ends and self loops add nothing; repeated edges count once; no edges give no rows.
-    Each round takes the least label of all neighbours (pre-aggregated before the shuffle) and
-    then jumps to the label's label, so a path of n nodes needs about log n rounds.
-    """
-    pairs = edges.select(F.col(edges.columns[0]).alias("a"), F.col(edges.columns[1]).alias("b")).where("a <> b")
-    both = cut(pairs.unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct())
-    labels = cut(both.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("node"), F.least("a", "m").alias("label")))
-    for _ in range(max_rounds):
-        near = both.join(labels.withColumnRenamed("node", "b"), "b").groupBy("a").agg(F.min("label").alias("m"))
-        step = labels.join(near, labels.node == near.a).select("node", F.col("label").alias("old"), F.least("label", "m").alias("label"))
-        to = step.select(F.col("node").alias("at"), F.col("label").alias("next"))
-        moved = cut(step.join(to, step.label == to.at, "left").select("node", "old", F.least("label", F.coalesce("next", "label")).alias("label")))
-        labels = moved.select("node", "label")
-        if moved.where("old <> label").isEmpty():
-            return labels
-    raise RuntimeError(f"components did not settle in {max_rounds} rounds")
-
-
-def empty(spark: SparkSession, schema: str) -> DataFrame:
-    return spark.createDataFrame([], schema)
+def connected_components(edges: DataFrame) -> DataFrame:
+    """(a, b) edges of any orderable type to (node, label): label is the least node reachable. Null ends and self loops add
+    nothing; repeated edges count once; no edges give no rows."""
+    return entity_closure(edges, *edges.columns[:2]).withColumnRenamed("entity", "label")

@@ -26,14 +26,15 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from panelspark.llm._graph import connected_components, cut
+from panelspark.llm._graph import connected_components, cut, drop, let_go
 from panelspark.llm._text import shingle_set, word_hashes
 
-#: Most frequent shingles that the order knows, the least count in one batch of rows to be counted, and bits of the prefilters.
-FREQUENT, BATCH_COUNT, FILTER_BITS = 1 << 18, 3, 24
+#: Most frequent shingles that the order knows, the least count in one batch of rows to be counted, greatest number of bits of a
+#: prefilter (16 MB, as a power of two).
+FREQUENT, BATCH_COUNT, FILTER_BITS = 1 << 18, 3, 27
 MAX_LEVEL = 4
-#: Bytes kept of a prefix token, where a clash only adds a candidate, and of a token that is counted.
-TOKEN_BYTES, COUNT_BYTES = 5, 6
+#: Bytes kept of a prefix token, where a clash only adds a candidate.
+TOKEN_BYTES = 5
 #: Cost of one prefix row, one list entry met, and one verification per shingle, in like units.
 #: RARE is the number of other documents assumed for a shingle that isn't among the frequent ones.
 ROW_COST, MEET_COST, VERIFY_COST, RARE = 4.0, 1.0, 0.05, 0.3
@@ -126,16 +127,35 @@ def _prefixes(base: DataFrame, n: int, threshold: tuple[int, int], frequent: tup
     return base.mapInPandas(make, "id long, n long, node binary, level int, prefix binary")
 
 
-def _bits(df: DataFrame, column: str) -> np.ndarray:
-    """Bit set of the leading FILTER_BITS of a hash; at most 2**FILTER_BITS numbers reach the driver."""
-    found = np.zeros(1 << FILTER_BITS, dtype=bool)
-    rows = df.select(column).distinct().toArrow()[column].to_numpy()
-    found[rows] = True
-    return np.packbits(found)
+def _bits(df: DataFrame, column: str, bits: int) -> np.ndarray:
+    """Bit set of the upper numbers of a hash column with values of that many bits: 16 bits of the set for each row, 2**FILTER_BITS at
+    most. Partitions mark their rows and the packed sets of a few tasks meet on the driver."""
+    size = min(bits, FILTER_BITS, max(10, (16 * df.count()).bit_length()))
+
+    def mark(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        found = np.zeros(1 << size, dtype=bool)
+        for frame in frames:
+            found[frame[column].to_numpy() >> (bits - size)] = True
+        yield pd.DataFrame({"bits": [np.packbits(found).tobytes()]})
+
+    out = np.zeros((1 << size) // 8, dtype=np.uint8)
+    for r in df.select(column).coalesce(4).mapInPandas(mark, "bits binary").toLocalIterator():
+        out |= np.frombuffer(r.bits, dtype=np.uint8)
+    return out
+
+
+def _has(found: np.ndarray, values: np.ndarray, bits: int) -> np.ndarray:
+    """Whether the set, made of values of that many bits, has each value."""
+    places = values >> (bits - (8 * len(found)).bit_length() + 1)
+    return (found[places >> 3] >> (7 - (places & 7)).astype(np.uint8)) & 1 > 0
 
 
-def _has(bits: np.ndarray, places: np.ndarray) -> np.ndarray:
-    return (bits[places >> 3] >> (7 - (places & 7)).astype(np.uint8)) & 1 > 0
+def _in_common(x: np.ndarray, y: np.ndarray) -> int:
+    """Numbers that two arrays share, repeated ones as often as both have them."""
+    u, n = np.unique(x, return_counts=True)
+    v, m = np.unique(y, return_counts=True)
+    _, i, j = np.intersect1d(u, v, assume_unique=True, return_indices=True)
+    return int(np.minimum(n[i], m[j]).sum())
 
 
 def _token_rows(nodes: DataFrame, bits: np.ndarray | None) -> DataFrame:
@@ -150,7 +170,7 @@ def _token_rows(nodes: DataFrame, bits: np.ndarray | None) -> DataFrame:
             pos = np.concatenate([*[np.arange(x, dtype=np.int32) for x in sizes], np.zeros(0, dtype=np.int32)])
             tokens = np.concatenate([*parts, np.zeros(0, dtype=np.int64)])
             if held.value is not None:
-                keep = _has(held.value, tokens >> (8 * TOKEN_BYTES - FILTER_BITS))
+                keep = _has(held.value, tokens, 8 * TOKEN_BYTES)
                 at, tokens, pos = at[keep], tokens[keep], pos[keep]
             for i in range(0, len(tokens), 100_000):
                 some = at[i : i + 100_000]
@@ -160,13 +180,13 @@ def _token_rows(nodes: DataFrame, bits: np.ndarray | None) -> DataFrame:
 
 
 def verified(base: DataFrame, pairs: DataFrame, n: int, threshold: tuple[int, int]) -> DataFrame:
-    """(a, b) of the pairs of set digests whose sets reach the threshold, counted exactly on COUNT_BYTES of each hash.
+    """(a, b) of the pairs of set digests whose sets reach the threshold, counted exactly on 64-bit hashes.
 
-    base: t. The sets of the pairs' ends alone are made again from the texts; both joins read one shuffle of them.
+    base: t. The sets of the pairs' ends alone are made again from the texts.
     """
-    lead = F.conv(F.hex(F.substring("node", 1, 3)), 16, 10).cast("int")
-    ends = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node")))
-    bits = base.sparkSession.sparkContext.broadcast(_bits(ends.select(F.shiftright(lead, 24 - FILTER_BITS).alias("bit")), "bit"))
+    ends = cut(pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct())
+    lead = F.conv(F.hex(F.substring("node", 1, 5)), 16, 10).cast("long")
+    bits = base.sparkSession.sparkContext.broadcast(_bits(ends.select(lead.alias("bit")), "bit", 40))
 
     def sets(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         done: set[bytes] = set()
@@ -174,24 +194,28 @@ def verified(base: DataFrame, pairs: DataFrame, n: int, threshold: tuple[int, in
             found = []
             for s in _sets(frame, n):
                 if len(s) and (d := _digest(s)) not in done:
-                    if _has(bits.value, np.array([int.from_bytes(d[:3], "big") >> (24 - FILTER_BITS)]))[0]:
-                        found.append((d, _short(s, COUNT_BYTES)))
+                    if _has(bits.value, np.array([int.from_bytes(d[:5], "big")]), 40)[0]:
+                        found.append((d, s.tobytes()))
                         if len(done) < 100_000:
                             done.add(d)
             yield pd.DataFrame(found, columns=["node", "tokens"])
 
     table = base.select("t").mapInPandas(sets, "node binary, tokens binary")
-    table = cut(table.join(ends.distinct(), "node", "left_semi").groupBy("node").agg(F.first("tokens").alias("tokens")))
+    table = cut(table.join(ends, "node", "left_semi").groupBy("node").agg(F.first("tokens").alias("tokens")))
+    let_go(base.sparkSession)
 
     @F.pandas_udf("long")
     def common(x: pd.Series, y: pd.Series) -> pd.Series:
-        return pd.Series([len(np.intersect1d(_long(p, COUNT_BYTES), _long(q, COUNT_BYTES), assume_unique=True)) for p, q in zip(x, y, strict=True)], dtype="int64")
+        return pd.Series([len(np.intersect1d(np.frombuffer(p, dtype=np.uint64), np.frombuffer(q, dtype=np.uint64), assume_unique=True)) for p, q in zip(x, y, strict=True)], dtype="int64")
 
     first = pairs.join(table.select(F.col("node").alias("b"), F.col("tokens").alias("tb")), "b")
     both = first.join(table.select(F.col("node").alias("a"), F.col("tokens").alias("ta")), "a")
-    size = lambda c: (F.octet_length(c) / COUNT_BYTES).cast("long")
+    size = lambda c: (F.octet_length(c) / 8).cast("long")
     sized = both.select("a", "b", size("ta").alias("na"), size("tb").alias("nb"), common("ta", "tb").alias("both"))
-    return sized.where(F.col("both") * threshold[1] >= (F.col("na") + F.col("nb") - F.col("both")) * threshold[0]).select("a", "b")
+    good = cut(sized.where(F.col("both") * threshold[1] >= (F.col("na") + F.col("nb") - F.col("both")) * threshold[0]).select("a", "b"))
+    drop(ends, table)
+    let_go(base.sparkSession)
+    return good
 
 
 def _fit(threshold: tuple[int, int], x: str, y: str, i: str, j: str) -> Column:
@@ -204,11 +228,11 @@ def _fit(threshold: tuple[int, int], x: str, y: str, i: str, j: str) -> Column:
 def _matched(nodes: DataFrame, pairs: DataFrame) -> DataFrame:
     """(x, y) pairs to (a, b) of digests, those whose prefixes share as many tokens as the lower of their levels."""
     ends = pairs.select(F.col("x").alias("nid")).unionByName(pairs.select(F.col("y").alias("nid"))).distinct()
-    part = cut(nodes.select("nid", "node", "level", "prefix").join(ends, "nid", "left_semi"))
+    part = nodes.select("nid", "node", "level", "prefix").join(ends, "nid", "left_semi")
 
     @F.pandas_udf("int")
     def shared(p: pd.Series, q: pd.Series) -> pd.Series:
-        return pd.Series([len(np.intersect1d(_long(u, TOKEN_BYTES), _long(v, TOKEN_BYTES))) for u, v in zip(p, q, strict=True)], dtype="int32")
+        return pd.Series([_in_common(_long(u, TOKEN_BYTES), _long(v, TOKEN_BYTES)) for u, v in zip(p, q, strict=True)], dtype="int32")
 
     side = lambda nid, node, name: part.select(F.col("nid").alias(nid), F.col("node").alias(node), F.col("level").alias(f"l{name}"), F.col("prefix").alias(f"p{name}"))
     both = pairs.join(side("x", "a", "x"), "x").join(side("y", "b", "y"), "y")
@@ -225,19 +249,28 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     with a null id keeps a null or a smaller neighbour's id. Repeated rows stay repeated; other columns
     are ignored; an empty table gives no rows.
     """
+    spark = docs.sparkSession
     base = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("t"))
-    rows = cut(_prefixes(base, n, threshold, _frequent(base, n)))
-    nodes = rows.where("node is not null").groupBy("node").agg(F.min("id").alias("own"), F.first("n").alias("n"), F.first("level").alias("level"), F.first("prefix").alias("prefix"))
+    made = cut(_prefixes(base, n, threshold, _frequent(base, n)))
+    nodes = made.where("node is not null").groupBy("node").agg(F.min("id").alias("own"), F.first("n").alias("n"), F.first("level").alias("level"), F.first("prefix").alias("prefix"))
     nodes = cut(nodes.withColumn("nid", F.monotonically_increasing_id()))
+    rows = cut(made.select("id", "n", "node"))
+    drop(made)
     digests = nodes.select("nid", "node")
-    often = _token_rows(nodes, None).groupBy("token").count().where("count > 1")
-    bits = _bits(often.select(F.shiftright("token", 8 * TOKEN_BYTES - FILTER_BITS).cast("int").alias("bit")).distinct(), "bit")
-    rare = _token_rows(nodes, bits)
+    often = cut(_token_rows(nodes, None).groupBy("token").count().where("count > 1").select("token"))
+    let_go(spark)
+    rare = _token_rows(nodes, _bits(often, "token", 8 * TOKEN_BYTES))
+    # the node that has the token earliest has the fewest tokens of its own: of a group of copies the one that most others are near to
     heads = rare.groupBy("token").agg(F.min(F.struct("pos", "nid", "n")).alias("head"), F.count("*").alias("size")).where("size > 1").drop("size")
     lists = cut(rare.join(heads, "token"))  # tokens that two nodes or more have, each row with its list's head
+    drop(often)
+    let_go(spark)
 
     def linked(pairs: DataFrame) -> DataFrame:
-        good = verified(base, cut(_matched(nodes, pairs)), n, threshold)
+        matched = cut(_matched(nodes, pairs))
+        let_go(spark)
+        good = verified(base, matched, n, threshold)
+        drop(matched)
         first = good.join(digests.select(F.col("node").alias("a"), F.col("nid").alias("x")), "a")
         return first.join(digests.select(F.col("node").alias("b"), F.col("nid").alias("y")), "b").select("x", "y")
 
@@ -250,6 +283,8 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     classes = inside.groupBy("token", "class").agg(F.count("*").alias("size"))
     main = classes.groupBy("token").agg(F.max(F.struct("size", "class")).alias("main"), F.count("*").alias("classes")).where("classes > 1").select("token", F.col("main.class").alias("main"))
     mixed = cut(inside.join(main, "token"))
+    drop(lists)
+    let_go(spark)
     rest = mixed.where("class <> main").select("token", F.col("nid").alias("y"), F.col("n").alias("ny"), F.col("pos").alias("j"), F.col("class").alias("cy"))
     more = (
         mixed.select("token", F.col("nid").alias("x"), F.col("n").alias("nx"), F.col("pos").alias("i"), F.col("class").alias("cx"), "main")
@@ -258,12 +293,15 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     )
     tried = stars.select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y"))
     more = cut(more.join(tried, ["x", "y"], "left_anti"))  # a star that failed needs no second look
+    drop(mixed, stars)
     if not more.isEmpty():
         links = cut(links.unionByName(linked(more)))
         labels = connected_components(links)
     classed = nodes.select("nid", "node", "own").join(labels.withColumnRenamed("node", "nid"), "nid", "left").select("node", "own", F.coalesce("label", "nid").alias("class"))
     least = classed.groupBy("class").agg(F.min("own").alias("component_id"))
     final = cut(classed.join(least, "class").select("node", "component_id"))
+    drop(nodes)
+    let_go(spark)
     found = rows.where("node is not null").select("id", "n", "node").join(final, "node").select("id", "n", "component_id")
     alone = rows.where("node is null").select("id", "n", F.col("id").alias("component_id"))
     return found.unionByName(alone).select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), "component_id")
