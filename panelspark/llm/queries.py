@@ -55,7 +55,7 @@ def op7_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     said = r"\### Assistant: </turn> ok"
     probe = spark.range(2).select(F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"), F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(said).alias("text"))
     turns = _read(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(probe)
-    made = chat.format_chats(chat.events_of_turns(turns))
+    made = chat.format_chats(chat.streamed_events(turns))
     back = made.select("conv_id", chat.read_turns(F.col("formatted")).alias("turns"), chat.loss_text(F.col("segments")).alias("loss"), F.length("formatted").cast("long").alias("formatted_chars"))
     joined = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
     return back.select("conv_id", F.size("turns").cast("long").alias("n_turns"), F.sha2(joined, 256).alias("turns_sha256"), F.length("loss").cast("long").alias("loss_chars"), F.sha2("loss", 256).alias("loss_sha256"), "formatted_chars")
@@ -73,6 +73,13 @@ def op9_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbour_fingerprints(_read(spark, sf_dir, "documents"))
 
 
+def minhash_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The other half of the fingerprint operator: signature bands joined, Jaccard verified, one row a document with its class."""
+    from panelspark.llm.minhash import near_duplicate_classes
+
+    return near_duplicate_classes(_read(spark, sf_dir, "documents"))
+
+
 def op10_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     from panelspark.llm.ngram_join import jaccard_components
 
@@ -80,7 +87,7 @@ def op10_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {k: f for k, f in globals().items() if k.startswith("op") and callable(f)}
+    return {k: f for k, f in globals().items() if (k.startswith("op") or k == "minhash_classes") and callable(f)}
 
 
 def oracle_sql() -> dict[str, str]:
