@@ -1,7 +1,7 @@
 """License scan by canonical digests, with DataFrame and SQL functions only.
 
-A text is brought to a canonical form: lower case; lines that begin with a copyright notice dropped; equivalent
-spellings made one; every run of other characters than letters and digits made one space. The digest
+A text is brought to a canonical form: lower case; lines that are a copyright notice (the sign, or the word with a sign, a year or a
+placeholder after it) dropped, so that a sentence about copyright stays wherever its line breaks; equivalent spellings made one; every run of other characters than letters and digits made one space. The digest
 of the whole canonical text is then hash-joined with the digests of known licence texts. The lines of a text
 are looked up alike among known one-line notices, since a page may carry a notice inside other text.
 """
@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # Patterns that both Spark and DuckDB read alike.
-COPYRIGHT = r"^[^a-z0-9©]*(copyright|\(c\)|©|all rights reserved).*$"
+COPYRIGHT = r"^[^a-z0-9©(]*((copyright|\(c\))[ \t]*(\(c\)|©|19[0-9][0-9]|20[0-9][0-9]|[\[<{]|yyyy|year).*|©.*|all rights reserved[^a-z0-9]*)$"
 SPELLINGS = ((r"licence", "license"), (r"(author|organ|recogn|util|ab)is(e|ing|ation)", r"\1iz\2"), (r"fulfil([^l])", r"fulfill\1"), (r"favour", "favor"), (r"https", "http"))
 OTHER = r"[^\p{L}\p{N}]+"
 
@@ -42,11 +42,28 @@ Unless required by applicable law or agreed to in writing, software distributed
 GPL_3_NOTICE = """This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.
 This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU General Public License for more details.
 You should have received a copy of the GNU General Public License along with this program. If not, see <https://www.gnu.org/licenses/>."""
+MIT_0 = MIT.replace(", subject to the following conditions:\nThe above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software.", ".")
+UNLICENSE = """This is free and unencumbered software released into the public domain.
+Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in source code form or as a compiled binary, for any purpose, commercial or non-commercial, and by any means.
+In jurisdictions that recognize copyright laws, the author or authors of this software dedicate any and all copyright interest in the software to the public domain. We make this dedication for the benefit of the public at large and to the detriment of our heirs and successors. We intend this dedication to be an overt act of relinquishment in perpetuity of all present and future rights to this software under copyright law.
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE.
+For more information, please refer to <https://unlicense.org>"""
+BSL_1 = """Boost Software License - Version 1.0 - August 17th, 2003
+Permission is hereby granted, free of charge, to any person or organization obtaining a copy of the software and accompanying documentation covered by this license (the "Software") to use, reproduce, display, distribute, execute, and transmit the Software, and to prepare derivative works of the Software, and to permit third-parties to whom the Software is furnished to do so, all subject to the following:
+The copyright notices in the Software and this entire statement, including the above license grant, this restriction and the following disclaimer, must be included in all copies of the Software, in whole or in part, and all derivative works of the Software, unless such copies or derivative works are solely in the form of machine-executable object code generated by a source language processor.
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE, TITLE AND NON-INFRINGEMENT. IN NO EVENT SHALL THE COPYRIGHT HOLDERS OR ANYONE DISTRIBUTING THE SOFTWARE BE LIABLE FOR ANY DAMAGES OR OTHER LIABILITY, WHETHER IN CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."""
+MPL_2_NOTICE = """This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/."""
+GPL_2_NOTICE = GPL_3_NOTICE.replace("either version 3 of", "either version 2 of").replace(": you can redistribute", "; you can redistribute")
+LGPL_3_NOTICE = GPL_3_NOTICE.replace("GNU General Public License", "GNU Lesser General Public License")
+AGPL_3_NOTICE = GPL_3_NOTICE.replace("GNU General Public License", "GNU Affero General Public License")
 KNOWN = (
     ("MIT", MIT), ("MIT", "MIT License\n" + MIT), ("MIT", "The MIT License (MIT)\n" + MIT), ("ISC", ISC), ("ISC", "ISC License\n" + ISC), ("0BSD", ZERO_BSD),
     ("BSD-2-Clause", BSD_2), ("BSD-2-Clause", "BSD 2-Clause License\n" + BSD_2), ("BSD-3-Clause", BSD_3), ("BSD-3-Clause", "BSD 3-Clause License\n" + BSD_3),
     ("Zlib", ZLIB), ("Zlib", "zlib License\n" + ZLIB), ("Apache-2.0", APACHE_NOTICE), ("GPL-3.0-or-later", GPL_3_NOTICE),
+    ("MIT-0", MIT_0), ("MIT-0", "MIT No Attribution\n" + MIT_0), ("Unlicense", UNLICENSE), ("BSL-1.0", BSL_1), ("MPL-2.0", MPL_2_NOTICE), ("GPL-2.0-or-later", GPL_2_NOTICE), ("LGPL-3.0-or-later", LGPL_3_NOTICE), ("AGPL-3.0-or-later", AGPL_3_NOTICE),
 )
+#: Rows of a known table up to which it is broadcast; a larger one is joined by a shuffle of the digests.
+BROADCAST_ROWS = 100_000
 NOTICES = (
     ("MIT", "Released under the MIT License."), ("MIT", "Licensed under the MIT License."), ("MIT", "This project is licensed under the MIT License."), ("MIT", "SPDX-License-Identifier: MIT"),
     ("Apache-2.0", "Licensed under the Apache License, Version 2.0."), ("Apache-2.0", "SPDX-License-Identifier: Apache-2.0"), ("BSD-3-Clause", "SPDX-License-Identifier: BSD-3-Clause"),
@@ -85,14 +102,23 @@ def known_digests(spark: SparkSession, known: tuple = KNOWN) -> DataFrame:
     return spark.createDataFrame(sorted(rows.items()), "digest string, license string")
 
 
-def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", known: tuple = KNOWN, notices: tuple = NOTICES) -> DataFrame:
+def digest_table(texts: DataFrame, license_col: str = "license", text_col: str = "text") -> DataFrame:
+    """(digest, license) of a table of licence texts of any size; of names for one text the least stands. Texts without a letter or digit give none."""
+    lines = canonical_lines(F.coalesce(F.col(text_col).cast("string"), F.lit("")))
+    rows = texts.select(F.array_join(lines, " ").alias("__c"), F.col(license_col).alias("__l")).where("__c <> ''")
+    return rows.groupBy(F.sha2("__c", 256).alias("digest")).agg(F.min("__l").alias("license"))
+
+
+def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", known: DataFrame | None = None, notices: tuple = NOTICES) -> DataFrame:
     """(id, digest, license, notices) of each row: license where the whole text is a known one, notices the sorted
     licences of its notice lines.
 
-    A null text is empty; an empty canonical text has the digest of '' and no licence. Repeated rows and null ids are
-    kept; other columns are ignored; an empty table gives no rows. The known table is broadcast, nothing is shuffled.
+    known is a table (digest, license), by default that of KNOWN; up to BROADCAST_ROWS rows of it are broadcast and nothing is
+    shuffled. A null text is empty; an empty canonical text has the digest of '' and no licence. Repeated rows and null ids are
+    kept; other columns are ignored, whatever their names; an empty table gives no rows.
     """
     spark = docs.sparkSession
+    table = known_digests(spark) if known is None else known.select("digest", "license")
     digests = {hashlib.sha256(canonical_text(t).encode()).hexdigest(): name for name, t in notices}
     longest = max([0, *(len(canonical_text(t)) for _, t in notices)])
     by_line = F.create_map(*[F.lit(x) for kv in sorted(digests.items()) for x in kv])
@@ -100,7 +126,8 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", known:
     short = F.filter("lines", lambda x: F.length(x) <= longest)
     found = F.array_sort(F.array_distinct(F.array_compact(F.transform(short, lambda x: F.try_element_at(by_line, F.sha2(x, 256))))))
     made = rows.select("id", F.sha2(F.array_join("lines", " "), 256).alias("digest"), found.alias("notices"))
-    return made.join(F.broadcast(known_digests(spark, known)), "digest", "left").select(F.col("id").alias(id_col), "digest", "license", F.array_join("notices", ",").alias("notices"))
+    small = known is None or table.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
+    return made.join(F.broadcast(table) if small else table, "digest", "left").select(F.col("id").alias(id_col), "digest", "license", F.array_join("notices", ",").alias("notices"))
 
 
 def oracle_sql(known: tuple = KNOWN, notices: tuple = NOTICES) -> str:
