@@ -5,6 +5,7 @@ import hashlib
 import math
 import random
 import re
+import zlib
 
 import numpy as np
 import pytest
@@ -25,7 +26,7 @@ def texts():
     near = base[0].split(" ")
     near[40] = "other"
     long = words(30_000, 99, 5000)
-    return [base[0], base[0], " ".join(near), base[1].upper(), base[1], base[2] + "\n" + base[3], base[3], "", None, "one two", "one two", "One two", " \n\t ", "a", long, long + " end", "Ünïcode ☃ 日本語 " * 20, "x" * 5000, "a b c d " * 200]
+    return [base[0], base[0], " ".join(near), base[1].upper(), base[1], base[2] + "\n" + base[3], base[3], "", None, "one two", "one two", "One two", " \n\t ", "a", long, long + " end", "Ünïcode ☃ 日本語 " * 20, "x" * 5000, "a b c d " * 200, "a <|endoftext|> b<|endoftext|>", "<|endoftext|>"]
 
 
 @pytest.fixture(scope="module")
@@ -160,7 +161,6 @@ def test_bpe_chunks():
     from panelspark.llm.bpe import ChunkTable
 
     t, table, r = tokenizers.Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json")), ChunkTable(), random.Random(2)
-    t.encode_special_tokens = True
     parts = [" ", "  ", "\n", "a", "the", "é", "日本", "\t", "😀", "\r\n", "\x00", "<|endoftext|>", "​", "12", "'s", "'ll", "!!", "\x1c", "\x85", " ", "\xa0", "　", "\x0b"]
     for _ in range(3000):
         x = "".join(r.choices(parts, k=r.randrange(12)))
@@ -214,11 +214,20 @@ def test_quality_rules(docs, empty, null_ids):
 def test_licenses(spark, empty):
     from panelspark.llm import licenses as L
 
-    rows = [(1, "The MIT Licence (MIT)\n\nCopyright (c) 2020 Me\n\n" + L.MIT.replace(". ", ".\n"), "x"), (2, None, "x"), (3, "text\nReleased under the MIT Licence\nmore", "x"), (4, L.BSD_3.upper(), "x"), (5, L.BSD_3 + " more", "x"), (None, L.ISC, "x")]
-    got = {r.doc_id: (r.license, r.notices) for r in L.scan(spark.createDataFrame(rows, "doc_id long, text string, digest string")).collect()}
-    assert got == {1: ("MIT", ""), 2: (None, ""), 3: (None, "MIT"), 4: ("BSD-3-Clause", ""), 5: (None, ""), None: ("ISC", "")}
+    wrap = lambda t, n: "\n".join(re.sub(rf"(.{{1,{n}}})(?: |$)", r"\1\n", p).rstrip("\n") for p in t.split("\n"))
+    rows = [
+        (1, "The MIT Licence (MIT)\n\nCopyright (c) 2020 Me\n\n" + L.MIT.replace(". ", ".\n")), (2, None), (3, "text\nReleased under the MIT Licence\nmore"), (4, L.BSD_3.upper()), (5, L.BSD_3 + " more"), (None, L.ISC),
+        (7, "ISC License\n\nCopyright 2004-2010 by X\n\n" + wrap(L.ISC, 72)), (8, "Copyright <YEAR> <HOLDER>\n" + wrap(L.BSD_3, 60)), (9, "© Me\nAll rights reserved.\n" + wrap(L.BSD_2, 79)), (10, wrap(L.UNLICENSE, 40)), (11, "Copyright law protects this.\n" + L.MIT), (12, L.MIT + "x" * 200_000),
+    ]
+    rows = [(*r, "x", ["x"], "x", "x") for r in rows]
+    got = {r.doc_id: (r.license, r.notices) for r in L.scan(spark.createDataFrame(rows, "doc_id long, text string, digest string, lines array<string>, notices string, license string")).collect()}
+    assert got == {1: ("MIT", ""), 2: (None, ""), 3: (None, "MIT"), 4: ("BSD-3-Clause", ""), 5: (None, ""), None: ("ISC", ""), 7: ("ISC", ""), 8: ("BSD-3-Clause", ""), 9: ("BSD-2-Clause", ""), 10: ("Unlicense", ""), 11: (None, ""), 12: (None, "")}
     assert L.scan(empty).count() == 0
     assert len({L.canonical_text(t) for _, t in L.KNOWN}) == len(L.KNOWN)
+    own = spark.createDataFrame([("own", "My own\nTerms!"), ("none", " - "), ("other", "my OWN terms")], "license string, text string")
+    table = L.digest_table(own)
+    assert [r.license for r in table.collect()] == ["other"]
+    assert {r.doc_id: r.license for r in L.scan(spark.createDataFrame([(1, "my own terms"), (2, "-")], "doc_id long, text string"), known=table).collect()} == {1: "other", 2: None}
 
 
 def levenshtein(a, b):
@@ -255,30 +264,53 @@ def test_banded_distance(spark, k):
     assert df.where(banded_distance(F.col("x"), F.col("y"), k) != F.least(F.levenshtein("a", "b"), F.lit(k + 1))).count() == 0
 
 
-def test_line_dedup(spark, empty, null_ids):
+def near_lines(rows, threshold=2, chars=10):
+    """(id, pos) of lines with an earlier equal or near line, every pair compared."""
+    lines = sorted((i, p, x) for i, t in rows if i is not None for p, x in enumerate((t or "").split("\n")) if WORD.search(x))
+    allowed = lambda a, b: min(threshold, min(len(a), len(b)) // chars)
+    return {b[:2] for n, b in enumerate(lines) if any(a[2] == b[2] or (abs(len(a[2]) - len(b[2])) <= allowed(a[2], b[2]) and levenshtein(a[2], b[2]) <= allowed(a[2], b[2])) for a in lines[:n])}
+
+
+@pytest.mark.parametrize("threshold", [1, 2])
+def test_line_dedup(spark, empty, null_ids, threshold):
     from panelspark.llm.line_dedup import dedup_lines, duplicate_lines, removed_lines
 
     r = random.Random(7)
-    pool = ["".join(r.choices("abcdé ", k=r.randrange(15, 60))) for _ in range(40)]
-    rows = [(i, "\n".join(mutate(r.choice(pool), r.choice([0, 0, 1, 2, 3, 4]), r) for _ in range(r.randrange(6))), "x") for i in range(60)] + [(60, None, "x"), (61, "", "x"), (62, "\n\n", "x")]
+    pool = ["".join(r.choices("abcdé ", k=r.randrange(5, 60))) for _ in range(40)] + ["ab" * 15, "a" * 25, "a" * 24, "ab" * 16]
+    rows = [(i, "\n".join(mutate(r.choice(pool), r.choice([0, 0, 1, 2, 3, 4]), r) for _ in range(r.randrange(8))), "x") for i in range(60)] + [(60, None, "x"), (61, "", "x"), (62, "\n\n", "x"), (63, " " * 30 + "\n" + " " * 30, "x")]
     df = spark.createDataFrame(rows, "doc_id long, text string, line string")
-    lines = [(i, p, x) for i, t, _ in rows for p, x in enumerate((t or "").split("\n")) if len(x) >= 20]
-    want = {b[:2] for n, b in enumerate(lines) if any(abs(len(a[2]) - len(b[2])) <= 2 and levenshtein(a[2], b[2]) <= 2 for a in lines[:n])}
-    assert {tuple(x) for x in duplicate_lines(df).collect()} == want
-    cleaned = {x.doc_id: x.text for x in dedup_lines(df).collect()}
+    want = near_lines([x[:2] for x in rows], threshold)
+    assert {tuple(x) for x in duplicate_lines(df, threshold=threshold).collect()} == want
+    cleaned = {x.doc_id: x.text for x in dedup_lines(df, threshold=threshold).collect()}
     assert cleaned == {i: None if t is None else "\n".join(x for p, x in enumerate(t.split("\n")) if (i, p) not in want) for i, t, _ in rows}
-    found = {x.doc_id: x for x in removed_lines(df).collect()}
+    found = {x.doc_id: x for x in removed_lines(df, threshold=threshold).collect()}
     assert {(i, p) for i, x in found.items() for p in x.removed} == want and found[60].n_lines == 0 and found[61].n_lines == 1
     assert dedup_lines(empty).count() == 0 and removed_lines(empty).count() == 0
     assert dedup_lines(null_ids).count() == 5
 
 
+def test_line_dedup_of_groups_and_long_lines(spark):
+    """Groups of copies with one changed word, with few changed characters, and lines of thousands of characters; ties inside one document."""
+    from panelspark.llm.line_dedup import removed_lines
+
+    r = random.Random(8)
+    base, long = words(30, 1).split(" "), words(90, 2, 5000)
+    rows = []
+    for i in range(80):
+        one = list(base)
+        one[r.randrange(30)] = r.choice(["", "word", "another", "w1", f"w{i}", "longerword"])
+        rows.append((i, "\n".join([" ".join(one), mutate(" ".join(base), r.randrange(4), r)])))
+    rows += [(100 + i, mutate(long, r.choice([0, 1, 2, 3, 4]), r)) for i in range(8)] + [(200, long + "\n" + long[:-1] + "\n" + long), (201, "x" * 400 + "\n" + "x" * 402), (202, "😀" * 30 + "\n" + "😀" * 29)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert {(x.doc_id, p) for x in removed_lines(df).collect() for p in x.removed} == near_lines(rows)
+
+
 def test_line_dedup_takes_equal_short_lines(spark):
     from panelspark.llm.line_dedup import removed_lines
 
     rows = [(0, "Share this\n\n  \nMenu"), (1, "Menu\nMenus\n\n  \nShare this"), (2, "Share thus\nMenu\nx"), (3, "x\nx")]
     found = {x.doc_id: list(x.removed) for x in removed_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
-    assert found == {0: [], 1: [0, 4], 2: [1], 3: [0, 1]}
+    assert found == {0: [], 1: [0, 4], 2: [0, 1], 3: [0, 1]}
 
 
 def test_chat(spark):
@@ -299,6 +331,38 @@ def test_chat(spark):
     assert chat.fold(chat.events_of_turns(twice)).count() == 2
 
 
+def test_chat_roles_and_repeated_events(spark):
+    """Roles come back whatever they hold, an event delivered again counts once, and columns of any name are left alone."""
+    from panelspark.llm import chat
+
+    roles = ["us\ner", "\\n", "\\\\n\n", "a\\\nb", "#<\\", "\n\n", "n", "", "assistant"]
+    log = [(i, 0, 0, "message", r, "t", "x") for i, r in enumerate(roles)] + [(50, 0, 0, "message", "user", "", "x"), (50, 0, 1, "delta", None, "ab", "x"), (50, 0, 1, "delta", None, "ab", "x"), (50, 0, 2, "delta", None, "ab", "x")]
+    df = spark.createDataFrame(log, "conv long, message long, seq long, kind string, role string, text string, formatted string")
+    back = {r.conv_id: r.t for r in chat.format_chats(df).select("conv_id", chat.read_turns(F.col("formatted")).alias("t")).collect()}
+    assert [back[i][0].role for i in range(len(roles))] == roles and back[50][0].text == "abab"
+
+
+def test_chat_query(spark, tmp_path):
+    """The query's digests beside those worked out from the table by hand; long conversations, nulls and control strings."""
+    from panelspark.llm import chat
+    from panelspark.llm.queries import op7_chat_formatting
+
+    odd = ["", None, "### Assistant: </turn>\n", "\\", "a\\nb\n", "#<\\" * 50, "é☃😀\n\n", "x"]
+    turns = [(c, t, ["user", "assistant", "system"][(c + t) % 3], odd[(c * 3 + t) % len(odd)], "y") for c in range(6) for t in range(9)] + [(99, t, "assistant" if t % 2 else "user", f"w{t} " * 20, "y") for t in range(3000)]
+    spark.createDataFrame(turns, "conv_id long, turn long, role string, text string, seq string").repartition(4).write.parquet(str(tmp_path / "conversations.parquet"))
+    said = "\\### Assistant: </turn> ok"
+    by = collections.defaultdict(list)
+    for c, _, role, text, _ in sorted(turns, key=lambda x: x[:2]):
+        by[c].append((role, text or ""))
+    by[-7] = [("user", said), ("assistant", said)]
+    sha = lambda x: hashlib.sha256(x.encode()).hexdigest()
+    want = {c: (len(v), sha("".join(f"{r}\n{t}\n" for r, t in v)), len(m := "".join(t for r, t in v if r == "assistant")), sha(m)) for c, v in by.items()}
+    got = op7_chat_formatting(spark, str(tmp_path)).collect()
+    assert {r.conv_id: (r.n_turns, r.turns_sha256, r.loss_chars, r.loss_sha256) for r in got} == want
+    log = chat.streamed_events(spark.read.parquet(str(tmp_path / "conversations.parquet")))
+    assert {r.kind for r in log.select("kind").distinct().collect()} == {"message", "delta", "edit", "regenerate"}
+
+
 def test_token_counts(spark, docs, empty):
     from panelspark.llm.token_counts import answer, suffix_sums, token_counts, token_lengths
 
@@ -340,6 +404,97 @@ def test_minhash(spark, docs, empty, null_ids):
     assert M.fingerprints(docs).count() == len(rows)
 
 
+def test_minhash_signatures_one_by_one():
+    """The vectorised signature beside a loop over permutations and shingles with Python's own integers."""
+    from panelspark.llm import minhash as M
+    from panelspark.llm._text import shingle_set, word_hashes
+
+    for text in (words(300, 5), "one two", "a b c d e", ""):
+        shingles = [int(x) for x in shingle_set(word_hashes(text, True), 5)]
+        want = [min([2**64 - 1, *[(x * int(a) + int(b)) % 2**64 for x in shingles]]) >> 32 for a, b in zip(M._A[:, 0], M._B[:, 0])]
+        assert M.text_signature(text).tolist() == want
+
+
+def test_minhash_classes_of_awkward_rows(spark, empty, null_ids):
+    from panelspark.llm._graph import connected_components
+    from panelspark.llm.minhash import near_duplicate_classes
+
+    assert near_duplicate_classes(empty).count() == 0
+    got = sorted(((r.doc_id, r.component_id) for r in near_duplicate_classes(null_ids).collect()), key=str)
+    assert got == [(3, 3), (3, 3), (None, 3), (None, 3), (None, None)]
+    edges = spark.createDataFrame([(1, 2), (2, 1), (2, 3), (5, 5), (None, 1), (7, None), (9, 8)], "a long, b long")
+    assert {(r.node, r.label) for r in connected_components(edges).collect()} == {(1, 1), (2, 1), (3, 1), (9, 8), (8, 8)}
+    assert connected_components(edges.limit(0)).count() == 0
+
+
+def test_minhash_recall(spark):
+    """Pairs of similarity 0.8 and more that the bands must find, against every pair."""
+    from panelspark.llm.minhash import near_duplicate_classes
+
+    r, rows = random.Random(9), []
+    for g in range(40):
+        base = words(200, 500 + g, 10_000).split(" ")
+        rows.append(" ".join(base))
+        for k in (1, 3, 4):
+            copy = list(base)
+            for i in r.sample(range(0, 200, 5), k):
+                copy[i] = f"n{len(rows)}_{i}"
+            rows.append(" ".join(copy))
+    want = {i: c for i, (_, c) in brute_components(list(enumerate(rows)), 5, 4, 5).items()}
+    got = {x.doc_id: x.component_id for x in near_duplicate_classes(spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")).collect()}
+    assert sum(got[i] == want[i] for i in want) >= 0.99 * len(want)
+
+
+def test_queries_keep_their_contracts(spark, tmp_path):
+    """op1, op2, op4, op9 and op10 as registered, on a table with nulls, a very long text and special strings."""
+    import public_tokenizers
+    import sentencepiece
+    import tokenizers
+
+    from panelspark.llm import queries as Q
+
+    rows = [(i, t, "en", "s", None if t is None else len(t)) for i, t in enumerate(texts())]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").repartition(3).write.parquet(str(tmp_path / "documents.parquet"))
+    run = lambda q: q(spark, str(tmp_path)).collect()
+    sha = lambda x: hashlib.sha256(x.encode()).hexdigest()
+    t = tokenizers.Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    pieces = run(Q.op1_packing)
+    assert pieces[0].asDict().keys() >= {"doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"}
+    for i, x, *_ in rows:
+        ids = np.array([*t.encode(x or "", add_special_tokens=False).ids, 0], dtype="<u4")
+        for p in (p for p in pieces if p.doc_id == i):
+            assert p.ids_crc32 == zlib.crc32(ids[p.start : p.start + p.length].tobytes()) and p.doc_tokens == len(ids)
+        assert sum(p.length for p in pieces if p.doc_id == i) == len(ids)
+    sp = sentencepiece.SentencePieceProcessor(model_file=public_tokenizers.path("piece_bpe_32k.model"))
+    assert {r.doc_id: (r.n_tokens, r.ids_sha256, r.decoded_sha256) for r in run(Q.op2_sentencepiece)} == {i: (len(k := sp.encode(x or "")), sha(",".join(map(str, k))), sha(sp.decode(k))) for i, x, *_ in rows}
+    assert len(run(Q.op4_quality_rules)) == len(run(Q.op9_minhash)) == len(rows)
+    want = brute_components([r[:2] for r in rows], 4, 85, 100)
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in run(Q.op10_ngram_jaccard_join)} == want
+    assert sum(r.n_docs for r in run(Q.op8_token_counts)) == len(rows) and len(run(Q.op5_license_scan)) == len(run(Q.op6_line_dedup)) == len(rows)
+
+
+def test_null_ids_of_lengths_and_pieces(null_ids):
+    from panelspark.llm.sentencepiece_codec import decode, encode
+    from panelspark.llm.token_counts import token_counts
+
+    assert sum(r.n_docs for r in token_counts(null_ids).collect()) == 5
+    assert decode(encode(null_ids)).count() == 5
+
+
+def test_quality_classifier_on_long_texts(spark):
+    """A text of 200,000 words is scored whole, like its own words one by one."""
+    from panelspark.llm.kn_quality import classify
+
+    r = random.Random(5)
+    common = [f"word{i}" for i in range(50)]
+    rows = [(i, " ".join(r.choices(common, k=40)), "en") for i in range(300)] + [(300, " ".join(r.choices(common, k=200_000)), "en"), (None, "word1 word2", "xx"), (301, None, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([(i, 1, 0) for i in range(300)], "doc_id long, quality int, toxic int")
+    got = {x.doc_id: x for x in classify(docs, labels).collect()}
+    typical = sorted(got[i].perplexity for i in range(300))
+    assert got[300].n_words == 200_000 and typical[0] < got[300].perplexity < typical[-1] and len(got) == len(rows)
+
+
 def test_minhash_links_copies_that_are_unlike_one_another(spark):
     """A base and copies that are over 0.8 like it and under 0.8 like one another are one class, whichever heads a list."""
     from panelspark.llm.minhash import near_duplicate_classes
@@ -378,10 +533,10 @@ def test_quality_classifier(spark, empty):
     alone = classify(docs, labels.limit(0)).collect()
     assert len(alone) == len(rows) and all(x.kept and x.perplexity is None for x in alone)
     sample = {x.id for x in trusted_sample(docs, labels, "doc_id", 8000).collect()}
-    train = {"en": [t for i, t, lang, _ in rows if i in sample and lang == "en"], None: [t for i, t, _, _ in rows if i in sample]}
+    train = {x: [t for i, t, lang, _ in rows if i in sample and lang == x] for x in ("en", "de")}
     scores = {k: KneserNey(v) for k, v in train.items()}
     for i, t, lang, _ in rows[::7] + rows[-2:]:
-        assert got[i].perplexity == pytest.approx(scores["en" if lang == "en" else None].perplexity(t or ""), rel=1e-6)
+        assert got[i].lang == lang and got[i].perplexity == pytest.approx(scores[lang].perplexity(t or ""), rel=1e-6)
 
 
 def test_quality_classifier_by_language(spark):

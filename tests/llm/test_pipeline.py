@@ -33,3 +33,21 @@ def test_one_row_of_each_group_of_copies_is_left(spark, sf_dir):
     out = pipeline.line_deduplication(spark, docs, sf_dir)
     assert out.columns == docs.columns
     assert {r.doc_id for r in out.collect()} == {0, 10, 20, 30, 40, 900, 901, 902, None}
+
+
+def test_stages_on_awkward_rows(spark, tmp_path):
+    """Nulls in every column, empty and long texts, repeated rows, columns with clashing names, and no rows at all."""
+    word = lambda i: hashlib.sha256(str(i).encode()).hexdigest()[:6]
+    long = " ".join(word(i) for i in range(20_000))
+    rows = [(1, "a b c", "en", "s", 5, "x", "x"), (1, "a b c", "en", "s", 5, "x", "x"), (None, None, None, None, None, None, None), (2, "", None, None, 0, "x", None), (3, long, "en", "s", len(long), None, "x"), (4, None, "de", "s", None, "x", "x"), (5, long + " more", "en", None, None, "x", "x")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long, key string, line string")
+    labels = spark.createDataFrame([(3, 1, 0), (None, None, None), (2, None, 1), (99, 1, 0)], "doc_id long, quality int, toxic int")
+    labels.write.parquet(str(tmp_path / "labels.parquet"))
+    for table in (docs, docs.limit(0)):
+        now = table
+        for name, stage in pipeline.STAGES[:-1]:
+            now = stage(spark, now, str(tmp_path))
+            assert now.columns == docs.columns, name
+            assert {r.doc_id for r in now.collect()} <= {None, 1, 2, 3, 4, 5}
+        assert pipeline.STAGES[-1][1](spark, table, str(tmp_path)).where("start = 0").count() == table.count()
+    assert pipeline.near_duplicates(spark, docs, str(tmp_path)).where("doc_id = 5").count() == 0
