@@ -9,6 +9,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
+from panelspark.operators.lifecycle import compare_run
+from panelspark.operators.panel import shown_changes
+
 STATE = "status string, misses int, seen_runs int, missing_runs int, last_run long"
 OUT = "ad_id long, run_id long, status string, misses int, seen_runs int, missing_runs int"
 TERMINAL = ("likely_removed", "likely_sold", "reposted")
@@ -90,3 +93,82 @@ def read_upserted(spark, path: str, keys: list[str], version: str) -> DataFrame:
     """The last row of each key over all batches."""
     rows = spark.read.parquet(path).drop("batch")
     return rows.groupBy(*keys).agg(F.max_by(F.struct(*rows.columns), F.col(version)).alias("r")).select("r.*")
+
+
+VERSIONS = "version int, last_run long"
+
+
+def _state(spark, path: str, schema: str) -> tuple[DataFrame, int, int]:
+    """(rows, version, last run applied) of the last whole state under a path; no rows and -1 before the first."""
+    done = spark.read.schema(VERSIONS).json(f"{path}/versions") if _there(spark, f"{path}/versions") else spark.createDataFrame([], VERSIONS)
+    last = done.orderBy(F.desc("version")).first()
+    if last is None:
+        return spark.createDataFrame([], schema), -1, -1
+    return spark.read.schema(schema).parquet(f"{path}/state-{last.version}"), last.version, last.last_run
+
+
+def _name(spark, path: str, version: int, last_run: int) -> None:
+    """From now on this version is the state."""
+    spark.createDataFrame([(version, last_run)], VERSIONS).write.mode("append").json(f"{path}/versions")
+
+
+def _there(spark, path: str) -> bool:
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(place)
+
+
+STATUS_STATE = "ad_id long, status string, misses int, seen_runs int, missing_runs int, first_seen long, last_seen long, first_missing long, confirmed_removed long, reappeared long"
+
+
+def fold_runs(cards: DataFrame, path: str, checkpoint: str, key: str = "ad_id", run: str = "run_id", confirm: int = 2):
+    """The status of every key kept current under a path, a run comparison in the JVM for each run of a micro-batch.
+
+    cards has the keys seen in each run; all runs count as valid. Each batch writes one whole new state and then names it, so a
+    batch that is played again after a failure starts from the state before it. Runs at or before the last one applied change nothing.
+    Returns the started query.
+    """
+
+    def apply(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        state, version, last = _state(spark, path, STATUS_STATE)
+        if batch_id <= version:
+            return
+        rows = batch.select(F.col(key).cast("long").alias("ad_id"), F.col(run).cast("long").alias("run")).distinct()
+        for r in rows.select("run").distinct().orderBy("run").collect():  # one number a run
+            if r.run > last:
+                state, last = compare_run(state, rows.where(F.col("run") == r.run).select("ad_id"), r.run, "ad_id", confirm), r.run
+        state.write.mode("overwrite").parquet(f"{path}/state-{batch_id}")
+        _name(spark, path, batch_id, last)
+
+    return cards.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
+def read_folded(spark, path: str) -> DataFrame:
+    """The state that fold_runs left."""
+    return _state(spark, path, STATUS_STATE)[0]
+
+
+PRICE_STATE = "ad_id long, at timestamp, value double"
+
+
+def change_batches(sightings: DataFrame, path: str, checkpoint: str, key: str = "ad_id", at: str = "ts", value: str = "value"):
+    """Changes of a value against the key's previous sighting, across micro-batches: the last sighting of each key is kept under a path.
+
+    Changes are written to path/changes, one folder a batch, so a replayed batch overwrites its own. A sighting without a value hides or
+    reveals it. Returns the started query.
+    """
+
+    def apply(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        state, version, _ = _state(spark, path, PRICE_STATE)
+        if batch_id <= version:
+            return
+        rows = batch.select(F.col(key).cast("long").alias("ad_id"), F.col(at).cast("timestamp").alias("at"), F.col(value).cast("double").alias("value"))
+        both = state.unionByName(rows)
+        known = state.select("ad_id", "at").withColumn("old", F.lit(True))
+        changes = shown_changes(both, "ad_id", "at", "value").join(known, ["ad_id", "at"], "left_anti")
+        changes.write.mode("overwrite").parquet(f"{path}/changes/batch={batch_id}")
+        both.groupBy("ad_id").agg(F.max_by(F.struct("at", "value"), "at").alias("r")).select("ad_id", "r.*").write.mode("overwrite").parquet(f"{path}/state-{batch_id}")
+        _name(spark, path, batch_id, -1)
+
+    return sightings.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

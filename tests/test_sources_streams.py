@@ -70,6 +70,40 @@ def test_status_stream_and_replay(spark, tmp_path):
     assert later == first | {(1, 2): "likely_removed", (1, 3): "reappeared", (2, 1): "active"}
 
 
+def test_runs_folded_in_batches(spark, tmp_path):
+    """Cards that arrive over batches lead to the state of one fold over all runs; a run delivered again changes nothing."""
+    from panelspark.operators.lifecycle import fold_status
+    from panelspark.operators.panel import with_absences
+
+    cards = [(1, 0), (2, 0), (3, 0), (1, 1), (2, 1), (1, 2), (1, 3), (3, 3), (4, 3)]
+
+    def run(rows):
+        spark.createDataFrame(rows, "ad_id long, run_id long").write.mode("append").parquet(f"{tmp_path}/in")
+        s = spark.readStream.schema("ad_id long, run_id long").parquet(f"{tmp_path}/in")
+        T.fold_runs(s, f"{tmp_path}/state", f"{tmp_path}/checkpoint").awaitTermination()
+        return {r.ad_id: tuple(r)[1:] for r in T.read_folded(spark, f"{tmp_path}/state").collect()}
+
+    run([c for c in cards if c[1] < 2])
+    got = run([c for c in cards if c[1] >= 2])
+    want = {r.ad_id: tuple(r)[1:] for r in fold_status(with_absences(spark.createDataFrame(cards, "ad_id long, run_id long"))).collect()}
+    assert got == want
+    assert run([c for c in cards if c[1] == 1]) == want
+
+
+def test_changes_over_batches(spark, tmp_path):
+    from datetime import datetime
+
+    def run(rows):
+        spark.createDataFrame([(a, datetime(2026, 1, d), v) for a, d, v in rows], "ad_id long, ts timestamp, value double").write.mode("append").parquet(f"{tmp_path}/in")
+        s = spark.readStream.schema("ad_id long, ts timestamp, value double").parquet(f"{tmp_path}/in")
+        T.change_batches(s, f"{tmp_path}/state", f"{tmp_path}/checkpoint").awaitTermination()
+        return sorted((r.ad_id, r["at"].day, r.change_type) for r in spark.read.parquet(f"{tmp_path}/state/changes").collect())
+
+    first = run([(1, 1, 5.0), (1, 2, 6.0), (2, 1, 1.0)])
+    assert first == [(1, 2, "increase")]
+    assert run([(1, 3, None), (2, 4, 0.5), (2, 5, 0.5)]) == sorted([*first, (1, 3, "hidden"), (2, 4, "decrease")])
+
+
 def test_page_records(spark):
     html = '<html lang="en"><head><title>A &amp; B</title><style>x</style><script type="application/ld+json">{"a": 1}</script></head><body><p>Hello <a href="/x">you</a></p><script>no()</script></body></html>'
     r = extract(spark.createDataFrame([(1, html), (2, None)], "id long, html string"), "id", "html").orderBy("id").collect()
