@@ -90,3 +90,15 @@ def item_condition(block: Column) -> Column:
 def absence_cause(missing_pct: Column, column: Column, structural: tuple[str, ...], recent: tuple[str, ...]) -> Column:
     """Why a field is missing: never, not collected at all, not applicable to some kinds, collected since lately, or not stated."""
     return (F.when(missing_pct == 0, "complete").when(missing_pct == 100, "not_collected").when(column.isin(*structural), "not_applicable").when(column.isin(*recent), "collected_later").otherwise("not_stated"))
+
+
+def converted_year(year: Column) -> Column:
+    """struct(year, converted): years of 1500 and more are Gregorian, lose 621 and are marked."""
+    gregorian = F.coalesce(year >= 1500, F.lit(False))
+    return F.struct(F.when(gregorian, year - 621).otherwise(year).alias("year"), gregorian.alias("converted"))
+
+
+def snapshot_age(as_of: Column, scraped: Column, stale_hours: float = 72.0) -> Column:
+    """struct(age_hours, stale) of a version as of an instant; without a version the age is null and it counts as stale."""
+    age = F.round((F.unix_micros(as_of.cast("timestamp")) - F.unix_micros(scraped.cast("timestamp"))) / 3.6e9, 4)
+    return F.struct(age.alias("age_hours"), F.coalesce(age > stale_hours, F.lit(True)).alias("stale"))

@@ -125,3 +125,37 @@ def key_references(rows: DataFrame, keys: dict[str, Column]) -> DataFrame:
     """(kind, key, references) of join keys derived from rows; rows without a key count for none."""
     pairs = F.array(*[F.struct(F.lit(k).alias("kind"), c.cast("string").alias("key")) for k, c in keys.items()])
     return rows.select(F.explode(pairs).alias("p")).select("p.*").where("key is not null").groupBy("kind", "key").agg(F.count("*").alias("references"))
+
+
+def prioritised(tagged: list[tuple[str, DataFrame]], key: str, cap: int) -> DataFrame:
+    """P20: (key, tag, priority) of the union of tagged key sets in order of priority: each key under its first tag, the first `cap` by priority and key."""
+    every = None
+    for i, (tag, rows) in enumerate(tagged):
+        one = rows.select(key, F.struct(F.lit(i).alias("priority"), F.lit(tag).alias("tag")).alias("p"))
+        every = one if every is None else every.unionByName(one)
+    best = every.groupBy(key).agg(F.min("p").alias("p"))
+    return best.select(key, "p.tag", "p.priority").orderBy("priority", key).limit(cap)
+
+
+def stratified(rows: DataFrame, stratum: Column, order: list[str], most: int = 25) -> DataFrame:
+    """K3: up to `most` rows of each stratum by the order columns; partitions keep their first rows before the shuffle."""
+    named = rows.withColumn("stratum", stratum)
+    w = Window.partitionBy("stratum").orderBy(*order)
+    return named.withColumn("__n", F.row_number().over(w)).where(F.col("__n") <= most).drop("__n")
+
+
+def enriched(rows: DataFrame, extra: DataFrame, key: str, at: str | None, cutoff: Column, columns: list[str]) -> tuple[DataFrame, DataFrame]:
+    """(rows with a second source's columns, one row of coverage): of each key the last extra row not after the cutoff counts, nothing later leaks in."""
+    seen = extra.where(F.col(at) <= cutoff) if at else extra
+    last = seen.groupBy(key).agg(F.max_by(F.struct(*columns), F.col(at)).alias("__x") if at else F.min(F.struct(*columns)).alias("__x"))
+    out = rows.join(last, key, "left")
+    coverage = out.agg(F.count("*").alias("rows"), F.count("__x").alias("matched"), F.round(100.0 * F.count("__x") / F.count("*"), 4).alias("matched_pct"))
+    return out.select(*rows.columns, *[F.col("__x")[c].alias(c) for c in columns]), coverage
+
+
+def rate_alerts(runs: DataFrame, removal: float = 0.20, failure: float = 0.20) -> DataFrame:
+    """L4: (run_id, alert_type, severity, observed) of runs whose removals among known items, or failures among checks, pass a share."""
+    share = lambda a, b: F.when(F.col(b) > 0, F.round(F.col(a) / F.col(b), 4))
+    rules = [("unusually_high_removal_rate", share("removals", "known_active"), removal), ("detail_failure_rate_exceeded", share("failures", "checks"), failure)]
+    rows = F.array_compact(F.array(*[F.when(x > limit, F.struct(F.lit(name).alias("alert_type"), F.lit("warning").alias("severity"), x.alias("observed"))) for name, x, limit in rules]))
+    return runs.select("run_id", F.explode(rows).alias("a")).select("run_id", "a.*")

@@ -265,3 +265,77 @@ def future_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
     """No version of an item may be later than the run it is shown in."""
     rows = table(spark, sf_dir, "lineitem").join(table(spark, sf_dir, "orders"), F.col("o_orderkey") == F.col("l_orderkey"))
     return Q.count_where(rows, [("future_snapshot", Q.CRITICAL, F.col("l_shipdate") > F.col("o_orderdate") + F.expr("interval 121 days"))])
+
+
+@query("converted_years", "select year(o_orderdate) - case when o_orderkey % 2 = 0 then 621 else 0 end as stated, year(o_orderdate) - 621 as year, o_orderkey % 2 = 1 as converted, count(*) as n from orders group by all")
+def converted_years(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Half of the years are stated in the other calendar."""
+    stated = F.year("o_orderdate") - F.when(F.col("o_orderkey") % 2 == 0, 621).otherwise(0)
+    rows = table(spark, sf_dir, "orders").select(stated.alias("stated"), V.converted_year(stated).alias("y"))
+    return rows.groupBy("stated", "y").agg(F.count("*").alias("n")).select("stated", "y.*", "n")
+
+
+@query("snapshot_ages", "with s as (select o_orderkey, o_orderdate, max(l_shipdate) as seen from orders left join lineitem on l_orderkey = o_orderkey and l_shipdate <= o_orderdate + interval '30 days' group by all) select o_orderkey, round(date_diff('microsecond', seen, o_orderdate + interval '30 days') / 3.6e9, 4) as age_hours, coalesce(date_diff('microsecond', seen, o_orderdate + interval '30 days') / 3.6e9 > 72, true) as stale from s")
+def snapshot_ages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An order's last shipment, seen thirty days after it."""
+    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate")
+    l = table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("o_orderkey"), "l_shipdate")
+    until = F.expr("o_orderdate + interval 30 days")
+    last = o.join(l, "o_orderkey").where(F.col("l_shipdate") <= until).groupBy("o_orderkey").agg(F.max("l_shipdate").alias("at"))
+    return o.join(last, "o_orderkey", "left").select("o_orderkey", V.snapshot_age(until, F.col("at")).alias("a")).select("o_orderkey", "a.*")
+
+
+@query("prioritised_targets", f"with {OBS}, e as (select ad_id, min(run_id) as f, max(run_id) as l, max(price) - min(price) as moved from obs group by 1), t as (select ad_id, (0, 'new') as p from e where f > 19730 union all select ad_id, (1, 'missing') from e where l < 19750 union all select ad_id, (2, 'card_changed') from e where moved > 100 union all select distinct ad_id, (3, 'previous_failure') from obs where event_type = 'error' union all select ad_id, (4, 'refresh') from e), b as (select ad_id, min(p) as p from t group by 1) select ad_id, p[2] as tag, p[1]::integer as priority from b order by priority, ad_id limit 100")
+def prioritised_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P20: all tags but the sample for quality control, which a hash draws."""
+    obs = frames.observations(spark, sf_dir)
+    ends = obs.groupBy("ad_id").agg(F.min("run_id").alias("f"), F.max("run_id").alias("l"), (F.max("price") - F.min("price")).alias("moved"))
+    tagged = [("new", ends.where("f > 19730")), ("missing", ends.where("l < 19750")), ("card_changed", ends.where("moved > 100")), ("previous_failure", obs.where("event_type = 'error'")), ("refresh", ends)]
+    return G.prioritised(tagged, "ad_id", 100)
+
+
+@query("score_band_sample", f"with recursive {SCORE} select ad_id, score, floor(score * 10) / 10 as stratum from c qualify row_number() over (partition by floor(score * 10) order by ad_id) <= 25")
+def score_band_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K3: up to 25 of each band of the evidence score."""
+    return G.stratified(lifecycle.scored(spark, sf_dir).select("ad_id", "score"), F.floor(F.col("score") * 10) / 10, ["ad_id"])
+
+
+@query("enrichment_as_of", "with l as (select l_orderkey, arg_max(l_extendedprice, (l_shipdate, l_linenumber, l_extendedprice)) as price from lineitem where l_shipdate <= timestamp '1998-06-30' group by 1) select count(*) as rows, count(price) as matched, round(100.0 * count(price) / count(*), 4) as matched_pct from orders left join l on l_orderkey = o_orderkey")
+def enrichment_as_of(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines shipped by an instant as the second source."""
+    extra = table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("o_orderkey"), "l_shipdate", "l_extendedprice")
+    return G.enriched(table(spark, sf_dir, "orders").select("o_orderkey"), extra, "o_orderkey", "l_shipdate", F.lit("1998-06-30").cast("timestamp_ntz"), ["l_extendedprice"])[1]
+
+
+RATES = f"{WITH}, {RUN_EVENTS}, rem as (select run_id, count(*) filter (event_type = 'confirmed_removed') as removals from ev group by 1), kn as (select run_id, count(*) as known_active from panel group by 1), ck as (select {DAY} as run_id, count(*) as checks, count(*) filter (event_type = 'error') as failures from events group by 1), r as (select run_id, round(removals / known_active, 4) as a, round(failures / checks, 4) as b from rem join kn using (run_id) join ck using (run_id))"
+
+
+@query("rate_alerts", f"{RATES} select run_id, 'unusually_high_removal_rate' as alert_type, 'warning' as severity, a as observed from r where a > 0.01 union all select run_id, 'detail_failure_rate_exceeded', 'warning', b from r where b > 0.2")
+def rate_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """L4: with a lower share of removals than the default, which no small table reaches."""
+    removals = run_events(spark, sf_dir).groupBy("run_id").agg(F.count_if(F.col("event_type") == "confirmed_removed").alias("removals"))
+    known = frames.panel(spark, sf_dir).groupBy("run_id").agg(F.count("*").alias("known_active"))
+    checks = table(spark, sf_dir, "events").groupBy(frames.run_of("ts").alias("run_id")).agg(F.count("*").alias("checks"), F.count_if(F.col("event_type") == "error").alias("failures"))
+    return G.rate_alerts(removals.join(known, "run_id").join(checks, "run_id"), removal=0.01)
+
+
+@query("evidence_medians", f"with recursive {SCORE} select status, misses, count(*) as ads, round(median(score), 4) as median_score from c join m using (ad_id) group by status, misses")
+def evidence_medians(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Medians by status and misses."""
+    misses = lifecycle.states(spark, sf_dir).select("ad_id", "misses")
+    return lifecycle.scored(spark, sf_dir).join(misses, "ad_id").groupBy("status", "misses").agg(F.count("*").alias("ads"), F.round(F.median("score"), 4).alias("median_score"))
+
+
+DIMS = ("p_brand", "p_type", "l_returnflag", "l_linestatus", "o_orderpriority", "o_orderstatus", "c_mktsegment", "n_name", "size_band", "year")
+WIDE = "wide as (select p_brand, p_type, l_returnflag, l_linestatus, o_orderpriority, nullif(o_orderstatus, 'P') as o_orderstatus, c_mktsegment, n_name, case when p_size < 10 then 'small' when p_size < 30 then 'middle' end as size_band, year(o_orderdate)::varchar as year from lineitem join part on p_partkey = l_partkey join orders on o_orderkey = l_orderkey join customer on c_custkey = o_custkey join nation on n_nationkey = c_nationkey)"
+
+
+@query("wide_composition", f"with {WIDE}, l as (" + " union all ".join(f"select '{d}' as dimension, {d} as value, count(*) as n from wide group by {d}" for d in DIMS) + "), t as (select dimension, sum(n) as total, sum(n) filter (value is not null) as known from l group by 1) select dimension, value, n, round(100.0 * n / known, 4) as share_known_pct, round(100.0 * n / total, 4) as share_total_pct, round(100.0 * known / total, 4) as coverage_pct from l join t using (dimension) where value is not null")
+def wide_composition(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A3: ten dimensions from one scan."""
+    l = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_returnflag", "l_linestatus")
+    o = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey", "o_orderpriority", F.nullif("o_orderstatus", F.lit("P")).alias("o_orderstatus"), F.year("o_orderdate").cast("string").alias("year"))
+    p = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("l_partkey"), "p_brand", "p_type", F.when(F.col("p_size") < 10, "small").when(F.col("p_size") < 30, "middle").alias("size_band"))
+    c = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("o_custkey"), "c_mktsegment", F.col("c_nationkey").alias("n_nationkey"))
+    n = F.broadcast(table(spark, sf_dir, "nation").select("n_nationkey", "n_name"))  # 25 rows at any size
+    return R.composition(l.join(o, "l_orderkey").join(p, "l_partkey").join(c, "o_custkey").join(n, "n_nationkey"), list(DIMS))
