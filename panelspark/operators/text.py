@@ -5,6 +5,7 @@ from __future__ import annotations
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from panelspark.functions import columns as C
 
@@ -50,7 +51,7 @@ def leak_report(rows: DataFrame, columns: list[str]) -> DataFrame:
     return one.select(F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).alias("leaks")) for c in columns])).alias("r")).select("r.*")
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())  # a type by name would need a session at import
 def nfc(texts: pd.Series) -> pd.Series:
     """Canonical composition, for F2's letters."""
     from unicodedata import normalize

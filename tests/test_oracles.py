@@ -28,3 +28,14 @@ def test_entry(spark):
 
     assert entry.entry(spark).count() > 0
     assert set(entry.oracle_sql()) <= set(entry.queries())
+
+
+def test_queries_are_listed_without_a_session():
+    """Importing the entry and naming its queries starts no Spark."""
+    import subprocess
+    import sys
+    from pathlib import Path
+
+    code = "import __spark_entry__ as e, pyspark; print(len(e.queries()) >= len(e.oracle_sql()) > 0, pyspark.SparkContext._active_spark_context is None)"
+    out = subprocess.run([sys.executable, "-c", code], cwd=Path(__file__).resolve().parent.parent, capture_output=True, text=True, check=True)
+    assert out.stdout.split()[-2:] == ["True", "True"]
