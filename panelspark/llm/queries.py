@@ -91,6 +91,6 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict[str, str]:
-    from panelspark.llm import licenses
+    from panelspark.llm import licenses, oracles
 
-    return {"op5_license_scan": licenses.oracle_sql()}
+    return {"op4_quality_rules": oracles.QUALITY_RULES, "op5_license_scan": licenses.oracle_sql(), "op7_chat_formatting": oracles.CHAT_FORMATTING, "op10_ngram_jaccard_join": oracles.NGRAM_JACCARD_JOIN}
