@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import hashlib
+import json
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, MapType, StructType
 
@@ -18,10 +20,16 @@ def scan(spark: SparkSession, path: str, wanted: list[str]) -> tuple[DataFrame,
     return rows.select(*have), [c for c in wanted if c not in have]
 
 
-def labelled(df: DataFrame, label: str) -> tuple[DataFrame, dict]:
-    """The frame with a row counter under its label, and (label, hash of its logical plan)."""
-    plan = df._jdf.queryExecution().analyzed().canonicalized().toString()
-    return df.observe(label, F.count(F.lit(1)).alias("rows")), {"label": label, "plan_sha256": hashlib.sha256(plan.encode()).hexdigest()}
+def labelled(df: DataFrame, label: str, text: str) -> tuple[DataFrame, Observation, dict]:
+    """The frame with a row counter, the counter (its `get` has the rows once an action ran), and (label, SHA-256 of the query's text)."""
+    counter = Observation(label)
+    return df.observe(counter, F.count(F.lit(1)).alias("rows")), counter, {"label": label, "query_sha256": hashlib.sha256(text.encode()).hexdigest()}
+
+
+def config_fingerprint(config: dict, volatile: tuple[str, ...] = ()) -> str:
+    """64 hexadecimal digits of a configuration, whatever the order of its entries and without those that don't change results."""
+    kept = {k: v for k, v in config.items() if k not in volatile}
+    return hashlib.sha256(json.dumps(kept, sort_keys=True, ensure_ascii=False, default=str).encode()).hexdigest()
 
 
 def jdbc(spark: SparkSession, url: str, table: str, key: str, low: int, high: int, parts: int = 8) -> DataFrame:
@@ -60,12 +68,27 @@ def content_hash(df: DataFrame) -> DataFrame:
     return df.agg(F.count("*").alias("rows"), F.coalesce(F.sum(F.xxhash64(*df.columns).cast("decimal(20,0)")), F.lit(0).cast("decimal(38,0)")).cast("string").alias("content_hash"))
 
 
+def written(spark: SparkSession, path: str) -> DataFrame:
+    """(files, bytes) under a path; contents aren't read."""
+    return spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path).agg(F.count("*").alias("files"), F.coalesce(F.sum("length"), F.lit(0)).alias("bytes"))
+
+
+def manifest(sources: dict[str, DataFrame], exclusions: list[tuple[str, str, DataFrame]], warnings: list[str], queries: list[dict]) -> DataFrame:
+    """(area, name, reason, n): rows of each source, rows left out by reason, warnings, and the query log with its hashes."""
+    spark = next(iter(sources.values())).sparkSession
+    rows = [df.agg(F.count("*").alias("n")).select(F.lit("source").alias("area"), F.lit(name).alias("name"), F.lit(None).cast("string").alias("reason"), "n") for name, df in sources.items()]
+    rows += [df.agg(F.count("*").alias("n")).select(F.lit("exclusion").alias("area"), F.lit(name).alias("name"), F.lit(reason).alias("reason"), "n") for name, reason, df in exclusions]
+    said = [("warning", w, None, None) for w in warnings] + [("query", q["label"], q["query_sha256"], None) for q in queries]
+    return reduce(DataFrame.unionByName, [*rows, spark.createDataFrame(said, "area string, name string, reason string, n long")])
+
+
 def export(tables: dict[str, DataFrame], folder: str, form: str = "parquet") -> DataFrame:
-    """Writes each table and gives the manifest: (table, rows, content_hash). An empty table keeps its schema."""
+    """Writes each table and gives (table, rows, content_hash, files, bytes). An empty table keeps its schema."""
     out = None
     for name, df in tables.items():
         write_table(df, f"{folder}/{name}", form)
-        row = content_hash(df).select(F.lit(name).alias("table"), "rows", "content_hash")
+        size = written(df.sparkSession, f"{folder}/{name}").withColumn("__j", F.lit(1))
+        row = content_hash(df).withColumn("__j", F.lit(1)).join(size, "__j").select(F.lit(name).alias("table"), "rows", "content_hash", "files", "bytes")
         out = row if out is None else out.unionByName(row)
     return out
 
@@ -79,9 +102,15 @@ def first_pages(spark: SparkSession, path: str, key: str, items: str, schema: st
 
 
 def write_snapshot(tables: dict[str, DataFrame], folder: str) -> None:
-    """Immutable bundle by run: each table under run_date and run_id, where only the written partitions change."""
+    """Immutable bundle by run: each table under run_date and run_id, where only the written partitions change. A run counts
+    as written once `runs` has its row, which comes last: (run_date, run_id, table, rows, content_hash)."""
+    keys = ["run_date", "run_id"]
+    rows = []
     for name, df in tables.items():
-        df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("run_date", "run_id").parquet(f"{folder}/{name}")
+        df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*keys).parquet(f"{folder}/{name}")
+        others = [c for c in df.columns if c not in keys]
+        rows.append(df.groupBy(*keys).agg(F.count("*").alias("rows"), F.sum(F.xxhash64(*others).cast("decimal(20,0)")).cast("string").alias("content_hash")).select(*keys, F.lit(name).alias("table"), "rows", "content_hash"))
+    reduce(DataFrame.unionByName, rows).coalesce(1).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*keys).parquet(f"{folder}/runs")
 
 
 def latest_valid(runs: DataFrame) -> DataFrame:

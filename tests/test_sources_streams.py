@@ -13,7 +13,9 @@ from panelspark.streaming import streams as T
 
 def test_scan_and_export(spark, tmp_path):
     df = spark.createDataFrame([(1, ["a", "b"]), (2, None)], "id long, tags array<string>")
-    manifest = {r.table: (r.rows, r.content_hash) for r in io.export({"t": df, "none": df.limit(0)}, str(tmp_path)).collect()}
+    rows = io.export({"t": df, "none": df.limit(0)}, str(tmp_path)).collect()
+    manifest = {r.table: (r.rows, r.content_hash) for r in rows}
+    assert all(r.bytes > 0 and r.files > 0 for r in rows)
     assert manifest["t"][0] == 2 and manifest["none"] == (0, "0")
     back, skipped = io.scan(spark, f"{tmp_path}/t", ["id", "tags", "other"])
     assert skipped == ["other"] and back.columns == ["id", "tags"]
@@ -32,6 +34,19 @@ def test_pages_and_snapshots(spark, tmp_path):
         io.write_snapshot({"s": spark.createDataFrame([("2026-06-01", 1, value)], "run_date string, run_id int, v int")}, f"{tmp_path}/snap")
     io.write_snapshot({"s": spark.createDataFrame([("2026-06-02", 2, 9)], "run_date string, run_id int, v int")}, f"{tmp_path}/snap")
     assert sorted(r.v for r in spark.read.parquet(f"{tmp_path}/snap/s").collect()) == [2, 9]
+    assert {(r.run_id, r.table, r.rows) for r in spark.read.parquet(f"{tmp_path}/snap/runs").collect()} == {(1, "s", 1), (2, "s", 1)}
+
+
+def test_labels_manifest_and_views(spark):
+    df = spark.range(5)
+    rows, counter, row = io.labelled(df.where("id > 1"), "some", "select * from x where id > 1")
+    assert rows.count() == 3 and counter.get["rows"] == 3 and len(row["query_sha256"]) == 64
+    got = {(r.area, r.name): (r.reason, r.n) for r in io.manifest({"ids": df}, [("ids", "too small", df.where("id < 2"))], ["few rows"], [row]).collect()}
+    assert got == {("source", "ids"): (None, 5), ("exclusion", "ids"): ("too small", 2), ("warning", "few rows"): (None, None), ("query", "some"): (row["query_sha256"], None)}
+    assert io.config_fingerprint({"a": 1, "b": [2], "t": "now"}, ("t",)) == io.config_fingerprint({"b": [2], "a": 1}) != io.config_fingerprint({"a": 2, "b": [2]})
+    for _ in range(2):
+        io.views({"some_ids": df})
+    assert spark.sql("select count(*) as n from some_ids").first().n == 5
 
 
 def test_enforce(spark):
