@@ -25,7 +25,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from panelspark.llm._graph import cut
+from panelspark.llm._graph import cut, drop
 
 THRESHOLD, CHARS_AN_EDIT = 2, 10
 #: Lines that occur most often, whose repeats are dropped before the shuffle: a fixed bound of what is broadcast.
@@ -225,6 +225,7 @@ def duplicate_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     untried = F.expr("a < b and (own_a or own_b) and a <> owner and b <> owner and not (own_b and a = first)")
     close = F.expr(f"{letters_apart('s1a', 's1b')} + {letters_apart('s2a', 's2b')} <= {2 * threshold}")
     more = cut(early.join(late, "key").where(untried & close).select("a", "b").distinct())
+    drop(lists)
     near = settled.unionByName(_near(more, texts, threshold, chars_an_edit)).select("at.id", "at.pos")
     return equal.unionByName(near).distinct()
 
