@@ -6,13 +6,11 @@ stage's result is written as Parquet in the shared folder and read again as the
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from panelspark.llm import kn_quality, line_dedup, ngram_join, packing, rule_cascade
-from panelspark.llm._graph import shared_folder
+from panelspark.llm._graph import cut, drop
 
 WORD = r"[^\x20\x09-\x0D]"
 
@@ -54,10 +52,11 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages on documents, each written to the shared folder and read again."""
-    folder = f"{shared_folder(spark)}/corpus_pipeline-{uuid.uuid4().hex}"
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for name, stage in STAGES[:-1]:
-        stage(spark, docs, sf_dir).write.parquet(f"{folder}/{name}")
-        docs = spark.read.parquet(f"{folder}/{name}")
+    """All stages on documents, each written to the shared folder and read again; a stage's table goes once the next one is written."""
+    docs, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
+    for _, stage in STAGES[:-1]:
+        docs = cut(stage(spark, docs, sf_dir))
+        if before is not None:
+            drop(before)
+        before = docs
     return STAGES[-1][1](spark, docs, sf_dir)
