@@ -39,3 +39,23 @@ l as (select x, y from p join n nx on nx.doc_id = x join n ny on ny.doc_id = y w
 e as (select x as a, y as b from l union all select y, x from l),
 r as (select doc_id as node, doc_id as reach from n union select r.node, e.b from r join e on e.a = r.reach)
 select d.doc_id, coalesce(any_value(n.n), 0) as n_shingles, coalesce(min(r.reach), d.doc_id) as component_id from d left join n using (doc_id) left join r on r.node = d.doc_id group by d.doc_id"""
+
+
+def vector_codes(parts: int = 8, entries: int = 16, rounds: int = 6, scale: int = 4096) -> str:
+    """Each round is a pair of tables: every part beside every entry of its codebook, then the entries' new components."""
+    steps = [
+        f"""k as materialized (select vec_id, label, [floor({scale} * x::double)::bigint for x in embedding] as v from embeddings
+  where embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0)""",
+        f"p as materialized (select vec_id, label, q, v[q * len(v) // {parts} + 1 : (q + 1) * len(v) // {parts}] as x from k, range({parts}) r(q))",
+        f"b0 as materialized (select q, (dense_rank() over (order by vec_id) - 1)::bigint as e, x as c from p where vec_id in (select vec_id from k order by vec_id limit {entries}))",
+    ]
+    for i in range(rounds + 1):
+        steps.append(f"""a{i} as materialized (select vec_id, any_value(label) as label, q, any_value(x) as x, min(struct_pack(d := d, e := e)) as best from (
+  select p.*, b.e, list_sum(list_transform(list_zip(p.x, b.c), lambda z: (z[1] - z[2]) * (z[1] - z[2])))::bigint as d from p join b{i} b using (q)) group by vec_id, q)""")
+        if i < rounds:
+            steps.append(f"""b{i + 1} as materialized (with m as (select q, best.e as e, j, floor(sum(x[j]) / count(*))::bigint as y from a{i}, (select unnest(generate_series(1, (select max(len(x)) from p))) as j) group by all),
+  n as (select q, e, list(y order by j) as c from m group by all) select b.q, b.e, coalesce(n.c, b.c) as c from b{i} b left join n using (q, e))""")
+    return f"""with {", ".join(steps)},
+h as (select sha256(string_agg(array_to_string(c, ','), ',' order by q, e)) as s from b{rounds}),
+o as (select vec_id, any_value(label) as label, string_agg(printf('%02x', best.e), '' order by q) as code, sum(best.d)::bigint as error from a{rounds} group by vec_id)
+select vec_id, code, error, (sum(error) over (partition by label))::bigint as label_error, h.s as codebooks_sha256 from o, h"""

@@ -86,6 +86,20 @@ def op10_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(_read(spark, sf_dir, "documents"), n=4, threshold=(85, 100))
 
 
+def op12_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every url of pages, judged by the rules and by a model that is fitted on the library's own labelled URLs."""
+    from panelspark.llm import url_filter
+
+    return url_filter.judge(_read(spark, sf_dir, "pages"), url_filter.train(url_filter.labelled_urls(spark)), url_filter.RULES)
+
+
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every embedding with finite components as eight codes of sixteen entries, after six rounds."""
+    from panelspark.llm.vector_codes import compress
+
+    return compress(_read(spark, sf_dir, "embeddings"))
+
+
 def queries() -> dict:
     return {k: f for k, f in globals().items() if (k.startswith("op") or k == "minhash_classes") and callable(f)}
 
@@ -93,4 +107,4 @@ def queries() -> dict:
 def oracle_sql() -> dict[str, str]:
     from panelspark.llm import licenses, oracles
 
-    return {"op4_quality_rules": oracles.QUALITY_RULES, "op5_license_scan": licenses.oracle_sql(), "op7_chat_formatting": oracles.CHAT_FORMATTING, "op10_ngram_jaccard_join": oracles.NGRAM_JACCARD_JOIN}
+    return {"op4_quality_rules": oracles.QUALITY_RULES, "op5_license_scan": licenses.oracle_sql(), "op7_chat_formatting": oracles.CHAT_FORMATTING, "op10_ngram_jaccard_join": oracles.NGRAM_JACCARD_JOIN, "op13_vector_codes": oracles.vector_codes()}
