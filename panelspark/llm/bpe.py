@@ -47,6 +47,7 @@ class ChunkTable:
         with open(path or vocabulary_path("byte_bpe_50k.tiktoken"), "rb") as lines:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
         self.encode = tiktoken.Encoding("byte_bpe", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
+        self.token_bytes = [t for t, _ in sorted(ranks.items(), key=lambda x: x[1])]
         self.table: dict[str, bytes] = {}
 
     def _chunk(self, chunk: str) -> bytes:

@@ -86,6 +86,13 @@ def op10_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(_read(spark, sf_dir, "documents"), n=4, threshold=(85, 100))
 
 
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every whole text of documents under both vocabularies, aligned by bytes, with corpus-wide counts of linked pairs."""
+    from panelspark.llm.token_alignment import token_links
+
+    return token_links(_read(spark, sf_dir, "documents"))
+
+
 def op12_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every url of pages, judged by the rules and by a model that is fitted on the library's own labelled URLs."""
     from panelspark.llm import url_filter
