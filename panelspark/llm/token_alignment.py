@@ -7,18 +7,19 @@ id. Second pass: counts go back to the blocks that have the pairs, which align t
 
 Nothing that grows with the corpus is broadcast or collected: a shard's table is bounded by the two vocabularies, a block by its rows and characters.
 
-Texts are cut into chunks (white space with what follows it), as neither tokenizer has a token across such a cut; each worker aligns a distinct
-chunk once and keeps it in a table of bounded size. Texts with white space other than spaces and line feeds, and chunks whose tokens don't
-spell their bytes, are aligned whole.
+Texts are cut into chunks (white space with what follows it), as neither tokenizer has a token across such a cut; the distinct chunks of a
+block are encoded and aligned once, together. Texts with white space other than spaces and line feeds, and texts with a chunk whose tokens don't
+spell its bytes, are aligned whole.
 """
 
 from __future__ import annotations
 
 import hashlib
 import re
-from collections.abc import Iterator
+from collections import defaultdict
+from collections.abc import Iterable, Iterator
 from functools import lru_cache
-from itertools import accumulate
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -33,31 +34,11 @@ from panelspark.llm.mphf import PerfectHash, verified_index
 SHARDS, BLOCK_ROWS, LONG = 64, 1024, 32_768
 #: Rows of blocks whose counts meet in one dense vector, least number of such vectors a shard, vectors summed at a time.
 VECTOR_ROWS, LEAST_VECTORS, FAN_IN = 4096, 4, 8
-#: Chunks that a worker keeps, and their longest length.
-TABLE_ROWS, TABLE_CHARS = 250_000, 48
 _CHUNK = re.compile(r"[ \n]*[^ \n]+|[ \n]+")
 
-#: Of one chunk: tokens of either side, groups, links, ids by group as text, linked pairs (first id << 32 | second id).
-Chunk = tuple[int, int, int, int, str, bytes]
 
-
-def align(a: list[int], b: list[int], a_sizes: list[int], b_sizes: list[int]) -> Chunk:
-    """Both sides' ids, whose sizes in bytes sum to the same. Groups end where tokens of both sides end; every pair that overlaps is a link."""
-    ends_a, ends_b = list(accumulate(a_sizes)), list(accumulate(b_sizes))
-    i = j = first_a = first_b = 0
-    groups, links = [], []
-    while i < len(a):
-        links.append(a[i] << 32 | b[j])
-        x, y = ends_a[i], ends_b[j]
-        i, j = i + (x <= y), j + (y <= x)
-        if x == y:
-            groups.append(",".join(map(str, a[first_a:i])) + "|" + ",".join(map(str, b[first_b:j])))
-            first_a, first_b = i, j
-    return len(a), len(b), len(groups), len(links), ";".join(groups), np.array(links, dtype="<u8").tobytes()
-
-
-class Aligner:
-    """Chunks of texts, aligned."""
+class Vocabularies:
+    """Both tokenizers, with the bytes and the decimal text of each id."""
 
     def __init__(self, ranks: str | None, model: str | None) -> None:
         table, pieces = bpe.ChunkTable(ranks), sentencepiece_codec.PieceTable(model)
@@ -65,66 +46,94 @@ class Aligner:
         self.marker = self.model_b.piece_to_id(sentencepiece_codec.MARK)
         self.bytes_a = table.token_bytes
         self.bytes_b = [bytes([int(p[3:5], 16)]) if self.model_b.is_byte(i) else p.replace(sentencepiece_codec.MARK, " ").encode() for i in range(self.model_b.get_piece_size()) for p in [self.model_b.id_to_piece(i)]]
-        self.table: dict[str, Chunk | None] = {}
-
-    def _aligned(self, chunk: str, a: list[int], b: list[int]) -> Chunk | None:
-        own, in_a, in_b = chunk.encode(), [self.bytes_a[x] for x in a], [self.bytes_b[x] for x in b]
-        return align(a, b, list(map(len, in_a)), list(map(len, in_b))) if b"".join(in_a) == own == b"".join(in_b) else None
-
-    def chunk(self, chunk: str) -> Chunk | None:
-        """One that begins with a space or a line feed; None where its tokens don't spell it."""
-        if chunk in self.table:
-            return self.table[chunk]
-        if chunk == " ":
-            b = [self.marker]
-        else:  # the library puts a marker before a text: it stands for the space, or goes with a line feed put before the chunk
-            b = self.model_b.encode(chunk[1:]) if chunk[0] == " " else self.model_b.encode("\n" + chunk)[2:]
-        found = self._aligned(chunk, self.encode_a(chunk), b)
-        if len(chunk) <= TABLE_CHARS and len(self.table) < TABLE_ROWS:
-            self.table[chunk] = found
-        return found
-
-    def whole(self, text: str) -> Chunk | None:
-        return self._aligned(" " + text, self.encode_a(" " + text), self.model_b.encode(text))
+        self.sizes_a, self.sizes_b = (np.array(list(map(len, x)), dtype=np.int64) for x in (self.bytes_a, self.bytes_b))
+        most = max(len(self.bytes_a), len(self.bytes_b))
+        self.texts = {end: np.array([f"{i}{end}" for i in range(most)], dtype=object) for end in (",", "|", ";", "\n")}
+
+    def chunk_ids(self, chunks: list[str]) -> tuple[list[list[int]], list[list[int]]]:
+        """Ids of either side of chunks that begin with a space or a line feed."""
+        # the second library puts a marker before a text: it stands for the chunk's own space, or goes with a line feed put before the chunk
+        marked = self.model_b.encode([c[1:] if c[0] == " " else "\n" + c for c in chunks], num_threads=1)
+        return self._together(chunks), [[self.marker] if c == " " else ids if c[0] == " " else ids[2:] for c, ids in zip(chunks, marked, strict=True)]
+
+    def _together(self, chunks: list[str]) -> list[list[int]]:
+        """The first side's ids of all chunks from one call over their joined text; chunks of white space alone would run into the next."""
+        solid = [c for c in chunks if c[-1] not in " \n"]
+        flat = self.encode_a("".join(solid))
+        ends = np.concatenate([[0], np.cumsum(self.sizes_a[flat])]) if flat else np.zeros(1, dtype=np.int64)
+        wanted = np.cumsum([0, *(len(c.encode()) for c in solid)])
+        cuts = np.searchsorted(ends, wanted)
+        if cuts[-1] >= len(ends) or (ends[cuts] != wanted).any():
+            return [self.encode_a(c) for c in chunks]
+        cuts = cuts.tolist()
+        parts = iter([flat[i:j] for i, j in zip(cuts[:-1], cuts[1:], strict=True)])
+        return [next(parts) if c[-1] not in " \n" else self.encode_a(c) for c in chunks]
+
+    def spelt(self, texts: list[str], ids: list[list[int]], of: list[bytes]) -> np.ndarray:
+        """Whether the tokens of each text spell it."""
+        flat = [of[i] for i in chain.from_iterable(ids)]
+        wanted = [t.encode() for t in texts]
+        ends = np.concatenate([[0], np.cumsum(np.array(list(map(len, flat)), dtype=np.int64))])[np.cumsum([0, *map(len, ids)])]
+        if b"".join(flat) == b"".join(wanted) and (np.diff(ends) == list(map(len, wanted))).all():
+            return np.ones(len(texts), dtype=bool)
+        return np.array([b"".join([of[i] for i in x]) == w for x, w in zip(ids, wanted, strict=True)], dtype=bool)
 
 
 class Block:
-    """Documents as positions in a list of distinct chunks."""
+    """Documents as positions in a list of distinct chunks, which are aligned together.
 
-    def __init__(self, aligner: Aligner, texts: Iterator[str | None]) -> None:
-        slots: dict[str, int] = {}
-        chunks: list[Chunk | None] = []
-
-        class Slots(dict):
-            def __missing__(self, chunk: str) -> int:
-                chunks.append(aligner.chunk(chunk))
-                self[chunk] = len(chunks) - 1
-                return len(chunks) - 1
+    A group ends where tokens of both sides end; every pair of tokens that overlap is a link, so links end where a token of either side
+    does. of each chunk: its tokens of either side, groups and links.
+    """
 
-        slots, none = Slots(), np.zeros(0, dtype=np.int64)
-        self.places: list[np.ndarray] = []
+    def __init__(self, words: Vocabularies, texts: Iterable[str | None]) -> None:
+        slots: dict[str, int] = defaultdict(lambda: len(slots))
+        wholes: dict[str, int] = defaultdict(lambda: len(wholes))
+        none = np.zeros(0, dtype=np.int64)
+        places: list[np.ndarray | str] = []
         for text in texts:
             if not text:
-                self.places.append(none)
-                continue
-            at = None
-            if aligner.separable and not bpe._OTHER.search(text):
-                at = np.array(list(map(slots.__getitem__, _CHUNK.findall(" " + text))), dtype=np.int64)
-                if any(chunks[x] is None for x in np.unique(at)):
-                    at = None
-            if at is None:
-                chunks.append(aligner.whole(text))
-                at = np.array([len(chunks) - 1], dtype=np.int64)
-                if chunks[-1] is None:
-                    at = none
-            self.places.append(at)
-        self.chunks = [c or (0, 0, 0, 0, "", b"") for c in chunks]
-        self.links = np.frombuffer(b"".join(c[5] for c in self.chunks), dtype="<u8").astype(np.uint64)
-        self.sizes = np.array([c[3] for c in self.chunks], dtype=np.int64)
+                places.append(none)
+            elif words.separable and not bpe._OTHER.search(text):
+                places.append(np.array(list(map(slots.__getitem__, _CHUNK.findall(" " + text))), dtype=np.int64))
+            else:
+                places.append(text)
+        chunks = list(slots)
+        ids_a, ids_b = words.chunk_ids(chunks) if chunks else ([], [])
+        good = words.spelt(chunks, ids_a, words.bytes_a) & words.spelt(chunks, ids_b, words.bytes_b)
+        if not good.all():  # such texts are tried whole
+            places = [x if isinstance(x, str) or good[x].all() else "".join([chunks[i] for i in x])[1:] for x in places]
+        places = [x if isinstance(x, np.ndarray) else len(chunks) + wholes[x] for x in places]
+        whole_a, whole_b = [words.encode_a(" " + t) for t in wholes], [words.model_b.encode(t) for t in wholes]
+        own = [" " + t for t in wholes]
+        good = np.concatenate([good, words.spelt(own, whole_a, words.bytes_a) & words.spelt(own, whole_b, words.bytes_b)])
+        ids_a, ids_b = ([x if ok else [] for x, ok in zip(chain(*both), good, strict=True)] for both in ((ids_a, whole_a), (ids_b, whole_b)))
+        self.places = [x if isinstance(x, np.ndarray) else np.array([x], dtype=np.int64) if good[x] else none for x in places]
+        self._align(words, ids_a, ids_b)
+
+    def _align(self, words: Vocabularies, ids_a: list[list[int]], ids_b: list[list[int]]) -> None:
+        sizes_a, sizes_b = (np.array(list(map(len, x)), dtype=np.int64) for x in (ids_a, ids_b))
+        a, b = (np.fromiter(chain.from_iterable(x), dtype=np.int64, count=n.sum()) for x, n in ((ids_a, sizes_a), (ids_b, sizes_b)))
+        ends_a, ends_b = np.cumsum(words.sizes_a[a]), np.cumsum(words.sizes_b[b])
+        chunk_ends = np.concatenate([[0], ends_a])[np.cumsum(sizes_a)]
+        link_ends, group_ends = np.union1d(ends_a, ends_b), np.intersect1d(ends_a, ends_b, assume_unique=True)
+        self.links = a[np.searchsorted(ends_a, link_ends)].astype(np.uint64) << np.uint64(32) | b[np.searchsorted(ends_b, link_ends)].astype(np.uint64)
+        count = lambda ends: np.diff(np.searchsorted(ends, chunk_ends, side="right"), prepend=0)
+        self.sizes = count(link_ends)
+        self.table = np.stack([sizes_a, sizes_b, count(group_ends), self.sizes], axis=1)
+        # the ids as text: of each group its first side's tokens, then its second's
+        group_a, group_b = np.searchsorted(group_ends, ends_a), np.searchsorted(group_ends, ends_b)
+        before_a, before_b = (np.concatenate([[0], np.cumsum(np.bincount(g, minlength=len(group_ends)))]) for g in (group_a, group_b))
+        out = np.empty(len(a) + len(b), dtype=object)
+        out[np.arange(len(a)) + before_b[group_a]] = np.where(ends_a == group_ends[group_a], words.texts["|"][a], words.texts[","][a]) if len(a) else None
+        last = np.where(np.isin(ends_b, chunk_ends), words.texts["\n"][b], words.texts[";"][b])
+        out[np.arange(len(b)) + before_a[group_b + 1]] = np.where(ends_b == group_ends[group_b], last, words.texts[","][b]) if len(b) else None
+        rows = iter("".join(out.tolist()).split("\n"))
+        self.groups = [next(rows) if n else "" for n in sizes_a]
 
     def pairs(self) -> tuple[np.ndarray, np.ndarray]:
         """(distinct pairs, counts) over all documents."""
-        seen = np.bincount(np.concatenate(self.places), minlength=len(self.chunks)) if self.places else np.zeros(0, dtype=np.int64)
+        seen = np.bincount(np.concatenate(self.places), minlength=len(self.sizes)) if self.places else np.zeros(0, dtype=np.int64)
         keys, at = np.unique(self.links, return_inverse=True)
         counts = np.zeros(len(keys), dtype=np.int64)
         np.add.at(counts, at, np.repeat(seen, self.sizes))
@@ -136,20 +145,19 @@ class Block:
         of, flags = np.zeros(len(self.links), dtype=np.int64), np.zeros(len(self.links), dtype=np.int64)
         if len(keys):
             at = np.minimum(np.searchsorted(keys, self.links), len(keys) - 1)
-            known = keys[at] == self.links  # a chunk of a text that was then aligned whole may hold others
+            known = keys[at] == self.links  # a chunk of texts that were aligned whole may hold others
             of, flags = np.where(known, counts[at], 0), np.where(known, best[at], 0)
         sums, bests = np.concatenate([[0], np.cumsum(of)]), np.concatenate([[0], np.cumsum(flags)])
-        table = np.array([[*c[:4], 0, 0] for c in self.chunks], dtype=np.int64).reshape(-1, 6)
-        table[:, 4], table[:, 5] = bests[ends[1:]] - bests[ends[:-1]], sums[ends[1:]] - sums[ends[:-1]]
+        table = np.column_stack([self.table, bests[ends[1:]] - bests[ends[:-1]], sums[ends[1:]] - sums[ends[:-1]]])
         for places in self.places:
-            total = table[places].sum(axis=0).tolist()
-            yield *total, hashlib.sha256(";".join([self.chunks[x][4] for x in places]).encode()).hexdigest() if len(places) else ""
+            groups = ";".join([self.groups[x] for x in places.tolist()])
+            yield *table[places].sum(axis=0).tolist(), hashlib.sha256(groups.encode()).hexdigest() if len(places) else ""
 
 
 @lru_cache(maxsize=1)
-def _aligner(ranks: str | None, model: str | None) -> Aligner:
-    """The chunks of this Python worker, kept from task to task."""
-    return Aligner(ranks, model)
+def _words(ranks: str | None, model: str | None) -> Vocabularies:
+    """Those of this Python worker, kept from task to task."""
+    return Vocabularies(ranks, model)
 
 
 def _shard(keys: np.ndarray, shards: int) -> np.ndarray:
@@ -176,7 +184,7 @@ def block_pairs(blocks: DataFrame, shards: int = SHARDS, ranks: str | None = Non
             for lo, hi in zip(edges[:-1], edges[1:], strict=True):
                 if lo == hi:
                     continue
-                keys, counts = Block(_aligner(ranks, model), (texts[i].as_py() for i in range(lo, hi))).pairs()
+                keys, counts = Block(_words(ranks, model), (texts[i].as_py() for i in range(lo, hi))).pairs()
                 at = _shard(keys, shards).astype(np.int64)
                 order = np.argsort(at, kind="stable")
                 found, first = np.unique(at[order], return_index=True)
@@ -272,7 +280,7 @@ def token_links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     def finish(own: pa.Table, answer: pa.Table) -> pa.Table:
         keys, at = np.unique(_flat(answer.column("keys")).astype(np.uint64), return_index=True)
         texts = own.column("text").combine_chunks()
-        block = Block(_aligner(ranks, model), (texts[i].as_py() for i in range(len(texts))))
+        block = Block(_words(ranks, model), (texts[i].as_py() for i in range(len(texts))))
         found = list(zip(*block.rows(keys, _flat(answer.column("counts"))[at], _flat(answer.column("best"))[at]), strict=True)) or [()] * 7
         names = ("n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum")
         return pa.table({"id": own.column("id"), **{c: pa.array(found[i], pa.int64()) for i, c in enumerate(names)}, "groups_sha256": pa.array(found[6], pa.string())})

@@ -61,6 +61,10 @@ def labelled_urls(spark: SparkSession) -> DataFrame:
     return named.select(F.concat(F.lit("https://"), "at.front", "name", F.lit("."), "at.tld", "at.path").alias("url"), "label")
 
 
+def _marked(grams: str, mark: str) -> Column:
+    return F.transform(grams, lambda g: F.concat(F.lit(mark), g))
+
+
 def _features(urls: DataFrame, features: int) -> DataFrame:
     """Adds __features: which n-grams the columns __host and __path hold, each with its own marks of beginning and end."""
     grams = []
@@ -69,7 +73,7 @@ def _features(urls: DataFrame, features: int) -> DataFrame:
         urls = urls.withColumn(f"__{name}_chars", chars)
         for n in GRAMS:
             urls = NGram(n=n, inputCol=f"__{name}_chars", outputCol=f"__{name}_{n}").transform(urls)
-            grams.append(F.transform(f"__{name}_{n}", lambda g, mark=name[0]: F.concat(F.lit(mark), g)))
+            grams.append(_marked(f"__{name}_{n}", name[0]))
     return HashingTF(numFeatures=features, binary=True, inputCol="__grams", outputCol="__features").transform(urls.withColumn("__grams", F.concat(*grams)))
 
 
