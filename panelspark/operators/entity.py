@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import combinations
+from math import log1p
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -36,7 +39,7 @@ def similarity(a: pd.Series, b: pd.Series) -> pd.Series:
     """Matching-blocks ratio of two normalised texts, 0 where either is shorter than 25."""
     from difflib import SequenceMatcher
 
-    return pd.Series([SequenceMatcher(None, x, y).ratio() if len(x or "") >= 25 and len(y or "") >= 25 else 0.0 for x, y in zip(a, b, strict=True)], dtype="float64")
+    return pd.Series([SequenceMatcher(None, x, y).ratio() if len(x or "") >= TEXT and len(y or "") >= TEXT else 0.0 for x, y in zip(a, b, strict=True)], dtype="float64")
 
 
 FIELDS = ("id", "brand", "model", "year", "seller", "mileage", "price", "city", "images", "description", "body_color", "interior_color")
@@ -55,34 +58,84 @@ def image_parts(images: Column) -> Column:
 
 
 NORMED = ("brand", "model", "year", "seller", "city", "body_color", "interior_color")
+#: Least length of a description that is compared.
+TEXT = 25
 
 
-def _keyed(rows: DataFrame, side: str, order: str | None) -> DataFrame:
-    """Rows with their fields under a prefix, normalised fields (n_ between), the taxonomy, and the block keys."""
+def block_keys(m: Match) -> list[tuple[tuple[str, ...], tuple[str, ...]]]:
+    """(fields, fields that must be there): each match agrees on the fields of at least one key.
+
+    Every match holds one of the smallest sets of signals whose weights reach the threshold. Such a set's key is made of
+    its exact fields and of its mileage and price cells; the image joins in where fewer than three of these are left. A description
+    can't be a key, so it has to be there on both sides. A key whose fields include another's is left out.
+    """
+    weights = {"taxonomy": m.taxonomy, "seller": m.seller, "mileage": m.mileage, "price": m.price, "city": m.city, "colors": m.colors, "image": m.image, "description": m.description}
+    least: list[frozenset[str]] = []
+    for size in range(1, len(weights) + 1):
+        for some in map(frozenset, combinations(weights, size)):
+            if round(min(sum(weights[x] for x in some), 1.0), 4) >= m.threshold and not any(x <= some for x in least):
+                least.append(some)
+    keys: set[tuple[frozenset[str], frozenset[str]]] = set()
+    for some in least:
+        fields = some - {"description", "image"}
+        fields = fields | (some & {"image"}) if len(fields) < 3 else fields
+        keys.add((fields, some - fields))
+    apart = [k for k in keys if not any(o != k and o[0] <= k[0] and o[1] <= k[0] | k[1] for o in keys)]
+    return sorted((tuple(x for x in weights if x in f), tuple(x for x in weights if x in there)) for f, there in apart)
+
+
+def _cells(column: Column, width: Column | float, near: bool) -> Column:
+    """The cell of a value, or with near that and its two neighbours; none for null."""
+    cell = F.floor(column / width).cast("long")
+    return F.when(cell.isNotNull(), F.array(cell - 1, cell, cell + 1) if near else F.array(cell)).otherwise(F.array().cast("array<bigint>"))
+
+
+def _each(keys: Column, values: Column) -> Column:
+    """Every key with every value."""
+    return F.flatten(F.transform(keys, lambda k: F.transform(values, lambda v: F.concat_ws("|", k, v.cast("string")))))
+
+
+def _keyed(rows: DataFrame, side: str, order: str | None, m: Match) -> DataFrame:
+    """Rows with their fields under a prefix, normalised fields (n_ between), the taxonomy, and the block keys as 64-bit hashes.
+
+    Children have the cell of their mileage and price, parents that and the two beside it. Prices within the ratio of one another are at most
+    a cell apart on a scale that is logarithmic from 1 on and linear below.
+    """
     out = rows.select(*[F.col(c).alias(f"{side}_{c}") for c in FIELDS], *([F.col(order).alias(f"{side}_order")] if order else []))
-    out = out.withColumns({f"{side}_n_{c}": C.norm(F.col(f"{side}_{c}")) for c in NORMED} | {f"{side}_parts": F.coalesce(image_parts(F.col(f"{side}_images")), F.array())})
-    some = lambda c: F.nullif(F.col(f"{side}_n_{c}"), F.lit(""))
-    taxonomy = F.concat_ws("|", *[F.col(f"{side}_n_{c}") for c in ("brand", "model", "year")])
-    look = F.when(some("city").isNotNull() & some("body_color").isNotNull() & some("interior_color").isNotNull(), F.concat_ws("|", some("city"), some("body_color"), some("interior_color")))
-    out = out.withColumns({f"{side}_taxonomy": F.when(taxonomy != "||", taxonomy), f"{side}_look": look})
-    t, l, s = F.col(f"{side}_taxonomy"), F.col(f"{side}_look"), some("seller")
-    one = lambda kind, *c: F.when(F.concat(*c).isNotNull(), F.array(F.concat_ws("|", F.lit(kind), *c))).otherwise(F.array())
-    many = lambda kind, c: F.when(c.isNotNull(), F.transform(f"{side}_parts", lambda p: F.concat_ws("|", F.lit(kind), c, p))).otherwise(F.array())
-    # a key takes part only where all its fields are there
-    return out.withColumn(f"{side}_keys", F.concat(one("t", t), many("si", s), one("sl", s, l), many("il", l))).drop(f"{side}_parts", f"{side}_look")
-
-
-def candidates(children: DataFrame, parents: DataFrame, order: str | None = None) -> DataFrame:
-    """Pairs that can reach the threshold, by one equi-join on composite keys; with an order column parents come before their children.
-
-    Without the taxonomy the weights sum to 0.90, so a match may lack 0.20 of them: the seller or the image, not both. So it
-    has the same taxonomy, or the same seller and an image, or the same seller, city and colours, or an image, the city and both colours.
+    out = out.withColumns({f"{side}_n_{c}": C.norm(F.col(f"{side}_{c}")) for c in NORMED} | {f"{side}_images_at": F.coalesce(image_parts(F.col(f"{side}_images")), F.array())})
+    raw = lambda c: F.coalesce(F.col(f"{side}_{c}"), F.lit("")) != ""
+    named = lambda c: F.when(raw(c), F.col(f"{side}_n_{c}"))
+    taxonomy = F.when(raw("brand") & raw("model") & raw("year"), F.concat_ws("|", *[F.col(f"{side}_n_{c}") for c in ("brand", "model", "year")]))
+    out = out.withColumns({f"{side}_taxonomy": taxonomy, f"{side}_described": F.length(C.norm(F.col(f"{side}_description"))) >= TEXT})
+    price = F.nullif(F.col(f"{side}_price").cast("double"), F.lit(0.0))
+    scale, width = F.when(price >= 1, F.ln(price)).otherwise(price - 1), -log1p(-m.price_ratio) * (1 + 1e-9)
+    one = lambda c: F.when(c.isNotNull(), F.array(c.cast("string"))).otherwise(F.array().cast("array<string>"))
+    fields = {
+        "taxonomy": one(F.col(f"{side}_taxonomy")), "seller": one(named("seller")), "city": one(named("city")), "colors": one(F.concat(named("body_color"), F.lit("|"), named("interior_color"))),
+        "mileage": _cells(F.col(f"{side}_mileage"), F.lit(m.mileage_tolerance + 1.0), side == "p"), "price": _cells(scale, width, side == "p"), "image": F.col(f"{side}_images_at"),
+    }
+    held = {"description": F.coalesce(F.col(f"{side}_described"), F.lit(False)), "image": F.size(f"{side}_images_at") > 0}
+    keys = []
+    for names, there in block_keys(m):
+        made = F.array(F.lit(",".join(names)))
+        for name in names:
+            made = _each(made, fields[name])
+        for name in there:
+            made = F.when(held[name], made).otherwise(F.array().cast("array<string>"))
+        keys.append(made)
+    return out.withColumn(f"{side}_keys", F.array_distinct(F.transform(F.concat(*keys), lambda k: F.xxhash64(k)))).drop(f"{side}_images_at", f"{side}_described")
+
+
+def candidates(children: DataFrame, parents: DataFrame, order: str | None = None, m: Match = Match()) -> DataFrame:
+    """Pairs that can reach the threshold, by one equi-join on the keys of ``block_keys``; with an order column parents come before their children.
+
+    No taxonomy or seller alone is a block: a key has three fields or more, or as many as the weights leave.
     """
-    c, p = _keyed(children, "c", order), _keyed(parents, "p", order)
+    c, p = _keyed(children, "c", order, m), _keyed(parents, "p", order, m)
     ends = lambda df, side: df.select(f"{side}_id", *([f"{side}_order"] if order else []), F.explode(f"{side}_keys").alias("k"))
     met = ends(c, "c").join(ends(p, "p"), "k").where("c_id <> p_id" + (" and p_order < c_order" if order else ""))
     pairs = met.select("c_id", "p_id").distinct()
-    return pairs.join(c.drop("c_keys", "c_order"), "c_id").join(p.drop("p_keys", "p_order"), "p_id")
+    return pairs.join(c.drop("c_keys", "c_order", "c_description"), "c_id").join(p.drop("p_keys", "p_order", "p_description"), "p_id")
 
 
 def signals(m: Match, described: Column) -> list[tuple[str, Column, float]]:
@@ -106,51 +159,72 @@ def scored_pairs(children: DataFrame, parents: DataFrame, m: Match = Match(), or
     hit = lambda c: F.coalesce(c, F.lit(False))
     cheap = [x for x in signals(m, F.lit(0.0)) if x[0] != "description_similar"]
     partial = sum((F.when(hit(c), w).otherwise(0.0) for _, c, w in cheap), F.lit(0.0))
-    near = candidates(children, parents, order).where(F.round(partial + m.description, 4) >= m.threshold)
-    described = near.withColumns({"c_text": C.norm(F.col("c_description")), "p_text": C.norm(F.col("p_description"))}).withColumn("described", similarity("p_text", "c_text"))
+    near = candidates(children, parents, order, m).where(F.round(F.least(partial + m.description, F.lit(1.0)), 4) >= m.threshold)
+    text = lambda rows, side: rows.select(F.col("id").alias(f"{side}_id"), C.norm(F.col("description")).alias(f"{side}_text"))
+    described = near.join(text(children, "c"), "c_id").join(text(parents, "p"), "p_id").withColumn("described", similarity("p_text", "c_text"))
     parts = signals(m, F.col("described"))
     total = sum((F.when(hit(c), w).otherwise(0.0) for _, c, w in parts), F.lit(0.0))
     out = described.select("c_id", "p_id", F.round(F.least(total, F.lit(1.0)), 4).alias("score"), F.array_compact(F.array(*[F.when(hit(c), n) for n, c, _ in parts])).alias("matched"))
     return out.where(F.col("score") >= m.threshold).where(~((F.size("matched") == 1) & F.array_contains("matched", "brand_model_year")))
 
 
-def match_one_to_one(pairs: DataFrame, max_rounds: int = 1000) -> DataFrame:
-    """Each child in order of id takes its best parent not yet claimed (best score, then least id).
+def match_one_to_one(pairs: DataFrame) -> DataFrame:
+    """(c_id, p_id, score): each child in order of id takes its best parent not yet claimed (best score, then least id).
 
-    In rounds, every unmatched child proposes to its best parent left, and a parent takes the least child among those whose
-    claim no earlier child can disturb: the serial order, without the loop over children. Ends when none proposes.
+    Choices in one connected component of children and parents don't touch another's. Components are dealt to tasks and sorted by child;
+    a task reads its edges in that order and keeps the claimed parents that a later child still asks for, so neither the number of
+    jobs nor the memory follows the length of a chain of claims. Null ids match nothing; of repeated pairs the best score counts.
     """
-    rest, done = cut(pairs.select("c_id", "p_id", "score")), None
-    for _ in range(max_rounds):
-        best = rest.groupBy("c_id").agg(F.max_by("p_id", F.struct("score", F.negative("p_id"))).alias("p_id"))
-        # a proposal stands if no earlier unmatched child has that parent among its candidates at all
-        first = rest.groupBy("p_id").agg(F.min("c_id").alias("first_child"))
-        won = cut(best.join(first, "p_id").where("c_id = first_child").select("c_id", "p_id").join(rest, ["c_id", "p_id"]))
-        if won.isEmpty():
-            return done if done is not None else won
-        done = won if done is None else done.unionByName(won)
-        rest = cut(rest.join(won.select("c_id"), "c_id", "left_anti").join(won.select("p_id"), "p_id", "left_anti"))
-    raise RuntimeError("matching did not end")
-
-
-def entity_closure(links: DataFrame, a: str, b: str, max_rounds: int = 64) -> DataFrame:
-    """(node, entity): least id of all nodes joined by links, by min-label propagation with pointer jumping.
-
-    Null ends and self loops add nothing; repeated links count once; no links give no rows. Each round takes the least label of
-    all neighbours, pre-aggregated before the shuffle, and then the label's own label, so a path of n nodes needs
-    about log n rounds.
+    edges = pairs.where("c_id is not null and p_id is not null").groupBy("c_id", "p_id").agg(F.max("score").alias("score"))
+    edges = cut(edges.withColumns({"c_node": F.xxhash64(F.lit("c"), "c_id"), "p_node": F.xxhash64(F.lit("p"), "p_id")}))
+    labels = entity_closure(edges, "c_node", "p_node")
+    last = edges.groupBy("p_id").agg(F.max("c_id").alias("last_child"))
+    found = edges.join(last, "p_id").join(labels.select(F.col("node").alias("c_node"), "entity"), "c_node")
+    asked = found.select("entity", "c_id", "p_id", "score", (F.col("c_id") == F.col("last_child")).alias("is_last"))
+    sorted_edges = asked.repartition("entity").sortWithinPartitions("entity", "c_id", F.desc("score"), "p_id").drop("entity")
+
+    def choose(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        claimed, child, matched, ending = set(), None, False, []
+        for frame in frames:
+            chosen = []
+            for c, p, score, is_last in zip(frame["c_id"].tolist(), frame["p_id"].tolist(), frame["score"].tolist(), frame["is_last"].tolist(), strict=True):
+                if c != child:
+                    claimed.difference_update(ending)
+                    child, matched, ending = c, False, []
+                if not matched and p not in claimed:
+                    matched = True
+                    claimed.add(p)
+                    chosen.append((c, p, score))
+                if is_last:
+                    ending.append(p)
+            yield pd.DataFrame(chosen, columns=["c_id", "p_id", "score"])
+
+    return sorted_edges.mapInPandas(choose, asked.select("c_id", "p_id", "score").schema)
+
+
+def entity_closure(links: DataFrame, a: str, b: str) -> DataFrame:
+    """(node, entity): least id of all nodes joined by links.
+
+    Null ends and self loops add nothing; repeated links count once; no links give no rows. Each round every node takes its least
+    neighbour if that is less (pre-aggregated before the shuffle), pointers are followed twice, and the links are drawn between what
+    the nodes took, once each and without loops. A component of n nodes needs about log n rounds over ever fewer links; the
+    rounds' pointers are joined at the end.
     """
     one = links.select(F.col(a).alias("x"), F.col(b).alias("y")).where("x <> y")
     edges = cut(one.unionByName(one.select(F.col("y").alias("x"), F.col("x").alias("y"))).distinct())
-    labels = cut(edges.groupBy("x").agg(F.min("y").alias("m")).select(F.col("x").alias("node"), F.least("x", "m").alias("entity")))
-    for _ in range(max_rounds):
-        near = edges.join(labels.select(F.col("node").alias("y"), "entity"), "y").groupBy(F.col("x").alias("node")).agg(F.min("entity").alias("m"))
-        step = labels.join(near, "node").select("node", F.col("entity").alias("old"), F.least("entity", "m").alias("entity"))
-        jump = step.select(F.col("node").alias("entity"), F.col("entity").alias("next"))
-        new = cut(step.join(jump, "entity", "left").select("node", "old", F.least("entity", F.coalesce("next", "entity")).alias("entity")))
-        drop(labels)
-        labels = new.select("node", "entity")
-        if new.where("old <> entity").isEmpty():
-            drop(edges)
-            return labels
-    raise RuntimeError(f"closure did not settle in {max_rounds} rounds")
+    taken: list[DataFrame] = []
+    while not taken or not edges.isEmpty():
+        near = edges.groupBy("x").agg(F.min("y").alias("m")).select(F.col("x").alias("node"), F.least("x", "m").alias("to"))
+        for _ in range(2):
+            near = near.join(near.select(F.col("node").alias("to"), F.col("to").alias("next")), "to").select("node", F.col("next").alias("to"))
+        taken.append(cut(near))
+        ends = [taken[-1].select(F.col("node").alias(c), F.col("to").alias(f"{c}_to")) for c in ("x", "y")]
+        drawn = cut(edges.join(ends[0], "x").join(ends[1], "y").where("x_to <> y_to").select(F.col("x_to").alias("x"), F.col("y_to").alias("y")).distinct())
+        drop(edges)
+        edges = drawn
+    labels = taken[0].withColumnRenamed("to", "entity")
+    for later in taken[1:]:
+        labels = labels.join(later.select(F.col("node").alias("entity"), "to"), "entity", "left").select("node", F.coalesce("to", "entity").alias("entity"))
+    out = cut(labels)
+    drop(edges, *taken)
+    return out

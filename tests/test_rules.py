@@ -38,9 +38,8 @@ def test_relistings_against_every_pair(spark):
     want = {}
     for p, c in itertools.combinations([dict(zip(names, x)) for x in rows], 2):
         same = lambda f: bool(p[f]) and norm(p[f]) == norm(c[f])
-        tax = "|".join(norm(p[f]) for f in ("brand", "model", "year"))
         a, b = norm(p["description"]), norm(c["description"])
-        score = 0.30 * (tax == "|".join(norm(c[f]) for f in ("brand", "model", "year"))) + 0.20 * same("seller") + 0.05 * same("city") + 0.05 * (same("body_color") and same("interior_color"))
+        score = 0.30 * all(same(f) for f in ("brand", "model", "year")) + 0.20 * same("seller") + 0.05 * same("city") + 0.05 * (same("body_color") and same("interior_color"))
         score += 0.15 * (None not in (p["mileage"], c["mileage"]) and abs(p["mileage"] - c["mileage"]) <= 5000) + 0.10 * (p["price"] != 0 and c["price"] != 0 and abs(p["price"] - c["price"]) / max(p["price"], 1) <= 0.12)
         score += 0.20 * any(bin(int(x, 16) ^ int(y, 16)).count("1") <= 8 for x in p["images"] for y in c["images"]) + 0.15 * (len(a) >= 25 and len(b) >= 25 and SequenceMatcher(None, a, b).ratio() >= 0.72)
         if round(min(score, 1.0), 4) >= 0.70:
@@ -48,6 +47,54 @@ def test_relistings_against_every_pair(spark):
     assert got == want and len(want) > 20
 
 
+def test_block_keys_cover_every_match():
+    for m in (E.Match(), E.Match(threshold=0.5), E.Match(seller=0.7, image=0.0, price_ratio=0.3), E.Match(threshold=0.9)):
+        weights = {"taxonomy": m.taxonomy, "seller": m.seller, "mileage": m.mileage, "price": m.price, "city": m.city, "image": m.image, "description": m.description, "colors": m.colors}
+        keys = E.block_keys(m)
+        for n in range(len(weights) + 1):
+            for some in itertools.combinations(weights, n):
+                if round(sum(weights[x] for x in some), 4) >= m.threshold:
+                    assert any(set(fields) | set(there) <= set(some) for fields, there in keys), some
+    assert all(len(fields) >= 3 for fields, _ in E.block_keys(E.Match()))
+
+
+def serial_matches(pairs):
+    taken, out = set(), []
+    for c, own in itertools.groupby(sorted(pairs, key=lambda x: (x[0], -x[2], x[1])), key=lambda x: x[0]):
+        for _, p, s in own:
+            if p not in taken:
+                taken.add(p)
+                out.append((c, p, s))
+                break
+    return sorted(out)
+
+
+def test_matching_is_the_serial_one(spark):
+    r = random.Random(9)
+    pairs = {(r.randrange(300), r.randrange(1000, 1200)): r.choice([0.7, 0.75, 0.8, 1.0]) for _ in range(700)}
+    chained = [(c, 5000 + c + d, 1.0 - 0.1 * d) for c in range(2000, 3500) for d in (0, 1)]  # a chain of 1,500 claims
+    rows = [(c, p, s) for (c, p), s in pairs.items()] + chained + [(2000, 5001, 0.1)]
+    df = spark.createDataFrame(rows + [(None, 1, 0.9), (1, None, 0.9)], "c_id long, p_id long, score double")
+    best = {(c, p): 0.0 for c, p, _ in rows}
+    for c, p, s in rows:
+        best[c, p] = max(best[c, p], s)
+    assert sorted(map(tuple, E.match_one_to_one(df).collect())) == serial_matches([(c, p, s) for (c, p), s in best.items()])
+    assert E.match_one_to_one(df.limit(0)).count() == 0
+
+
+def test_a_large_block_is_matched_in_few_jobs(spark):
+    """5,000 children who all want the same 5,000 parents in the same order, each with its forty best of those that may be left."""
+    df = spark.range(5000).select(F.col("id").alias("c_id"), F.explode(F.sequence(F.greatest(F.col("id") - 39, F.lit(0)), F.col("id"))).alias("p_id")).withColumn("score", F.lit(0.9))
+    seen = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("matching", "matching")
+    try:
+        got = {x.c_id: x.p_id for x in E.match_one_to_one(df).collect()}
+        jobs = len(seen.getJobIdsForGroup("matching"))
+    finally:
+        spark.sparkContext.setJobGroup("", "")
+    assert got == {i: i for i in range(5000)} and jobs < 100  # a chain of 5,000 claims; each shuffle of a plan is a job
+
+
 def test_event_log_is_idempotent(spark):
     log = spark.createDataFrame([(1, 1, "seen", "a"), (None, 1, "seen", "n")], "ad long, run long, kind string, note string")
     new = spark.createDataFrame([(1, 1, "seen", "b"), (1, 2, "seen", "c"), (1, 2, "seen", "d"), (None, 1, "seen", "z")], log.schema)
