@@ -16,8 +16,7 @@ from __future__ import annotations
 
 import hashlib
 import re
-from collections import defaultdict
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterator
 from functools import lru_cache
 from itertools import chain
 
@@ -28,13 +27,17 @@ from pyspark.sql import functions as F
 
 from panelspark.llm import bpe, sentencepiece_codec
 from panelspark.llm._graph import cut, drop
+from panelspark.llm._text import _powers, mix
 from panelspark.llm.mphf import PerfectHash, verified_index
 
 #: Shards of the pair table; documents of a block, and characters from which a document is a block of its own.
-SHARDS, BLOCK_ROWS, LONG = 64, 1024, 32_768
+SHARDS, BLOCK_ROWS, LONG = 64, 4096, 16_384
 #: Rows of blocks whose counts meet in one dense vector, least number of such vectors a shard, vectors summed at a time.
 VECTOR_ROWS, LEAST_VECTORS, FAN_IN = 4096, 4, 8
-_CHUNK = re.compile(r"[ \n]*[^ \n]+|[ \n]+")
+#: White space other than spaces and line feeds; bytes of texts that have none of it: ASCII without other controls, and leads of two bytes but the first.
+_OTHER = re.compile("[\t\x0b-\r\x1c-\x1f\x85\xa0\u1680\u180e\u2000-\u200b\u2028\u2029\u202f\u205f\u2060\u3000\ufeff]")
+_PLAIN = bytes([10, *range(32, 128), *range(0x80, 0xC0), *range(0xC3, 0xE0)])
+_CODE = mix(np.arange(1, 257, dtype=np.uint64)) | np.uint64(1)
 
 
 class Vocabularies:
@@ -50,77 +53,122 @@ class Vocabularies:
         most = max(len(self.bytes_a), len(self.bytes_b))
         self.texts = {end: np.array([f"{i}{end}" for i in range(most)], dtype=object) for end in (",", "|", ";", "\n")}
 
-    def chunk_ids(self, chunks: list[str]) -> tuple[list[list[int]], list[list[int]]]:
-        """Ids of either side of chunks that begin with a space or a line feed."""
-        # the second library puts a marker before a text: it stands for the chunk's own space, or goes with a line feed put before the chunk
-        marked = self.model_b.encode([c[1:] if c[0] == " " else "\n" + c for c in chunks], num_threads=1)
-        return self._together(chunks), [[self.marker] if c == " " else ids if c[0] == " " else ids[2:] for c, ids in zip(chunks, marked, strict=True)]
-
-    def _together(self, chunks: list[str]) -> list[list[int]]:
-        """The first side's ids of all chunks from one call over their joined text; chunks of white space alone would run into the next."""
-        solid = [c for c in chunks if c[-1] not in " \n"]
-        flat = self.encode_a("".join(solid))
-        ends = np.concatenate([[0], np.cumsum(self.sizes_a[flat])]) if flat else np.zeros(1, dtype=np.int64)
-        wanted = np.cumsum([0, *(len(c.encode()) for c in solid)])
+    def first(self, solid: list[str], others: list[str], sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(ids, ids a text) of the first side; solid texts begin with white space and end in another character, so one call over all of them gives each one's ids."""
+        flat = np.array(self.encode_a("".join(solid)), dtype=np.int64)
+        ends, wanted = np.concatenate([[0], np.cumsum(self.sizes_a[flat])]), np.concatenate([[0], np.cumsum(sizes)])
         cuts = np.searchsorted(ends, wanted)
-        if cuts[-1] >= len(ends) or (ends[cuts] != wanted).any():
-            return [self.encode_a(c) for c in chunks]
-        cuts = cuts.tolist()
-        parts = iter([flat[i:j] for i, j in zip(cuts[:-1], cuts[1:], strict=True)])
-        return [next(parts) if c[-1] not in " \n" else self.encode_a(c) for c in chunks]
-
-    def spelt(self, texts: list[str], ids: list[list[int]], of: list[bytes]) -> np.ndarray:
+        if ends[-1] != wanted[-1] or (ends[cuts] != wanted).any():
+            return _flattened([self.encode_a(t) for t in (*solid, *others)])
+        rest, counts = _flattened([self.encode_a(t) for t in others])
+        return np.concatenate([flat, rest]), np.concatenate([np.diff(cuts), counts])
+
+    def second(self, chunks: list[str], wholes: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids, ids a text) of the second side, which puts a marker before a text: it stands for a chunk's own space, or goes with a line feed put before the chunk."""
+        found = self.model_b.encode([c[1:] if c[0] == " " else "\n" + c for c in chunks], num_threads=1)
+        ids = [x if c[0] == " " else x[2:] for c, x in zip(chunks, found, strict=True)]
+        return _flattened([x or [self.marker] for x in ids] + (self.model_b.encode(wholes, num_threads=1) if wholes else []))
+
+    def spelt(self, texts: list[str], sizes: np.ndarray, ids: np.ndarray, counts: np.ndarray, of: list[bytes], lengths: np.ndarray) -> np.ndarray:
         """Whether the tokens of each text spell it."""
-        flat = [of[i] for i in chain.from_iterable(ids)]
-        wanted = [t.encode() for t in texts]
-        ends = np.concatenate([[0], np.cumsum(np.array(list(map(len, flat)), dtype=np.int64))])[np.cumsum([0, *map(len, ids)])]
-        if b"".join(flat) == b"".join(wanted) and (np.diff(ends) == list(map(len, wanted))).all():
-            return np.ones(len(texts), dtype=bool)
-        return np.array([b"".join([of[i] for i in x]) == w for x, w in zip(ids, wanted, strict=True)], dtype=bool)
+        ends = np.concatenate([[0], np.cumsum(lengths[ids])])[np.concatenate([[0], np.cumsum(counts)])]
+        made, wanted = b"".join([of[i] for i in ids.tolist()]), "".join(texts).encode()
+        good = np.diff(ends) == sizes
+        if good.all() and made == wanted:
+            return good
+        own = np.concatenate([[0], np.cumsum(sizes)]).tolist()
+        return np.array([made[ends[i] : ends[i + 1]] == wanted[own[i] : own[i + 1]] for i in range(len(texts))], dtype=bool)
+
+
+def _flattened(lists: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
+    counts = np.array(list(map(len, lists)), dtype=np.int64)
+    return np.fromiter(chain.from_iterable(lists), dtype=np.int64, count=int(counts.sum())), counts
+
+
+def _odd_space(text: bytes) -> bool:
+    """Whether a text has white space other than spaces and line feeds."""
+    return text.translate(None, _PLAIN) != b"" and bool(_OTHER.search(text.decode()))
+
+
+def cut_chunks(texts: list[bytes]) -> tuple[list[str], list[np.ndarray]]:
+    """(distinct chunks, each text's chunks as positions there) of texts that aren't empty, with a space put before each.
+
+    A chunk begins where white space follows another character. Chunks are told apart by a hash of their bytes, and then compared with the first of their hash.
+    """
+    if not texts:
+        return [], []
+    blob = b" " + b" ".join(texts)
+    data = np.frombuffer(blob, dtype=np.uint8)
+    heads = np.concatenate([[0], np.cumsum(np.array(list(map(len, texts)), dtype=np.int64) + 1)])
+    space = (data == 32) | (data == 10)
+    first = space.copy()
+    first[1:] &= ~space[:-1]
+    first[heads[:-1]] = True
+    starts = np.flatnonzero(first)
+    sizes = np.diff(starts, append=len(data))
+    inside = np.arange(len(data)) - np.repeat(starts, sizes)
+    with np.errstate(over="ignore"):
+        hashes = mix(np.add.reduceat(_CODE[data] * _powers(int(sizes.max()))[inside], starts))
+    _, one, at = np.unique(hashes, return_index=True, return_inverse=True)
+    same = (sizes == sizes[one][at]).all() and (data == data[np.repeat(starts[one][at], sizes) + inside]).all()
+    if not same:  # two chunks with one hash: tell them apart by their bytes
+        known: dict[bytes, int] = {}
+        at = np.array([known.setdefault(blob[i : i + n], len(known)) for i, n in zip(starts.tolist(), sizes.tolist(), strict=True)], dtype=np.int64)
+        return [c.decode() for c in known], np.split(at, np.searchsorted(starts, heads[1:-1]))
+    chunks = [blob[i : i + n].decode() for i, n in zip(starts[one].tolist(), sizes[one].tolist(), strict=True)]
+    return chunks, np.split(at, np.searchsorted(starts, heads[1:-1]))
 
 
 class Block:
     """Documents as positions in a list of distinct chunks, which are aligned together.
 
     A group ends where tokens of both sides end; every pair of tokens that overlap is a link, so links end where a token of either side
-    does. of each chunk: its tokens of either side, groups and links.
+    does. The table has each chunk's tokens of either side, groups and links.
     """
 
-    def __init__(self, words: Vocabularies, texts: Iterable[str | None]) -> None:
-        slots: dict[str, int] = defaultdict(lambda: len(slots))
-        wholes: dict[str, int] = defaultdict(lambda: len(wholes))
-        none = np.zeros(0, dtype=np.int64)
-        places: list[np.ndarray | str] = []
-        for text in texts:
-            if not text:
-                places.append(none)
-            elif words.separable and not bpe._OTHER.search(text):
-                places.append(np.array(list(map(slots.__getitem__, _CHUNK.findall(" " + text))), dtype=np.int64))
-            else:
-                places.append(text)
-        chunks = list(slots)
-        ids_a, ids_b = words.chunk_ids(chunks) if chunks else ([], [])
-        good = words.spelt(chunks, ids_a, words.bytes_a) & words.spelt(chunks, ids_b, words.bytes_b)
+    def __init__(self, words: Vocabularies, texts: list[bytes | None], groups: bool = True) -> None:
+        some = [i for i, t in enumerate(texts) if t]
+        whole = {i: texts[i].decode() for i in some if not words.separable or _odd_space(texts[i])}
+        cut = [i for i in some if i not in whole]
+        chunks, at = cut_chunks([texts[i] for i in cut])
+        blank = np.array([c[-1] in " \n" for c in chunks], dtype=bool)
+        order = np.argsort(blank, kind="stable")
+        chunks, to = [chunks[i] for i in order.tolist()], np.argsort(order)
+        places = {i: to[x] for i, x in zip(cut, at, strict=True)}
+        good = self._encode(words, chunks, int((~blank).sum()), [])
         if not good.all():  # such texts are tried whole
-            places = [x if isinstance(x, str) or good[x].all() else "".join([chunks[i] for i in x])[1:] for x in places]
-        places = [x if isinstance(x, np.ndarray) else len(chunks) + wholes[x] for x in places]
-        whole_a, whole_b = [words.encode_a(" " + t) for t in wholes], [words.model_b.encode(t) for t in wholes]
-        own = [" " + t for t in wholes]
-        good = np.concatenate([good, words.spelt(own, whole_a, words.bytes_a) & words.spelt(own, whole_b, words.bytes_b)])
-        ids_a, ids_b = ([x if ok else [] for x, ok in zip(chain(*both), good, strict=True)] for both in ((ids_a, whole_a), (ids_b, whole_b)))
-        self.places = [x if isinstance(x, np.ndarray) else np.array([x], dtype=np.int64) if good[x] else none for x in places]
-        self._align(words, ids_a, ids_b)
-
-    def _align(self, words: Vocabularies, ids_a: list[list[int]], ids_b: list[list[int]]) -> None:
-        sizes_a, sizes_b = (np.array(list(map(len, x)), dtype=np.int64) for x in (ids_a, ids_b))
-        a, b = (np.fromiter(chain.from_iterable(x), dtype=np.int64, count=n.sum()) for x, n in ((ids_a, sizes_a), (ids_b, sizes_b)))
+            whole |= {i: texts[i].decode() for i, x in places.items() if not good[x].all()}
+        if whole:
+            rows = {t: len(chunks) + k for k, t in enumerate(dict.fromkeys(whole.values()))}
+            good = self._encode(words, chunks, int((~blank).sum()), list(rows))
+            places |= {i: np.array([rows[t]] if good[rows[t]] else [], dtype=np.int64) for i, t in whole.items()}
+        self.places = [places.get(i, np.zeros(0, dtype=np.int64)) for i in range(len(texts))]
+        self._align(words, groups)
+
+    def _encode(self, words: Vocabularies, chunks: list[str], solid: int, wholes: list[str]) -> np.ndarray:
+        """Encodes all texts; the tokens of those that they don't spell are left out, and the rest is said to be good."""
+        texts = [*chunks, *(" " + t for t in wholes)]
+        sizes = np.array(list(map(len, map(str.encode, texts))), dtype=np.int64)
+        a, count_a = words.first(texts[:solid], texts[solid:], sizes[:solid])
+        b, count_b = words.second(chunks, wholes)
+        good = words.spelt(texts, sizes, a, count_a, words.bytes_a, words.sizes_a) & words.spelt(texts, sizes, b, count_b, words.bytes_b, words.sizes_b)
+        if not good.all():
+            a, b = a[np.repeat(good, count_a)], b[np.repeat(good, count_b)]
+        self.a, self.b, self.count_a, self.count_b = a, b, np.where(good, count_a, 0), np.where(good, count_b, 0)
+        return good
+
+    def _align(self, words: Vocabularies, groups: bool) -> None:
+        a, b = self.a, self.b
         ends_a, ends_b = np.cumsum(words.sizes_a[a]), np.cumsum(words.sizes_b[b])
-        chunk_ends = np.concatenate([[0], ends_a])[np.cumsum(sizes_a)]
-        link_ends, group_ends = np.union1d(ends_a, ends_b), np.intersect1d(ends_a, ends_b, assume_unique=True)
+        chunk_ends = np.concatenate([[0], ends_a])[np.cumsum(self.count_a)]
+        link_ends = np.union1d(ends_a, ends_b)
         self.links = a[np.searchsorted(ends_a, link_ends)].astype(np.uint64) << np.uint64(32) | b[np.searchsorted(ends_b, link_ends)].astype(np.uint64)
         count = lambda ends: np.diff(np.searchsorted(ends, chunk_ends, side="right"), prepend=0)
         self.sizes = count(link_ends)
-        self.table = np.stack([sizes_a, sizes_b, count(group_ends), self.sizes], axis=1)
+        if not groups:
+            return
+        group_ends = np.intersect1d(ends_a, ends_b, assume_unique=True)
+        self.table = np.stack([self.count_a, self.count_b, count(group_ends), self.sizes], axis=1)
         # the ids as text: of each group its first side's tokens, then its second's
         group_a, group_b = np.searchsorted(group_ends, ends_a), np.searchsorted(group_ends, ends_b)
         before_a, before_b = (np.concatenate([[0], np.cumsum(np.bincount(g, minlength=len(group_ends)))]) for g in (group_a, group_b))
@@ -129,7 +177,7 @@ class Block:
         last = np.where(np.isin(ends_b, chunk_ends), words.texts["\n"][b], words.texts[";"][b])
         out[np.arange(len(b)) + before_a[group_b + 1]] = np.where(ends_b == group_ends[group_b], last, words.texts[","][b]) if len(b) else None
         rows = iter("".join(out.tolist()).split("\n"))
-        self.groups = [next(rows) if n else "" for n in sizes_a]
+        self.groups = [next(rows) if n else "" for n in self.count_a.tolist()]
 
     def pairs(self) -> tuple[np.ndarray, np.ndarray]:
         """(distinct pairs, counts) over all documents."""
@@ -179,12 +227,12 @@ def block_pairs(blocks: DataFrame, shards: int = SHARDS, ranks: str | None = Non
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            of, texts = batch.column(0).to_numpy(zero_copy_only=False), batch.column(1)
+            of, texts = batch.column(0).to_numpy(zero_copy_only=False), batch.column(1).cast(pa.binary())
             edges = np.concatenate([[0], np.flatnonzero(np.diff(of)) + 1, [len(of)]])
             for lo, hi in zip(edges[:-1], edges[1:], strict=True):
                 if lo == hi:
                     continue
-                keys, counts = Block(_words(ranks, model), (texts[i].as_py() for i in range(lo, hi))).pairs()
+                keys, counts = Block(_words(ranks, model), texts.slice(lo, hi - lo).to_pylist(), groups=False).pairs()
                 at = _shard(keys, shards).astype(np.int64)
                 order = np.argsort(at, kind="stable")
                 found, first = np.unique(at[order], return_index=True)
@@ -279,8 +327,7 @@ def token_links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     def finish(own: pa.Table, answer: pa.Table) -> pa.Table:
         keys, at = np.unique(_flat(answer.column("keys")).astype(np.uint64), return_index=True)
-        texts = own.column("text").combine_chunks()
-        block = Block(_words(ranks, model), (texts[i].as_py() for i in range(len(texts))))
+        block = Block(_words(ranks, model), own.column("text").cast(pa.binary()).to_pylist())
         found = list(zip(*block.rows(keys, _flat(answer.column("counts"))[at], _flat(answer.column("best"))[at]), strict=True)) or [()] * 7
         names = ("n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum")
         return pa.table({"id": own.column("id"), **{c: pa.array(found[i], pa.int64()) for i, c in enumerate(names)}, "groups_sha256": pa.array(found[6], pa.string())})
