@@ -1,18 +1,24 @@
-"""Associations between all pairs of features, with the measure that fits their kinds, and rankings of the results.
+"""Associations between all pairs of features, with the measure and test that fit their kinds, and rankings of the results.
 
-A pair's rows never meet in one task: numbers are first counted by distinct value, ranks come from value counts, and
-contingency tables from grouped counts. Rankings, corrections and summaries run on one row a pair.
+All pairs come from the sums of one scan (``gram``); only pairs whose ranks leave rows out (nulls, rare levels) are ranked by themselves, over
+value counts. Rankings, corrections and summaries run on one row a pair.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 from itertools import combinations
+from math import isfinite, sqrt
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from panelspark.functions import special
+from panelspark.operators import ranks
 from panelspark.operators import stats as S
+from panelspark.operators.gram import CLIPS, Sums, association_sums, rank_tests
+from panelspark.sources.work import cut, drop
 
 
 @dataclass(frozen=True)
@@ -27,58 +33,194 @@ class Features:
         return not any(a in group and b in group for group in self.aliases)
 
 
-MIN_PAIRS, MAX_LEVELS, TAUTOLOGY = 30, 30, 0.95
-
-
-def numeric_pairs(rows: DataFrame, features: Features, min_n: int = MIN_PAIRS) -> DataFrame:
-    """Q7, num x num: (a, b, kind, n, measure, value, pearson, p_value): Spearman, with Pearson beside it."""
+MIN_PAIRS, MAX_LEVELS, TAUTOLOGY, MIN_BLOCK = 30, 30, 0.95, 3
+PAIR = "a string, b string, kind string, n long, measure string, value double, pearson double, trimmed double, robust double, statistic double, dof double, p_value double"
+
+
+def _rounded(x: float | None, digits: int = 4) -> float | None:
+    return None if x is None or not isfinite(x) else round(float(x), digits) + 0.0
+
+
+def chi_square(table: np.ndarray) -> tuple[float, int, int, int, float | None]:
+    """(statistic, dof, levels, levels, bias-corrected V) of a contingency table without its empty lines; Yates' correction at one degree of freedom."""
+    table = table[table.sum(axis=1) > 0][:, table.sum(axis=0) > 0]
+    (r, k), n = table.shape, table.sum()
+    if r < 2 or k < 2:
+        return 0.0, 0, r, k, None
+    expected = np.outer(table.sum(axis=1), table.sum(axis=0)) / n
+    gap, dof = np.abs(table - expected), (r - 1) * (k - 1)
+    statistic = float((np.where(dof == 1, np.maximum(gap - 0.5, 0.0), gap) ** 2 / expected).sum())
+    side = lambda m: m - (m - 1) ** 2 / (n - 1) - 1
+    low = min(side(r), side(k))
+    return statistic, dof, r, k, sqrt(max(statistic / n - dof / (n - 1), 0.0) / low) if low > 0 else None
+
+
+def kruskal_wallis(groups: list[tuple[float, float]], n: float, ties: float) -> float | None:
+    """H of (size, sum of ranks less their middle) by group; null where all values are equal."""
+    correction = 1 - ties / (n**3 - n) if n > 1 else 0.0
+    return 12 / (n * (n + 1)) * sum(r * r / c for c, r in groups) / correction if correction > 0 else None
+
+
+def mann_whitney(groups: list[tuple[float, float]], n: float, ties: float) -> tuple[float, float, float]:
+    """(U of the second group, z with continuity, rank-biserial) of two (size, sum of ranks less their middle)."""
+    (n1, _), (n2, r2) = groups
+    u = r2 + n2 * (n + 1) / 2 - n2 * (n2 + 1) / 2
+    spread = sqrt(n1 * n2 / 12 * ((n + 1) - ties / (n * (n - 1))))
+    return u, (max(u, n1 * n2 - u) - n1 * n2 / 2 - 0.5) / spread if spread > 0 else 0.0, 2 * u / (n1 * n2) - 1
+
+
+def _blocks(sums: Sums, number: str, category: str, least: int) -> tuple[list[tuple[float, float]], bool]:
+    """((size, centred rank sum) of levels with least rows, in order; whether the column's own ranks are theirs, as no row is left out)."""
+    g = sums.groups(number, category)
+    kept = [(float(c), float(r)) for c, r in zip(g["n"], g["rank"], strict=True) if c >= least]
+    return kept, sum(c for c, _ in kept) == sums.filled.get(number, 0)
+
+
+def _ranked_blocks(rows: DataFrame, sums: Sums, pairs: list[tuple[str, str]], least: int) -> dict[tuple[str, str], tuple[list[tuple[float, float]], float, float]]:
+    """((size, centred rank sum) by level, n, ties) of each (number, category) pair."""
+    out, apart = {}, []
+    for a, b in pairs:
+        kept, whole = _blocks(sums, a, b, least)
+        if whole:
+            out[a, b] = kept, sum(c for c, _ in kept), sums.ties.get(a, 0.0)
+        else:
+            apart.append((a, b))
+    for pair, found in rank_tests(rows, apart, least).items():
+        out[pair] = [(c, r - c * (found["n"] + 1) / 2) for _, c, r in found["groups"]], found["n"], found["ties"]
+    return out
+
+
+def _partial_ranks(rows: DataFrame, pairs: list[tuple[str, str]]) -> dict[tuple[str, str], tuple[float | None, float | None, float | None]]:
+    """(spearman, trimmed, robust) of pairs of numbers on their complete rows, for pairs where a null leaves rows out."""
+    if not pairs:
+        return {}
+    number = lambda c: F.when(~F.isnan(F.col(c).cast("double")), F.col(c).cast("double"))
+    long = cut(rows.select(F.explode(F.array(*[F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), number(a).alias("x"), number(b).alias("y")) for a, b in pairs])).alias("p")).select("p.*").where("x is not null and y is not null"))
+    ranked = S.midranks(S.midranks(long, ["a", "b"], "x", "rx"), ["a", "b"], "y", "ry")
+    ps = [p for bounds in CLIPS.values() for p in bounds]
+    for c in "xy":
+        ranked = ranked.join(F.broadcast(ranks.percentiles(long, ["a", "b"], c, tuple(ps)).select("a", "b", F.col("q").alias(f"q{c}"))), ["a", "b"])  # a row a pair
+    clip = lambda c, i: F.greatest(F.least(F.col(c), F.col(f"q{c}")[i + 1]), F.col(f"q{c}")[i])
+    found = ranked.groupBy("a", "b").agg(F.corr("rx", "ry").alias("s"), *[F.corr(clip("x", 2 * i), clip("y", 2 * i)).alias(k) for i, k in enumerate(CLIPS)]).collect()
+    drop(long)
+    return {(r.a, r.b): (r.s, r.trimmed, r.robust) for r in found}
+
+
+def numeric_pairs(rows: DataFrame, features: Features, min_n: int = MIN_PAIRS, sums: Sums | None = None) -> DataFrame:
+    """Q7, num x num: Spearman, with Pearson and Pearson of values clipped to 1-99 and 10-90 percent beside it; the statistic is Spearman's t."""
+    sums = sums or association_sums(rows, list(features.numeric), [], 0)
+    at = {c: i for i, c in enumerate(sums.numeric)}
     pairs = [p for p in combinations(features.numeric, 2) if features.apart(*p)]
-    c = S.correlations(rows, pairs, min_n)
-    return c.select("a", "b", F.lit("num_num").alias("kind"), "n", F.lit("spearman").alias("measure"), F.col("spearman").alias("value"), "pearson", "p_value")
-
-
-def _levels(rows: DataFrame, features: Features, most: int) -> list[str]:
-    """Categorical features of 2 to most levels: one number a feature is read."""
-    counts = rows.agg(*[F.count_distinct(c).alias(c) for c in features.categorical]).first()
-    return [c for c in features.categorical if 2 <= counts[c] <= most]
-
-
-def categorical_pairs(rows: DataFrame, features: Features, min_n: int = MIN_PAIRS, max_levels: int = MAX_LEVELS) -> DataFrame:
-    """Q7, cat x cat: (a, b, kind, n, measure, value, pearson, p_value): bias-corrected Cramer's V of every pair from one long table of counts."""
-    names = _levels(rows, features, max_levels)
-    pairs = [p for p in combinations(names, 2) if features.apart(*p)]
-    long = rows.select(F.explode(F.array(*[F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), F.col(a).cast("string").alias("x"), F.col(b).cast("string").alias("y")) for a, b in pairs])).alias("p")).select("p.*")
-    cells = long.where("x is not null and y is not null").groupBy("a", "b", "x", "y").agg(F.count("*").alias("o"))
-    of = lambda *by: Window.partitionBy("a", "b", *by)  # noqa: E731  contingency tables: levels times levels
-    full = cells.withColumns({"rx": F.sum("o").over(of("x")), "cy": F.sum("o").over(of("y")), "n": F.sum("o").over(of())})
-    e = F.col("rx") * F.col("cy") / F.col("n")
-    got = full.groupBy("a", "b", "n").agg((F.sum((F.col("o") - e) * (F.col("o") - e) / e) + F.first("n") - F.sum(e)).alias("chi2"), F.count_distinct("x").alias("r"), F.count_distinct("y").alias("k"))
-    n, dof = F.col("n"), (F.col("r") - 1) * (F.col("k") - 1)
-    phi = F.greatest(F.col("chi2") / n - dof / (n - 1), F.lit(0.0))
-    side = lambda c: F.col(c) - F.pow(F.col(c) - 1, 2) / (n - 1) - 1
-    ok = (n >= min_n) & (F.col("r") > 1) & (F.col("k") > 1)
-    value = F.when(ok, F.round(F.sqrt(phi / F.least(side("r"), side("k"))), 4))
-    return got.select("a", "b", F.lit("cat_cat").alias("kind"), "n", F.lit("cramers_v").alias("measure"), value.alias("value"), F.lit(None).cast("double").alias("pearson"), F.when(ok, F.round(S._p("chi2")(F.col("chi2"), dof.cast("double")), 6)).alias("p_value"))
-
-
-def mixed_pairs(rows: DataFrame, features: Features, min_n: int = MIN_PAIRS, max_levels: int = MAX_LEVELS, min_group: int = 10) -> DataFrame:
-    """Q7, num x cat: (a, b, kind, n, measure, value, pearson, p_value): correlation ratio of number a by the levels of b with min_group rows."""
-    names = _levels(rows, features, max_levels)
-    pairs = [(a, b) for a in features.numeric for b in names if features.apart(a, b)]
-    long = rows.select(F.explode(F.array(*[F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), F.col(a).cast("double").alias("v"), F.col(b).cast("string").alias("g")) for a, b in pairs])).alias("p")).select("p.*")
-    g = long.where("v is not null and g is not null").groupBy("a", "b", "g").agg(F.count("*").alias("n"), F.avg("v").alias("m"), F.var_pop("v").alias("s")).where(F.col("n") >= min_group)
-    t = g.groupBy("a", "b").agg(F.sum("n").alias("n"), (F.sum(F.col("n") * F.col("m")) / F.sum("n")).alias("m"), F.sum(F.col("n") * F.col("m") * F.col("m")).alias("q"), F.sum(F.col("n") * F.col("s")).alias("w"), F.count("*").alias("groups"))
-    between = F.greatest(F.col("q") - F.col("n") * F.col("m") * F.col("m"), F.lit(0.0))
-    ok = (F.col("n") >= min_n) & (F.col("groups") > 1)
-    eta = F.when(ok, F.round(F.sqrt(between / (between + F.col("w"))), 4))
-    return t.select("a", "b", F.lit("num_cat").alias("kind"), "n", F.lit("eta").alias("measure"), eta.alias("value"), F.lit(None).cast("double").alias("pearson"), F.lit(None).cast("double").alias("p_value"))
+    n, by = sums.products["n"], {k: sums.correlation(k) for k in ("value", "rank", *CLIPS)}
+    apart = [(a, b) for a, b in pairs if n[at[a], at[b]] >= min_n and n[at[a], at[b]] < max(sums.filled.get(a, 0), sums.filled.get(b, 0))]
+    own, out = _partial_ranks(rows, apart), []
+    for a, b in pairs:
+        i, j = at[a], at[b]
+        size, pearson = int(n[i, j]), by["value"][i, j]
+        rho, trimmed, robust = own.get((a, b)) or (by["rank"][i, j], by["trimmed"][i, j], by["robust"][i, j])
+        if size < min_n or rho is None or not isfinite(rho):
+            rho = None
+        t = rho * sqrt((size - 2) / max(1 - rho * rho, 1e-300)) if rho is not None else None
+        some = size >= min_n
+        out.append((a, b, "num_num", size, "spearman", _rounded(rho), _rounded(pearson) if some else None, _rounded(trimmed) if some else None, _rounded(robust) if some else None, _rounded(t), float(size - 2) if t is not None else None, _rounded(special.t_two_sided(t, size - 2), 6) if t is not None else None))
+    return rows.sparkSession.createDataFrame(out, PAIR)
+
+
+def categorical_pairs(rows: DataFrame, features: Features, min_n: int = MIN_PAIRS, max_levels: int = MAX_LEVELS, sums: Sums | None = None) -> DataFrame:
+    """Q7, cat x cat: bias-corrected Cramer's V with chi-square of every pair."""
+    sums, out = sums or association_sums(rows, [], list(features.categorical), max_levels), []
+    names = [c for c in features.categorical if len(sums.levels.get(c, ())) >= 2]
+    for a, b in (p for p in combinations(names, 2) if features.apart(*p)):
+        table = sums.table(a, b)
+        statistic, dof, _, _, v = chi_square(table)
+        ok = table.sum() >= min_n and v is not None
+        out.append((a, b, "cat_cat", int(table.sum()), "cramers_v", _rounded(v) if ok else None, None, None, None, _rounded(statistic) if ok else None, float(dof) if ok else None, _rounded(special.chi2_tail(statistic, dof), 6) if ok else None))
+    return rows.sparkSession.createDataFrame(out, PAIR)
+
+
+def mixed_pairs(rows: DataFrame, features: Features, min_n: int = MIN_PAIRS, max_levels: int = MAX_LEVELS, sums: Sums | None = None) -> DataFrame:
+    """Q7, num x cat: correlation ratio of number a by the levels of b; the test is Kruskal-Wallis over levels of three rows and more."""
+    sums, out = sums or association_sums(rows, list(features.numeric), list(features.categorical), max_levels), []
+    pairs = [(a, b) for a in features.numeric for b in features.categorical if len(sums.levels.get(b, ())) >= 2 and features.apart(a, b)]
+    tested = _ranked_blocks(rows, sums, pairs, MIN_BLOCK)
+    for a, b in pairs:
+        g = sums.groups(a, b)
+        here = g["n"] > 0
+        n, whole = g["n"].sum(), g["sum"].sum()
+        total = g["square"].sum() - whole**2 / max(n, 1)
+        between = (g["sum"][here] ** 2 / g["n"][here]).sum() - whole**2 / max(n, 1)
+        ok = n >= min_n and here.sum() > 1 and total > 0
+        eta = sqrt(min(max(between / total, 0.0), 1.0)) if ok else None
+        blocks, size, ties = tested.get((a, b), ([], 0, 0.0))
+        h = kruskal_wallis(blocks, size, ties) if ok and len(blocks) >= 2 else None
+        out.append((a, b, "num_cat", int(n), "eta", _rounded(eta), None, None, None, _rounded(h), float(len(blocks) - 1) if h is not None else None, _rounded(special.chi2_tail(h, len(blocks) - 1), 6) if h is not None else None))
+    return rows.sparkSession.createDataFrame(out, PAIR)
 
 
 def pairwise_associations(rows: DataFrame, features: Features, min_n: int = MIN_PAIRS, max_levels: int = MAX_LEVELS) -> DataFrame:
-    """Q7: every pair of features with the measure of its kinds, its strength, whether it is a tautology, and p-values corrected over all pairs."""
-    every = numeric_pairs(rows, features, min_n).unionByName(categorical_pairs(rows, features, min_n, max_levels)).unionByName(mixed_pairs(rows, features, min_n, max_levels))
-    size = F.abs("value")
-    return S.benjamini_hochberg(every, "p_value", name="q_value").withColumns({"strength": S.strength_of(size), "tautology": F.coalesce(size > TAUTOLOGY, F.lit(False))})
+    """Q7: every pair of features with the measure of its kinds, its test, its strength, whether it is a tautology, and p-values corrected over all pairs.
+
+    Categories of more than max_levels levels are left out. The frame has a row a pair and is made when this is called.
+    """
+    sums = association_sums(rows, list(features.numeric), list(features.categorical), max_levels)
+    every = numeric_pairs(rows, features, min_n, sums).unionByName(categorical_pairs(rows, features, min_n, max_levels, sums)).unionByName(mixed_pairs(rows, features, min_n, max_levels, sums))
+    size = F.greatest(F.abs("value"), F.abs("pearson"))
+    return S.benjamini_hochberg(every, "p_value", name="q_value").withColumns({"strength": S.strength_of(F.abs("value")), "tautology": F.coalesce(size > TAUTOLOGY, F.lit(False))})
+
+
+TEST = "feature string, kind string, test string, groups int, n long, statistic double, dof double, effect_size double, p_value double"
+
+
+def _tested(rows: DataFrame, out: list[tuple], top: int) -> DataFrame:
+    """Result rows with Holm's correction, the tautology flag and a rank by effect."""
+    found = S.holm(rows.sparkSession.createDataFrame(out, TEST), "p_value").withColumn("tautology", F.coalesce(F.abs("effect_size") > TAUTOLOGY, F.lit(False)))
+    order = Window.orderBy(F.desc_nulls_last(F.abs("effect_size")), "feature")  # one row a feature
+    return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= top)
+
+
+def target_associations(rows: DataFrame, features: Features, target: str, min_n: int = MIN_PAIRS, max_levels: int = MAX_LEVELS, top: int = 40) -> DataFrame:
+    """Q12, Q19: every feature against a numeric target above zero, by the test of its kind: Spearman for numbers, Mann-Whitney with rank-biserial for
+    categories of two levels, Kruskal-Wallis with epsilon squared for more, over levels of min_n rows; Holm-adjusted, aliases of the target left out."""
+    kept = rows.where(F.col(target) > 0)
+    others = [c for c in features.numeric if c != target and features.apart(c, target)]
+    categories = [c for c in features.categorical if features.apart(c, target)]
+    sums = association_sums(kept, [target, *others], categories, max_levels)
+    out: list[tuple] = []
+    for r in numeric_pairs(kept, Features((target, *others), (), tuple((a, b) for a, b in combinations(others, 2))), min_n, sums).collect():  # a row a feature
+        if r.value is not None:
+            out.append((r.b if r.a == target else r.a, "numeric", "spearman", None, r.n, r.statistic, r.dof, r.value, r.p_value))
+    tested = _ranked_blocks(kept, sums, [(target, c) for c in categories if len(sums.levels.get(c, ())) >= 2], min_n)
+    for (_, c), (blocks, n, ties) in tested.items():
+        if len(blocks) == 2:
+            u, z, effect = mann_whitney(blocks, n, ties)
+            out.append((c, "boolean", "mann_whitney_u", 2, int(n), _rounded(u), None, _rounded(effect), _rounded(special.normal_two_sided(z), 6)))
+        elif len(blocks) > 2 and (h := kruskal_wallis(blocks, n, ties)) is not None:
+            k = len(blocks)
+            out.append((c, "categorical", "kruskal_wallis", k, int(n), _rounded(h), float(k - 1), _rounded((h - k + 1) / (n - k)) if n > k else None, _rounded(special.chi2_tail(h, k - 1), 6)))
+    return _tested(rows, out, top)
+
+
+def differentiating_features(rows: DataFrame, features: Features, dimension: str, min_group: int = 10, max_groups: int = 12, max_levels: int = MAX_LEVELS, top: int = 25) -> DataFrame:
+    """Q18: features that differ between the max_groups largest groups of a dimension, of min_group rows each: Kruskal-Wallis with epsilon squared for
+    numbers, chi-square with bias-corrected V for categories; Holm-adjusted, with a tautology flag. No rows with fewer than two groups."""
+    group = F.col(dimension).cast("string")
+    sizes = rows.where(group.isNotNull()).groupBy(group.alias("g")).agg(F.count("*").alias("n")).where(F.col("n") >= min_group)
+    names = [r.g for r in sizes.orderBy(F.desc("n"), "g").limit(max_groups).collect()]
+    out: list[tuple] = []
+    if len(names) >= 2:
+        kept = rows.where(group.isin(names))
+        numbers, others = ([c for c in some if c != dimension and features.apart(c, dimension)] for some in (features.numeric, features.categorical))
+        sums = association_sums(kept, numbers, [dimension, *others], max(max_levels, max_groups))
+        for (c, _), (blocks, n, ties) in _ranked_blocks(kept, sums, [(c, dimension) for c in numbers], min_group).items():
+            if len(blocks) >= 2 and (h := kruskal_wallis(blocks, n, ties)) is not None:
+                k = len(blocks)
+                out.append((c, "numeric", "kruskal_wallis", k, int(n), _rounded(h), float(k - 1), _rounded((h - k + 1) / (n - k)) if n > k else None, _rounded(special.chi2_tail(h, k - 1), 6)))
+        for c in (c for c in others if len(sums.levels.get(c, ())) >= 2):
+            table = sums.table(c, dimension)
+            statistic, dof, _, k, v = chi_square(table)
+            if v is not None and table.sum() >= 2 * min_group:
+                out.append((c, "categorical", "chi_square", k, int(table.sum()), _rounded(statistic), float(dof), _rounded(v), _rounded(special.chi2_tail(statistic, dof), 6)))
+    return _tested(rows, out, top).withColumn("dimension", F.lit(dimension))
 
 
 def non_linear(pairs: DataFrame, least: float = 0.05, top: int = 25) -> DataFrame:
@@ -91,24 +233,9 @@ def non_linear(pairs: DataFrame, least: float = 0.05, top: int = 25) -> DataFram
 
 
 def pair_summary(pairs: DataFrame) -> DataFrame:
-    """Q10: counts of pairs by kind: computed, strong and more, tautologies."""
+    """Q10: counts of pairs by kind: computed, strong and more, tautologies, significant after correction."""
     n = F.count_if
-    return pairs.groupBy("kind").agg(F.count("*").alias("pairs"), n(F.col("value").isNotNull()).alias("computed"), n(F.col("strength").isin("strong", "very_strong")).alias("strong"), n("tautology").alias("tautologies"))
-
-
-def target_associations(pairs: DataFrame, target: str, top: int = 40) -> DataFrame:
-    """Q12, Q19: features by the size of their association with a target, tautologies left out, with a rank."""
-    mine = pairs.where(((F.col("a") == target) | (F.col("b") == target)) & F.col("value").isNotNull() & ~F.col("tautology"))
-    rows = mine.select(F.when(F.col("a") == target, F.col("b")).otherwise(F.col("a")).alias("feature"), "kind", "measure", "n", "value", "strength")
-    order = Window.orderBy(F.desc(F.abs("value")), "feature")  # one row a feature
-    return rows.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= top)
-
-
-def differentiating_features(pairs: DataFrame, dimension: str, top: int = 25) -> DataFrame:
-    """Q18: features that differ between the groups of a dimension, by size of the association, with a tautology flag."""
-    mine = pairs.where(((F.col("a") == dimension) | (F.col("b") == dimension)) & (F.col("kind") != "num_num") & F.col("value").isNotNull())
-    rows = mine.select(F.lit(dimension).alias("dimension"), F.when(F.col("a") == dimension, F.col("b")).otherwise(F.col("a")).alias("feature"), "measure", "n", "value", "strength", "tautology")
-    return rows.orderBy(F.desc("value"), "feature").limit(top)
+    return pairs.groupBy("kind").agg(F.count("*").alias("pairs"), n(F.col("value").isNotNull()).alias("computed"), n(F.col("strength").isin("strong", "very_strong")).alias("strong"), n("tautology").alias("tautologies"), n(F.coalesce(F.col("q_value") < 0.05, F.lit(False))).alias("significant"))
 
 
 def feature_profiles(rows: DataFrame, features: Features) -> DataFrame:

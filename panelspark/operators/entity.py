@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 from itertools import combinations
 from math import log1p
 
@@ -66,7 +67,7 @@ def block_keys(m: Match) -> list[tuple[tuple[str, ...], tuple[str, ...]]]:
     """(fields, fields that must be there): each match agrees on the fields of at least one key.
 
     Every match holds one of the smallest sets of signals whose weights reach the threshold. Such a set's key is made of
-    its exact fields and of its mileage and price cells; the image joins in where fewer than three of these are left. A description
+    its exact fields and of its mileage or price cells (both where there are only three fields); the image joins in where fewer than three of these are left. A description
     can't be a key, so it has to be there on both sides. A key whose fields include another's is left out.
     """
     weights = {"taxonomy": m.taxonomy, "seller": m.seller, "mileage": m.mileage, "price": m.price, "city": m.city, "colors": m.colors, "image": m.image, "description": m.description}
@@ -79,51 +80,58 @@ def block_keys(m: Match) -> list[tuple[tuple[str, ...], tuple[str, ...]]]:
     for some in least:
         fields = some - {"description", "image"}
         fields = fields | (some & {"image"}) if len(fields) < 3 else fields
-        keys.add((fields, some - fields))
+        fields = fields - {"price"} if "mileage" in fields and len(fields) > 3 else fields  # a second field of cells triples a parent's keys
+        keys.add((fields, some & {"description", "image"} - fields))
     apart = [k for k in keys if not any(o != k and o[0] <= k[0] and o[1] <= k[0] | k[1] for o in keys)]
     return sorted((tuple(x for x in weights if x in f), tuple(x for x in weights if x in there)) for f, there in apart)
 
 
-def _cells(column: Column, width: Column | float, near: bool) -> Column:
-    """The cell of a value, or with near that and its two neighbours; none for null."""
-    cell = F.floor(column / width).cast("long")
-    return F.when(cell.isNotNull(), F.array(cell - 1, cell, cell + 1) if near else F.array(cell)).otherwise(F.array().cast("array<bigint>"))
+def _prepared(rows: DataFrame, side: str, order: str | None, m: Match) -> DataFrame:
+    """Rows with their fields under a prefix, normalised fields (n_ between), the taxonomy, and what block keys are made of, written once.
 
-
-def _each(keys: Column, values: Column) -> Column:
-    """Every key with every value."""
-    return F.flatten(F.transform(keys, lambda k: F.transform(values, lambda v: F.concat_ws("|", k, v.cast("string")))))
-
-
-def _keyed(rows: DataFrame, side: str, order: str | None, m: Match) -> DataFrame:
-    """Rows with their fields under a prefix, normalised fields (n_ between), the taxonomy, and the block keys as 64-bit hashes.
-
-    Children have the cell of their mileage and price, parents that and the two beside it. Prices within the ratio of one another are at most
-    a cell apart on a scale that is logarithmic from 1 on and linear below.
+    A key field is a 64-bit hash, null where it is missing; mileage and price are cells. Prices within the ratio of one another are at most a cell
+    apart on a scale that is logarithmic from 1 on and linear below.
     """
     out = rows.select(*[F.col(c).alias(f"{side}_{c}") for c in FIELDS], *([F.col(order).alias(f"{side}_order")] if order else []))
-    out = out.withColumns({f"{side}_n_{c}": C.norm(F.col(f"{side}_{c}")) for c in NORMED} | {f"{side}_images_at": F.coalesce(image_parts(F.col(f"{side}_images")), F.array())})
+    out = out.withColumns({f"{side}_n_{c}": C.norm(F.col(f"{side}_{c}")) for c in NORMED})
     raw = lambda c: F.coalesce(F.col(f"{side}_{c}"), F.lit("")) != ""
-    named = lambda c: F.when(raw(c), F.col(f"{side}_n_{c}"))
-    taxonomy = F.when(raw("brand") & raw("model") & raw("year"), F.concat_ws("|", *[F.col(f"{side}_n_{c}") for c in ("brand", "model", "year")]))
-    out = out.withColumns({f"{side}_taxonomy": taxonomy, f"{side}_described": F.length(C.norm(F.col(f"{side}_description"))) >= TEXT})
+    named = lambda *cs: F.when(reduce(Column.__and__, map(raw, cs)), F.xxhash64(*[F.col(f"{side}_n_{c}") for c in cs]))
     price = F.nullif(F.col(f"{side}_price").cast("double"), F.lit(0.0))
     scale, width = F.when(price >= 1, F.ln(price)).otherwise(price - 1), -log1p(-m.price_ratio) * (1 + 1e-9)
-    one = lambda c: F.when(c.isNotNull(), F.array(c.cast("string"))).otherwise(F.array().cast("array<string>"))
-    fields = {
-        "taxonomy": one(F.col(f"{side}_taxonomy")), "seller": one(named("seller")), "city": one(named("city")), "colors": one(F.concat(named("body_color"), F.lit("|"), named("interior_color"))),
-        "mileage": _cells(F.col(f"{side}_mileage"), F.lit(m.mileage_tolerance + 1.0), side == "p"), "price": _cells(scale, width, side == "p"), "image": F.col(f"{side}_images_at"),
+    made = {
+        f"{side}_taxonomy": F.when(raw("brand") & raw("model") & raw("year"), F.concat_ws("|", *[F.col(f"{side}_n_{c}") for c in ("brand", "model", "year")])),
+        "__taxonomy": named("brand", "model", "year"), "__seller": named("seller"), "__city": named("city"), "__colors": named("body_color", "interior_color"),
+        "__mileage": F.floor(F.col(f"{side}_mileage") / (m.mileage_tolerance + 1.0)).cast("long"), "__price": F.floor(scale / width).cast("long"),
+        "__image": F.transform(F.coalesce(image_parts(F.col(f"{side}_images")), F.array().cast("array<string>")), lambda x: F.xxhash64(x)),
+        "__description": F.coalesce(F.length(C.norm(F.col(f"{side}_description"))) >= TEXT, F.lit(False)),
     }
-    held = {"description": F.coalesce(F.col(f"{side}_described"), F.lit(False)), "image": F.size(f"{side}_images_at") > 0}
-    keys = []
-    for names, there in block_keys(m):
-        made = F.array(F.lit(",".join(names)))
-        for name in names:
-            made = _each(made, fields[name])
-        for name in there:
-            made = F.when(held[name], made).otherwise(F.array().cast("array<string>"))
-        keys.append(made)
-    return out.withColumn(f"{side}_keys", F.array_distinct(F.transform(F.concat(*keys), lambda k: F.xxhash64(k)))).drop(f"{side}_images_at", f"{side}_described")
+    return cut(out.withColumns(made).drop(f"{side}_description"))
+
+
+def _with_image(key: Column) -> Column:
+    return F.transform("__image", lambda part: F.xxhash64(key, part))
+
+
+def _keys(prepared: DataFrame, side: str, order: str | None, m: Match) -> DataFrame:
+    """(id, order, k): every block key of a row as a 64-bit hash. Children have the cell of their mileage and price, parents that and the two beside it."""
+    near = (-1, 0, 1) if side == "p" else (0,)
+    single, many = [], []
+    for number, (names, there) in enumerate(block_keys(m)):
+        ways: list[list[Column]] = [[F.lit(number)]]
+        for name in (x for x in names if x != "image"):
+            ways = [[*w, F.col(f"__{name}") + step if step else F.col(f"__{name}")] for w in ways for step in (near if name in ("mileage", "price") else (0,))]
+        held = [F.col(f"__{x}").isNotNull() for x in names if x != "image"] + [F.col("__description") if x == "description" else F.size("__image") > 0 for x in there]
+        when = reduce(Column.__and__, held, F.lit(True))
+        for way in ways:
+            if "image" in names:
+                many.append(F.when(when, _with_image(F.xxhash64(*way))).otherwise(F.array().cast("array<bigint>")))
+            else:
+                single.append(F.when(when, F.xxhash64(*way)))
+    ends = [f"{side}_id", *([f"{side}_order"] if order else [])]
+    found = [prepared.select(*ends, F.explode(F.array(*single)).alias("k")).where("k is not null")] if single else []
+    if many:
+        found.append(prepared.where(F.size("__image") > 0).select(*ends, F.explode(F.array_distinct(F.concat(*many))).alias("k")))
+    return reduce(DataFrame.unionByName, found)
 
 
 def candidates(children: DataFrame, parents: DataFrame, order: str | None = None, m: Match = Match()) -> DataFrame:
@@ -131,11 +139,11 @@ def candidates(children: DataFrame, parents: DataFrame, order: str | None = None
 
     No taxonomy or seller alone is a block: a key has three fields or more, or as many as the weights leave.
     """
-    c, p = _keyed(children, "c", order, m), _keyed(parents, "p", order, m)
-    ends = lambda df, side: df.select(f"{side}_id", *([f"{side}_order"] if order else []), F.explode(f"{side}_keys").alias("k"))
-    met = ends(c, "c").join(ends(p, "p"), "k").where("c_id <> p_id" + (" and p_order < c_order" if order else ""))
+    c, p = _prepared(children, "c", order, m), _prepared(parents, "p", order, m)
+    met = _keys(c, "c", order, m).join(_keys(p, "p", order, m), "k").where("c_id <> p_id" + (" and p_order < c_order" if order else ""))
     pairs = met.select("c_id", "p_id").distinct()
-    return pairs.join(c.drop("c_keys", "c_order", "c_description"), "c_id").join(p.drop("p_keys", "p_order", "p_description"), "p_id")
+    wide = lambda df, side: df.drop(f"{side}_order", *[x for x in df.columns if x.startswith("__")])
+    return pairs.join(wide(c, "c"), "c_id").join(wide(p, "p"), "p_id")
 
 
 def signals(m: Match, described: Column) -> list[tuple[str, Column, float]]:

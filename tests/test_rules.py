@@ -139,7 +139,86 @@ def test_associations_leave_aliases_out(spark):
     got = {(p.a, p.b): p for p in pairs.collect()}
     assert ("x", "x2") not in got and len(got) == 2 + 1 + 6 and not any(p.tautology for p in got.values())
     assert all(p.q_value >= p.p_value for p in got.values() if p.p_value is not None)
-    assert {p.feature for p in A.target_associations(pairs, "x").collect()} == {"y", "g", "h"}
+    assert {p.feature for p in A.target_associations(df, f, "x").collect()} == {"y", "g", "h"}
+    assert {p.feature for p in A.differentiating_features(df, f, "g").collect()} == {"x", "x2", "y", "h"}
+    assert A.pairwise_associations(df.limit(0), f).where("value is not null").count() == 0
+
+
+def midranks(v):
+    order = sorted(v)
+    return [order.index(x) + (order.count(x) + 1) / 2 for x in v]
+
+
+def pearson(x, y):
+    mx, my = sum(x) / len(x), sum(y) / len(y)
+    return sum((a - mx) * (b - my) for a, b in zip(x, y, strict=True)) / (sum((a - mx) ** 2 for a in x) * sum((b - my) ** 2 for b in y)) ** 0.5
+
+
+def quantile(v, p):
+    s, at = sorted(v), (len(v) - 1) * p
+    low = int(at)
+    return s[low] + (s[min(low + 1, len(s) - 1)] - s[low]) * (at - low)
+
+
+def kruskal(groups):
+    every = [x for g in groups for x in g]
+    r, n = dict(zip(every, midranks(every), strict=True)), len(every)
+    ties = sum(every.count(x) ** 3 - every.count(x) for x in set(every))
+    return (12 / (n * (n + 1)) * sum(sum(r[x] for x in g) ** 2 / len(g) for g in groups) - 3 * (n + 1)) / (1 - ties / (n**3 - n))
+
+
+def test_associations_with_nulls_beside_plain_code(spark):
+    """Pairs whose nulls and rare levels leave rows out are ranked on what is left; NaN is missing; all from the sums of one scan else."""
+    r = random.Random(6)
+    rows = []
+    for i in range(240):
+        x = r.choice([1.0, 2.0, 3.5, 1e6, r.random()])
+        rows.append((x, None if i % 5 == 0 else x * x + r.random(), float("nan") if i % 7 == 0 else r.random(), r.choice("abc") if i % 6 else None, "rare" if i == 3 else r.choice("uv"), r.choice(["p", "q"])))
+    df = spark.createDataFrame(rows, "x double, y double, z double, g string, h string, k string").repartition(7)
+    got = {(p.a, p.b): p for p in A.pairwise_associations(df, A.Features(("x", "y", "z"), ("g", "h", "k"))).collect()}
+    at = {c: i for i, c in enumerate("xyzghk")}
+    col = lambda *c: [v for v in ([row[at[x]] for x in c] for row in rows) if not any(x is None or x != x for x in v)]
+    for a, b in itertools.combinations("xyz", 2):
+        u, v = map(list, zip(*col(a, b), strict=True))
+        p = got[a, b]
+        clip = lambda w, q: [max(min(t, quantile(w, 1 - q)), quantile(w, q)) for t in w]
+        want = (pearson(midranks(u), midranks(v)), pearson(u, v), pearson(clip(u, 0.01), clip(v, 0.01)), pearson(clip(u, 0.1), clip(v, 0.1)))
+        assert p.n == len(u) and [p.value, p.pearson, p.trimmed, p.robust] == pytest.approx(list(want), abs=6e-5), (a, b)
+    for a, b in itertools.product("xyz", "ghk"):
+        pairs = col(a, b)
+        groups = [[v for v, g in pairs if g == level] for level in sorted({g for _, g in pairs})]
+        mean = sum(v for v, _ in pairs) / len(pairs)
+        eta = (sum(len(g) * (sum(g) / len(g) - mean) ** 2 for g in groups) / sum((v - mean) ** 2 for v, _ in pairs)) ** 0.5
+        tested = [g for g in groups if len(g) >= 3]
+        assert got[a, b].value == pytest.approx(eta, abs=6e-5) and got[a, b].statistic == pytest.approx(kruskal(tested), abs=6e-5) and got[a, b].dof == len(tested) - 1
+    for a, b in itertools.combinations("ghk", 2):
+        pairs = col(a, b)
+        left, right, n = sorted({p[0] for p in pairs}), sorted({p[1] for p in pairs}), len(pairs)
+        gap = lambda u, v: abs(sum(p == [u, v] for p in pairs) - (e := sum(p[0] == u for p in pairs) * sum(p[1] == v for p in pairs) / n)) ** 2 / e
+        assert got[a, b].statistic == pytest.approx(sum(gap(u, v) for u in left for v in right), abs=6e-5) and got[a, b].dof == (len(left) - 1) * (len(right) - 1)
+
+
+def test_tests_of_two_groups(spark):
+    """Mann-Whitney by counting pairs, Yates' correction in a two by two table, p-values beside published ones."""
+    r = random.Random(8)
+    rows = [(r.choice([1, 2, 3, 4, 9]) + 0.0, r.choice(["no", "yes"]), r.choice(["a", "b"])) for _ in range(200)]
+    df = spark.createDataFrame(rows + [(0.0, "yes", "a"), (-1.0, "no", "b"), (None, "no", "b")], "v double, flag string, other string")
+    got = {x.feature: x for x in A.target_associations(df, A.Features(("v",), ("flag", "other")), "v").collect()}
+    yes, no = ([v for v, f, _ in rows if f == w] for w in ("yes", "no"))
+    u = sum((a > b) + 0.5 * (a == b) for a in yes for b in no)
+    assert got["flag"].test == "mann_whitney_u" and got["flag"].statistic == pytest.approx(u, abs=1e-4) and got["flag"].effect_size == pytest.approx(2 * u / (len(yes) * len(no)) - 1, abs=6e-5)
+    assert got["flag"].p_holm >= got["flag"].p_value and got["flag"].n == 200
+    table = [[sum((f, o) == (w, z) for _, f, o in rows + [(0, "yes", "a"), (0, "no", "b"), (0, "no", "b")]) for z in "ab"] for w in ("no", "yes")]
+    n, want = sum(map(sum, table)), 0.0
+    for i, j in itertools.product((0, 1), (0, 1)):
+        e = sum(table[i]) * (table[0][j] + table[1][j]) / n
+        want += max(abs(table[i][j] - e) - 0.5, 0) ** 2 / e
+    pair = A.categorical_pairs(df, A.Features((), ("flag", "other"))).first()
+    assert pair.statistic == pytest.approx(want, abs=6e-5)
+    from panelspark.functions import special
+
+    assert special.chi2_tail(3.841459, 1) == pytest.approx(0.05, abs=1e-7) and special.chi2_tail(18.307038, 10) == pytest.approx(0.05, abs=1e-7)
+    assert special.t_two_sided(2.228139, 10) == pytest.approx(0.05, abs=1e-7) and special.normal_two_sided(1.959964) == pytest.approx(0.05, abs=1e-7)
 
 
 def test_baseline_follows_valid_runs(spark):
