@@ -22,7 +22,7 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from panelspark.llm import bpe, sentencepiece_codec
@@ -30,8 +30,8 @@ from panelspark.llm._graph import cut, drop
 from panelspark.llm._text import _powers, mix
 from panelspark.llm.mphf import PerfectHash, verified_index
 
-#: Shards of the pair table; documents of a block, and characters from which a document is a block of its own.
-SHARDS, BLOCK_ROWS, LONG = 64, 4096, 16_384
+#: Shards of the pair table; documents of a block, and characters from which a document is long and very long.
+SHARDS, BLOCK_ROWS, LONG = 64, 4096, (16_384, 131_072)
 #: Rows of blocks whose counts meet in one dense vector, least number of such vectors a shard, vectors summed at a time.
 VECTOR_ROWS, LEAST_VECTORS, FAN_IN = 4096, 4, 8
 #: White space other than spaces and line feeds; bytes of texts that have none of it: ASCII without other controls, and leads of two bytes but the first.
@@ -69,9 +69,10 @@ class Vocabularies:
         ids = [x if c[0] == " " else x[2:] for c, x in zip(chunks, found, strict=True)]
         return _flattened([x or [self.marker] for x in ids] + (self.model_b.encode(wholes, num_threads=1) if wholes else []))
 
-    def spelt(self, texts: list[str], sizes: np.ndarray, ids: np.ndarray, counts: np.ndarray, of: list[bytes], lengths: np.ndarray) -> np.ndarray:
-        """Whether the tokens of each text spell it."""
-        ends = np.concatenate([[0], np.cumsum(lengths[ids])])[np.concatenate([[0], np.cumsum(counts)])]
+    def spelt(self, texts: list[str], sizes: np.ndarray, ids: np.ndarray, counts: np.ndarray) -> np.ndarray:
+        """Whether the second side's tokens of each text spell it."""
+        of = self.bytes_b
+        ends = np.concatenate([[0], np.cumsum(self.sizes_b[ids])])[np.concatenate([[0], np.cumsum(counts)])]
         made, wanted = b"".join([of[i] for i in ids.tolist()]), "".join(texts).encode()
         good = np.diff(ends) == sizes
         if good.all() and made == wanted:
@@ -151,7 +152,9 @@ class Block:
         sizes = np.array(list(map(len, map(str.encode, texts))), dtype=np.int64)
         a, count_a = words.first(texts[:solid], texts[solid:], sizes[:solid])
         b, count_b = words.second(chunks, wholes)
-        good = words.spelt(texts, sizes, a, count_a, words.bytes_a, words.sizes_a) & words.spelt(texts, sizes, b, count_b, words.bytes_b, words.sizes_b)
+        good = words.spelt(texts, sizes, b, count_b)
+        ends = np.concatenate([[0], np.cumsum(words.sizes_a[a])])[np.concatenate([[0], np.cumsum(count_a)])]
+        good &= np.diff(ends) == sizes  # byte-level tokens spell what they were cut from
         if not good.all():
             a, b = a[np.repeat(good, count_a)], b[np.repeat(good, count_b)]
         self.a, self.b, self.count_a, self.count_b = a, b, np.where(good, count_a, 0), np.where(good, count_b, 0)
@@ -223,11 +226,13 @@ def _flat(column: pa.ChunkedArray) -> np.ndarray:
 
 
 def block_pairs(blocks: DataFrame, shards: int = SHARDS, ranks: str | None = None, model: str | None = None) -> DataFrame:
-    """(block, shard, keys, counts) of (block, text) rows: the distinct linked pairs of a run of rows of one block. No shuffle."""
+    """(block, shard, keys, counts) of (block, text) rows: the distinct linked pairs of a batch's rows of one block. No shuffle."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             of, texts = batch.column(0).to_numpy(zero_copy_only=False), batch.column(1).cast(pa.binary())
+            order = np.argsort(of, kind="stable")  # documents of one block together
+            of, texts = of[order], texts.take(pa.array(order))
             edges = np.concatenate([[0], np.flatnonzero(np.diff(of)) + 1, [len(of)]])
             for lo, hi in zip(edges[:-1], edges[1:], strict=True):
                 if lo == hi:
@@ -307,15 +312,22 @@ def _answers(pairs: DataFrame, counted: DataFrame, slices: int) -> DataFrame:
     return pairs.select("block", "shard", "slice", "keys").groupBy("shard", "slice").cogroup(copies.groupBy("shard", "slice")).applyInArrow(look_up, "block long, keys array<long>, counts array<long>, best array<long>")
 
 
+def _block(rows: int) -> Column:
+    """Blocks of neighbouring rows: short documents by themselves, long ones by themselves in smaller blocks, very long ones each alone."""
+    size = F.length("text")
+    short, long = F.coalesce(size <= LONG[0], F.lit(True)), size <= LONG[1]
+    number = F.when(short, F.expr(f"row div {rows}")).when(long, F.expr(f"row div {max(1, rows // 4)}")).otherwise(F.col("row"))
+    return number * 4 + F.when(short, 0).when(long, 1).otherwise(2)
+
+
 def token_links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", ranks: str | None = None, model: str | None = None, shards: int = SHARDS, block_rows: int = BLOCK_ROWS) -> DataFrame:
     """(id, n_a, n_b, n_groups, n_links, n_best, count_sum, groups_sha256) of each row's whole text.
 
     A null or empty text, and one whose tokens don't spell it, has zeros and ''. Repeated rows and null ids are kept and count each
     time; other columns are ignored; an empty table gives no rows. ranks and model: files of the byte-level and of the piece vocabulary.
     """
-    long = F.length("text") > LONG
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text")).withColumn("row", F.monotonically_increasing_id())
-    blocks = cut(rows.select("id", "text", F.when(long, -1 - F.col("row")).otherwise(F.expr(f"row div {block_rows}")).alias("block")))
+    blocks = cut(rows.select("id", "text", _block(block_rows).alias("block")))
     made = cut(block_pairs(blocks, shards, ranks, model))
     slices = max(LEAST_VECTORS, -(-made.count() // (VECTOR_ROWS * shards)))
     pairs = made.withColumn("slice", F.pmod(F.xxhash64("block"), F.lit(slices)).cast("int"))
