@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 from panelspark.operators.entity import entity_closure
-from panelspark.sources.work import cut, drop, let_go, shared_folder
+from panelspark.sources.work import cut, drop, shared_folder
 
-__all__ = ["connected_components", "cut", "drop", "let_go", "shared_folder"]
+__all__ = ["connected_components", "cut", "drop", "shared_folder"]
 
 
 def connected_components(edges: DataFrame) -> DataFrame:

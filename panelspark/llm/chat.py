@@ -61,30 +61,32 @@ def streamed_events(turns: DataFrame, conv_col: str = "conv_id", turn_col: str =
         [ev(0, "message", F.lit("draft")), ev(1, "delta", F.lit(" more")), ev(2, "regenerate", F.lit(None).cast("string")), *streamed(3)],
         [ev(0, "message", t)],
     ]
-    way = F.coalesce(F.pmod("seq", F.lit(4)), F.lit(3))
+    way = F.coalesce(F.pmod("seq.turn", F.lit(4)), F.lit(3))
     events = F.when(way == 0, F.array(*kinds[0])).when(way == 1, F.array(*kinds[1])).when(way == 2, F.array(*kinds[2])).otherwise(F.array(*kinds[3]))
     rows = base.select("conv", "message", "seq", "role", F.explode(events).alias("e"))
-    return rows.select("conv", "message", (F.col("seq") * 8 + F.col("e.step")).alias("seq"), F.col("e.kind").alias("kind"), F.when(F.col("e.step") == 0, F.col("role")).alias("role"), F.col("e.text").alias("text"))
+    return rows.select("conv", "message", F.struct("seq.unnumbered", "seq.turn", F.col("e.step").alias("step")).alias("seq"), F.col("e.kind").alias("kind"), F.when(F.col("e.step") == 0, F.col("role")).alias("role"), F.col("e.text").alias("text"))
 
 
 def events_of_turns(turns: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn", role_col: str = "role", text_col: str = "text") -> DataFrame:
     """A table of finished turns as an event log: one ``message`` event a row.
 
-    Rows that repeat a turn stay turns of their own, ordered by role and text: the message key holds a number in the order.
+    Rows that repeat a turn stay turns of their own, ordered by role and text: the message key holds a number in the order. Rows
+    without a turn come after all others, in that order too. A sequence is (unnumbered, turn, step).
     """
     from pyspark.sql import Window
 
-    order = Window.partitionBy(conv_col, turn_col).orderBy(role_col, text_col)
+    order = Window.partitionBy(conv_col, turn_col).orderBy(F.coalesce(F.col(role_col).cast("string"), F.lit("")), F.coalesce(F.col(text_col).cast("string"), F.lit("")))
+    turn = F.col(turn_col).cast("long")
     return turns.select(
-        F.col(conv_col).cast("long").alias("conv"), F.struct(F.col(turn_col).cast("long").alias("turn"), F.row_number().over(order).alias("copy")).alias("message"),
-        F.col(turn_col).cast("long").alias("seq"), F.lit("message").alias("kind"), F.col(role_col).cast("string").alias("role"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"),
+        F.col(conv_col).cast("long").alias("conv"), F.struct(turn.isNull().alias("unnumbered"), turn.alias("turn"), F.row_number().over(order).alias("copy")).alias("message"),
+        F.struct(turn.isNull().alias("unnumbered"), turn.alias("turn"), F.lit(0).alias("step")).alias("seq"), F.lit("message").alias("kind"), F.col(role_col).cast("string").alias("role"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"),
     )
 
 
 def fold(events: DataFrame) -> DataFrame:
     """(conv, message, role, text) of each message that stands after all its events.
 
-    events: conv, message (any orderable key), seq, kind, role, text. Null texts are empty; unknown kinds and
+    events: conv, message and seq (any orderable types), kind, role, text. Null texts are empty; unknown kinds and
     null sequences are ignored; equal sequences follow by kind and text; an event delivered again counts once. A message without a text-setting event is built of its deltas. The role is the
     least one given by its events, null without any.
     """

@@ -62,6 +62,23 @@ KNOWN = (
     ("Zlib", ZLIB), ("Zlib", "zlib License\n" + ZLIB), ("Apache-2.0", APACHE_NOTICE), ("GPL-3.0-or-later", GPL_3_NOTICE),
     ("MIT-0", MIT_0), ("MIT-0", "MIT No Attribution\n" + MIT_0), ("Unlicense", UNLICENSE), ("BSL-1.0", BSL_1), ("MPL-2.0", MPL_2_NOTICE), ("GPL-2.0-or-later", GPL_2_NOTICE), ("LGPL-3.0-or-later", LGPL_3_NOTICE), ("AGPL-3.0-or-later", AGPL_3_NOTICE),
 )
+# SHA-256 of the canonical forms of whole licence texts as published, which are too long to be kept here.
+FULL_TEXTS = (
+    ("Apache-2.0", "e87dea5078ce2faaea46d3475af18d30a5c0ac0f09425b60b3e0c6569f72f8d2"),
+    ("Artistic-1.0-Perl", "08f1dc258c8f9e175155356aa1dd0dead8cfdec586bc1bb4c8b1452699a91702"),
+    ("BSD-3-Clause", "21ce5e311a0ef74591e636cf6d0a236029bcaa0ee86324ac68d5748657aa8651"),
+    ("CC0-1.0", "96bdc7f63190fb4bd1ae584b890300ed7517d858b34c945642a3b9b2f1612a5f"),
+    ("GFDL-1.2", "94541e73869af10ab6bd68a29575eede324e54e7d5237e7386d12444f593af60"),
+    ("GFDL-1.3", "a92fdbaeafedd9cbeb812ebbded06ee07e3b1427c81cfc333e682109c594d826"),
+    ("GPL-1.0", "8f586b09c093668e2db772bdcfc1d5dc0b03e0e862fccbff035e1bf134e9b224"),
+    ("GPL-2.0", "efe73660e5476cf0368fc0fc143f624ff9d1b73c4484b14a9969dd20c5786821"),
+    ("GPL-3.0", "eaab5d82fdcca441d83a1913bbf07e4de3a739e190578c0bffde24f84e93bb2a"),
+    ("LGPL-2.0", "61af4dcea4e412e8ccfb8877fd2762bd6d962f8d42a9fa2c06cf7b4613f2c908"),
+    ("LGPL-2.1", "4d55922bdeafabde164d75448bbfb0b474bf952bbb541325364010900acd9891"),
+    ("LGPL-3.0", "aae2b222477171fb64e298e7965e768a9a6f85320646b266c94399ac029d42be"),
+    ("MPL-1.1", "cbbde7eeab9b4d180dc00b34252f800e97fb1cddbab38ed8c0c73b956dc2cbf6"),
+    ("MPL-2.0", "f82071285728ca3ec7685ee9bc4acdae0b8267142a4d20b8f1805eabedb4a98a"),
+)
 #: Rows of a known table up to which it is broadcast; a larger one is joined by a shuffle of the digests.
 BROADCAST_ROWS = 100_000
 NOTICES = (
@@ -97,8 +114,8 @@ def canonical_lines(text: Column) -> Column:
 
 
 def known_digests(spark: SparkSession, known: tuple = KNOWN) -> DataFrame:
-    """(digest, license) of the known texts: as many rows as the table above has, whatever the input."""
-    rows = {hashlib.sha256(canonical_text(t).encode()).hexdigest(): name for name, t in known}
+    """(digest, license) of the known texts and of FULL_TEXTS: as many rows as the tables above have, whatever the input."""
+    rows = {digest: name for name, digest in FULL_TEXTS} | {hashlib.sha256(canonical_text(t).encode()).hexdigest(): name for name, t in known}
     return spark.createDataFrame(sorted(rows.items()), "digest string, license string")
 
 
@@ -110,15 +127,15 @@ def digest_table(texts: DataFrame, license_col: str = "license", text_col: str =
 
 
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", known: DataFrame | None = None, notices: tuple = NOTICES) -> DataFrame:
-    """(id, digest, license, notices) of each row: license where the whole text is a known one, notices the sorted
-    licences of its notice lines.
+    """(id, digest, license, notices, matched) of each row: license where the whole text is a known one, notices the sorted
+    licences of its notice lines, matched "text" for a known text, else "notice" where a line is a notice, else null.
 
     known is a table (digest, license), by default that of KNOWN; up to BROADCAST_ROWS rows of it are broadcast and nothing is
-    shuffled. A null text is empty; an empty canonical text has the digest of '' and no licence. Repeated rows and null ids are
+    shuffled; of names for one digest the least stands. A null text is empty; an empty canonical text has the digest of '' and no licence. Repeated rows and null ids are
     kept; other columns are ignored, whatever their names; an empty table gives no rows.
     """
     spark = docs.sparkSession
-    table = known_digests(spark) if known is None else known.select("digest", "license")
+    table = known_digests(spark) if known is None else known.groupBy("digest").agg(F.min("license").alias("license"))
     digests = {hashlib.sha256(canonical_text(t).encode()).hexdigest(): name for name, t in notices}
     longest = max([0, *(len(canonical_text(t)) for _, t in notices)])
     by_line = F.create_map(*[F.lit(x) for kv in sorted(digests.items()) for x in kv])
@@ -127,7 +144,7 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", known:
     found = F.array_sort(F.array_distinct(F.array_compact(F.transform(short, lambda x: F.try_element_at(by_line, F.sha2(x, 256))))))
     made = rows.select("id", F.sha2(F.array_join("lines", " "), 256).alias("digest"), found.alias("notices"))
     small = known is None or table.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
-    return made.join(F.broadcast(table) if small else table, "digest", "left").select(F.col("id").alias(id_col), "digest", "license", F.array_join("notices", ",").alias("notices"))
+    return made.join(F.broadcast(table) if small else table, "digest", "left").select(F.col("id").alias(id_col), "digest", "license", F.array_join("notices", ",").alias("notices"), F.when(F.col("license").isNotNull(), "text").when(F.size("notices") > 0, "notice").alias("matched"))
 
 
 def oracle_sql(known: tuple = KNOWN, notices: tuple = NOTICES) -> str:
@@ -138,10 +155,10 @@ def oracle_sql(known: tuple = KNOWN, notices: tuple = NOTICES) -> str:
     line = f"trim(regexp_replace({line}, '{OTHER}', ' ', 'g'))"
     values = lambda rows: ", ".join(f"('{d}', '{n}')" for d, n in sorted({hashlib.sha256(canonical_text(t).encode()).hexdigest(): n for n, t in rows}.items()))
     return f"""
-with known(digest, license) as (values {values(known)}), notice(digest, license) as (values {values(notices)}),
+with known(digest, license) as (values {values(known)}, {", ".join(f"('{d}', '{n}')" for n, d in FULL_TEXTS)}), notice(digest, license) as (values {values(notices)}),
 canon as (select doc_id, list_filter(list_transform(string_split(coalesce(text, ''), chr(10)), lambda x: {line}), lambda x: x <> '') as lines from documents),
 hits as (select doc_id, string_agg(distinct license, ',' order by license) as notices
   from (select doc_id, unnest(lines) as x from canon) l join notice on sha256(x) = notice.digest group by doc_id)
-select c.doc_id, c.digest, k.license, coalesce(h.notices, '') as notices
+select c.doc_id, c.digest, k.license, coalesce(h.notices, '') as notices, case when k.license is not null then 'text' when h.notices is not null then 'notice' end as matched
 from (select doc_id, sha256(array_to_string(lines, ' ')) as digest from canon) c
 left join known k on k.digest = c.digest left join hits h on h.doc_id = c.doc_id"""

@@ -11,7 +11,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from panelspark.llm._graph import connected_components, cut, drop, let_go
+from panelspark.llm._graph import connected_components, cut, drop
 from panelspark.llm._text import shingle_set, word_hashes
 from panelspark.llm.ngram_join import _digest, verified
 
@@ -126,7 +126,6 @@ def near_duplicate_classes(docs: DataFrame, id_col: str = "doc_id", text_col: st
     every = nodes.select("node", F.explode("bands").alias("band"))
     heads = every.groupBy("band").agg(F.min("node").alias("head"), F.count("*").alias("size")).where("size > 1").drop("size")
     lists = cut(every.join(heads, "band"))
-    let_go(docs.sparkSession)
     stars = cut(lists.where("head <> node").select(F.col("head").alias("a"), F.col("node").alias("b")).distinct())
     links = cut(verified(base, stars, SHINGLE, threshold))
     labels = connected_components(links)
@@ -140,7 +139,6 @@ def near_duplicate_classes(docs: DataFrame, id_col: str = "doc_id", text_col: st
     more = more.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
     more = cut(more.join(stars, ["a", "b"], "left_anti"))  # a star has its least node first, and one that failed needs no second look
     drop(lists, mixed, stars)
-    let_go(docs.sparkSession)
     if not more.isEmpty():
         links = cut(links.unionByName(verified(base, more, SHINGLE, threshold)))
         labels = connected_components(links)

@@ -26,7 +26,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from panelspark.llm._graph import connected_components, cut, drop, let_go
+from panelspark.llm._graph import connected_components, cut, drop
 from panelspark.llm._text import shingle_set, word_hashes
 
 #: Most frequent shingles that the order knows, the least count in one batch of rows to be counted, greatest number of bits of a
@@ -202,7 +202,6 @@ def verified(base: DataFrame, pairs: DataFrame, n: int, threshold: tuple[int, in
 
     table = base.select("t").mapInPandas(sets, "node binary, tokens binary")
     table = cut(table.join(ends, "node", "left_semi").groupBy("node").agg(F.first("tokens").alias("tokens")))
-    let_go(base.sparkSession)
 
     @F.pandas_udf("long")
     def common(x: pd.Series, y: pd.Series) -> pd.Series:
@@ -214,7 +213,6 @@ def verified(base: DataFrame, pairs: DataFrame, n: int, threshold: tuple[int, in
     sized = both.select("a", "b", size("ta").alias("na"), size("tb").alias("nb"), common("ta", "tb").alias("both"))
     good = cut(sized.where(F.col("both") * threshold[1] >= (F.col("na") + F.col("nb") - F.col("both")) * threshold[0]).select("a", "b"))
     drop(ends, table)
-    let_go(base.sparkSession)
     return good
 
 
@@ -258,17 +256,14 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     drop(made)
     digests = nodes.select("nid", "node")
     often = cut(_token_rows(nodes, None).groupBy("token").count().where("count > 1").select("token"))
-    let_go(spark)
     rare = _token_rows(nodes, _bits(often, "token", 8 * TOKEN_BYTES))
     # the node that has the token earliest has the fewest tokens of its own: of a group of copies the one that most others are near to
     heads = rare.groupBy("token").agg(F.min(F.struct("pos", "nid", "n")).alias("head"), F.count("*").alias("size")).where("size > 1").drop("size")
     lists = cut(rare.join(heads, "token"))  # tokens that two nodes or more have, each row with its list's head
     drop(often)
-    let_go(spark)
 
     def linked(pairs: DataFrame) -> DataFrame:
         matched = cut(_matched(nodes, pairs))
-        let_go(spark)
         good = verified(base, matched, n, threshold)
         drop(matched)
         first = good.join(digests.select(F.col("node").alias("a"), F.col("nid").alias("x")), "a")
@@ -284,7 +279,6 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     main = classes.groupBy("token").agg(F.max(F.struct("size", "class")).alias("main"), F.count("*").alias("classes")).where("classes > 1").select("token", F.col("main.class").alias("main"))
     mixed = cut(inside.join(main, "token"))
     drop(lists)
-    let_go(spark)
     rest = mixed.where("class <> main").select("token", F.col("nid").alias("y"), F.col("n").alias("ny"), F.col("pos").alias("j"), F.col("class").alias("cy"))
     more = (
         mixed.select("token", F.col("nid").alias("x"), F.col("n").alias("nx"), F.col("pos").alias("i"), F.col("class").alias("cx"), "main")
@@ -301,7 +295,6 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     least = classed.groupBy("class").agg(F.min("own").alias("component_id"))
     final = cut(classed.join(least, "class").select("node", "component_id"))
     drop(nodes)
-    let_go(spark)
     found = rows.where("node is not null").select("id", "n", "node").join(final, "node").select("id", "n", "component_id")
     alone = rows.where("node is null").select("id", "n", F.col("id").alias("component_id"))
     return found.unionByName(alone).select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), "component_id")

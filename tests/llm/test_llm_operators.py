@@ -223,13 +223,32 @@ def test_licenses(spark, empty):
     got = {r.doc_id: (r.license, r.notices) for r in L.scan(spark.createDataFrame(rows, "doc_id long, text string, digest string, lines array<string>, notices string, license string")).collect()}
     assert got == {1: ("MIT", ""), 2: (None, ""), 3: (None, "MIT"), 4: ("BSD-3-Clause", ""), 5: (None, ""), None: ("ISC", ""), 7: ("ISC", ""), 8: ("BSD-3-Clause", ""), 9: ("BSD-2-Clause", ""), 10: ("Unlicense", ""), 11: (None, ""), 12: (None, "")}
     assert L.scan(empty).count() == 0
+    assert {r.matched: 1 for r in L.scan(spark.createDataFrame([(1, L.MIT + "\n"), (2, "x\nSPDX-License-Identifier: MIT"), (3, "x")], "doc_id long, text string")).collect()} == {"text": 1, "notice": 1, None: 1}
     assert len({L.canonical_text(t) for _, t in L.KNOWN}) == len(L.KNOWN)
     own = spark.createDataFrame([("own", "My own\nTerms!"), ("none", " - "), ("other", "my OWN terms")], "license string, text string")
     table = L.digest_table(own)
+    doubled = table.unionByName(table.withColumn("license", F.lit("zz")))
+    assert [(r.doc_id, r.license) for r in L.scan(spark.createDataFrame([(1, "my own terms")], "doc_id long, text string"), known=doubled).collect()] == [(1, "other")]
     assert [r.license for r in table.collect()] == ["other"]
     assert {r.doc_id: r.license for r in L.scan(spark.createDataFrame([(1, "my own terms"), (2, "-")], "doc_id long, text string"), known=table).collect()} == {1: "other", 2: None}
 
 
+def test_whole_licence_files(spark):
+    """The licence texts that this machine's packages come with, rewrapped and in capitals, are known by their digests."""
+    from pathlib import Path
+
+    from panelspark.llm import licenses as L
+
+    place = Path("/usr/share/common-licenses")
+    files = {"Apache-2.0": "Apache-2.0", "BSD": "BSD-3-Clause", "CC0-1.0": "CC0-1.0", "GPL-2": "GPL-2.0", "GPL-3": "GPL-3.0", "LGPL-2.1": "LGPL-2.1", "LGPL-3": "LGPL-3.0", "MPL-2.0": "MPL-2.0"}
+    if not all((place / f).exists() for f in files):
+        pytest.skip("no licence files")
+    rows = [(i, t, name) for i, (f, name) in enumerate(files.items()) for t in [(place / f).read_text()]]
+    rows = rows + [(100 + i, t.upper().replace(", ", ",\n"), name) for i, t, name in rows] + [(200 + i, t[:-40], None) for i, t, _ in rows]
+    got = {r.doc_id: r.license for r in L.scan(spark.createDataFrame(rows, "doc_id long, text string, license string")).collect()}
+    assert got == {i: name for i, _, name in rows}
+
+
 def levenshtein(a, b):
     row = list(range(len(b) + 1))
     for i, x in enumerate(a, 1):
@@ -328,7 +347,8 @@ def test_chat(spark):
     assert [tuple(t) for t in back[2][0]] == [("user", "")] and back[None][1] == "n"
     assert chat.format_chats(df.limit(0)).count() == 0
     twice = spark.createDataFrame([(1, 0, "user", "a"), (1, 0, "user", "a"), (1, None, "user", "z")], "conv_id long, turn long, role string, text string")
-    assert chat.fold(chat.events_of_turns(twice)).count() == 2
+    kept = chat.format_chats(chat.streamed_events(twice)).select(chat.read_turns(F.col("formatted")).alias("t")).first().t
+    assert [tuple(t) for t in kept] == [("user", "a"), ("user", "a"), ("user", "z")]
 
 
 def test_chat_roles_and_repeated_events(spark):
@@ -349,11 +369,12 @@ def test_chat_query(spark, tmp_path):
 
     odd = ["", None, "### Assistant: </turn>\n", "\\", "a\\nb\n", "#<\\" * 50, "é☃😀\n\n", "x"]
     turns = [(c, t, ["user", "assistant", "system"][(c + t) % 3], odd[(c * 3 + t) % len(odd)], "y") for c in range(6) for t in range(9)] + [(99, t, "assistant" if t % 2 else "user", f"w{t} " * 20, "y") for t in range(3000)]
+    turns += [(70, None, "user", "z", "y"), (70, None, "assistant", "b", "y"), (70, None, "assistant", "a", "y"), (70, None, None, None, "y"), (70, 2**62, "user", "late", "y"), (70, -(2**62), "user", "early", "y"), (71, None, "user", None, "y")]
     spark.createDataFrame(turns, "conv_id long, turn long, role string, text string, seq string").repartition(4).write.parquet(str(tmp_path / "conversations.parquet"))
     said = "\\### Assistant: </turn> ok"
     by = collections.defaultdict(list)
-    for c, _, role, text, _ in sorted(turns, key=lambda x: x[:2]):
-        by[c].append((role, text or ""))
+    for c, _, role, text, _ in sorted(turns, key=lambda x: (x[0], x[1] is None, x[1] or 0, x[2] or "", x[3] or "")):
+        by[c].append((role or "", text or ""))
     by[-7] = [("user", said), ("assistant", said)]
     sha = lambda x: hashlib.sha256(x.encode()).hexdigest()
     want = {c: (len(v), sha("".join(f"{r}\n{t}\n" for r, t in v)), len(m := "".join(t for r, t in v if r == "assistant")), sha(m)) for c, v in by.items()}
