@@ -41,13 +41,8 @@ def cut(df: DataFrame) -> DataFrame:
 
 
 def drop(*tables: DataFrame) -> None:
-    """Delete the files of cut tables that no job reads any more."""
+    """Delete the files of cut tables that no job reads any more: every frame built on them must have been cut before."""
     for table in tables:
         for file in table.inputFiles()[:1]:
             files, place = _place(table.sparkSession, file)
             files.delete(place.getParent(), True)
-
-
-def let_go(spark: SparkSession) -> None:
-    """Have the driver's collector run, after which the cleaner removes the shuffle files of frames that are used no more."""
-    spark.sparkContext._jvm.System.gc()
