@@ -6,7 +6,9 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import NumericType
+from pyspark.sql.types import BooleanType, NumericType
+
+from panelspark.functions import columns as C
 
 
 @dataclass(frozen=True)
@@ -19,27 +21,46 @@ class Rule:
     severity: str = "minor"
 
 
+#: Characters without meaning in a loose comparison, and those between the parts of a place.
+LOOSE, BETWEEN = "[\u060c,/\\\\\\s\u200c|-]+", "[\u060c,/\\\\|]+"
+TRAIL = "array<struct<title: string, url: string, to: string>>"
+
+
 def equivalent(a: Column, b: Column, mode: str) -> Column:
-    """whether two values say the same under a mode; mode number: within 1e-6."""
-    if mode == "number":
-        return F.abs(a.cast("double") - b.cast("double")) < 1e-6
-    squeeze = lambda c: F.trim(F.regexp_replace(F.lower(c.cast("string")), r"\s+", " "))
-    if mode == "text":
-        return squeeze(a) == squeeze(b)
-    if mode == "loose":
-        bare = lambda c: F.regexp_replace(F.lower(c.cast("string")), r"[^\p{L}\p{N}]", "")
-        return bare(a) == bare(b)
-    if mode == "subset":
-        return squeeze(a).contains(squeeze(b)) | squeeze(b).contains(squeeze(a))
-    if mode == "components":
-        parts = lambda c: F.array_distinct(F.filter(F.split(squeeze(c), r"[\s,،/|-]+"), lambda x: x != ""))
-        return (F.size(F.array_except(parts(a), parts(b))) == 0) | (F.size(F.array_except(parts(b), parts(a))) == 0)
-    if mode == "breadcrumb":
-        last = lambda c: F.element_at(F.split(squeeze(c), r"\s*[>/]\s*"), -1)
-        return last(a) == last(b)
+    """whether two values say the same under a mode. A missing value disagrees with nothing.
+
+    text: equal once normalised, case kept. loose: equal without punctuation and spaces. subset: one loose form in the other.
+    components: the parts of one, split at commas, slashes and bars, are all among the other's, neither without parts. breadcrumb: the (title, link)
+    trails of two JSON lists are equal; what isn't such a list has no trail. number: within 1e-6. boolean: equal. temporal: always, as both are relative.
+    """
     if mode == "temporal":
         return F.lit(True)
-    raise ValueError(f"unknown mode {mode}")
+    plain = lambda c: F.coalesce(C.normalize_text(c.cast("string")), F.lit(""))
+    loose = lambda c: F.regexp_replace(plain(c), LOOSE, "")
+    if mode == "number":
+        same = F.abs(a.cast("double") - b.cast("double")) < 1e-6
+    elif mode == "boolean":
+        same = a.cast("boolean") == b.cast("boolean")
+    elif mode == "text":
+        same = plain(a) == plain(b)
+    elif mode == "loose":
+        same = loose(a) == loose(b)
+    elif mode == "subset":
+        same = F.contains(loose(a), loose(b)) | F.contains(loose(b), loose(a))
+    elif mode == "components":
+        parts = lambda c: F.array_distinct(F.filter(F.transform(F.split(plain(c), BETWEEN), lambda x: F.trim(x)), lambda x: x != ""))
+        x, y = parts(a), parts(b)
+        same = (F.size(x) > 0) & (F.size(y) > 0) & ((F.size(F.array_except(x, y)) == 0) | (F.size(F.array_except(y, x)) == 0))
+    elif mode == "breadcrumb":
+        def trail(c: Column) -> Column:
+            items = F.when(F.ltrim(c.cast("string")).startswith("["), F.from_json(c.cast("string"), TRAIL))
+            pairs = F.transform(F.array_compact(items), lambda x: F.struct(F.coalesce(x["title"], F.lit("")).alias("title"), F.coalesce(x["url"], x["to"], F.lit("")).alias("link")))
+            return F.coalesce(pairs, F.array().cast("array<struct<title: string, link: string>>"))
+
+        same = trail(a) == trail(b)
+    else:
+        raise ValueError(f"unknown mode {mode}")
+    return a.isNull() | b.isNull() | same
 
 
 def merge_records(left: DataFrame, right: DataFrame, key: str, rules: list[Rule]) -> DataFrame:
@@ -54,8 +75,9 @@ def merge_records(left: DataFrame, right: DataFrame, key: str, rules: list[Rule]
     values, codes, conflicts = [], [], []
     for r in rules:
         x, y = F.col(f"a_{r.field}"), F.col(f"h_{r.field}")
-        numbers = r.mode != "temporal" and all(isinstance(s.schema[r.field].dataType, NumericType) for s in (left, right))
-        same = F.coalesce(equivalent(x, y, "number" if numbers else r.mode), F.lit(False))
+        types = [s.schema[r.field].dataType for s in (left, right)]
+        mode = r.mode if r.mode == "temporal" else "boolean" if any(isinstance(t, BooleanType) for t in types) else "number" if all(isinstance(t, NumericType) for t in types) else r.mode
+        same = F.coalesce(equivalent(x, y, mode), F.lit(False))
         values.append((F.coalesce(x, y) if r.first == "A" else F.coalesce(y, x)).alias(r.field))
         codes.append(F.when(x.isNull() & y.isNull(), "-").when(y.isNull(), "A").when(x.isNull(), "H").when(same, "B").otherwise(r.first).alias(f"{r.field}_source"))
         conflicts.append(F.when(x.isNotNull() & y.isNotNull() & ~same, F.struct(F.lit(r.field).alias("field"), F.lit(r.severity).alias("severity"), x.cast("string").alias("a"), y.cast("string").alias("h"))))

@@ -131,9 +131,9 @@ def priority_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("merged_records", """with a as (select c_custkey as k, c_name as name, c_mktsegment as segment from customer), h as (select c_custkey as k, case when c_custkey % 3 = 0 then upper(c_name) when c_custkey % 3 = 1 then c_name || '!' else c_name end as name, case when c_custkey % 7 = 0 then 'OTHER' when c_custkey % 11 <> 0 then c_mktsegment end as segment from customer where c_custkey in (select o_custkey from orders))
 select coalesce(a.k, h.k) as c_custkey, coalesce(a.name, h.name) as name, coalesce(h.segment, a.segment) as segment,
-  case when a.name is null and h.name is null then '-' when h.name is null then 'A' when a.name is null then 'H' when lower(a.name) = lower(h.name) then 'B' else 'A' end as name_source,
-  case when a.segment is null and h.segment is null then '-' when h.segment is null then 'A' when a.segment is null then 'H' when lower(a.segment) = lower(h.segment) then 'B' else 'H' end as segment_source,
-  coalesce((lower(a.name) <> lower(h.name))::int, 0) + coalesce((lower(a.segment) <> lower(h.segment))::int, 0) as conflicts from a full join h on a.k = h.k""")
+  case when a.name is null and h.name is null then '-' when h.name is null then 'A' when a.name is null then 'H' when a.name = h.name then 'B' else 'A' end as name_source,
+  case when a.segment is null and h.segment is null then '-' when h.segment is null then 'A' when a.segment is null then 'H' when a.segment = h.segment then 'B' else 'H' end as segment_source,
+  coalesce((a.name <> h.name)::int, 0) + coalesce((a.segment <> h.segment)::int, 0) as conflicts from a full join h on a.k = h.k""")
 def merged_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merged(spark, sf_dir).withColumn("conflicts", F.size("conflicts"))
 
@@ -149,7 +149,7 @@ def merged(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("merge_report", """with a as (select c_custkey as k, c_name as name, c_mktsegment as segment from customer), h as (select c_custkey as k, case when c_custkey % 3 = 0 then upper(c_name) when c_custkey % 3 = 1 then c_name || '!' else c_name end as name, case when c_custkey % 7 = 0 then 'OTHER' when c_custkey % 11 <> 0 then c_mktsegment end as segment from customer where c_custkey in (select o_custkey from orders)),
-m as (select lower(a.name) <> lower(h.name) as n, lower(a.segment) <> lower(h.segment) as s from a full join h on a.k = h.k)
+m as (select a.name <> h.name as n, a.segment <> h.segment as s from a full join h on a.k = h.k)
 select 'name' as field, 'minor' as severity, count(*) filter (n) as n, round(count(*) filter (n) / count(*), 6) as share, true as passes from m union all select 'segment', 'critical', count(*) filter (s), round(count(*) filter (s) / count(*), 6), count(*) filter (s) / count(*) < 0.01 from m""")
 def merge_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return M.merge_report(merged(spark, sf_dir))

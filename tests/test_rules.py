@@ -232,7 +232,9 @@ def test_merge_of_numbers(spark):
     a = spark.createDataFrame([(1, 5.0, "x"), (2, 1.0, "A b")], "k long, n double, t string")
     h = spark.createDataFrame([(1, 5, "y"), (2, 2, "a  B")], "k long, n int, t string")
     got = {x.k: (x.n_source, x.t_source) for x in M.merge_records(a, h, "k", [M.Rule("n"), M.Rule("t")]).collect()}
-    assert got == {1: ("B", "A"), 2: ("A", "B")}
+    assert got == {1: ("B", "A"), 2: ("A", "A")}  # case counts
+    flags = M.merge_records(spark.createDataFrame([(1, True), (2, False)], "k long, f boolean"), spark.createDataFrame([(1, "true"), (2, "true")], "k long, f string").selectExpr("k", "cast(f as boolean) as f"), "k", [M.Rule("f")])
+    assert {x.k: (x.f_source, len(x.conflicts)) for x in flags.collect()} == {1: ("B", 0), 2: ("A", 1)}
     kept = M.replace_children(spark.createDataFrame([(1, 1, "o"), (1, 2, "n"), (1, 2, "m"), (2, 1, "k")], "p long, v long, c string"), "p", "v")
     assert sorted(x.c for x in kept.collect()) == ["k", "m", "n"]
 

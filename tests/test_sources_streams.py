@@ -57,9 +57,18 @@ def test_enforce(spark):
         Q.enforce(findings)
 
 
-@pytest.mark.parametrize(("mode", "a", "b", "same"), [("text", " A  b", "a B", True), ("loose", "x-1", "X 1", True), ("subset", "red car", "car", True), ("components", "a, b", "b a", True), ("breadcrumb", "x > y > z", "q/z", True), ("temporal", "1", "2", True), ("text", "a", "b", False), ("components", "a b", "a c", False)])
+TRAIL = '[{"title": "Cars", "url": "/car"}, {"title": "Pride", "url": "/car/pride"}]'
+
+
+@pytest.mark.parametrize(("mode", "a", "b", "same"), [
+    ("text", " A  b", "A b", True), ("text", "a", "b", False), ("text", "Tehran", "tehran", False), ("text", "\u0643", "\u06a9", True), ("text", "\u06f1\u06f2", "12", True), ("text", None, "x", True), ("text", "x", None, True),
+    ("loose", "x-1", "x 1", True), ("loose", "Pride, 131", "Pride131", True), ("loose", "x|y/z\\w", "xyzw", True), ("loose", "X 1", "x1", False), ("subset", "red car", "r ed", True), ("subset", "red-car", "redcar x", True), ("subset", "red", "blue", False),
+    ("components", "Tehran, East", "East", True), ("components", "Tehran / East", "East,Tehran", True), ("components", "East Tehran", "Tehran", False), ("components", "", "Tehran", False), ("components", "a,b", "a,c", False),
+    ("breadcrumb", TRAIL, TRAIL.replace('"url"', '"to"'), True), ("breadcrumb", TRAIL, TRAIL.replace("Pride", "Peride"), False), ("breadcrumb", TRAIL, "x > y", False), ("breadcrumb", "x", "y", True), ("temporal", "1", "2", True), ("boolean", "true", "false", False), ("number", "1", "1.0000001", True), ("number", "1", "1.1", False),
+])
 def test_equivalence(spark, mode, a, b, same):
-    assert spark.range(1).select(M.equivalent(F.lit(a), F.lit(b), mode).alias("x")).first().x is same
+    row = spark.createDataFrame([(a, b)], "a string, b string")
+    assert row.select(M.equivalent(F.col("a"), F.col("b"), mode).alias("x")).first().x is same
 
 
 def test_relisting(spark):
