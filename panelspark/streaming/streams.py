@@ -2,18 +2,20 @@
 
 from __future__ import annotations
 
+import statistics
 from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
+from pyspark.sql.streaming.stateful_processor import ExpiredTimerInfo, TimerValues
 
 from panelspark.operators.lifecycle import compare_run
 from panelspark.operators.panel import shown_changes
 
-STATE = "status string, misses int, seen_runs int, missing_runs int, last_run long"
 OUT = "ad_id long, run_id long, status string, misses int, seen_runs int, missing_runs int"
+OUT_NAMES = ["ad_id", "run_id", "status", "misses", "seen_runs", "missing_runs"]
 TERMINAL = ("likely_removed", "likely_sold", "reposted")
 
 
@@ -46,33 +48,114 @@ def presence_episodes(events: DataFrame, key: str = "ad_id", at: str = "ts", gap
     return w.select(key, F.col("session_window.start").alias("start"), F.col("session_window.end").alias("end"), "sightings")
 
 
-def status_by_key(sightings: DataFrame, key: str = "ad_id", run: str = "run_id", seen: str = "was_seen", confirm: int = 2) -> DataFrame:
-    """The status machine as a stateful operator; each batch's runs of a key are taken in order.
+DAY_MS = 86_400_000
 
-    A repeat of a run already taken changes nothing, so a replayed batch is harmless. A terminal status keeps its state, but
-    no absence is counted on it.
+
+class StatusProcessor(StatefulProcessor):
+    """The status machine of one key. Sightings wait in the state until the watermark passes the end of their run; an event-time timer at
+    the end of the next run to be judged then takes all closed runs in order, those without a sighting as absences.
+
+    A sighting of a run already judged is late and changes nothing, so a replay is harmless. A terminal status keeps its state, no absence is counted on it, and
+    it needs no timer until the key is seen again.
     """
 
-    def step(k: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        status, misses, seen_runs, missing_runs, last = state.get if state.exists else (None, 0, 0, 0, -1)
-        out = []
-        for r, s in sorted((int(a), bool(b)) for f in frames for a, b in zip(f["run"], f["seen"], strict=True)):
-            if r <= last or (status is None and not s):
-                continue
-            last = r
-            if s:
+    KEPT = "status string, misses int, seen_runs int, missing_runs int, next_run long, waiting array<long>"
+
+    def __init__(self, confirm: int = 2) -> None:
+        self.confirm = confirm
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle, self.state = handle, handle.getValueState("status", self.KEPT)
+
+    def _load(self) -> tuple[str | None, int, int, int, int, list[int]]:
+        if not self.state.exists():
+            return None, 0, 0, 0, -1, []
+        status, misses, seen, missing, following, waiting = self.state.get()
+        return status, misses, seen, missing, following, list(waiting or [])
+
+    def _judge(self, key: tuple, kept: tuple, watermark: int) -> list[tuple]:
+        """Takes every run that has ended by the watermark, keeps what is left, and sets the next timer."""
+        (status, misses, seen, missing, run, waiting), out = kept, []
+        waiting = sorted(waiting)
+        while waiting or (status is not None and status not in TERMINAL):
+            if status is None or status in TERMINAL:
+                run = max(run, waiting[0]) if waiting else run
+            if (run + 1) * DAY_MS > watermark:
+                break
+            if waiting and waiting[0] == run:
+                waiting.pop(0)
                 status = "new" if status is None else "reappeared" if status == "missing_once" or status in TERMINAL else "active"
-                misses, seen_runs = 0, seen_runs + 1
-            elif status not in TERMINAL:
-                misses, missing_runs = misses + 1, missing_runs + 1
-                status = "likely_removed" if misses >= confirm else "missing_once"
-            out.append((k[0], r, status, misses, seen_runs, missing_runs))
-        if status is not None:
-            state.update((status, misses, seen_runs, missing_runs, last))
-        yield pd.DataFrame(out, columns=["ad_id", "run_id", "status", "misses", "seen_runs", "missing_runs"])
-
-    rows = sightings.select(F.col(key).cast("long").alias("ad_id"), F.col(run).cast("long").alias("run"), F.col(seen).alias("seen"))
-    return rows.groupBy("ad_id").applyInPandasWithState(step, OUT, STATE, "append", GroupStateTimeout.NoTimeout)
+                misses, seen = 0, seen + 1
+            else:
+                misses, missing = misses + 1, missing + 1
+                status = "likely_removed" if misses >= self.confirm else "missing_once"
+            out.append((key[0], run, status, misses, seen, missing))
+            run += 1
+        self.state.update((status, misses, seen, missing, run, waiting))
+        if waiting or (status is not None and status not in TERMINAL):
+            following = run if status is not None and status not in TERMINAL else waiting[0]
+            self.handle.registerTimer(max((following + 1) * DAY_MS, watermark + 1))
+        return out
+
+    def handleInputRows(self, key: tuple, rows: Iterator[pd.DataFrame], timerValues: TimerValues) -> Iterator[pd.DataFrame]:
+        kept = self._load()
+        seen = {int(r) for frame in rows for r in frame["run_id"] if r >= kept[4]}
+        out = self._judge(key, (*kept[:5], sorted(seen.union(kept[5]))), timerValues.getCurrentWatermarkInMs())
+        yield pd.DataFrame(out, columns=OUT_NAMES)
+
+    def handleExpiredTimer(self, key: tuple, timerValues: TimerValues, expiredTimerInfo: ExpiredTimerInfo) -> Iterator[pd.DataFrame]:
+        yield pd.DataFrame(self._judge(key, self._load(), timerValues.getCurrentWatermarkInMs()), columns=OUT_NAMES)
+
+    def close(self) -> None:
+        pass
+
+
+def with_state(rows: DataFrame, keys: list[str], processor: StatefulProcessor, output: str, time_mode: str) -> DataFrame:
+    """A stateful processor over a stream; its state is kept by RocksDB, which the session is told here."""
+    rows.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    return rows.groupBy(*keys).transformWithStateInPandas(processor, output, "append", time_mode)
+
+
+def status_by_key(sightings: DataFrame, key: str = "ad_id", at: str = "ts", watermark: str = "240 minutes", confirm: int = 2) -> DataFrame:
+    """(ad_id, run_id, status, misses, seen_runs, missing_runs) of each key and closed run from sightings alone. A run is a day, UTC; it
+    is closed when the watermark passes its end, so each day counts as a valid run."""
+    rows = sightings.withWatermark(at, watermark).select(F.col(key).cast("long").alias("ad_id"), F.unix_date(F.to_date(at)).cast("long").alias("run_id"), F.col(at))
+    return with_state(rows.where("ad_id is not null and run_id is not null"), ["ad_id"], StatusProcessor(confirm), OUT, "EventTime")
+
+
+class BaselineProcessor(StatefulProcessor):
+    """Of one configuration the counts of its last valid runs, as a ring; a run is valid with at least a share of their median."""
+
+    def __init__(self, share: float, length: int) -> None:
+        self.share, self.length = share, length
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.state = handle.getValueState("counts", "counts array<long>, last_run long")
+
+    def handleInputRows(self, key: tuple, rows: Iterator[pd.DataFrame], timerValues: TimerValues) -> Iterator[pd.DataFrame]:
+        counts, last = self.state.get() if self.state.exists() else ([], None)
+        counts, out = list(counts or []), []
+        for run, n in sorted({(int(r), int(n)) for frame in rows for r, n in zip(frame["run_id"], frame["n"], strict=True)}):
+            if last is not None and run <= last:
+                continue
+            last, median = run, statistics.median(counts) if counts else None
+            valid = median is None or n >= self.share * median
+            counts = [*counts, n][-self.length :] if valid else counts
+            out.append((key[0], run, n, None if median is None else float(median), valid))
+        self.state.update((counts, last))
+        yield pd.DataFrame(out, columns=["config", "run_id", "n", "baseline_median", "is_valid"])
+
+    def close(self) -> None:
+        pass
+
+
+def baseline_by_configuration(runs: DataFrame, config: str = "config", run: str = "run_id", count: str = "n", share: float = 0.97, length: int = 7) -> DataFrame:
+    """Each run's baseline, the median of the last valid runs of its configuration before it, and whether it is valid.
+
+    Runs of a configuration come in order over the batches; a run at or before the last one taken changes nothing.
+    """
+    rows = runs.select(F.col(config).cast("long").alias("config"), F.col(run).cast("long").alias("run_id"), F.col(count).cast("long").alias("n"))
+    return with_state(rows, ["config"], BaselineProcessor(share, length), "config long, run_id long, n long, baseline_median double, is_valid boolean", "None")
 
 
 def upsert_batches(stream: DataFrame, path: str, keys: list[str], version: str, checkpoint: str):

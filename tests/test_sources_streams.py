@@ -1,10 +1,12 @@
 import json
+from datetime import datetime
 
 import pytest
 from pyspark.sql import functions as F
 
 from panelspark.operators import entity as E
 from panelspark.operators import merge as M
+from panelspark.operators import panel as P
 from panelspark.operators import quality as Q
 from panelspark.operators.pages import extract
 from panelspark.sources import io
@@ -81,17 +83,35 @@ def test_relisting(spark):
     assert [(r.c_id, r.p_id) for r in E.match_one_to_one(E.scored_pairs(c, p)).collect()] == [(10, 1)]
 
 
-def test_status_stream_and_replay(spark, tmp_path):
+def test_status_stream_from_sightings(spark, tmp_path):
+    """Absences come from closed runs alone, over restarts; late and repeated sightings change nothing; a terminal status waits for the next sighting."""
+    schema = "ad_id long, ts timestamp"
+
     def run(rows, name):
-        spark.createDataFrame(rows, "ad_id long, run_id long, was_seen boolean").write.mode("append").parquet(f"{tmp_path}/in")
-        s = spark.readStream.schema("ad_id long, run_id long, was_seen boolean").parquet(f"{tmp_path}/in")
+        spark.createDataFrame([(k, datetime(1970, 1, 1 + d, h)) for k, d, h in rows], schema).coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
+        s = spark.readStream.schema(schema).parquet(f"{tmp_path}/in")
         T.status_by_key(s).writeStream.format("parquet").option("path", f"{tmp_path}/out").option("checkpointLocation", f"{tmp_path}/state").trigger(availableNow=True).start().awaitTermination()
-        return {(r.ad_id, r.run_id): r.status for r in spark.read.parquet(f"{tmp_path}/out").collect()}
-
-    first = run([(1, 0, True), (1, 1, False), (2, 0, True), (3, 0, False)], "a")
-    assert first == {(1, 0): "new", (1, 1): "missing_once", (2, 0): "new"}
-    later = run([(1, 1, False), (1, 2, False), (1, 3, True), (2, 1, True)], "b")
-    assert later == first | {(1, 2): "likely_removed", (1, 3): "reappeared", (2, 1): "active"}
+        return {(r.ad_id, r.run_id): (r.status, r.misses, r.seen_runs, r.missing_runs) for r in spark.read.parquet(f"{tmp_path}/out").collect()}
+
+    first = run([(1, 0, 5), (1, 0, 9), (2, 0, 7), (9, 2, 12)], "a")
+    assert first == {(k, 0): ("new", 0, 1, 0) for k in (1, 2)} | {(k, 1): ("missing_once", 1, 1, 1) for k in (1, 2)}
+    later = run([(1, 3, 1), (2, 0, 8), (9, 6, 12)], "b")
+    assert later == first | {
+        (1, 2): ("likely_removed", 2, 1, 2), (1, 3): ("reappeared", 0, 2, 2), (1, 4): ("missing_once", 1, 2, 3), (1, 5): ("likely_removed", 2, 2, 4), (2, 2): ("likely_removed", 2, 1, 2),
+        (9, 2): ("new", 0, 1, 0), (9, 3): ("missing_once", 1, 1, 1), (9, 4): ("likely_removed", 2, 1, 2)}
+
+
+def test_baseline_stream_knows_valid_runs(spark, tmp_path):
+    """The ring of valid counts over two batches is the fold over all runs at once; a run delivered again changes nothing."""
+    counts = [100, 100, 10, 100, 10, 104, 10, 10, 100, 90, 30, 98]
+    rows = [(c, i, n + c) for c in (1, 2) for i, n in enumerate(counts)]
+    whole = {(x.config, x.run): (x.baseline_median, x.is_valid) for x in P.run_baseline(spark.createDataFrame(rows, "config long, run long, n long"), "run", "n", ["config"], share=0.9).collect()}
+    for part in (rows[:5] + rows[12:20], rows[3:12] + rows[19:]):
+        spark.createDataFrame(part, "config long, run_id long, n long").write.mode("append").parquet(f"{tmp_path}/in")
+        s = spark.readStream.schema("config long, run_id long, n long").parquet(f"{tmp_path}/in")
+        T.baseline_by_configuration(s, share=0.9).writeStream.format("parquet").option("path", f"{tmp_path}/out").option("checkpointLocation", f"{tmp_path}/state").trigger(availableNow=True).start().awaitTermination()
+    got = spark.read.parquet(f"{tmp_path}/out").collect()
+    assert {(x.config, x.run_id): (x.baseline_median, x.is_valid) for x in got} == whole and len(got) == len(rows)
 
 
 def test_runs_folded_in_batches(spark, tmp_path):
