@@ -106,11 +106,12 @@ def _partial_ranks(rows: DataFrame, pairs: list[tuple[str, str]]) -> dict[tuple[
     return {(r.a, r.b): (r.s, r.trimmed, r.robust) for r in found}
 
 
-def numeric_pairs(rows: DataFrame, features: Features, min_n: int = MIN_PAIRS, sums: Sums | None = None) -> DataFrame:
-    """Q7, num x num: Spearman, with Pearson and Pearson of values clipped to 1-99 and 10-90 percent beside it; the statistic is Spearman's t."""
+def numeric_pairs(rows: DataFrame, features: Features, min_n: int = MIN_PAIRS, sums: Sums | None = None, pairs: list[tuple[str, str]] | None = None) -> DataFrame:
+    """Q7, num x num: Spearman, with Pearson and Pearson of values clipped to 1-99 and 10-90 percent beside it; the statistic is Spearman's t. All pairs of
+    features, or those given."""
     sums = sums or association_sums(rows, list(features.numeric), [], 0)
     at = {c: i for i, c in enumerate(sums.numeric)}
-    pairs = [p for p in combinations(features.numeric, 2) if features.apart(*p)]
+    pairs = [p for p in combinations(features.numeric, 2) if features.apart(*p)] if pairs is None else pairs
     n, by = sums.products["n"], {k: sums.correlation(k) for k in ("value", "rank", *CLIPS)}
     apart = [(a, b) for a, b in pairs if n[at[a], at[b]] >= min_n and n[at[a], at[b]] < max(sums.filled.get(a, 0), sums.filled.get(b, 0))]
     own, out = _partial_ranks(rows, apart), []

@@ -42,37 +42,20 @@ def strength_of(size: Column, weak: float = 0.2) -> Column:
 def correlations(rows: DataFrame, pairs: list[tuple[str, str]], min_n: int = 30) -> DataFrame:
     """Q1: Pearson and Spearman of each pair on its complete rows; null below min_n rows or for a constant side.
 
-    A column without nulls is ranked once for all its pairs; pairs with a null anywhere are ranked on their own rows.
+    All pairs come from the sums of one scan; pairs where a null leaves rows out are ranked on their own rows.
     """
-    names = sorted({c for p in pairs for c in p})
-    nulls = rows.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in names]).first()  # one number a column
-    whole = [p for p in pairs if not nulls[p[0]] and not nulls[p[1]]]
-    rest = [p for p in pairs if p not in whole]
-    found = []
-    if whole:
-        base = rows.select(*[F.col(c).cast("double").alias(c) for c in sorted({c for p in whole for c in p})])
-        for c in base.columns:
-            base = midranks(base, [], c, f"__r_{c}")
-        one = base.agg(F.count("*").alias("n"), *[F.corr(*x).alias(f"{k}{i}") for i, (a, b) in enumerate(whole) for k, x in (("p", (a, b)), ("s", (f"__r_{a}", f"__r_{b}")))])
-        found.append(one.select(F.explode(F.array(*[F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), F.col("n"), F.col(f"p{i}").alias("pearson"), F.col(f"s{i}").alias("spearman")) for i, (a, b) in enumerate(whole)])).alias("x")).select("x.*"))
-    if rest:
-        long = rows.select(F.explode(F.array(*[F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), F.col(a).cast("double").alias("x"), F.col(b).cast("double").alias("y")) for a, b in rest])).alias("p")).select("p.*").where("x is not null and y is not null")
-        ranked = midranks(midranks(long, ["a", "b"], "x", "rx"), ["a", "b"], "y", "ry")
-        found.append(ranked.groupBy("a", "b").agg(F.count("*").alias("n"), F.corr("x", "y").alias("pearson"), F.corr("rx", "ry").alias("spearman")))
-    out = found[0] if len(found) == 1 else found[0].unionByName(found[1])
-    enough = F.col("n") >= min_n
-    t = F.col("spearman") * F.sqrt((F.col("n") - 2) / (1 - F.col("spearman") * F.col("spearman")))
-    size = F.abs("spearman")
-    return out.select("a", "b", "n", F.when(enough, F.round("pearson", 4)).alias("pearson"), F.when(enough, F.round("spearman", 4)).alias("spearman"), F.when(enough, F.round(_p("t")(t, (F.col("n") - 2).cast("double")), 6)).alias("p_value"), F.when(enough, strength_of(size)).alias("strength"))
+    from panelspark.operators.associations import Features, numeric_pairs
+
+    found = numeric_pairs(rows, Features(tuple(sorted({c for p in pairs for c in p})), ()), min_n, pairs=pairs)
+    return found.select("a", "b", "n", "pearson", F.col("value").alias("spearman"), "p_value", strength_of(F.abs("value")).alias("strength"))
 
 
 def cramers_v(rows: DataFrame, a: str, b: str, min_n: int = 30) -> DataFrame:
     """Q2: chi-square with all cells, bias-corrected V, Yates' correction at one degree of freedom; one row."""
     cells = rows.where(F.col(a).isNotNull() & F.col(b).isNotNull()).groupBy(F.col(a).cast("string").alias("a"), F.col(b).cast("string").alias("b")).agg(F.count("*").alias("o"))
-    one = Window.partitionBy(F.lit(0))  # the contingency table: levels times levels
-    full = cells.withColumns({"ra": F.sum("o").over(Window.partitionBy("a")), "cb": F.sum("o").over(Window.partitionBy("b")), "n": F.sum("o").over(one)})
-    sizes = cells.agg(F.count_distinct("a").alias("r"), F.count_distinct("b").alias("k"))
-    full = full.join(F.broadcast(sizes.withColumn("__j", F.lit(1))), F.lit(1) == F.col("__j"))
+    sums = {c: cells.groupBy(c).agg(F.sum("o").alias(n)) for c, n in (("a", "ra"), ("b", "cb"))}
+    sizes = cells.agg(F.count_distinct("a").alias("r"), F.count_distinct("b").alias("k"), F.sum("o").alias("n"))
+    full = cells.join(sums["a"], "a").join(sums["b"], "b").join(F.broadcast(sizes.withColumn("__j", F.lit(1))), F.lit(1) == F.col("__j"))
     e = F.col("ra") * F.col("cb") / F.col("n")
     # cells without rows add their expected count, which is n less the expected counts of the others (no Yates there beyond 2 x 2)
     plain = F.sum((F.col("o") - e) * (F.col("o") - e) / e) + F.first("n") - F.sum(e)

@@ -136,11 +136,5 @@ SHAPES = (("l_quantity", "l_extendedprice"), ("l_discount", "l_tax"), ("p_size",
        + ") select a, b, p as pearson, s as spearman, t as trimmed_pearson, case when p is null or s is null then 'not_computed' when abs(s) - abs(p) > 0.1 then case when abs(t) - abs(p) > 0.1 then 'linear_within_trimmed_range' else 'monotone_nonlinear' end when abs(s) < 0.2 then 'no_detected_association' when abs(p) >= 0.2 then 'approximately_linear' else 'weak_or_unclear' end as shape from c")
 def relationship_shapes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Q6 without the sampled distance correlation."""
-    rows = base(spark, sf_dir)
-    c = S.correlations(rows, list(SHAPES)).select("a", "b", "pearson", "spearman")
-    out = None
-    for a, b in SHAPES:
-        one = S.trimmed_correlation(rows, a, b).select(F.lit(a).alias("a"), F.lit(b).alias("b"), "trimmed_pearson")
-        out = one if out is None else out.unionByName(one)
-    both = c.join(out, ["a", "b"])
+    both = A.numeric_pairs(base(spark, sf_dir), FEATURES, pairs=list(SHAPES)).select("a", "b", "pearson", F.col("value").alias("spearman"), F.col("trimmed").alias("trimmed_pearson"))
     return both.withColumn("shape", S.shape_name(F.col("pearson"), F.col("spearman"), F.lit(None).cast("double"), F.col("trimmed_pearson")))
