@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import heapq
+from collections.abc import Iterator
 from functools import reduce
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 CRITICAL, WARNING = "critical", "warning"
 
@@ -43,6 +47,70 @@ def samples(rows: DataFrame, checks: list[tuple[str, str, Column]], keys: list[s
     return first.join(F.broadcast(found.groupBy("check", "severity").agg(F.count("*").alias("count"))), ["check", "severity"])  # one row a check
 
 
+def findings(rows: DataFrame, checks: list[tuple[str, str, Column]], key: str, most: int = 5) -> DataFrame:
+    """V1: (check, severity, count, samples) of row conditions, with a row for each check, also without findings; samples are the least keys among its findings.
+
+    Each task adds up its counts and keeps its least keys a check, so the rows are read once and a task sends as many rows as there are checks. A null
+    condition is no finding, a null key no sample.
+    """
+    names = [f"c{i}" for i in range(len(checks))]
+
+    def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark import TaskContext
+
+        counts, least = [0] * len(names), [[] for _ in names]
+        for batch in batches:
+            keys = batch.column(0)
+            for i in range(len(names)):
+                hit = keys.filter(batch.column(i + 1))
+                counts[i] += len(hit)
+                least[i] = heapq.nsmallest(most, least[i] + hit.drop_null().to_pylist())
+        yield pa.RecordBatch.from_pydict({"at": pa.array([TaskContext.get().partitionId() % 64] * len(names), pa.int32()), "i": pa.array(range(len(names)), pa.int32()), "n": pa.array(counts, pa.int64()), "least": pa.array(least, pa.list_(keys_type))})
+
+    flagged = rows.select(F.col(key).alias("key"), *[F.coalesce(c, F.lit(False)).alias(n) for n, (_, _, c) in zip(names, checks, strict=True)])
+    keys_type = to_arrow_type(flagged.schema["key"].dataType)
+    sums = flagged.mapInArrow(partial, f"at int, i int, n long, least array<{flagged.schema['key'].dataType.simpleString()}>")
+    for by in (["at", "i"], ["i"]):
+        sums = sums.groupBy(*by).agg(F.sum("n").alias("n"), F.slice(F.array_sort(F.flatten(F.collect_list("least"))), 1, most).alias("least"))
+    said = F.array(*[F.struct(F.lit(n).alias("check"), F.lit(s).alias("severity")) for n, s, _ in checks])
+    every = rows.sparkSession.range(len(checks)).select(F.col("id").cast("int").alias("i"))
+    out = every.join(F.broadcast(sums), "i", "left").withColumn("said", F.get(said, F.col("i")))
+    return out.select("said.check", "said.severity", F.coalesce("n", F.lit(0)).alias("count"), F.array_join(F.coalesce(F.col("least").cast("array<string>"), F.array().cast("array<string>")), ",").alias("samples"))
+
+
+#: Fixed values of the checks of listings: statuses of a listing that is there, and of one that is gone; labels that say a sale; years that can be.
+PRESENT, GONE = ("active", "new", "reappeared", "active_outside_filter"), ("likely_removed", "likely_sold")
+SALES, YEARS = ("likely_sold", "highly_likely_sold", "confirmed_sold"), (1300, 1450)
+
+
+def listing_checks(lowest_price: float | None = None, run_end: Column | None = None) -> list[tuple[str, str, Column]]:
+    """V1a, V1c, V1d, V1f: checks of a cross-section of listings by their row: identity, order of times, ranges, and words that contradict one another.
+
+    Columns: platform_ad_id, canonical_url, first_seen_at, last_seen_at, first_missing_at, snapshot_at, current_status, sale_label, price, mileage, year, filter_exit_reason.
+    """
+    c, gone = F.col, F.col("current_status").isin(*GONE)
+    checks = [
+        ("ad_id_url_mismatch", "error", ~F.contains(F.lower("canonical_url"), F.lower(c("platform_ad_id").cast("string")))),
+        ("last_seen_before_first_seen", "error", c("last_seen_at") < c("first_seen_at")),
+        ("disappearance_before_last_seen", "error", gone & (c("first_missing_at") < c("last_seen_at"))),
+        ("negative_price", "error", c("price") < 0), ("zero_price", WARNING, c("price") == 0), ("negative_mileage", "error", c("mileage") < 0),
+        ("implausible_production_year", "error", ~c("year").between(*YEARS)),
+        ("sale_label_inconsistent_with_status", "error", c("current_status").isin(*PRESENT) & c("sale_label").isin(*SALES)),
+        ("confirmed_sale_label_present", CRITICAL, c("sale_label") == "confirmed_sold"),
+        ("filter_exit_counted_as_disappearance", "error", c("filter_exit_reason").isNotNull() & gone),
+    ]
+    if lowest_price is not None:
+        checks.append(("price_below_search_lower_bound", WARNING, (c("price") > 0) & (c("price") < lowest_price)))
+    if run_end is not None:
+        checks.append(("future_snapshot_leaked_into_cross_section", CRITICAL, c("snapshot_at") > run_end))
+    return checks
+
+
+def private_columns(frames: dict[str, DataFrame], private: tuple[str, ...]) -> list[str]:
+    """V1g: frame.column of each private column in the frames, by name without case."""
+    return [f"{name}.{c}" for name, frame in frames.items() for c in frame.columns if c.lower() in private]
+
+
 def audit(checks: list[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, checks)
 

@@ -8,7 +8,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from panelspark.operators import associations as A
-from panelspark.operators import stats as S
 from panelspark.plans.catalogue import query, table
 
 #: Price and its sums with tax are one measure; so are the two day columns.

@@ -184,6 +184,31 @@ def integrity_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
         Q.conflicting(o, "o_custkey", "o_orderstatus", "conflicting_status"), Q.columns_present(o, ["o_orderkey", "run_id"])])
 
 
+LISTINGS = """listings as (select o_orderkey as platform_ad_id, 'https://example.org/car/' || case when o_orderkey % 97 = 0 then 'zz' else o_orderkey::varchar end as canonical_url, o_orderdate as first_seen_at, o_orderdate + to_days((o_orderkey % 11)::int - 1) as last_seen_at,
+  case when o_custkey % 3 = 0 then o_orderdate + to_days((o_custkey % 7)::int) end as first_missing_at, o_orderdate + to_days((o_custkey % 9)::int) as snapshot_at, case o_orderkey % 6 when 0 then 'active' when 1 then 'new' when 2 then 'reappeared' when 3 then 'likely_removed' when 4 then 'likely_sold' end as current_status,
+  case o_custkey % 50 when 0 then 'likely_sold' when 1 then 'highly_likely_sold' else 'not_sold' end as sale_label, o_totalprice - 2000 as price, (o_orderkey % 101) * 1000 - 1000 as mileage, 1295 + o_custkey % 160 as year, case when o_orderkey % 13 = 0 then 'price' end as filter_exit_reason from orders)"""
+LISTING_AUDIT = (
+    ("ad_id_url_mismatch", "error", "not contains(canonical_url, platform_ad_id::varchar)"), ("last_seen_before_first_seen", "error", "last_seen_at < first_seen_at"), ("disappearance_before_last_seen", "error", "current_status in ('likely_removed', 'likely_sold') and first_missing_at < last_seen_at"),
+    ("negative_price", "error", "price < 0"), ("zero_price", "warning", "price = 0"), ("negative_mileage", "error", "mileage < 0"), ("implausible_production_year", "error", "year not between 1300 and 1450"),
+    ("sale_label_inconsistent_with_status", "error", "current_status in ('active', 'new', 'reappeared') and sale_label in ('likely_sold', 'highly_likely_sold')"), ("confirmed_sale_label_present", "critical", "sale_label = 'confirmed_sold'"),
+    ("filter_exit_counted_as_disappearance", "error", "filter_exit_reason is not null and current_status in ('likely_removed', 'likely_sold')"), ("price_below_search_lower_bound", "warning", "price > 0 and price < 500"), ("future_snapshot_leaked_into_cross_section", "critical", "snapshot_at > (select max(first_seen_at) from listings)"),
+)
+
+
+@query("listing_audit", f"with {LISTINGS}" + " union all ".join(f" select '{n}' as \"check\", '{s}' as severity, count(*) as count, coalesce(array_to_string(list_sort(list(platform_ad_id))[:5], ','), '') as samples from listings where {c}" for n, s, c in LISTING_AUDIT))
+def listing_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """V1: orders as listings, every check with its count and its first five ids."""
+    o, key, cust = table(spark, sf_dir, "orders"), F.col("o_orderkey"), F.col("o_custkey")
+    day = lambda n: F.col("o_orderdate") + F.make_dt_interval(n.cast("int"))
+    status = F.element_at(F.array(*[F.lit(x) for x in ("active", "new", "reappeared", "likely_removed", "likely_sold", None)]), (key % 6 + 1).cast("int"))
+    listings = o.select(
+        key.alias("platform_ad_id"), F.concat(F.lit("https://example.org/car/"), F.when(key % 97 == 0, "zz").otherwise(key.cast("string"))).alias("canonical_url"), F.col("o_orderdate").alias("first_seen_at"), day(key % 11 - 1).alias("last_seen_at"),
+        F.when(cust % 3 == 0, day(cust % 7)).alias("first_missing_at"), day(cust % 9).alias("snapshot_at"), status.alias("current_status"), F.when(cust % 50 == 0, "likely_sold").when(cust % 50 == 1, "highly_likely_sold").otherwise("not_sold").alias("sale_label"),
+        (F.col("o_totalprice") - 2000).alias("price"), ((key % 101) * 1000 - 1000).alias("mileage"), (1295 + cust % 160).alias("year"), F.when(key % 13 == 0, "price").alias("filter_exit_reason"))
+    end = o.agg(F.max("o_orderdate").alias("m")).first().m
+    return Q.findings(listings, Q.listing_checks(500, F.lit(end).cast("timestamp_ntz")), "platform_ad_id")
+
+
 @query("temporal_audit", """select 'shipped_before_order' as "check", 'critical' as severity, count(*) filter (l_shipdate < o_orderdate) as count from lineitem join orders on o_orderkey = l_orderkey""")
 def temporal_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     """An event before its entity: equi-join with a residual predicate."""

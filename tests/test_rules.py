@@ -221,6 +221,34 @@ def test_tests_of_two_groups(spark):
     assert special.t_two_sided(2.228139, 10) == pytest.approx(0.05, abs=1e-7) and special.normal_two_sided(1.959964) == pytest.approx(0.05, abs=1e-7)
 
 
+def test_findings_have_a_row_for_each_check(spark):
+    from panelspark.operators import quality as Q
+
+    df = spark.createDataFrame([(i if i % 10 else None, i) for i in range(300)], "k long, v long").repartition(9)
+    got = {x.check: (x.severity, x["count"], x.samples) for x in Q.findings(df, [("big", "error", F.col("v") >= 250), ("none", "critical", F.col("v") < 0), ("null", "warning", F.lit(None).cast("boolean")), ("unkeyed", "warning", F.col("k").isNull())], "k", 3).collect()}
+    assert got == {"big": ("error", 50, "251,252,253"), "none": ("critical", 0, ""), "null": ("warning", 0, ""), "unkeyed": ("warning", 30, "")}
+    assert {x["count"] for x in Q.findings(df.limit(0), [("a", "error", F.col("v") > 0)], "k").collect()} == {0}
+    assert Q.private_columns({"ads": df.withColumnRenamed("v", "Phone"), "x": df}, ("phone", "seller_name")) == ["ads.Phone"]
+
+
+def test_listing_checks_by_hand(spark):
+    from panelspark.operators import quality as Q
+
+    at = lambda d: datetime(2026, 6, d)
+    fine = ("A1", "https://x/a1-car", at(1), at(5), None, at(5), "active", "not_sold", 9e8, 10, 1400, None)
+    odd = [(1, "https://x/b"), (3, at(1), 2, at(3)), (4, at(2), 6, "likely_removed"), (8, -1.0), (8, 0.0), (9, -5), (10, 2015), (7, "likely_sold"), (7, "confirmed_sold", 6, "likely_sold"), (11, "price", 6, "likely_removed"), (8, 5.0), (5, at(20))]
+    rows = [fine]
+    for i, change in enumerate(odd):
+        row = list(fine)
+        row[0], row[1] = f"C{i}", f"https://x/c{i}"
+        for k, v in zip(change[::2], change[1::2], strict=True):
+            row[k] = v
+        rows.append(tuple(row))
+    df = spark.createDataFrame(rows, "platform_ad_id string, canonical_url string, first_seen_at timestamp, last_seen_at timestamp, first_missing_at timestamp, snapshot_at timestamp, current_status string, sale_label string, price double, mileage long, year long, filter_exit_reason string")
+    got = [(x["count"], x.samples) for x in Q.findings(df, Q.listing_checks(1000, F.lit(at(6))), "platform_ad_id").collect()]
+    assert got == [(1, f"C{i}") for i in range(len(odd))]
+
+
 def test_baseline_follows_valid_runs(spark):
     counts = [100, 100, 10, 100, 10, 10, 10, 10, 100]
     df = spark.createDataFrame([(i, n, "a") for i, n in enumerate(counts)] + [(i, 5, "b") for i in range(3)], "run long, n long, config string")
