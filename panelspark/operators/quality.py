@@ -111,6 +111,32 @@ def private_columns(frames: dict[str, DataFrame], private: tuple[str, ...]) -> l
     return [f"{name}.{c}" for name, frame in frames.items() for c in frame.columns if c.lower() in private]
 
 
+def without_private(rows: DataFrame, private: tuple[str, ...]) -> DataFrame:
+    """Rows without the private columns, by name without case."""
+    return rows.drop(*[c for c in rows.columns if c.lower() in private])
+
+
+def select_run(runs: DataFrame, run_id: int | None = None, run: str = "run_id") -> tuple[DataFrame, list[str]]:
+    """(one row, warnings): the newest run that is valid, finished, compared and not empty, or the run asked for, with a warning if it isn't valid.
+
+    A condition whose column is missing is left out, with a warning. Without such a run, or without the run asked for, LookupError.
+    """
+    conditions = {"status": F.col("status") == "valid", "finished_at": F.col("finished_at").isNotNull(), "comparison_applied": F.col("comparison_applied"), "discovered_count": F.col("discovered_count") > 0}
+    known, warnings = {c: x for c, x in conditions.items() if c in runs.columns}, []
+    if run_id is not None:
+        chosen = runs.where(F.col(run) == run_id).limit(1)
+        if (found := chosen.first()) is None:
+            raise LookupError(f"run {run_id} does not exist")
+        if "status" in known and found["status"] != "valid":
+            warnings.append(f"run {run_id} was asked for but its status is {found['status']}: absences in it can't be trusted")
+        return chosen, warnings
+    warnings = [f"no column {c}: the run was chosen without this condition" for c in conditions if c not in known]
+    chosen = runs.where(reduce(lambda a, b: a & b, known.values(), F.lit(True))).orderBy(F.desc(run)).limit(1)
+    if chosen.isEmpty():
+        raise LookupError("no run meets the conditions")
+    return chosen, warnings
+
+
 def audit(checks: list[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, checks)
 

@@ -231,6 +231,23 @@ def test_findings_have_a_row_for_each_check(spark):
     assert Q.private_columns({"ads": df.withColumnRenamed("v", "Phone"), "x": df}, ("phone", "seller_name")) == ["ads.Phone"]
 
 
+def test_run_selection_and_private_columns(spark):
+    from panelspark.operators import quality as Q
+
+    df = spark.createDataFrame([(1, "valid", at := datetime(2026, 6, 1), True, 5), (2, "valid", at, True, 5), (3, "partial", at, True, 5), (4, "valid", None, True, 5), (5, "valid", at, False, 5), (6, "valid", at, True, 0)], "run_id long, status string, finished_at timestamp, comparison_applied boolean, discovered_count long")
+    pick = lambda *a: (lambda x: (x[0].first().run_id, len(x[1])))(Q.select_run(*a))
+    assert [pick(df), pick(df, 1), pick(df, 3), pick(df.drop("comparison_applied", "discovered_count"))] == [(2, 0), (1, 0), (3, 1), (6, 2)]
+    for bad in ((df, 9), (df.where("run_id > 2"),)):
+        with pytest.raises(LookupError):
+            Q.select_run(*bad)
+    assert Q.without_private(df.withColumnRenamed("status", "Seller_Name"), ("seller_name",)).columns == ["run_id", "finished_at", "comparison_applied", "discovered_count"]
+
+
+def test_query_ranges(spark):
+    got = [tuple(one(spark, C.query_range(F.lit(u), "price"))) for u in ("https://x/car?year=1,2&price=100,200", "https://x/car?price=100", "https://x/car?price=,200", "https://x/car?price=100%2C200", "https://x/car?price=cheap", "https://x/car?price=", "https://x/car")]
+    assert got == [(100, 200, True, False), (100, None, True, False), (None, 200, True, False), (100, 200, True, False), (None, None, True, True), (None, None, False, False), (None, None, False, False)]
+
+
 def test_listing_checks_by_hand(spark):
     from panelspark.operators import quality as Q
 
