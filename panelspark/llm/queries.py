@@ -11,6 +11,7 @@ def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every whole text of documents as pieces in sequences of 1,024 tokens."""
     from panelspark.llm.packing import pack
 
     pieces = pack(_read(spark, sf_dir, "documents"))
@@ -18,6 +19,7 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every whole text of documents encoded and decoded again."""
     from panelspark.llm.sentencepiece_codec import decode, encode
 
     encoded = encode(_read(spark, sf_dir, "documents"))
@@ -26,30 +28,35 @@ def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document scored by the models of trusted text, with its language's threshold."""
     from panelspark.llm.kn_quality import classify
 
     return classify(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels"))
 
 
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every whole text of documents under the cascade of rules."""
     from panelspark.llm.rule_cascade import judge
 
     return judge(_read(spark, sf_dir, "documents"))
 
 
 def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every whole text of documents looked up among known licence texts, its lines among known notices."""
     from panelspark.llm.licenses import scan
 
     return scan(_read(spark, sf_dir, "documents"))
 
 
 def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every line of documents that stands earlier in the corpus, equal or within the edits."""
     from panelspark.llm.line_dedup import removed_lines
 
     return removed_lines(_read(spark, sf_dir, "documents"))
 
 
 def op7_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations and the probe, as event logs folded, formatted and read back."""
     from panelspark.llm import chat
 
     said = r"\### Assistant: </turn> ok"
@@ -62,12 +69,14 @@ def op7_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The exact histogram of encoded lengths of all documents with its suffix sums."""
     from panelspark.llm.token_counts import token_counts
 
     return token_counts(_read(spark, sf_dir, "documents"))
 
 
 def op9_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's fingerprint beside that of its edited text and of the next document."""
     from panelspark.llm.minhash import neighbour_fingerprints
 
     return neighbour_fingerprints(_read(spark, sf_dir, "documents"))
@@ -81,6 +90,7 @@ def minhash_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of all documents at 0.85 of their four-word shingles."""
     from panelspark.llm.ngram_join import jaccard_components
 
     return jaccard_components(_read(spark, sf_dir, "documents"), n=4, threshold=(85, 100))
