@@ -16,10 +16,13 @@ WORD = r"[^\x20\x09-\x0D]"
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Rows whose perplexity stays under their language's threshold. Rows with a null id stay, rows of one id go together; a null or empty text is judged by its
+    end mark; without trusted labels all rows stay; no rows give none; all columns stay."""
     return kn_quality.keep_trusted(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Rows whose whole text passes every rule. A null or empty text has no words and goes; repeated rows are judged alike; null ids, any length and all columns stay as they are."""
     return rule_cascade.keep_good(docs)
 
 
@@ -31,10 +34,12 @@ def line_deduplication(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One row of each group of documents linked at 0.8 of their five-word shingles: that of the least id. Rows without words are linked with nothing; all columns stay."""
     return ngram_join.keep_one(docs, n=5, threshold=(4, 5))
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of all documents in sequences of 1,024 tokens, as `op1_packing` gives them; a null text is its end mark alone, no rows give none."""
     pieces = packing.pack(docs)
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
