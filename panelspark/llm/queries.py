@@ -49,7 +49,7 @@ def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every line of documents that stands earlier in the corpus, equal or within the edits."""
+    """Every document with the numbers of its lines that stand earlier in the corpus, equal or within the edits."""
     from panelspark.llm.line_dedup import removed_lines
 
     return removed_lines(_read(spark, sf_dir, "documents"))
