@@ -303,3 +303,21 @@ def test_sessions_and_sliding_volume(spark):
     assert sorted((x.ad_id, x.sightings) for x in T.presence_episodes(rows).collect()) == [(1, 1), (1, 2), (2, 1)]
     first = {x.start: (x.n, x.mean_value) for x in T.sliding_volume(rows).collect()}
     assert first[datetime(2026, 1, 1)] == (3, pytest.approx(5 / 3))
+
+
+def test_fastest_disappearing_has_rows_without_an_estimate_last(spark, tmp_path):
+    """A listing that came back after its first miss and then went has no estimate; the SQL orders it behind the others."""
+    import duckdb
+
+    from panelspark.plans import catalogue
+    from tools.compare import compare
+
+    days = {u: range(30) for u in range(100, 160)} | {0: [3, 4, 6, 7], 1: [3, 4, 5], 3: [2, 3, 4, 5, 6], 4: [2, 4, 5]}
+    rows = [(n, datetime(2024, 1, d + 1, 12), u, "view", float(50 - d), "{}") for n, (u, d) in enumerate((u, d) for u, some in days.items() for d in some)]
+    spark.createDataFrame(rows, "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string").write.parquet(str(tmp_path / "events.parquet"))
+    con = duckdb.connect()
+    con.sql(f"create view events as select * from '{tmp_path}/events.parquet/*.parquet'")
+    name = "fastest_disappearing"
+    assert ": ok, 4 rows" in compare(spark, con, name, catalogue.queries()[name], catalogue.oracle_sql()[name], str(tmp_path))
+    got = catalogue.queries()[name](spark, str(tmp_path)).collect()
+    assert [x.ad_id for x in got] == [1, 3, 0, 4] and got[2].estimate_days is None
