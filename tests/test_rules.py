@@ -321,3 +321,13 @@ def test_fastest_disappearing_has_rows_without_an_estimate_last(spark, tmp_path)
     assert ": ok, 4 rows" in compare(spark, con, name, catalogue.queries()[name], catalogue.oracle_sql()[name], str(tmp_path))
     got = catalogue.queries()[name](spark, str(tmp_path)).collect()
     assert [x.ad_id for x in got] == [1, 3, 0, 4] and got[2].estimate_days is None
+
+
+def test_pairs_out_of_reach_end_in_the_join(spark):
+    """Listings of one taxonomy, mileage and price with different images share keys, but none of their pairs leaves the join."""
+    shown = [f"{(i * 0x9E3779B97F4A7C15 + 0x5851F42D4C957F2D) & (1 << 64) - 1:016x}" for i in range(40)]
+    rows = [(i, "A", "m", "1", f"s{i}", 10000, 100, f"c{i}", [shown[i]], None, None, None) for i in range(40)] + [(40, "A", "m", "1", "s", 12000, 105, "c", [shown[7]], None, None, None)]
+    df = spark.createDataFrame(rows, "id long, brand string, model string, year string, seller string, mileage long, price long, city string, images array<string>, description string, body_color string, interior_color string")
+    near = [i for i in range(40) if bin(int(shown[i], 16) ^ int(shown[7], 16)).count("1") <= 8]
+    assert near == [7]
+    assert [(x.c_id, x.p_id) for x in E.candidates(df, df, order="id").collect()] == [(40, 7)]
