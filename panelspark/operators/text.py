@@ -20,12 +20,23 @@ def description_statistics(rows: DataFrame, text: str) -> DataFrame:
 
 
 def frequent_ngrams(rows: DataFrame, key: str, words: Column, n: int = 1, top: int = 50) -> DataFrame:
-    """Q24: the most frequent n-grams with the number of texts that have them; ties go by the term."""
+    """Q24: the most frequent n-grams with the number of texts that have them; ties go by the term.
+
+    A row that has its key for itself counts its n-grams in place, so only a task's counts by term are shuffled; rows that share
+    a key are one text and meet by (key, term) first.
+    """
     base = rows.select(F.col(key).alias("k"), words.alias("w")).where(F.size("w") >= n)
     grams = F.transform(F.sequence(F.lit(1), F.size("w") - (n - 1)), lambda i: F.array_join(F.slice("w", i, n), " "))
-    # counted within a text first: a hot term then sends one row a text
-    per = base.select("k", F.explode(grams).alias("term")).groupBy("k", "term").agg(F.count("*").alias("c"))
-    return per.groupBy("term").agg(F.sum("c").alias("n"), F.count("*").alias("texts")).orderBy(F.desc("n"), "term").limit(top)
+    shared = rows.groupBy(F.col(key).alias("k")).agg(F.count("*").alias("rows")).where("rows > 1 and k is not null").select("k")
+    mixed = not shared.limit(1).isEmpty()
+    single = base.join(shared, "k", "left_anti") if mixed else base
+    counted = lambda terms, c, texts: F.transform(terms, lambda x: F.struct(x.alias("term"), F.lit(c).cast("long").alias("c"), F.lit(texts).cast("long").alias("texts")))
+    both = F.when(F.col("k").isNull(), counted(F.col("g"), 1, 0)).otherwise(F.concat(counted(F.col("g"), 1, 0), counted(F.array_distinct("g"), 0, 1)))
+    per = single.select("k", grams.alias("g")).select(F.explode(both).alias("x")).select("x.*")
+    if mixed:
+        met = base.join(shared, "k", "left_semi").select("k", F.explode(grams).alias("term")).groupBy("k", "term").agg(F.count("*").alias("c"))
+        per = per.unionByName(met.select("term", "c", F.lit(1).cast("long").alias("texts")))
+    return per.groupBy("term").agg(F.sum("c").alias("n"), F.sum("texts").alias("texts")).orderBy(F.desc("n"), "term").limit(top)
 
 
 def exact_duplicates(rows: DataFrame, key: str, text: str, least: int = 40) -> DataFrame:

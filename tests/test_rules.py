@@ -331,3 +331,13 @@ def test_pairs_out_of_reach_end_in_the_join(spark):
     near = [i for i in range(40) if bin(int(shown[i], 16) ^ int(shown[7], 16)).count("1") <= 8]
     assert near == [7]
     assert [(x.c_id, x.p_id) for x in E.candidates(df, df, order="id").collect()] == [(40, 7)]
+
+
+def test_frequent_bigrams_of_shared_and_null_keys(spark):
+    """Rows of one key are one text, a row without a key is none (count(distinct) leaves it out), and n-grams don't cross rows."""
+    from panelspark.operators import text as T
+
+    rows = [(1, ["a", "b", "a", "b"]), (1, ["a", "b"]), (2, ["a", "b", "c"]), (None, ["a", "b"]), (3, ["x"]), (4, None)]
+    df = spark.createDataFrame(rows, "id long, w array<string>")
+    assert sorted(map(tuple, T.frequent_ngrams(df, "id", F.col("w"), 2).collect())) == [("a b", 5, 2), ("b a", 1, 1), ("b c", 1, 1)]
+    assert sorted(map(tuple, T.frequent_ngrams(df.where("id > 1 or id is null"), "id", F.col("w"), 2).collect())) == [("a b", 2, 1), ("b c", 1, 1)]
