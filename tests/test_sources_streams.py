@@ -153,3 +153,15 @@ def test_page_records(spark):
     r = extract(spark.createDataFrame([(1, html), (2, None)], "id long, html string"), "id", "html").orderBy("id").collect()
     assert (r[0].title, r[0].lang, r[0].linked_data, r[0].scripts, r[0].links, r[0].text) == ("A & B", "en", ['{"a": 1}'], 2, 1, "Hello you")
     assert r[1].text is None and r[1].links == 0
+
+
+def test_page_records_are_read_in_slices(spark, capsys):
+    """Pages over several slices of a batch keep their rows; the batch stays in Arrow's buffers."""
+    from panelspark.operators import pages as G
+
+    n = 2 * G.SLICE + 3
+    df = spark.createDataFrame([(i, f'<html lang="l{i}"><a href="x">t{i}</a></html>' if i % 5 else None) for i in range(n)], "page_id long, html string").coalesce(1)
+    out = G.extract(df, "page_id", "html")
+    assert {x.page_id: (x.lang, x.links, x.text) for x in out.collect()} == {i: (f"l{i}", 1, f"t{i}") if i % 5 else (None, 0, None) for i in range(n)}
+    out.explain()
+    assert "MapInArrow" in capsys.readouterr().out
