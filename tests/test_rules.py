@@ -341,3 +341,11 @@ def test_frequent_bigrams_of_shared_and_null_keys(spark):
     df = spark.createDataFrame(rows, "id long, w array<string>")
     assert sorted(map(tuple, T.frequent_ngrams(df, "id", F.col("w"), 2).collect())) == [("a b", 5, 2), ("b a", 1, 1), ("b c", 1, 1)]
     assert sorted(map(tuple, T.frequent_ngrams(df.where("id > 1 or id is null"), "id", F.col("w"), 2).collect())) == [("a b", 2, 1), ("b c", 1, 1)]
+
+
+def test_specifications_are_parsed_by_all_tasks(spark, capsys):
+    """Payloads of one small file are dealt by number before they are parsed, and not merged again."""
+    df = spark.createDataFrame([(1, json.dumps({"groups": []}))], "id long, payload string").coalesce(1)
+    J.specification_rows(df, "id", "payload").explain()
+    plan = capsys.readouterr().out
+    assert "REPARTITION_BY_NUM" in plan and plan.count("Exchange") == 1
