@@ -1,14 +1,14 @@
 """Quality classifier: an interpolated modified Kneser-Ney trigram model of trusted text gives every document a
 perplexity, and a quantile for each language decides.
 
-Trusted text is labelled text of good quality that is not toxic. The model is fitted on a bounded sample of
-those rows, TRAIN_DOCS of each language, picked by a hash of the id; everything else covers all data. Each language with a sample
-row has a model of its own; one of all sample rows scores the languages without.
+Trusted text is labelled text of good quality that is not toxic. The model is fitted on all of those rows but a quarter, held out by
+a hash of the id, from which the thresholds come. Each language with a training row has a model of its own; one of all training
+rows scores the languages without.
 
-Fitting has two passes over trigram counts, which are dealt by their middle word: a trigram (a, b, c), its context (a, b), its
-lower-order bigram (b, c) and that one's context b all meet in the same task, so continuation counts, context totals and
-discounted probabilities are windows over one shuffle. The log-probability of a token is written as a sum over the n-grams that
-end in it:
+Fitting has two passes over trigram counts. A trigram (a, b, c) is dealt by its lower-order bigram (b, c) first, for counts and continuation
+counts, then by its context (a, b), for totals and discounted probabilities. Both are windows whose groups the vocabulary bounds, so a
+frequent word doesn't gather in one task; what belongs to a word alone is a table of a row a word. The log-probability of a token is
+written as a sum over the n-grams that end in it:
 
     log p(c | a b) = log p1(c) + g2(b) + [bc seen] gain2(bc) + [ab seen] g3(ab) + [abc seen] gain3(abc)
 
@@ -33,13 +33,15 @@ from pyspark.sql import functions as F
 from panelspark.llm._graph import cut, drop
 from panelspark.llm._text import mix
 
-#: Bounds: labelled rows of a language that a model is fitted on, words of its vocabulary (the rest is one unknown word), keys in the
-#: broadcast, bits of the filter, bits of a language in a key.
+#: Labelled rows of a language for a caller who wants a bounded model (the queries don't). Bounds: words of a language's vocabulary (the rest is
+#: one unknown word), keys in the broadcast, bits of a filter, bits of a language in a key.
 TRAIN_DOCS, VOCABULARY, HOT, FILTER_BITS, CODE_BITS = 8000, 50_000, 1 << 21, 1 << 27, 14
 #: Languages with a model of their own.
 LANGUAGES = 256
 BEGIN, END, UNKNOWN, FIRST_WORD = 0, 1, 2, 3
 QUANTILE = 0.995
+#: Trigrams that a task holds before it counts them and sends them on.
+TASK_TRIPLES = 4_000_000
 
 
 def _sequence(words: list[bytes], ids: dict[bytes, int]) -> np.ndarray:
@@ -58,11 +60,13 @@ def _triples(seq: np.ndarray, code: int) -> np.ndarray:
     return (1 << 62) + (code << 48) + (seq[:-2] << 32) + (seq[1:-1] << 16) + seq[2:]
 
 
-def trusted_sample(docs: DataFrame, labels: DataFrame, id_col: str, train_docs: int, lang_col: str = "lang") -> DataFrame:
-    """Ids of the training rows: of each language at most train_docs trusted ids by a hash of the id, a quarter of all ids
-    always held out. Each language is drawn by itself, so its rows don't depend on its share of the corpus."""
+def trusted_sample(docs: DataFrame, labels: DataFrame, id_col: str, train_docs: int | None = None, lang_col: str = "lang") -> DataFrame:
+    """Ids of the training rows: all trusted ids but a quarter, always held out by a hash. With train_docs, of each language at most that
+    many in docs, by another hash; each language is then drawn by itself, so its rows don't depend on its share of the corpus."""
     good = labels.where("quality = 1 and coalesce(toxic, 0) = 0").select(F.col("doc_id").cast("long").alias("id")).where("id is not null").distinct()
     some = good.where(F.pmod(F.xxhash64(F.lit(7), "id"), F.lit(4)) != 0)
+    if train_docs is None:
+        return some
     spoken = docs.select(F.col(id_col).cast("long").alias("id"), F.col(lang_col).cast("string").alias("lang")).join(some, "id").distinct()
     # hashes past a bound that leaves well over train_docs rows of a language can't be among its least, so none of them is sorted
     sizes = spoken.groupBy(F.col("lang").alias("spoken")).agg(F.count("*").alias("n"))  # one row a language
@@ -85,6 +89,31 @@ def _spots(keys: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
     return (h & np.uint64(size - 1)).astype(np.int64), ((h >> np.uint64(32)) & np.uint64(size - 1)).astype(np.int64)
 
 
+def _passes(bits: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    """Whether the filter may hold each key."""
+    there = np.ones(len(keys), dtype=bool)
+    for spot in _spots(keys, len(bits) * 8):
+        there &= (bits[spot >> 3] >> (7 - (spot & 7)).astype(np.uint8)) & 1 > 0
+    return there
+
+
+def _filter_bits(keys: DataFrame, n: int) -> np.ndarray:
+    """A Bloom filter of n keys (column key), of FILTER_BITS at most."""
+    size = min(FILTER_BITS, 1 << max(10, math.ceil(math.log2(8 * max(1, n)))))
+
+    def filters(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        found = np.zeros(size, dtype=bool)
+        for frame in frames:
+            for spot in _spots(frame["key"].to_numpy(), size):
+                found[spot] = True
+        yield pd.DataFrame({"bits": [np.packbits(found).tobytes()]})
+
+    bits = np.zeros(size // 8, dtype=np.uint8)
+    for r in keys.coalesce(4).mapInPandas(filters, "bits binary").toLocalIterator():
+        bits |= np.frombuffer(r.bits, dtype=np.uint8)
+    return bits
+
+
 def _discounts(counts: DataFrame, order: int) -> dict[int, list[float]]:
     """Modified Kneser-Ney discounts of each code from the counts of counts in column n of an order."""
     out = {}
@@ -128,17 +157,24 @@ def _vocabulary(counted: DataFrame) -> tuple[dict[int, dict[bytes, int]], dict[i
     return ids, types
 
 
-def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", train_docs: int = TRAIN_DOCS) -> Model | None:
-    """The model of the trusted sample, None if there is no trusted text.
+def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", train_docs: int | None = None) -> Model | None:
+    """The model of the training rows (``trusted_sample``), None if there is no trusted text.
 
-    Every language with a sample row has a model of its own, up to the LANGUAGES with most of them; all other rows share one of the whole
-    sample, which is fitted only where docs have such rows.
+    Every language with a training row has a model of its own, up to the LANGUAGES with most of them; all other rows share one of all
+    training rows, which is fitted only where docs have such rows.
     """
     spark = docs.sparkSession
     context = spark.sparkContext
     sample = cut(trusted_sample(docs, labels, id_col, train_docs, lang_col))
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(lang_col).cast("string").alias("lang"), F.col(text_col).cast("string").alias("t"))
-    text = cut(rows.join(F.broadcast(sample), "id").select("lang", "t"))
+    trained = context.broadcast(_filter_bits(sample.select(F.col("id").alias("key")), sample.count()))
+
+    @F.pandas_udf("boolean")
+    def maybe(key: pd.Series) -> pd.Series:
+        return pd.Series(_passes(trained.value, key.to_numpy()))
+
+    # the filter keeps the other texts out of the join's shuffle
+    text = cut(rows.where("id is not null").where(maybe("id")).join(sample, "id").select("lang", "t"))
     most = text.where("lang is not null").groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(LANGUAGES)
     spoken = sorted(r.lang for r in most.collect())
     codes = {lang: i + 1 for i, lang in enumerate(spoken)}
@@ -164,25 +200,35 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     held = context.broadcast(ids)
 
     def triples(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            parts = [_triples(_sequence(_words(t), held.value.get(code, {})), code) for lang, t in zip(frame["lang"], frame["t"], strict=True) for code in models(lang)]
-            keys, n = np.unique(np.concatenate([*parts, np.zeros(0, dtype=np.int64)]), return_counts=True)
-            yield pd.DataFrame({"key": keys, "n": n})
+        parts, size = [], 0
 
-    part = lambda shift: F.shiftright("key", shift).bitwiseAND(0xFFFF).cast("int")
-    parted = {"code": F.shiftright("key", 48).bitwiseAND((1 << CODE_BITS) - 1).cast("int"), "a": part(32), "b": part(16), "c": part(0)}
-    t3 = cut(text.mapInPandas(triples, "key long, n long").groupBy("key").agg(F.sum("n").alias("n")))
-    drop(text)
+        def counts() -> pd.DataFrame:
+            keys, n = np.unique(np.concatenate(parts), return_counts=True)
+            return pd.DataFrame({"bc": (keys >> 48 & (1 << CODE_BITS) - 1) << 32 | keys & 0xFFFFFFFF, "a": (keys >> 32 & 0xFFFF).astype(np.int32), "n": n})
 
-    grams = t3.withColumns(parted).repartition("code", "b")
-    bc, ab, b_ = (Window.partitionBy("code", "b", *rest) for rest in (["c"], ["a"], []))
-    counted3 = cut(grams.withColumns({"n2": F.count("*").over(bc), "head2": F.row_number().over(bc.orderBy("a")) == 1}).select("key", "n", "n2", "head2"))
-    drop(t3)
-    t2 = counted3.where("head2").withColumns(parted).select("code", "b", "c", F.col("n2").alias("n"))
+        for frame in frames:
+            for lang, t in zip(frame["lang"], frame["t"], strict=True):
+                for code in models(lang):
+                    parts.append(_triples(_sequence(_words(t), held.value.get(code, {})), code))
+                    size += len(parts[-1])
+                if size > TASK_TRIPLES:
+                    yield counts()
+                    parts, size = [], 0
+        if parts:
+            yield counts()
+
+    word = lambda key, shift: F.shiftright(key, shift).bitwiseAND(0xFFFF).cast("int")
+    parted = {"code": F.shiftright("bc", 32).cast("int"), "b": word("bc", 16), "c": word("bc", 0)}
+    by_bc = Window.partitionBy("bc")
+    t3 = text.mapInPandas(triples, "bc long, a int, n long").repartition("bc").groupBy("bc", "a").agg(F.sum("n").alias("n"))
+    t3 = t3.withColumns({"n2": F.count("*").over(by_bc), "met2": F.when(F.row_number().over(by_bc.orderBy("a")) == 1, F.sum("n").over(by_bc))})
+    counted3 = cut(t3)  # met2, the bigram's own count, stands in one of its rows
+    drop(text)
+    t2 = counted3.where("met2 is not null").withColumns(parted).select("code", "b", "c", F.col("n2").alias("n"))
     t1 = cut(t2.groupBy("code", "c").agg(F.count("*").alias("n")))
     d1, d2, d3 = _discounts(t1, 1), _discounts(t2, 2), _discounts(counted3.select(parted["code"].alias("code"), "n"), 3)
 
-    # order one: arrays of the vocabulary
+    # order one, and what belongs to a context b: tables of a row a vocabulary word
     sizes = {c: len(ids[c]) + 2 for c in types}
     size = F.create_map(*[x for c, v in sizes.items() for x in (F.lit(c), F.lit(float(v)))])
     r1 = t1.withColumn("cut", _cut_off(d1, F.col("n")))
@@ -190,27 +236,28 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     weight = lambda mass, total: F.greatest(mass, F.lit(1e-9)) / total
     p1 = cut(r1.join(F.broadcast(s1), "code").select("code", "c", ((F.col("n") - F.col("cut")) / F.col("total") + weight(F.col("mass"), F.col("total")) / F.element_at(size, F.col("code"))).alias("p1")))
     rest = {r.code: r.w / sizes[r.code] for r in s1.select("code", weight(F.col("mass"), F.col("total")).alias("w")).collect()}
-
-    # orders two and three from one shuffle by the middle word; p1 has a row a vocabulary word
-    rows3 = counted3.withColumns(parted).repartition("code", "b").withColumns({"cut3": _cut_off(d3, F.col("n")), "cut2": _cut_off(d2, F.col("n2"))})
-    first2 = F.when(F.col("head2"), F.col("cut2"))
-    rows3 = rows3.withColumns({"total2": F.count("*").over(b_), "mass2": F.sum(first2).over(b_)})
-    rows3 = rows3.withColumns({"total3": F.sum("n").over(ab), "mass3": F.sum("cut3").over(ab), "head3": F.row_number().over(ab.orderBy("c")) == 1, "met2": F.sum("n").over(bc), "headb": F.row_number().over(b_.orderBy("c", "a")) == 1})
-    scored = rows3.join(F.broadcast(p1), ["code", "c"])
-    w2, w3 = weight(F.col("mass2"), F.col("total2")), weight(F.col("mass3"), F.col("total3"))
-    low2 = w2 * F.col("p1")
-    scored = scored.withColumns({"w2": w2, "w3": w3, "low2": low2, "p2": (F.col("n2") - F.col("cut2")) / F.col("total2") + low2})
+    contexts = t2.groupBy("code", "b").agg(F.sum("n").alias("total2"), F.sum(_cut_off(d2, F.col("n"))).alias("mass2"))
+    contexts = cut(contexts.select("code", "b", "total2", weight(F.col("mass2"), F.col("total2")).alias("w2")))
+
+    # orders two and three, dealt by the context (a, b)
+    dealt = counted3.select((F.shiftleft(F.shiftright("bc", 32), 32) + F.shiftleft(F.col("a").cast("long"), 16) + word("bc", 16)).alias("ab"), word("bc", 0).alias("c"), "n", "n2", "met2").repartition("ab")
+    rows3 = dealt.withColumns({"code": F.shiftright("ab", 32).cast("int"), "a": word("ab", 16), "b": word("ab", 0)}).withColumns({"cut3": _cut_off(d3, F.col("n")), "cut2": _cut_off(d2, F.col("n2"))})
+    by_ab = Window.partitionBy("ab")
+    rows3 = rows3.withColumns({"total3": F.sum("n").over(by_ab), "mass3": F.sum("cut3").over(by_ab), "head3": F.row_number().over(by_ab.orderBy("c")) == 1})
+    scored = rows3.join(F.broadcast(p1), ["code", "c"]).join(F.broadcast(contexts), ["code", "b"])
+    low2 = F.col("w2") * F.col("p1")
+    scored = scored.withColumns({"w3": weight(F.col("mass3"), F.col("total3")), "low2": low2, "p2": (F.col("n2") - F.col("cut2")) / F.col("total2") + low2})
     low3 = F.col("w3") * F.col("p2")
     key2 = "shiftleft(cast(code as bigint), 48) + shiftleft(cast({} as bigint), 16) + {}"
+    key3 = F.expr(f"{1 << 62} + shiftleft(cast(code as bigint), 48) + shiftleft(cast(a as bigint), 32) + shiftleft(cast(b as bigint), 16) + c")
     entry = lambda when, kind, key, value, met: F.when(when, F.struct(F.lit(kind).alias("kind"), key.alias("key"), value.cast("float").alias("value"), met.cast("int").alias("met")))
     entries = F.array_compact(F.array(
-        entry(F.lit(True), 3, F.col("key"), F.log(((F.col("n") - F.col("cut3")) / F.col("total3") + low3) / low3), F.col("n")),
-        entry(F.col("head2"), 2, F.expr(key2.format("b", "c")), F.log(F.col("p2") / F.col("low2")), F.col("met2")),
-        entry(F.col("head3"), 2, F.expr(key2.format("a", "b")), F.log("w3"), F.col("total3")),
-        entry(F.col("headb"), 1, F.expr("shiftleft(cast(code as bigint), 16) + b"), F.log("w2"), F.col("total2"))))
+        entry(F.lit(True), 3, key3, F.log(((F.col("n") - F.col("cut3")) / F.col("total3") + low3) / low3), F.col("n")),
+        entry(F.col("met2").isNotNull(), 2, F.expr(key2.format("b", "c")), F.log(F.col("p2") / F.col("low2")), F.col("met2")),
+        entry(F.col("head3"), 2, F.expr(key2.format("a", "b")), F.log("w3"), F.col("total3"))))
     made = cut(scored.select(F.explode(entries).alias("e")).select("e.*"))
     drop(counted3)
-    backs = made.where("kind = 1").select("key", "value").toArrow()  # a row a vocabulary word at most
+    backs = contexts.select((F.shiftleft(F.col("code").cast("long"), 16) + F.col("b")).alias("key"), F.log("w2").alias("value")).toArrow()
     # a bigram has a gain as (b, c) and a weight as (a, b), which are summed; trigrams have one row each
     pairs = cut(made.where("kind = 2").groupBy("key").agg(F.sum("value").cast("float").alias("value"), F.max("met").alias("met")))
     grams3 = cut(made.where("kind = 3").drop("kind"))
@@ -223,18 +270,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     none = np.array([-1], dtype=np.int64), np.zeros(1, dtype=np.float32)  # no n-gram has this key, so the table is never empty
     hot = np.concatenate([none[0], top["key"].to_numpy()[order]]), np.concatenate([none[1], top["value"].to_numpy()[order]])
     n_values = values.count()
-    bits_size = min(FILTER_BITS, 1 << max(10, math.ceil(math.log2(8 * max(1, n_values)))))
-
-    def filters(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        found = np.zeros(bits_size, dtype=bool)
-        for frame in frames:
-            for spot in _spots(frame["key"].to_numpy(), bits_size):
-                found[spot] = True
-        yield pd.DataFrame({"bits": [np.packbits(found).tobytes()]})
-
-    bits = np.zeros(bits_size // 8, dtype=np.uint8)
-    for r in values.select("key").coalesce(4).mapInPandas(filters, "bits binary").toLocalIterator():
-        bits |= np.frombuffer(r.bits, dtype=np.uint8)
+    bits = _filter_bits(values.select("key"), n_values)
 
     base = {c: np.full(len(ids[c]) + FIRST_WORD, math.log(rest.get(c, 1e-9)), dtype=np.float64) for c in types}
     back = {c: np.zeros(len(ids[c]) + FIRST_WORD, dtype=np.float64) for c in types}
@@ -291,7 +327,7 @@ def _model_shards(values: DataFrame, shards: int, copies: int) -> DataFrame:
 
         for frame in frames:
             held.append(frame)
-            if sum(map(len, held)) > 200_000:
+            if sum(map(len, held)) > 1_000_000:
                 yield packed()
                 held = []
         if held:
@@ -412,12 +448,12 @@ def perplexities(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col
     return summed.select("id", "own", F.try_element_at(names, F.col("code")).alias("lang"), "n_words", F.exp(-F.col("total") / (F.col("n_words") + 1)).alias("perplexity"))
 
 
-def classify(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", quantile: float = QUANTILE, train_docs: int = TRAIN_DOCS) -> DataFrame:
+def classify(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", quantile: float = QUANTILE, train_docs: int | None = None) -> DataFrame:
     """(id, lang, n_words, perplexity, threshold, kept) of each row.
 
     A language's threshold is the quantile of the perplexities of its trusted documents that the model was not
     fitted on (of all its trusted ones where there are none); a document is kept up to that of its own language. Languages
-    without a sample row share one model, shown as a null lang, yet each has its own threshold; one without any trusted
+    without a training row share one model, shown as a null lang, yet each has its own threshold; one without any trusted
     document takes the quantile of all that the shared model scored, or keeps its rows where there are none. A null or empty text is the end mark alone. Rows of one id are judged
     each; labels of unknown ids and null labels teach nothing; without trusted text, or without a threshold, all rows
     are kept with null perplexity or threshold. An empty table gives no rows.
@@ -430,7 +466,7 @@ def classify(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
     drop(*model.tables)
     seen = model.sample.withColumn("seen", F.lit(True))
     good = labels.where("quality = 1 and coalesce(toxic, 0) = 0").select(F.col("doc_id").cast("long").alias("id")).distinct()
-    held = cut(scores.join(good, "id").join(F.broadcast(seen), "id", "left").select("own", "lang", "perplexity", "seen"))
+    held = cut(scores.join(good, "id").join(seen, "id", "left").select("own", "lang", "perplexity", "seen"))
 
     def threshold(rows: DataFrame, *by: str) -> DataFrame:
         at = rows.groupBy(*by).agg(F.percentile_approx(F.when(F.col("seen").isNull(), F.col("perplexity")), quantile, 10_000).alias("held"), F.percentile_approx("perplexity", quantile, 10_000).alias("whole"))

@@ -590,6 +590,18 @@ def test_quality_classifier_sample_size(spark):
     assert K.trusted_sample(docs, labels, "doc_id", K.TRAIN_DOCS).count() == 8000
 
 
+def test_quality_classifier_learns_from_all_trusted_rows(spark):
+    """No language's training rows are capped: all trusted rows but the held-out quarter teach the model."""
+    from panelspark.llm import kn_quality as K
+
+    docs = spark.range(14_000).select(F.col("id").alias("doc_id"), F.concat_ws(" ", F.lit("a"), F.col("id") % 7, F.lit("b")).alias("text"), F.lit("en").alias("lang"))
+    labels = docs.select("doc_id", F.lit(1).alias("quality"), F.lit(0).alias("toxic"))
+    model = K.fit(docs, labels)
+    n = docs.where(F.pmod(F.xxhash64(F.lit(7), "doc_id"), F.lit(4)) != 0).count()
+    assert model.sample.count() == n > K.TRAIN_DOCS
+    assert model.tables[1].agg(F.sum("met")).first()[0] == 4 * n
+
+
 class KneserNey:
     """Interpolated modified Kneser-Ney of order three, straight from the definition."""
 
