@@ -349,3 +349,35 @@ def test_specifications_are_parsed_by_all_tasks(spark, capsys):
     J.specification_rows(df, "id", "payload").explain()
     plan = capsys.readouterr().out
     assert "REPARTITION_BY_NUM" in plan and plan.count("Exchange") == 1
+
+
+def test_ranked_counts_by_key_over_many_partitions(spark):
+    """Rows of smaller values of the same key, whatever partitions and keys stand before; no rows give none."""
+    from panelspark.operators import ranks
+
+    rows = [(k, float(v), v % 3 + 1) for k in range(5) for v in range(40 * k + 1)]
+    df = spark.createDataFrame(rows, "k int, v double, n long")
+    for few in (False, True):
+        got = {(r.k, r.v): r.below for r in ranks.ranked_counts(df, ["k"], "v", few_keys=few).collect()}
+        assert got == {(k, v): sum(m for j, w, m in rows if j == k and w < v) for k, v, _ in rows}
+    assert {r.v: r.below for r in ranks.ranked_counts(df.where("k = 4"), [], "v").collect()} == {v: sum(m for j, w, m in rows if j == 4 and w < v) for k, v, _ in rows if k == 4}
+    assert ranks.ranked_counts(df.limit(0), ["k"], "v").count() == 0
+
+
+def test_association_rows_are_made_once(spark):
+    """The rows, which may be a join, are computed once for levels, ranks and sums alike."""
+    from panelspark.operators import associations as A
+
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(frames):
+        for frame in frames:
+            seen.add(len(frame))
+            yield frame
+
+    df = spark.createDataFrame([(float(i % 7), float(i), "ab"[i % 2]) for i in range(50)], "x double, y double, g string").mapInPandas(count, "x double, y double, g string")
+    assert A.pairwise_associations(df, A.Features(("x", "y"), ("g",))).count() == 3
+    assert seen.value == 50
+    seen.value = 0
+    assert A.differentiating_features(df, A.Features(("x", "y"), ("g",)), "g").count() == 2
+    assert seen.value == 50
