@@ -23,9 +23,11 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -39,9 +41,13 @@ TRAIN_DOCS, VOCABULARY, HOT, FILTER_BITS, CODE_BITS = 8000, 50_000, 1 << 21, 1 <
 #: Languages with a model of their own.
 LANGUAGES = 256
 BEGIN, END, UNKNOWN, FIRST_WORD = 0, 1, 2, 3
+#: Trigrams' keys start here.
+TRIGRAM = 1 << 62
 QUANTILE = 0.995
 #: Trigrams that a task holds before it counts them and sends them on.
 TASK_TRIPLES = 4_000_000
+#: Parts of the contexts that are fitted, and of the documents that are scored, one after another: the shuffle of one part is on disk at a time.
+PARTS = 2
 
 
 def _sequence(words: list[bytes], ids: dict[bytes, int]) -> np.ndarray:
@@ -57,7 +63,7 @@ def _pairs(seq: np.ndarray, code: int) -> np.ndarray:
 
 
 def _triples(seq: np.ndarray, code: int) -> np.ndarray:
-    return (1 << 62) + (code << 48) + (seq[:-2] << 32) + (seq[1:-1] << 16) + seq[2:]
+    return TRIGRAM + (code << 48) + (seq[:-2] << 32) + (seq[1:-1] << 16) + seq[2:]
 
 
 def trusted_sample(docs: DataFrame, labels: DataFrame, id_col: str, train_docs: int | None = None, lang_col: str = "lang") -> DataFrame:
@@ -77,11 +83,13 @@ def trusted_sample(docs: DataFrame, labels: DataFrame, id_col: str, train_docs:
 
 
 class Model:
-    """What tasks need: vocabulary, unigram and back-off arrays, hot keys, filter; and the sharded value table and the ids of the sample."""
+    """What tasks need: vocabulary, unigram and back-off arrays, hot keys, filter; and the value table, packed by shard, and the ids of the sample."""
 
-    def __init__(self, codes: dict[str, int], ids: dict[int, dict[bytes, int]], base: dict[int, np.ndarray], back: dict[int, np.ndarray], hot: tuple[np.ndarray, np.ndarray], bits: np.ndarray, values: DataFrame, n_values: int, sample: DataFrame, tables: tuple[DataFrame, ...] = ()) -> None:
-        self.codes, self.ids, self.base, self.back, self.hot, self.bits, self.values, self.n_values, self.sample = codes, ids, base, back, hot, bits, values, n_values, sample
-        self.tables = tables  # what values reads, to be dropped when all is scored
+    def __init__(self, codes: dict[str, int], ids: dict[int, dict[bytes, int]], base: dict[int, np.ndarray], back: dict[int, np.ndarray], hot: tuple[np.ndarray, np.ndarray], bits: np.ndarray, packed: DataFrame, shards: int, sample: DataFrame, tables: tuple[DataFrame, ...] = ()) -> None:
+        self.codes, self.ids, self.base, self.back, self.hot, self.bits, self.packed, self.shards, self.sample = codes, ids, base, back, hot, bits, packed, shards, sample
+        self.tables = tables  # rows of bigrams and of trigrams that packed was made of; scoring doesn't read them
+        # every worker has its file of a broadcast, so the hot keys are packed there
+        self.held = sample.sparkSession.sparkContext.broadcast((codes, ids, base, back, (_packed_keys(hot[0]), _planes(hot[1])), bits))
 
 
 def _spots(keys: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
@@ -97,20 +105,23 @@ def _passes(bits: np.ndarray, keys: np.ndarray) -> np.ndarray:
     return there
 
 
-def _filter_bits(keys: DataFrame, n: int) -> np.ndarray:
-    """A Bloom filter of n keys (column key), of FILTER_BITS at most."""
+def _filter_bits(keys: DataFrame, n: int, more: np.ndarray | None = None) -> np.ndarray:
+    """A Bloom filter of n keys (column key, or packed ones in column keys), of FILTER_BITS at most; more: keys that the driver adds."""
     size = min(FILTER_BITS, 1 << max(10, math.ceil(math.log2(8 * max(1, n)))))
 
     def filters(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         found = np.zeros(size, dtype=bool)
         for frame in frames:
-            for spot in _spots(frame["key"].to_numpy(), size):
-                found[spot] = True
+            for some in [frame["key"].to_numpy()] if "key" in frame else map(_keys, frame["keys"]):
+                for spot in _spots(some, size):
+                    found[spot] = True
         yield pd.DataFrame({"bits": [np.packbits(found).tobytes()]})
 
     bits = np.zeros(size // 8, dtype=np.uint8)
     for r in keys.coalesce(4).mapInPandas(filters, "bits binary").toLocalIterator():
         bits |= np.frombuffer(r.bits, dtype=np.uint8)
+    for spot in _spots(more, size) if more is not None else ():
+        np.bitwise_or.at(bits, spot >> 3, (128 >> (spot & 7)).astype(np.uint8))
     return bits
 
 
@@ -239,38 +250,42 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     contexts = t2.groupBy("code", "b").agg(F.sum("n").alias("total2"), F.sum(_cut_off(d2, F.col("n"))).alias("mass2"))
     contexts = cut(contexts.select("code", "b", "total2", weight(F.col("mass2"), F.col("total2")).alias("w2")))
 
-    # orders two and three, dealt by the context (a, b)
-    dealt = counted3.select((F.shiftleft(F.shiftright("bc", 32), 32) + F.shiftleft(F.col("a").cast("long"), 16) + word("bc", 16)).alias("ab"), word("bc", 0).alias("c"), "n", "n2", "met2").repartition("ab")
-    rows3 = dealt.withColumns({"code": F.shiftright("ab", 32).cast("int"), "a": word("ab", 16), "b": word("ab", 0)}).withColumns({"cut3": _cut_off(d3, F.col("n")), "cut2": _cut_off(d2, F.col("n2"))})
+    # orders two and three, dealt by the context (a, b), a part of the contexts at a time, so that a part's shuffle alone is on disk
+    context_ab = F.shiftleft(F.shiftright("bc", 32), 32) + F.shiftleft(F.col("a").cast("long"), 16) + word("bc", 16)
     by_ab = Window.partitionBy("ab")
-    rows3 = rows3.withColumns({"total3": F.sum("n").over(by_ab), "mass3": F.sum("cut3").over(by_ab), "head3": F.row_number().over(by_ab.orderBy("c")) == 1})
-    scored = rows3.join(F.broadcast(p1), ["code", "c"]).join(F.broadcast(contexts), ["code", "b"])
-    low2 = F.col("w2") * F.col("p1")
-    scored = scored.withColumns({"w3": weight(F.col("mass3"), F.col("total3")), "low2": low2, "p2": (F.col("n2") - F.col("cut2")) / F.col("total2") + low2})
-    low3 = F.col("w3") * F.col("p2")
-    key2 = "shiftleft(cast(code as bigint), 48) + shiftleft(cast({} as bigint), 16) + {}"
-    key3 = F.expr(f"{1 << 62} + shiftleft(cast(code as bigint), 48) + shiftleft(cast(a as bigint), 32) + shiftleft(cast(b as bigint), 16) + c")
-    entry = lambda when, kind, key, value, met: F.when(when, F.struct(F.lit(kind).alias("kind"), key.alias("key"), value.cast("float").alias("value"), met.cast("int").alias("met")))
-    entries = F.array_compact(F.array(
-        entry(F.lit(True), 3, key3, F.log(((F.col("n") - F.col("cut3")) / F.col("total3") + low3) / low3), F.col("n")),
-        entry(F.col("met2").isNotNull(), 2, F.expr(key2.format("b", "c")), F.log(F.col("p2") / F.col("low2")), F.col("met2")),
-        entry(F.col("head3"), 2, F.expr(key2.format("a", "b")), F.log("w3"), F.col("total3"))))
-    made = cut(scored.select(F.explode(entries).alias("e")).select("e.*"))
+    low2, low3 = F.col("w2") * F.col("p1"), F.col("w3") * F.col("p2")
+    key3 = F.expr(f"{TRIGRAM} + shiftleft(cast(code as bigint), 48) + shiftleft(cast(a as bigint), 32) + shiftleft(cast(b as bigint), 16) + c")
+
+    def part(number: int) -> DataFrame:
+        """(key, value, met) of each trigram, and in one of a bigram's rows its gain as (b, c), in another its weight as (a, b)."""
+        dealt = counted3.select(context_ab.alias("ab"), word("bc", 0).alias("c"), "n", "n2", "met2").where(F.pmod(F.xxhash64("ab"), F.lit(PARTS)) == number).repartition("ab")
+        rows3 = dealt.withColumns({"code": F.shiftright("ab", 32).cast("int"), "a": word("ab", 16), "b": word("ab", 0)}).withColumns({"cut3": _cut_off(d3, F.col("n")), "cut2": _cut_off(d2, F.col("n2"))})
+        rows3 = rows3.withColumns({"total3": F.sum("n").over(by_ab), "mass3": F.sum("cut3").over(by_ab), "head3": F.row_number().over(by_ab.orderBy("c")) == 1})
+        scored = rows3.join(F.broadcast(p1), ["code", "c"]).join(F.broadcast(contexts), ["code", "b"])
+        scored = scored.withColumns({"w3": weight(F.col("mass3"), F.col("total3")), "low2": low2, "p2": (F.col("n2") - F.col("cut2")) / F.col("total2") + low2})
+        value = F.log(((F.col("n") - F.col("cut3")) / F.col("total3") + low3) / low3)
+        gain, back = F.when(F.col("met2").isNotNull(), F.log(F.col("p2") / F.col("low2"))), F.when(F.col("head3"), F.log("w3"))
+        return scored.select(key3.alias("key"), value.cast("float").alias("value"), F.col("n").alias("met"), gain.cast("float").alias("gain"), "met2", back.cast("float").alias("back"), F.when(F.col("head3"), F.col("total3")).alias("met3"))
+
+    parts = [cut(part(i)) for i in range(PARTS)]
+    made = reduce(DataFrame.unionByName, parts)
     drop(counted3)
     backs = contexts.select((F.shiftleft(F.col("code").cast("long"), 16) + F.col("b")).alias("key"), F.log("w2").alias("value")).toArrow()
     # a bigram has a gain as (b, c) and a weight as (a, b), which are summed; trigrams have one row each
-    pairs = cut(made.where("kind = 2").groupBy("key").agg(F.sum("value").cast("float").alias("value"), F.max("met").alias("met")))
-    grams3 = cut(made.where("kind = 3").drop("kind"))
-    drop(made)
-    values = pairs.unionByName(grams3)
+    of_code = F.shiftleft(F.shiftright(F.col("key") - TRIGRAM, 48), 48)
+    gains = made.where("gain is not null").select((of_code + F.col("key").bitwiseAND(0xFFFFFFFF)).alias("key"), F.col("gain").alias("value"), F.col("met2").alias("met"))
+    weights = made.where("back is not null").select((of_code + F.shiftright("key", 16).bitwiseAND(0xFFFFFFFF)).alias("key"), F.col("back").alias("value"), F.col("met3").alias("met"))
+    pairs = cut(gains.unionByName(weights).groupBy("key").agg(F.sum("value").cast("float").alias("value"), F.max("met").alias("met")))
+    values = pairs.unionByName(made.select("key", "value", "met"))
 
-    at_least = _hot_bound(values)
+    at_least, n_values = _hot_bound(values)
     top = values.where(F.col("met") >= at_least).select("key", "value").toArrow()
     order = np.argsort(top["key"].to_numpy())
     none = np.array([-1], dtype=np.int64), np.zeros(1, dtype=np.float32)  # no n-gram has this key, so the table is never empty
     hot = np.concatenate([none[0], top["key"].to_numpy()[order]]), np.concatenate([none[1], top["value"].to_numpy()[order]])
-    n_values = values.count()
-    bits = _filter_bits(values.select("key"), n_values)
+    shards = 1 << max(3, math.ceil(math.log2(max(1, n_values) / SHARD_KEYS)))
+    packed = cut(_model_shards(values.where(F.col("met") < at_least).select("key", "value"), shards))
+    bits = _filter_bits(packed.select("keys"), n_values, hot[0])
 
     base = {c: np.full(len(ids[c]) + FIRST_WORD, math.log(rest.get(c, 1e-9)), dtype=np.float64) for c in types}
     back = {c: np.zeros(len(ids[c]) + FIRST_WORD, dtype=np.float64) for c in types}
@@ -281,49 +296,62 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
         mine = backs["key"].to_numpy() >> 16 == c
         back[c][backs["key"].to_numpy()[mine] & 0xFFFF] = backs["value"].to_numpy()[mine]
         base[c][UNKNOWN] -= math.log(max(1, types[c] - len(ids[c])))  # an unknown word is one of those that the vocabulary left out
-    return Model(codes, ids, base, back, hot, bits, values.where(F.col("met") < at_least).select("key", "value"), n_values, sample, (pairs, grams3))
+    return Model(codes, ids, base, back, hot, bits, packed, shards, sample, (pairs, made, *parts))
 
 
-def _hot_bound(values: DataFrame) -> int:
-    """The least count met at which no more than HOT keys are left."""
-    least, total = 1, 0
-    for r in values.groupBy("met").count().orderBy(F.desc("met")).toLocalIterator():
-        total += r["count"]
-        if total > HOT:
-            return r.met + 1
-    return least
+def _hot_bound(values: DataFrame) -> tuple[int, int]:
+    """The least count met at which no more than HOT keys are left, and the number of all keys."""
+    counts = values.groupBy("met").count().orderBy(F.desc("met")).toArrow()  # counts of counts
+    met, total = counts["met"].to_numpy(), counts["count"].to_numpy().cumsum()
+    over = np.flatnonzero(total > HOT)
+    return (int(met[over[0]]) + 1 if len(over) else 1), int(total[-1]) if len(total) else 0
 
 
 def _planes(numbers: np.ndarray) -> bytes:
-    """The numbers' first bytes, then their second ones and so on: sorted numbers have long runs there, which compression takes out."""
-    return numbers.view(np.uint8).reshape(-1, numbers.itemsize).T.tobytes()
+    """The numbers' first bytes, then their second ones and so on, each compressed by itself, as bytes of one place are alike."""
+    planes = [pa.compress(p.tobytes(), codec="zstd", asbytes=True) for p in numbers.view(np.uint8).reshape(-1, numbers.itemsize).T]
+    return np.array([len(numbers), *map(len, planes)], dtype=np.uint32).tobytes() + b"".join(planes)
 
 
-def _numbers(planes: bytes, kind: type) -> np.ndarray:
-    size = np.dtype(kind).itemsize
-    return np.ascontiguousarray(np.frombuffer(planes, dtype=np.uint8).reshape(size, -1).T).view(kind).reshape(-1)
+def _numbers(data: bytes, kind: type) -> np.ndarray:
+    width = np.dtype(kind).itemsize
+    n, *sizes = np.frombuffer(data, dtype=np.uint32, count=width + 1).tolist()
+    edges = np.cumsum([4 * (width + 1), *sizes]).tolist()
+    planes = [np.frombuffer(pa.decompress(data[i:j], n, codec="zstd"), dtype=np.uint8) for i, j in zip(edges, edges[1:], strict=False)]
+    return np.ascontiguousarray(np.stack(planes, axis=1)).view(kind).reshape(-1)
+
+
+def _packed_keys(keys: np.ndarray) -> bytes:
+    """Sorted keys: of bigrams and trigrams the steps between first words, and the other words as they are."""
+    two = np.searchsorted(keys, TRIGRAM)
+    steps = [np.diff(part >> shift, prepend=0) << shift | part & (1 << shift) - 1 for part, shift in ((keys[:two], 16), (keys[two:], 32))]
+    return np.uint32(two).tobytes() + _planes(np.concatenate(steps))
+
+
+def _keys(data: bytes) -> np.ndarray:
+    two, steps = int(np.frombuffer(data, dtype=np.uint32, count=1)[0]), _numbers(data[4:], np.int64)
+    return np.concatenate([np.cumsum(part >> shift) << shift | part & (1 << shift) - 1 for part, shift in ((steps[:two], 16), (steps[two:], 32))])
 
 
 def _packed_shards(keys: np.ndarray, shards: int, *columns: np.ndarray) -> Iterator[tuple]:
-    """(shard, bytes of its keys in order, bytes of each column in that order) of each shard that has keys."""
+    """(shard, packed keys in order, packed numbers of each column in that order) of each shard that has keys."""
     shard = (mix(keys.astype(np.uint64)) >> np.uint64(48)).astype(np.int64) & (shards - 1)
     order = np.lexsort((keys, shard))
     edges = np.searchsorted(shard[order], np.arange(shards + 1))
     for i in np.flatnonzero(edges[1:] > edges[:-1]):
         part = order[edges[i] : edges[i + 1]]
-        yield (int(i), _planes(keys[part]), *(_planes(c[part]) for c in columns))
+        yield (int(i), _packed_keys(keys[part]), *(_planes(c[part]) for c in columns))
 
 
-def _model_shards(values: DataFrame, shards: int, copies: int) -> DataFrame:
-    """(shard, batch, keys, data, ...) rows of the value table, packed, once for each copy of its shard; batch -1 sorts them before the
-    documents."""
+def _model_shards(values: DataFrame, shards: int) -> DataFrame:
+    """(shard, keys, data) rows of the value table, packed."""
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held: list[pd.DataFrame] = []
 
         def packed() -> pd.DataFrame:
             keys, value = (np.concatenate([f[c].to_numpy() for f in held]) for c in ("key", "value"))
-            return pd.DataFrame([(s + shards * c, -1, k, v, None) for s, k, v in _packed_shards(keys, shards, value.astype(np.float32)) for c in range(copies)], columns=ROW)
+            return pd.DataFrame(_packed_shards(keys, shards, value.astype(np.float32)), columns=["shard", "keys", "data"])
 
         for frame in frames:
             held.append(frame)
@@ -333,7 +361,7 @@ def _model_shards(values: DataFrame, shards: int, copies: int) -> DataFrame:
         if held:
             yield packed()
 
-    return values.mapInPandas(run, SHARDED)
+    return values.mapInPandas(run, "shard int, keys binary, data binary")
 
 
 #: Rows that travel to a shard: its number, a batch of documents (-1: the model's), keys, their values or the places of their documents,
@@ -341,24 +369,24 @@ def _model_shards(values: DataFrame, shards: int, copies: int) -> DataFrame:
 ROW = ["shard", "batch", "keys", "data", "docs"]
 SHARDED = "shard int, batch long, keys binary, data binary, docs array<struct<id: bigint, own: string, code: int, n_words: bigint, total: double>>"
 #: Keys of the model in a shard, about, and documents and tokens of a batch at most.
-SHARD_KEYS, BATCH_DOCS, BATCH_TOKENS = 600_000, 1024, 500_000
+SHARD_KEYS, BATCH_DOCS, BATCH_TOKENS = 2_400_000, 1024, 500_000
 
 
 def perplexities(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
     """(id, own, lang, n_words, perplexity) of each row; own is its language, lang is null where the shared model scored it.
 
-    The model has a bound and the documents have none, so each shard has as many copies as the shuffle partitions ask for, and a batch goes to
-    one of them. A batch of documents leaves its n-grams that aren't hot packed by shard, sorted, with the place of each one's document. In a shard's
+    Where shards are fewer than the cores ask for, each has copies, and a batch goes to one of them. A batch of documents leaves its n-grams that aren't hot packed by shard, sorted, with the place of each one's document. In a shard's
     task the model's rows come first and are kept (SHARD_KEYS of them, about), then the batches stream by; the sums of a batch
     over its shards meet again by batch.
     """
     context = docs.sparkSession.sparkContext
-    held = context.broadcast((model.codes, model.ids, model.base, model.back, model.hot, model.bits))
-    shards = 1 << max(3, math.ceil(math.log2(max(1, model.n_values) / SHARD_KEYS)))
-    copies = max(1, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")) // shards)
+    held = model.held
+    shards = model.shards
+    copies = max(1, min(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), 4 * context.defaultParallelism) // shards)
 
     def score(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        codes, ids, base, back, (hot_keys, hot_values), bits = held.value
+        codes, ids, base, back, hot, bits = held.value
+        hot_keys, hot_values = _keys(hot[0]), _numbers(hot[1], np.float32)
         size, number = len(bits) * 8, TaskContext.get().partitionId() << 34
         copy = lambda: int(mix(np.array([number], dtype=np.uint64))[0] % np.uint64(copies))  # noqa: E731  mixed: the first batches of all tasks go to all copies
         some: list[tuple] = []
@@ -399,7 +427,7 @@ def perplexities(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col
             out = []
             for shard, number, k, data, own in zip(frame["shard"], frame["batch"], frame["keys"], frame["data"], frame["docs"], strict=True):
                 if shard == -1:
-                    out.append((number, -1, own, None))
+                    out.append((number, -1, own, None, None))
                     continue
                 if shard != now:
                     now, keys, packs = shard, None, []
@@ -407,16 +435,17 @@ def perplexities(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col
                     packs.append((k, data))
                     continue
                 if keys is None:
-                    keys = np.concatenate([np.zeros(0, dtype=np.int64), *[_numbers(x, np.int64) for x, _ in packs]])
+                    keys = np.concatenate([np.zeros(0, dtype=np.int64), *[_keys(x) for x, _ in packs]])
                     order = np.argsort(keys)
                     keys, values, packs = keys[order], np.concatenate([np.zeros(0, dtype=np.float32), *[_numbers(x, np.float32) for _, x in packs]])[order], []
                 if not len(keys):
                     continue
-                asked, place = _numbers(k, np.int64), _numbers(data, np.uint16)
+                asked, place = _keys(k), _numbers(data, np.uint16)
                 at = np.minimum(np.searchsorted(keys, asked), len(keys) - 1)
                 found = keys[at] == asked
-                out.append((number, shard, None, np.bincount(place[found], values[at[found]]).tobytes()))
-            yield pd.DataFrame(out, columns=["batch", "shard", "docs", "sums"])
+                places, which = np.unique(place[found], return_inverse=True)  # a shard among many meets few of a batch's documents
+                out.append((number, shard, None, _planes(np.diff(places, prepend=places.dtype.type(0))), np.bincount(which, values[at[found]]).tobytes()))
+            yield pd.DataFrame(out, columns=["batch", "shard", "docs", "places", "sums"])
 
     def finish(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         number, own, total = None, None, None
@@ -426,23 +455,24 @@ def perplexities(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col
             return frame.assign(total=total)
 
         for frame in frames:
-            for n, docs_, sums in zip(frame["batch"], frame["docs"], frame["sums"], strict=True):
+            for n, docs_, places, sums in zip(frame["batch"], frame["docs"], frame["places"], frame["sums"], strict=True):
                 if docs_ is not None:  # a batch's documents sort before its sums
                     if number is not None:
                         yield rows()
                     number, own = n, list(docs_)
                     total = np.array([d["total"] for d in own])
                 else:
-                    part = np.frombuffer(sums, dtype=np.float64)
-                    total[: len(part)] += part
+                    total[np.cumsum(_numbers(places, np.uint16))] += np.frombuffer(sums, dtype=np.float64)
         if number is not None:
             yield rows()
 
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(lang_col).cast("string").alias("lang"), F.col(text_col).cast("string").alias("t"))
-    both = rows.mapInPandas(score, SHARDED).unionByName(_model_shards(model.values, shards, copies))
+    copied = model.packed.select("*", F.explode(F.sequence(F.lit(0), F.lit(copies - 1))).alias("copy"))
+    table = copied.select((F.col("shard") + shards * F.col("copy")).alias("shard"), F.lit(-1).cast("long").alias("batch"), "keys", "data", F.lit(None).alias("docs"))
+    both = rows.mapInPandas(score, SHARDED).unionByName(table)
     # documents' own columns don't belong to a shard and are dealt by batch
     dealt = both.repartition(F.when(F.col("shard") >= 0, F.col("shard").cast("long")).otherwise(F.col("batch"))).sortWithinPartitions("shard", "batch")
-    sums = dealt.mapInPandas(join, "batch long, shard int, docs array<struct<id: bigint, own: string, code: int, n_words: bigint, total: double>>, sums binary")
+    sums = dealt.mapInPandas(join, "batch long, shard int, docs array<struct<id: bigint, own: string, code: int, n_words: bigint, total: double>>, places binary, sums binary")
     summed = sums.repartition("batch").sortWithinPartitions("batch", "shard").mapInPandas(finish, "id long, own string, code int, n_words long, total double")
     names = F.create_map(F.lit(-1), F.lit(""), *[F.lit(x) for kv in ((c, n) for n, c in model.codes.items()) for x in kv])
     return summed.select("id", "own", F.try_element_at(names, F.col("code")).alias("lang"), "n_words", F.exp(-F.col("total") / (F.col("n_words") + 1)).alias("perplexity"))
@@ -462,8 +492,10 @@ def classify(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
     if model is None:
         none = docs.select(F.col(id_col).cast("long").alias("id"), F.lit(None).cast("string").alias("lang"), F.size(F.array_remove(F.split(F.coalesce(F.col(text_col).cast("string"), F.lit("")), r"[\x20\x09-\x0D]+"), "")).cast("long").alias("n_words"))
         return none.select(F.col("id").alias(id_col), "lang", "n_words", F.lit(None).cast("double").alias("perplexity"), F.lit(None).cast("double").alias("threshold"), F.lit(True).alias("kept"))
-    scores = cut(perplexities(docs, model, id_col, text_col, lang_col))
     drop(*model.tables)
+    part = F.pmod(F.xxhash64(F.col(id_col).cast("long"), F.col(text_col).cast("string")), F.lit(PARTS))
+    scores = reduce(DataFrame.unionByName, [cut(perplexities(docs.where(part == i), model, id_col, text_col, lang_col)) for i in range(PARTS)])
+    drop(model.packed)
     seen = model.sample.withColumn("seen", F.lit(True))
     good = labels.where("quality = 1 and coalesce(toxic, 0) = 0").select(F.col("doc_id").cast("long").alias("id")).distinct()
     held = cut(scores.join(good, "id").join(seen, "id", "left").select("own", "lang", "perplexity", "seen"))

@@ -602,6 +602,32 @@ def test_quality_classifier_learns_from_all_trusted_rows(spark):
     assert model.tables[1].agg(F.sum("met")).first()[0] == 4 * n
 
 
+def test_quality_classifier_packs_its_table(spark, monkeypatch):
+    """The value table is stored once, packed by shard, each key that isn't hot once; rows scored by it, in parts, get what hot keys give."""
+    import numpy as np
+
+    from panelspark.llm import kn_quality as K
+
+    for keys in ([], [-1], [5, 5, 1 << 40], [-1, 7, K.TRIGRAM, K.TRIGRAM + (3 << 48) + 9, K.TRIGRAM + (3 << 48) + 9]):
+        assert K._keys(K._packed_keys(np.array(keys, dtype=np.int64))).tolist() == keys
+    r = random.Random(8)
+    rows = [(i, " ".join(r.choices([f"w{k}" for k in range(90)], weights=range(90, 0, -1), k=50)), "en") for i in range(600)] + [(None, None, "en"), (None, "w1 w2 w3", "de"), (5, "w1 w1", "en")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([(i, 1, 0) for i in range(400)], "doc_id long, quality int, toxic int")
+    whole = sorted(((x.doc_id, x.n_words, x.kept, x.perplexity) for x in K.classify(docs, labels).collect()), key=str)
+    monkeypatch.setattr(K, "HOT", 20)
+    monkeypatch.setattr(K, "SHARD_KEYS", 500)
+    model = K.fit(docs, labels)
+    packed = model.packed.collect()
+    found = [k for x in packed for k in K._keys(x["keys"]).tolist()]
+    assert len(found) == len(set(found)) and len(found) + len(model.hot[0]) - 1 == sum(t.count() for t in model.tables[:2]) and len({x.shard for x in packed}) > 8
+    old = 12 * len(found)  # bytes of keys and values as they are
+    assert sum(len(x["keys"]) + len(x["data"]) for x in packed) < old
+    cold = sorted(((x.doc_id, x.n_words, x.kept, x.perplexity) for x in K.classify(docs, labels).collect()), key=str)
+    assert [x[:3] for x in cold] == [x[:3] for x in whole] and len(cold) == len(rows)
+    assert [x[3] for x in cold] == pytest.approx([x[3] for x in whole], rel=1e-9)
+
+
 class KneserNey:
     """Interpolated modified Kneser-Ney of order three, straight from the definition."""
 
