@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from panelspark.llm._graph import connected_components, cut, drop
 from panelspark.llm._text import shingle_set, word_hashes
-from panelspark.llm.ngram_join import _digest, verified
+from panelspark.llm.ngram_join import _bits, _digest, _has, verified
 
 PERMUTATIONS, BANDS, ROWS = 128, 25, 5
 SHINGLE = 5
@@ -104,6 +104,25 @@ def neighbour_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: st
     return done.select(F.when(F.col("k") != least, F.col("k")).alias(id_col), *done.columns[1:])
 
 
+def _texts_of(rows: DataFrame, pairs: DataFrame) -> DataFrame:
+    """(h) of the rows whose node is an end of a pair."""
+    ends = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
+    return rows.join(ends, "node", "left_semi").select("h").distinct()
+
+
+def _with_hash_in(base: DataFrame, texts: DataFrame) -> DataFrame:
+    """Rows of base with an h of texts, and few others: a bit set of fixed greatest size keeps the rest from being hashed again."""
+    texts = cut(texts.select((F.shiftrightunsigned("h", 24)).alias("bit")))
+    held = base.sparkSession.sparkContext.broadcast(_bits(texts, "bit", 40))
+    drop(texts)
+
+    @F.pandas_udf("boolean")
+    def maybe(bit: pd.Series) -> pd.Series:
+        return pd.Series(_has(held.value, bit.to_numpy(), 40))
+
+    return base.where(maybe(F.shiftrightunsigned("h", 24)))
+
+
 def near_duplicate_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: tuple[int, int] = (4, 5)) -> DataFrame:
     """(id, component_id): documents linked by signature bands and an exact Jaccard of five-word shingles at the threshold.
 
@@ -113,21 +132,26 @@ def near_duplicate_classes(docs: DataFrame, id_col: str = "doc_id", text_col: st
     be in one class. Two sets of similarity s share a band with probability 1 - (1 - s**5)**25: 0.9999 at 0.8. Texts without
     words link with nothing; a null id never names a class; repeated rows stay repeated; an empty table gives no rows.
     """
-    base = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("t"))
+    text = F.col(text_col).cast("string")
+    base = docs.select(F.col(id_col).cast("long").alias("id"), text.alias("t"), F.xxhash64(text).alias("h"))
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             sets = [shingle_set(word_hashes(t, fold=True), SHINGLE) for t in frame["t"]]
             bands = [[int.from_bytes(hashlib.blake2b(bytes([i]) + s[ROWS * i : ROWS * (i + 1)].tobytes(), digest_size=8).digest(), "little", signed=True) for i in range(BANDS)] if len(x) else [] for x in sets for s in [signature(x)]]
-            yield pd.DataFrame({"id": frame["id"].astype("Int64"), "node": [_digest(x) if len(x) else None for x in sets], "bands": bands})
+            yield pd.DataFrame({"id": frame["id"].astype("Int64"), "h": frame["h"], "node": [_digest(x) if len(x) else None for x in sets], "bands": bands})
+
+    rows = cut(base.mapInPandas(run, "id long, h long, node binary, bands array<long>"))
+
+    def checked(pairs: DataFrame) -> DataFrame:
+        return verified(_with_hash_in(base, _texts_of(rows, pairs)), pairs, SHINGLE, threshold)
 
-    rows = cut(base.mapInPandas(run, "id long, node binary, bands array<long>"))
     nodes = rows.where("node is not null").groupBy("node").agg(F.first("bands").alias("bands"))
     every = nodes.select("node", F.explode("bands").alias("band"))
     heads = every.groupBy("band").agg(F.min("node").alias("head"), F.count("*").alias("size")).where("size > 1").drop("size")
     lists = cut(every.join(heads, "band"))
     stars = cut(lists.where("head <> node").select(F.col("head").alias("a"), F.col("node").alias("b")).distinct())
-    links = cut(verified(base, stars, SHINGLE, threshold))
+    links = checked(stars)
     labels = connected_components(links)
 
     inside = lists.join(labels, "node", "left").select("band", "node", F.coalesce("label", "node").alias("class"))
@@ -140,7 +164,7 @@ def near_duplicate_classes(docs: DataFrame, id_col: str = "doc_id", text_col: st
     more = cut(more.join(stars, ["a", "b"], "left_anti"))  # a star has its least node first, and one that failed needs no second look
     drop(lists, mixed, stars)
     if not more.isEmpty():
-        links = cut(links.unionByName(verified(base, more, SHINGLE, threshold)))
+        links = cut(links.unionByName(checked(more)))
         labels = connected_components(links)
     named = rows.where("node is not null").join(labels, "node", "left").select("id", F.coalesce("label", "node").alias("class"))
     named = named.join(named.groupBy("class").agg(F.min("id").alias("component_id")), "class").select("id", "component_id")

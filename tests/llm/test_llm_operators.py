@@ -535,6 +535,25 @@ def test_minhash_links_copies_that_are_unlike_one_another(spark):
     assert got[0] >= 195  # a few pairs may share no band
 
 
+def test_minhash_verifies_only_texts_of_pairs(spark, monkeypatch):
+    """The sets of texts that no pair asks for aren't made again; the classes stay whole, also with repeated rows and null texts and ids."""
+    from panelspark.llm import minhash as M
+
+    seen, whole = [], M.verified
+
+    def counted(base, *rest):
+        seen.append(base.count())
+        return whole(base, *rest)
+
+    monkeypatch.setattr(M, "verified", counted)
+    copy = words(200, 1).split(" ")
+    rows = [(i, words(200, i)) for i in range(300)] + [(300, " ".join([*copy[:-1], "other"])), (300, " ".join([*copy[:-1], "other"])), (None, words(200, 2) + " more"), (301, None), (302, "")]
+    got = M.near_duplicate_classes(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert len(got) == len(rows) and {x.component_id for x in got if x.doc_id in (1, 300)} == {1}
+    assert all(x.component_id == x.doc_id for x in got if x.doc_id not in (None, 300)) and [x.component_id for x in got if x.doc_id is None] == [2]
+    assert seen and max(seen) < 30
+
+
 def test_quality_classifier(spark, empty):
     from panelspark.llm.kn_quality import classify, keep_trusted, trusted_sample
 
