@@ -28,7 +28,7 @@ from functools import reduce
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark import TaskContext
+from pyspark import Broadcast, TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -83,13 +83,31 @@ def trusted_sample(docs: DataFrame, labels: DataFrame, id_col: str, train_docs:
 
 
 class Model:
-    """What tasks need: vocabulary, unigram and back-off arrays, hot keys, filter; and the value table, packed by shard, and the ids of the sample."""
+    """What tasks need, as broadcasts alone, so that the driver holds it once: known (ids of words) and held (codes, unigram and back-off arrays, packed hot keys,
+    filter); and the value table, packed by shard, and the ids of the sample."""
 
-    def __init__(self, codes: dict[str, int], ids: dict[int, dict[bytes, int]], base: dict[int, np.ndarray], back: dict[int, np.ndarray], hot: tuple[np.ndarray, np.ndarray], bits: np.ndarray, packed: DataFrame, shards: int, sample: DataFrame, tables: tuple[DataFrame, ...] = ()) -> None:
-        self.codes, self.ids, self.base, self.back, self.hot, self.bits, self.packed, self.shards, self.sample = codes, ids, base, back, hot, bits, packed, shards, sample
+    def __init__(self, codes: dict[str, int], known: Broadcast, base: dict[int, np.ndarray], back: dict[int, np.ndarray], hot: list[tuple[bytes, bytes]], bits: np.ndarray, packed: DataFrame, shards: int, sample: DataFrame, tables: tuple[DataFrame, ...] = ()) -> None:
+        self.codes, self.known, self.packed, self.shards, self.sample = codes, known, packed, shards, sample
         self.tables = tables  # rows of bigrams and of trigrams that packed was made of; scoring doesn't read them
-        # every worker has its file of a broadcast, so the hot keys are packed there
-        self.held = sample.sparkSession.sparkContext.broadcast((codes, ids, base, back, (_packed_keys(hot[0]), _planes(hot[1])), bits))
+        self.held = sample.sparkSession.sparkContext.broadcast((codes, base, back, hot, bits))
+
+    @property
+    def hot(self) -> tuple[np.ndarray, np.ndarray]:
+        """Hot keys in order, and their values."""
+        return _hot(self.held.value[3])
+
+    def forget(self) -> None:
+        """Free the broadcasts; no row can be scored any more."""
+        self.held.destroy()
+        self.known.destroy()
+
+
+def _hot(pieces: list[tuple[bytes, bytes]]) -> tuple[np.ndarray, np.ndarray]:
+    """Keys in order, and values, of packed pieces; first stands -1, no n-gram's key, so that the table is never empty."""
+    keys = np.concatenate([np.array([-1], dtype=np.int64), *[_keys(k) for k, _ in pieces]])
+    values = np.concatenate([np.zeros(1, dtype=np.float32), *[_numbers(v, np.float32) for _, v in pieces]])
+    order = np.argsort(keys, kind="stable")  # pieces are in order already
+    return keys[order], values[order]
 
 
 def _spots(keys: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
@@ -105,8 +123,8 @@ def _passes(bits: np.ndarray, keys: np.ndarray) -> np.ndarray:
     return there
 
 
-def _filter_bits(keys: DataFrame, n: int, more: np.ndarray | None = None) -> np.ndarray:
-    """A Bloom filter of n keys (column key, or packed ones in column keys), of FILTER_BITS at most; more: keys that the driver adds."""
+def _filter_bits(keys: DataFrame, n: int) -> np.ndarray:
+    """A Bloom filter of n keys (column key, or packed ones in column keys), of FILTER_BITS at most. Tasks send theirs compressed."""
     size = min(FILTER_BITS, 1 << max(10, math.ceil(math.log2(8 * max(1, n)))))
 
     def filters(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -115,13 +133,11 @@ def _filter_bits(keys: DataFrame, n: int, more: np.ndarray | None = None) -> np.
             for some in [frame["key"].to_numpy()] if "key" in frame else map(_keys, frame["keys"]):
                 for spot in _spots(some, size):
                     found[spot] = True
-        yield pd.DataFrame({"bits": [np.packbits(found).tobytes()]})
+        yield pd.DataFrame({"bits": [_planes(np.packbits(found))]})
 
     bits = np.zeros(size // 8, dtype=np.uint8)
     for r in keys.coalesce(4).mapInPandas(filters, "bits binary").toLocalIterator():
-        bits |= np.frombuffer(r.bits, dtype=np.uint8)
-    for spot in _spots(more, size) if more is not None else ():
-        np.bitwise_or.at(bits, spot >> 3, (128 >> (spot & 7)).astype(np.uint8))
+        bits |= _numbers(r.bits, np.uint8)
     return bits
 
 
@@ -186,6 +202,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
 
     # the filter keeps the other texts out of the join's shuffle
     text = cut(rows.where("id is not null").where(maybe("id")).join(sample, "id").select("lang", "t"))
+    trained.destroy()
     most = text.where("lang is not null").groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(LANGUAGES)
     spoken = sorted(r.lang for r in most.collect())
     codes = {lang: i + 1 for i, lang in enumerate(spoken)}
@@ -208,7 +225,8 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     drop(counted)
     if not types:
         return None
-    held = context.broadcast(ids)
+    known, sizes = context.broadcast(ids), {c: len(ids[c]) + 2 for c in types}
+    del ids  # tasks have them
 
     def triples(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         parts, size = [], 0
@@ -220,7 +238,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
         for frame in frames:
             for lang, t in zip(frame["lang"], frame["t"], strict=True):
                 for code in models(lang):
-                    parts.append(_triples(_sequence(_words(t), held.value.get(code, {})), code))
+                    parts.append(_triples(_sequence(_words(t), known.value.get(code, {})), code))
                     size += len(parts[-1])
                 if size > TASK_TRIPLES:
                     yield counts()
@@ -240,7 +258,6 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     d1, d2, d3 = _discounts(t1, 1), _discounts(t2, 2), _discounts(counted3.select(parted["code"].alias("code"), "n"), 3)
 
     # order one, and what belongs to a context b: tables of a row a vocabulary word
-    sizes = {c: len(ids[c]) + 2 for c in types}
     size = F.create_map(*[x for c, v in sizes.items() for x in (F.lit(c), F.lit(float(v)))])
     r1 = t1.withColumn("cut", _cut_off(d1, F.col("n")))
     s1 = r1.groupBy("code").agg(F.sum("n").alias("total"), F.sum("cut").alias("mass"))
@@ -279,24 +296,21 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     values = pairs.unionByName(made.select("key", "value", "met"))
 
     at_least, n_values = _hot_bound(values)
-    top = values.where(F.col("met") >= at_least).select("key", "value").toArrow()
-    order = np.argsort(top["key"].to_numpy())
-    none = np.array([-1], dtype=np.int64), np.zeros(1, dtype=np.float32)  # no n-gram has this key, so the table is never empty
-    hot = np.concatenate([none[0], top["key"].to_numpy()[order]]), np.concatenate([none[1], top["value"].to_numpy()[order]])
     shards = 1 << max(3, math.ceil(math.log2(max(1, n_values) / SHARD_KEYS)))
-    packed = cut(_model_shards(values.where(F.col("met") < at_least).select("key", "value"), shards))
-    bits = _filter_bits(packed.select("keys"), n_values, hot[0])
+    packed = cut(_model_shards(values.select("key", "value", (F.col("met") >= at_least).alias("hot")), shards))
+    hot = [(r["keys"], r["data"]) for r in packed.where(F.col("shard") == -1).select("keys", "data").collect()]  # HOT keys at most
+    bits = _filter_bits(packed.select("keys"), n_values)
 
-    base = {c: np.full(len(ids[c]) + FIRST_WORD, math.log(rest.get(c, 1e-9)), dtype=np.float64) for c in types}
-    back = {c: np.zeros(len(ids[c]) + FIRST_WORD, dtype=np.float64) for c in types}
+    base = {c: np.full(sizes[c] + FIRST_WORD - 2, math.log(rest.get(c, 1e-9)), dtype=np.float64) for c in types}
+    back = {c: np.zeros(sizes[c] + FIRST_WORD - 2, dtype=np.float64) for c in types}
     ones = p1.toArrow()
     for c in types:
         mine = ones["code"].to_numpy() == c
         base[c][ones["c"].to_numpy()[mine]] = np.log(ones["p1"].to_numpy()[mine])
         mine = backs["key"].to_numpy() >> 16 == c
         back[c][backs["key"].to_numpy()[mine] & 0xFFFF] = backs["value"].to_numpy()[mine]
-        base[c][UNKNOWN] -= math.log(max(1, types[c] - len(ids[c])))  # an unknown word is one of those that the vocabulary left out
-    return Model(codes, ids, base, back, hot, bits, packed, shards, sample, (pairs, made, *parts))
+        base[c][UNKNOWN] -= math.log(max(1, types[c] - (sizes[c] - 2)))  # an unknown word is one of those that the vocabulary left out
+    return Model(codes, known, base, back, hot, bits, packed.where("shard >= 0"), shards, sample, (pairs, made, *parts))
 
 
 def _hot_bound(values: DataFrame) -> tuple[int, int]:
@@ -344,14 +358,16 @@ def _packed_shards(keys: np.ndarray, shards: int, *columns: np.ndarray) -> Itera
 
 
 def _model_shards(values: DataFrame, shards: int) -> DataFrame:
-    """(shard, keys, data) rows of the value table, packed."""
+    """(shard, keys, data) rows of the value table, packed; hot keys stand under shard -1."""
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held: list[pd.DataFrame] = []
 
         def packed() -> pd.DataFrame:
-            keys, value = (np.concatenate([f[c].to_numpy() for f in held]) for c in ("key", "value"))
-            return pd.DataFrame(_packed_shards(keys, shards, value.astype(np.float32)), columns=["shard", "keys", "data"])
+            keys, value, hot = (np.concatenate([f[c].to_numpy() for f in held]) for c in ("key", "value", "hot"))
+            rows = list(_packed_shards(keys[~hot], shards, value[~hot].astype(np.float32)))
+            rows += [(-1, *x[1:]) for x in _packed_shards(keys[hot], 1, value[hot].astype(np.float32))]
+            return pd.DataFrame(rows, columns=["shard", "keys", "data"])
 
         for frame in frames:
             held.append(frame)
@@ -380,13 +396,13 @@ def perplexities(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col
     over its shards meet again by batch.
     """
     context = docs.sparkSession.sparkContext
-    held = model.held
+    known, held = model.known, model.held
     shards = model.shards
     copies = max(1, min(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), 4 * context.defaultParallelism) // shards)
 
     def score(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        codes, ids, base, back, hot, bits = held.value
-        hot_keys, hot_values = _keys(hot[0]), _numbers(hot[1], np.float32)
+        ids, (codes, base, back, hot, bits) = known.value, held.value
+        hot_keys, hot_values = _hot(hot)
         size, number = len(bits) * 8, TaskContext.get().partitionId() << 34
         copy = lambda: int(mix(np.array([number], dtype=np.uint64))[0] % np.uint64(copies))  # noqa: E731  mixed: the first batches of all tasks go to all copies
         some: list[tuple] = []
@@ -496,6 +512,7 @@ def classify(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
     part = F.pmod(F.xxhash64(F.col(id_col).cast("long"), F.col(text_col).cast("string")), F.lit(PARTS))
     scores = reduce(DataFrame.unionByName, [cut(perplexities(docs.where(part == i), model, id_col, text_col, lang_col)) for i in range(PARTS)])
     drop(model.packed)
+    model.forget()
     seen = model.sample.withColumn("seen", F.lit(True))
     good = labels.where("quality = 1 and coalesce(toxic, 0) = 0").select(F.col("doc_id").cast("long").alias("id")).distinct()
     held = cut(scores.join(good, "id").join(seen, "id", "left").select("own", "lang", "perplexity", "seen"))

@@ -647,6 +647,31 @@ def test_quality_classifier_packs_its_table(spark, monkeypatch):
     assert [x[3] for x in cold] == pytest.approx([x[3] for x in whole], rel=1e-9)
 
 
+def test_quality_classifier_leaves_nothing_in_the_driver(spark, monkeypatch):
+    """The driver gets hot keys packed and filters compressed, keeps no array of the model beside its broadcasts, and frees those when rows are scored."""
+    import numpy as np
+
+    from panelspark.llm import kn_quality as K
+
+    r = random.Random(9)
+    docs = spark.createDataFrame([(i, " ".join(r.choices([f"w{k}" for k in range(90)], weights=range(90, 0, -1), k=50)), "en") for i in range(300)], "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([(i, 1, 0) for i in range(200)], "doc_id long, quality int, toxic int")
+    monkeypatch.setattr(K, "HOT", 50)
+    made, fit = [], K.fit
+    monkeypatch.setattr(K, "fit", lambda *a: made.append(fit(*a)) or made[0])
+    model = fit(docs, labels)
+    assert not [k for k, v in vars(model).items() if isinstance(v, np.ndarray) or isinstance(v, dict) and k != "codes"]
+    pairs, trigrams = model.tables[:2]
+    rows = pairs.unionByName(trigrams.select("key", "value", "met")).orderBy(F.desc("met")).collect()
+    least = rows[50].met  # a count that more than HOT keys reach
+    assert model.hot[0].tolist() == [-1, *sorted(x.key for x in rows if x.met > least)]
+    assert dict(zip(model.hot[0].tolist()[1:], model.hot[1].tolist()[1:], strict=True)) == {x.key: x.value for x in rows if x.met > least}
+    keys = np.array([x.key for x in rows])
+    assert K._passes(K._filter_bits(model.packed.select("keys").unionByName(spark.createDataFrame([(K._packed_keys(model.hot[0][1:]),)], "keys binary")), len(keys)), keys).all()
+    assert K.classify(docs, labels).count() == 300
+    assert not made[0].held._jbroadcast.isValid() and not made[0].known._jbroadcast.isValid()
+
+
 class KneserNey:
     """Interpolated modified Kneser-Ney of order three, straight from the definition."""
 
