@@ -333,6 +333,27 @@ def test_pairs_out_of_reach_end_in_the_join(spark):
     assert [(x.c_id, x.p_id) for x in E.candidates(df, df, order="id").collect()] == [(40, 7)]
 
 
+def test_pairs_leave_the_join_once_and_scored(spark, capsys, monkeypatch):
+    """Pairs that meet on several keys are kept on the first, with no shuffle of pairs; parts of images and rows compared themselves give the same."""
+    r = random.Random(3)
+    shown = [f"{(i * 0x9E3779B97F4A7C15 + 0x5851F42D4C957F2D) & (1 << 64) - 1:015x}"[:15] for i in range(3)]
+    rows = [(i, "A", "m", r.choice("12"), r.choice(["s", "t", None, " "]), r.choice([10000, 14000, 90000, None]), r.choice([100, 105, 300, 0]), r.choice(["x", "y", ""]), [r.choice(shown) + r.choice("013")], None, r.choice(["red", None]), "black") for i in range(200)]
+    df = spark.createDataFrame(rows, "id long, brand string, model string, year string, seller string, mileage long, price long, city string, images array<string>, description string, body_color string, interior_color string")
+    found = lambda: sorted((x.c_id, x.p_id, x.score, tuple(x.matched)) for x in E.scored_pairs(df, df, order="id").collect())
+    got = found()
+    assert len(got) > 1000 and len({x[:2] for x in got}) == len(got)
+    monkeypatch.setattr(E, "FEW", 0)
+    assert found() == got
+    monkeypatch.setattr(E, "_clash", lambda *_: True)
+    assert found() == got
+    monkeypatch.undo()
+    capsys.readouterr()
+    some = df.where("seller <> ' '")
+    E.scored_pairs(some, some, E.Match(image=0.0, threshold=0.65), order="id").explain()
+    plan = capsys.readouterr().out
+    assert plan.count("Exchange hashpartitioning") == plan.count("Exchange hashpartitioning(k#") == 2
+
+
 def test_frequent_bigrams_of_shared_and_null_keys(spark):
     """Rows of one key are one text, a row without a key is none (count(distinct) leaves it out), and n-grams don't cross rows."""
     from panelspark.operators import text as T
