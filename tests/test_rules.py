@@ -198,6 +198,23 @@ def test_associations_with_nulls_beside_plain_code(spark):
         assert got[a, b].statistic == pytest.approx(sum(gap(u, v) for u in left for v in right), abs=6e-5) and got[a, b].dof == (len(left) - 1) * (len(right) - 1)
 
 
+def test_all_groups_and_levels_are_compared(spark):
+    """Forty groups and categories of more levels than the matrices take are tested whole, with the figures of the matrices."""
+    r = random.Random(11)
+    rows = [(r.choice([1.0, 2.0, 5.0]) + i % 40 // 20, r.random() if i % 9 else None, f"g{i % 40}", f"c{r.randrange(35)}" if i % 7 else None, "ab"[(i % 40 + r.randrange(30)) % 2]) for i in range(800)] + [(9.0, 0.5, "rare", "c1", "a")] * 9
+    df = spark.createDataFrame(rows, "x double, y double, g string, c string, h string").repartition(5)
+    f = A.Features(("x", "y"), ("g", "c", "h"))
+    got = {p.feature: p for p in A.differentiating_features(df, f, "g").collect()}
+    kept = [x for x in rows if x[2] != "rare"]
+    want = kruskal([[x[0] for x in kept if x[2] == g] for g in sorted({x[2] for x in kept})])
+    assert got["x"].groups == 40 and got["x"].n == 800 and got["x"].statistic == pytest.approx(want, abs=1e-4)
+    assert got["c"].groups == got["h"].groups == 40 and got["c"].dof == 39 * 34
+    few, many = (sorted(map(tuple, A.pairwise_associations(df, f, max_levels=k).collect()), key=repr) for k in (30, 50))
+    assert len(few) == len(many) == 10
+    for x, y in zip(few, many, strict=True):
+        assert all(v == w or v == pytest.approx(w, abs=1e-4) for v, w in zip(x, y, strict=True)), (x, y)
+
+
 def test_tests_of_two_groups(spark):
     """Mann-Whitney by counting pairs, Yates' correction in a two by two table, p-values beside published ones."""
     r = random.Random(8)
