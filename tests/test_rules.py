@@ -95,6 +95,28 @@ def test_a_large_block_is_matched_in_few_jobs(spark):
     assert got == {i: i for i in range(5000)} and jobs < 100  # a chain of 5,000 claims; each shuffle of a plan is a job
 
 
+def test_matches_from_lists_that_grow(spark, monkeypatch):
+    """Few best parents of each child are stored, those left without one ask again, and the matching is the serial one of all pairs."""
+    r = random.Random(12)
+    rows = [(i, "A", "m", "1", "s", 10000, r.choice([100, 105, 300]), r.choice("xy"), [], None, "red", r.choice(["black", "white"]), r.randrange(40)) for i in range(60)]
+    df = spark.createDataFrame(rows, "id long, brand string, model string, year string, seller string, mileage long, price long, city string, images array<string>, description string, body_color string, interior_color string, at long")
+    pairs = E.scored_pairs(df, df, order="at").select("c_id", "p_id", "score").collect()
+    want, stored, cut = serial_matches(map(tuple, pairs)), [], E.cut
+
+    def counted(frame):
+        out = cut(frame)
+        stored.extend([out.count()] if "place" in out.columns else [])
+        return out
+
+    monkeypatch.setattr(E, "cut", counted)
+    for most in (2, 8):
+        monkeypatch.setattr(E, "LIST", most)
+        monkeypatch.setattr(E, "GROW", 2)
+        stored.clear()
+        assert sorted(map(tuple, E.matches(df, df, order="at").collect())) == want
+        assert len(pairs) > 1000 and stored[0] <= 60 * (most + 1) and 1 < len(stored) <= E.ROUNDS
+
+
 def test_event_log_is_idempotent(spark):
     log = spark.createDataFrame([(1, 1, "seen", "a"), (None, 1, "seen", "n")], "ad long, run long, kind string, note string")
     new = spark.createDataFrame([(1, 1, "seen", "b"), (1, 2, "seen", "c"), (1, 2, "seen", "d"), (None, 1, "seen", "z")], log.schema)
